@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalar import cents, ratio_half_up
 from .common import as_list, null_safe_join
 
 
@@ -45,10 +46,8 @@ def next_day_retention(df: DataFrame, user: str, date: str, out: str = "fraction
              .select(user).distinct())
     n_all = first.agg(F.count(F.lit(1)).alias("_n"))
     n_back = back.agg(F.count(F.lit(1)).alias("_b"))
-    # two one-row aggregates: a bounded, single-row cross product
-    return n_all.crossJoin(n_back).select(
-        F.round(F.col("_b").cast("decimal(20,6)") / F.col("_n").cast("decimal(20,6)"), 2)
-        .cast("double").alias(out))
+    # two one-row aggregates: a bounded, single-row product
+    return n_all.crossJoin(n_back).select(ratio_half_up("_b", "_n").alias(out))
 
 
 def common_prefix(df: DataFrame, by, text: str, out: str = "prefix") -> DataFrame:
@@ -108,7 +107,10 @@ def user_price_report(df: DataFrame, user: str, product: str, price: str) -> Dat
     stats = df.groupBy(user).agg(
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),
-        F.round(F.avg(F.col(price).cast("decimal(18,2)")), 2).cast("double").alias("avg_price"))
+        F.sum(cents(price)).alias("_sc"), F.count(F.lit(1)).alias("_n"))
+    # round(avg, 2) half-up, exact: from the integer cent sum and the count
+    stats = stats.select(user, "min_price", "max_price",
+                         ratio_half_up("_sc", F.col("_n") * 100).alias("avg_price"))
     best = best_by_sum(df, user, product, price, "best_product")
     return stats.join(best, user)
 
