@@ -1,3 +1,393 @@
-"""Queries."""
+"""Source, sink, upsert and table-maintenance queries (S*, U3).
 
-from .registry import query  # noqa: F401
+Each query writes what it needs under the shared checkpoint root (a fresh
+directory per call) and returns a DataFrame read back from it, so the oracle
+compares what actually landed.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType)
+
+from ..operators.upsert import (first_n_by_key, insert_if_absent, merge_upsert,
+                                with_audit_stamp)
+from ..operators.quality import as_text
+from ..session import scratch_path
+from ..sources.files import csv_scan, csv_sink
+from ..sources.json_docs import (TableSpec, build_pages, ingest_pages, land_pages,
+                                 nest_lines_per_row, read_transaction_docs, reconcile_pages,
+                                 unnest_json, write_transaction_docs)
+from ..sources.tables import Tables
+from ..sources.tables_io import (clustered_layout, commit, ctas, describe_schema,
+                                 insert_select, month_range, partition_row_counts,
+                                 table_size_report, truncate_reload, typed_compact_rewrite,
+                                 write_month_partitioned, write_table)
+from .registry import query
+
+CUSTOMER_SCHEMA = StructType([
+    StructField("c_custkey", LongType()), StructField("c_name", StringType()),
+    StructField("c_nationkey", IntegerType()), StructField("c_acctbal", DoubleType()),
+    StructField("c_mktsegment", StringType())])
+
+
+@query("csv_roundtrip", """
+SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+""", "S2/S3")
+def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "customer_csv")
+    csv_sink(Tables(spark, d).customer, path)
+    return csv_scan(spark, path, CUSTOMER_SCHEMA)
+
+
+@query("json_document_scan", """
+SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
+       CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS id,
+       CAST(l_suppkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS product_id,
+       l_extendedprice AS price_usd
+FROM lineitem
+""", "S4")
+def json_document_scan(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "tx_docs")
+    write_transaction_docs(Tables(spark, d).lineitem, path)
+    return read_transaction_docs(spark, path)
+
+
+CHAR_ITEM = StructType([StructField("c_custkey", LongType()), StructField("c_name", StringType()),
+                        StructField("c_mktsegment", StringType())])
+
+
+def _land_customer_pages(spark: SparkSession, d: str, declared=None) -> str:
+    cust = Tables(spark, d).customer.select("c_custkey", "c_name", "c_mktsegment")
+    pages = build_pages(cust, ["c_custkey"], 100, "https://api.example/customers",
+                        declared_count=declared)
+    path = scratch_path(spark, "customer_pages")
+    land_pages(pages, path)
+    return path
+
+
+@query("paged_json_ingest", """
+SELECT c_custkey, c_name, c_mktsegment, CAST(NULL AS VARCHAR) AS c_phone FROM customer
+""", "S5")
+def paged_json_ingest(spark: SparkSession, d: str) -> DataFrame:
+    """Fields are chosen per call; one (c_phone) is absent from the items and
+    comes back NULL (non-strict), and the key keeps the first page's copy."""
+    path = _land_customer_pages(spark, d)
+    return ingest_pages(spark, path, CHAR_ITEM, ["c_custkey", "c_name", "c_mktsegment", "c_phone"],
+                        key="c_custkey")
+
+
+NATION_ITEM = StructType([StructField("n_nationkey", IntegerType()),
+                          StructField("n_name", StringType()),
+                          StructField("n_regionkey", IntegerType())])
+REGION_ITEM = StructType([StructField("r_regionkey", IntegerType()),
+                          StructField("r_name", StringType())])
+SUPPLIER_ITEM = StructType([StructField("s_suppkey", LongType()), StructField("s_name", StringType()),
+                            StructField("s_nationkey", IntegerType())])
+SPECS = (TableSpec("nation", NATION_ITEM, ("n_nationkey", "n_name", "n_regionkey"), "n_nationkey"),
+         TableSpec("region", REGION_ITEM, ("r_regionkey", "r_name"), "r_regionkey"),
+         TableSpec("supplier", SUPPLIER_ITEM, ("s_suppkey", "s_name", "s_nationkey"), "s_suppkey"))
+
+
+def run_load(spark: SparkSession, d: str, specs=SPECS) -> list[tuple[str, DataFrame]]:
+    """One spec list drives land -> create -> truncate -> load per table.
+    Stops at the first failed step (an exception propagates)."""
+    t = Tables(spark, d)
+    out = []
+    for spec in specs:
+        src = getattr(t, spec.name).select(*spec.fields)
+        pages_path = scratch_path(spark, f"{spec.name}_pages")
+        land_pages(build_pages(src, [spec.key], 100, f"https://api.example/{spec.name}"), pages_path)
+        table_path = scratch_path(spark, spec.name)
+        # create (empty, declared layout), then truncate + load from the pages
+        spark.createDataFrame([], StructType([spec.item[f] for f in spec.fields])) \
+            .write.parquet(table_path)
+        rows = ingest_pages(spark, pages_path, spec.item, list(spec.fields), key=spec.key)
+        out.append((spec.name, truncate_reload(spark, table_path, rows)))
+    return out
+
+
+@query("spec_driven_ingest", """
+SELECT 'nation' AS table_name, count(*) AS n_rows FROM nation
+UNION ALL SELECT 'region', count(*) FROM region
+UNION ALL SELECT 'supplier', count(*) FROM supplier
+""", "S6")
+def spec_driven_ingest(spark: SparkSession, d: str) -> DataFrame:
+    loaded = run_load(spark, d)
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("table_name"), "n_rows")
+             for n, df in loaded]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("page_count_reconcile", """
+SELECT count(*) AS declared, count(*) AS loaded, TRUE AS ok FROM customer
+""", "S7")
+def page_count_reconcile(spark: SparkSession, d: str) -> DataFrame:
+    path = _land_customer_pages(spark, d)
+    return reconcile_pages(spark, path, CHAR_ITEM)
+
+
+@query("ctas_backup", "SELECT * FROM orders", "S8")
+def ctas_backup(spark: SparkSession, d: str) -> DataFrame:
+    return ctas(spark, Tables(spark, d).orders, "orders_backup")
+
+
+@query("insert_select", "SELECT * FROM orders", "S9")
+def q_insert_select(spark: SparkSession, d: str) -> DataFrame:
+    """Two appends (halves split on the order date) rebuild the table; the
+    second insert lists its columns in another order (insert is by name)."""
+    o = Tables(spark, d).orders
+    path = scratch_path(spark, "orders_appended")
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    insert_select(o.where(F.col("o_orderdate") < cut), path)
+    later = o.where(F.col("o_orderdate") >= cut)
+    insert_select(later.select(*reversed(later.columns)), path)
+    return spark.read.parquet(path)
+
+
+@query("truncate_reload", """
+SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
+""", "S10")
+def q_truncate_reload(spark: SparkSession, d: str) -> DataFrame:
+    """Reload a table from a query over its own current content."""
+    path = write_table(Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderstatus"),
+                       scratch_path(spark, "orders_small"))
+    cur = spark.read.parquet(path)
+    return truncate_reload(spark, path, cur.where(F.col("o_orderstatus") == "F"))
+
+
+INSERT_IF_ABSENT_SQL = """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
+UNION ALL
+SELECT o_orderkey, o_custkey, o_totalprice + 1 FROM orders
+WHERE NOT (o_orderdate < TIMESTAMP '1998-01-01')
+"""
+
+
+@query("insert_if_absent", INSERT_IF_ABSENT_SQL, "S11")
+def q_insert_if_absent(spark: SparkSession, d: str) -> DataFrame:
+    """Base holds the orders before 1998; the incoming batch is every order
+    with a changed price, twice (in-batch duplicates): existing keys keep
+    their old row, new keys are inserted once."""
+    o = Tables(spark, d).orders
+    base = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")) \
+        .select("o_orderkey", "o_custkey", "o_totalprice")
+    inc = o.select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 1).alias("o_totalprice"))
+    inc2 = o.select("o_orderkey", "o_custkey", (F.col("o_totalprice") + 2).alias("o_totalprice"))
+    merged = insert_if_absent(commit(base, "orders_base"), inc.unionByName(inc2), "o_orderkey",
+                              tie="o_totalprice")
+    return commit(merged, "orders_if_absent")
+
+
+MERGE_SQL = """
+WITH tgt AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders
+             WHERE o_orderdate < TIMESTAMP '1999-01-01'),
+src AS (SELECT o_orderkey, o_custkey, 'U' AS o_orderstatus, o_totalprice * 2 AS o_totalprice
+        FROM orders WHERE year(o_orderdate) = 1996
+        UNION ALL
+        SELECT o_orderkey, o_custkey, 'N', o_totalprice FROM orders
+        WHERE o_orderdate >= TIMESTAMP '1999-01-01')
+SELECT t.* FROM tgt t ANTI JOIN src s ON t.o_orderkey = s.o_orderkey
+UNION ALL
+SELECT s.o_orderkey, COALESCE(t.o_custkey, s.o_custkey), s.o_orderstatus, s.o_totalprice
+FROM src s LEFT JOIN tgt t ON s.o_orderkey = t.o_orderkey
+"""
+
+
+def _merge_inputs(spark: SparkSession, d: str):
+    o = Tables(spark, d).orders
+    tgt = o.where(F.col("o_orderdate") < F.lit("1999-01-01").cast("timestamp_ntz")) \
+        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    upd = o.where(F.year("o_orderdate") == 1996).select(
+        "o_orderkey", "o_custkey", F.lit("U").alias("o_orderstatus"),
+        (F.col("o_totalprice") * 2).alias("o_totalprice"))
+    ins = o.where(F.col("o_orderdate") >= F.lit("1999-01-01").cast("timestamp_ntz")).select(
+        "o_orderkey", "o_custkey", F.lit("N").alias("o_orderstatus"), "o_totalprice")
+    return tgt, upd.unionByName(ins)
+
+
+@query("merge_upsert", MERGE_SQL, "S12")
+def q_merge_upsert(spark: SparkSession, d: str) -> DataFrame:
+    """WHEN MATCHED update status and price (customer kept), WHEN NOT MATCHED insert."""
+    tgt, src = _merge_inputs(spark, d)
+    target = commit(tgt, "orders_target")
+    merged = merge_upsert(target, src, "o_orderkey", update_cols=["o_orderstatus", "o_totalprice"])
+    return commit(merged, "orders_merged")
+
+
+@query("merge_twice_idempotent", MERGE_SQL, "S12")
+def merge_twice(spark: SparkSession, d: str) -> DataFrame:
+    """Merging the same source twice equals merging it once."""
+    tgt, src = _merge_inputs(spark, d)
+    once = commit(merge_upsert(commit(tgt, "orders_target"), src, "o_orderkey",
+                               update_cols=["o_orderstatus", "o_totalprice"]), "orders_merged")
+    return commit(merge_upsert(once, src, "o_orderkey",
+                               update_cols=["o_orderstatus", "o_totalprice"]), "orders_merged2")
+
+
+@query("merge_batch_limit", """
+SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100
+""", "S13")
+def merge_batch_limit(spark: SparkSession, d: str) -> DataFrame:
+    """The first 100 order keys merged into an empty table."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    empty = commit(o.limit(0), "orders_empty")
+    return commit(merge_upsert(empty, first_n_by_key(o, "o_orderkey", 100), "o_orderkey"),
+                  "orders_first100")
+
+
+@query("audit_timestamp", """
+SELECT count(*) AS n_rows, count(*) AS n_stamped FROM orders
+""", "S14")
+def audit_timestamp(spark: SparkSession, d: str) -> DataFrame:
+    o = Tables(spark, d).orders.select("o_orderkey", "o_totalprice")
+    t = commit(with_audit_stamp(o), "orders_stamped")
+    return t.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count("_etl_updated_dttm").alias("n_stamped"))
+
+
+MONTH_LO, MONTH_HI = "1997-01-01", "1997-04-01"
+
+
+@query("month_partitioned_table", f"""
+SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS ym, count(*) AS n_rows,
+       CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS revenue
+FROM lineitem
+WHERE l_shipdate >= TIMESTAMP '{MONTH_LO}' AND l_shipdate < TIMESTAMP '{MONTH_HI}'
+GROUP BY 1
+""", "S15")
+def month_partitioned_table(spark: SparkSession, d: str) -> DataFrame:
+    """Write lineitem partitioned by ship month, then read one quarter: the
+    ``ym`` predicate added by ``month_range`` prunes the other partitions."""
+    path = write_month_partitioned(
+        Tables(spark, d).lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice"),
+        "l_shipdate", scratch_path(spark, "lineitem_by_month"), sort_by=["l_orderkey"])
+    q = month_range(spark.read.parquet(path), "l_shipdate", MONTH_LO, MONTH_HI)
+    return q.groupBy("ym").agg(F.count(F.lit(1)).alias("n_rows"),
+                               F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))
+                               .cast("double").alias("revenue"))
+
+
+@query("view_registry", """
+SELECT o_orderstatus, count(*) AS n_orders FROM orders WHERE o_totalprice > 100000 GROUP BY 1
+""", "S16")
+def view_registry(spark: SparkSession, d: str) -> DataFrame:
+    """A named view, replaced by a narrower definition, queried by name."""
+    o = Tables(spark, d).orders
+    o.createOrReplaceTempView("orders_v")
+    o.where(F.col("o_totalprice") > 100000).createOrReplaceTempView("orders_v")
+    return spark.sql("SELECT o_orderstatus, count(*) AS n_orders FROM orders_v GROUP BY 1")
+
+
+@query("partition_row_counts", """
+SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS ym, count(*) AS n_rows
+FROM lineitem GROUP BY 1
+""", "S17")
+def q_partition_row_counts(spark: SparkSession, d: str) -> DataFrame:
+    path = write_month_partitioned(Tables(spark, d).lineitem.select("l_orderkey", "l_shipdate"),
+                                   "l_shipdate", scratch_path(spark, "lineitem_months"))
+    return partition_row_counts(spark.read.parquet(path), "ym")
+
+
+@query("table_size_report", None, "S18")
+def q_table_size_report(spark: SparkSession, d: str) -> DataFrame:
+    """Rows-only: file sizes depend on the writer."""
+    t = Tables(spark, d)
+    return reduce(DataFrame.unionByName, [table_size_report(getattr(t, n), n)
+                                          for n in ("orders", "lineitem", "customer")])
+
+
+@query("describe_schema", """
+SELECT column_name, data_type, non_null, n_rows FROM (VALUES
+  ('o_orderkey', 'bigint', (SELECT count(o_orderkey) FROM orders)),
+  ('o_custkey', 'bigint', (SELECT count(o_custkey) FROM orders)),
+  ('o_orderstatus', 'string', (SELECT count(o_orderstatus) FROM orders)),
+  ('o_totalprice', 'double', (SELECT count(o_totalprice) FROM orders)),
+  ('o_orderdate', 'timestamp_ntz', (SELECT count(o_orderdate) FROM orders)),
+  ('o_orderpriority', 'string', (SELECT count(o_orderpriority) FROM orders))
+) v(column_name, data_type, non_null), (SELECT count(*) AS n_rows FROM orders)
+""", "S19")
+def q_describe_schema(spark: SparkSession, d: str) -> DataFrame:
+    return describe_schema(Tables(spark, d).orders)
+
+
+@query("typed_compact_rewrite", "SELECT * FROM orders", "S20")
+def q_typed_compact_rewrite(spark: SparkSession, d: str) -> DataFrame:
+    o = Tables(spark, d).orders
+    raw = as_text(o)
+    types = {f.name: f.dataType.simpleString() for f in o.schema.fields}
+    return typed_compact_rewrite(spark, raw, types, ["o_orderdate", "o_orderkey"],
+                                 domains={"o_orderstatus": ["O", "F", "P"]})
+
+
+@query("clustered_layout", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+WHERE l_orderkey = (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'F')
+   OR (l_partkey, l_suppkey) IN (SELECT (l_partkey, l_suppkey) FROM lineitem
+                                 WHERE l_orderkey = (SELECT min(o_orderkey) FROM orders))
+""", "S21")
+def q_clustered_layout(spark: SparkSession, d: str) -> DataFrame:
+    """Point lookup and pair lookup on lineitem rewritten clustered on the key
+    with bloom filters; the lookup value itself comes from the data."""
+    t = Tables(spark, d)
+    li = clustered_layout(spark, t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey",
+                                                   "l_suppkey", "l_quantity"),
+                          ["l_orderkey"], bloom_cols=["l_orderkey", "l_partkey"])
+    key = t.orders.where(F.col("o_orderstatus") == "F").select(F.max("o_orderkey")).scalar()
+    first = t.orders.select(F.min("o_orderkey")).scalar()
+    pairs = li.where(F.col("l_orderkey") == first).select("l_partkey", "l_suppkey").distinct()
+    point = li.where(F.col("l_orderkey") == key)
+    pair = li.join(pairs, ["l_partkey", "l_suppkey"], "left_semi")
+    # rows matching either lookup, once each (no OR across a join)
+    return point.unionByName(pair.where(F.col("l_orderkey") != key))
+
+
+# ------------------------------------------------------------------ U3
+def load_procedure(spark: SparkSession, d: str, batch: int = 100):
+    """One call, three merges in order (bookings <- orders, tickets <- lines,
+    ticket flights <- nested flights), each capped to ``batch`` source rows and
+    stamped with the write time."""
+    docs = nest_lines_per_row(Tables(spark, d))
+    bookings_src = docs.select("book_ref", "book_date").distinct()
+    tickets_src = unnest_json(docs, "json_data", "tickets", keep=["book_ref"]).select(
+        "book_ref", "linenumber", "flights")
+    flights_src = tickets_src.select("book_ref", "linenumber", F.explode("flights").alias("f")) \
+        .select("book_ref", "linenumber", "f.partkey", "f.suppkey", "f.quantity")
+    stamp = "_etl_updated_dttm"
+    steps = [("bookings", bookings_src.select("book_ref", "book_date"), ["book_ref"]),
+             ("tickets", tickets_src.groupBy("book_ref", "linenumber")
+              .agg(F.count(F.lit(1)).alias("n_flights")), ["book_ref", "linenumber"]),
+             ("ticket_flights", flights_src.groupBy("book_ref", "linenumber", "partkey", "suppkey")
+              .agg(F.sum("quantity").alias("quantity")),
+              ["book_ref", "linenumber", "partkey", "suppkey"])]
+    out = []
+    for name, src, keys in steps:
+        src = first_n_by_key(src, keys, batch)
+        empty = src.limit(0).withColumn(stamp, F.current_timestamp())
+        target = commit(empty, name)
+        for _ in range(2):  # the procedure is called twice; the second call changes nothing
+            target = commit(merge_upsert(target, src, keys, stamp=stamp), name)
+        out.append((name, target))
+    return out
+
+
+@query("load_procedure", """
+SELECT 'bookings' AS table_name, count(*) AS n_rows, count(*) AS n_stamped FROM
+  (SELECT DISTINCT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 100)
+UNION ALL
+SELECT 'tickets', count(*), count(*) FROM
+  (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem ORDER BY 1, 2 LIMIT 100)
+UNION ALL
+SELECT 'ticket_flights', count(*), count(*) FROM
+  (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem
+   ORDER BY 1, 2, 3, 4 LIMIT 100)
+""", "U3")
+def q_load_procedure(spark: SparkSession, d: str) -> DataFrame:
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows"), F.count("_etl_updated_dttm").alias("n_stamped"))
+             .select(F.lit(n).alias("table_name"), "n_rows", "n_stamped")
+             for n, df in load_procedure(spark, d)]
+    return reduce(DataFrame.unionByName, parts)
