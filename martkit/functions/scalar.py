@@ -21,7 +21,11 @@ def money(c, scale: int = 2) -> Column:
 
 
 def cents(c) -> Column:
-    return (money(c) * 100).cast("long")
+    """Money in whole cents as a long: exact, and summed with plain long
+    arithmetic inside whole-stage codegen (decimal sums above 18 digits fall
+    back to BigDecimal). ``rint`` snaps the binary image of a 2-decimal value
+    to its integer cent count."""
+    return F.rint(_c(c) * 100).cast("long")
 
 
 def ratio_half_up(num, den, digits: int = 2) -> Column:

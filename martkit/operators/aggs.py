@@ -16,11 +16,12 @@ from ..functions.scalar import cents, ratio_half_up
 from .common import as_list, null_safe_join
 
 
-def money_sum(c, scale: int = 2) -> Column:
-    """Exact sum of a money column (decimal), returned as double: the result
-    no longer depends on the order in which partial sums are combined."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(f"decimal(18,{scale})")).cast("double")
+def money_sum(c) -> Column:
+    """Exact sum of a 2-decimal money column, returned as double: summed in
+    integer cents, so the result does not depend on the order in which
+    partial sums are combined (a double sum would), and stays in fast long
+    arithmetic. The final cents/100 is one correctly rounded division."""
+    return F.sum(cents(c)) / F.lit(100.0)
 
 
 def cube_report(df: DataFrame, dims: Sequence[str], sums: dict[str, str],
@@ -97,7 +98,7 @@ def best_by_sum(df: DataFrame, by: Sequence[str] | str, item: str, amount: str,
     """Per group, the ``item`` with the highest summed ``amount``; ties go to the
     smallest item. Two partial aggregates (group, item) -> group."""
     by = as_list(by)
-    s = df.groupBy(*by, item).agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("_s"))
+    s = df.groupBy(*by, item).agg(F.sum(cents(amount)).alias("_s"))
     return s.groupBy(*by).agg(
         F.max_by(F.col(item), F.struct(F.col("_s"), -F.col(item))).alias(out))
 

@@ -56,25 +56,30 @@ def order_number(df: DataFrame, c) -> Column:
 
 
 def order_buckets(df: DataFrame, first_order, n: int | None = None,
-                  out: str = "_chunk") -> DataFrame:
+                  out: str = "_chunk", bounds: tuple | None = None) -> DataFrame:
     """Tag rows with a bucket that is monotone in the (ascending) first order
-    column: ``n`` equal-width slices between its global min and max.
+    column: ``n`` equal-width slices between ``bounds`` (default: the column's
+    global min and max, one scalar subquery).
 
     Ordered-series operators run per (key, bucket) and stitch bucket edges with
     a small per-(key, bucket) summary, so one key holding a third of all rows is
-    spread over many tasks. The bucket is a pure function of the row and two
-    scalar subqueries, hence identical in every branch of a plan and on every
+    spread over many tasks. The bucket is a pure function of the row and a
+    scalar subquery, hence identical in every branch of a plan and on every
     task retry (unlike sample-based range bounds, which depend on the order in
-    which shuffled rows arrive). NULLs go to bucket -1 (they sort first).
+    which shuffled rows arrive). Bounds only steer balance, not correctness:
+    values outside them still get monotone buckets. NULLs go first (bucket
+    below every other).
     """
     n = n or shuffle_partitions(df.sparkSession)
     x = order_number(df, first_order)
-    stats = df.select(x.alias("_x"))
-    lo = stats.select(F.min("_x")).scalar()
-    hi = stats.select(F.max("_x")).scalar()
+    if bounds is None:
+        st = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+        lo, hi = st.getField("lo"), st.getField("hi")
+    else:
+        lo, hi = bounds
     width = (hi - lo) / F.lit(float(n)) + F.lit(1e-9)
     b = F.least(F.floor((x - lo) / width), F.lit(n - 1))
-    return df.withColumn(out, F.coalesce(b, F.lit(-1)).cast("int"))
+    return df.withColumn(out, F.coalesce(b, F.lit(-(1 << 40))).cast("long"))
 
 
 def range_chunks(df: DataFrame, order: Iterable, n: int | None = None,

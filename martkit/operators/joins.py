@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_list, null_safe_join, order_buckets
+from .common import as_list, null_safe_join, order_buckets, order_number
 
 UNB = Window.unboundedPreceding
 
@@ -104,7 +104,11 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     u = lside.unionByName(rside)
     order = [F.col(k) for k in keys] + [F.col("_ts"), F.col("_tag")] + \
             [F.col(f"_t{i}") for i in range(len(tie))]
-    c = order_buckets(u, "_ts", n_chunks)
+    # bucket bounds from the right side alone (usually a plain scan): they only
+    # steer balance, so left rows outside them are still handled correctly
+    rx = order_number(rside, "_ts")
+    st = rside.select(F.struct(F.min(rx).alias("lo"), F.max(rx).alias("hi"))).scalar()
+    c = order_buckets(u, "_ts", n_chunks, bounds=(st.getField("lo"), st.getField("hi")))
     w = (Window.partitionBy(*keys, "_chunk").orderBy(*order[len(keys):])
          .rowsBetween(UNB, Window.currentRow))
     c = c.withColumn("_m", F.last("_r", ignorenulls=True).over(w))

@@ -37,7 +37,7 @@ def _landed_events(spark: SparkSession, d: str):
 
 
 def _run_latest(spark, path, schema, target, ckpt):
-    incremental_fold(file_stream(spark, path, schema), target, ["user_id"], ckpt,
+    incremental_fold(file_stream(spark, path, schema, 2), target, ["user_id"], ckpt,
                      mode="latest", version=["ts"], tie=["event_id"])
 
 
@@ -58,7 +58,7 @@ def incremental_summing(spark: SparkSession, d: str) -> DataFrame:
     """Counters folded by adding each micro-batch's partial sums."""
     path, schema = _landed_events(spark, d)
     target = SnapshotTable(scratch_path(spark, "totals_by_type"))
-    incremental_fold(file_stream(spark, path, schema), target, ["event_type"],
+    incremental_fold(file_stream(spark, path, schema, 2), target, ["event_type"],
                      scratch_path(spark, "ckpt"), mode="sum",
                      counters={"n_events": F.count(F.lit(1)),
                                "value_cents": F.sum(cents("value"))})
@@ -70,7 +70,7 @@ def streaming_state_totals(spark: SparkSession, d: str) -> DataFrame:
     """The same counters kept in the streaming state store (update mode)."""
     path, schema = _landed_events(spark, d)
     target = SnapshotTable(scratch_path(spark, "totals_state"))
-    streaming_totals(file_stream(spark, path, schema), target, ["event_type"],
+    streaming_totals(file_stream(spark, path, schema, 2), target, ["event_type"],
                      {"n_events": F.count(F.lit(1)), "value_cents": F.sum(cents("value"))},
                      scratch_path(spark, "ckpt"))
     return target.read(spark)
