@@ -44,8 +44,12 @@ def order_number(df: DataFrame, c) -> Column:
     x = F.col(c) if isinstance(c, str) else c
     dtype = df.select(x).schema[0].dataType.simpleString()
     if dtype == "timestamp_ntz":
-        return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
-                      .format(f"`{name}`" if name else x._jc.toString()))
+        # wall-clock micros from field arithmetic: no cast to an instant, so no
+        # session time zone (and no DST gap) can reorder values
+        return (F.unix_date(x.cast("date")).cast("double") * 86_400_000_000
+                + F.hour(x).cast("double") * 3_600_000_000
+                + F.minute(x).cast("double") * 60_000_000
+                + F.date_part(F.lit("SECOND"), x).cast("double") * 1_000_000)
     if dtype == "timestamp":
         return F.unix_micros(x)
     if dtype == "date":
