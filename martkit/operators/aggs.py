@@ -40,7 +40,9 @@ def cube_report(df: DataFrame, dims: Sequence[str], sums: dict[str, str],
 def next_day_retention(df: DataFrame, user: str, date: str, out: str = "fraction") -> DataFrame:
     """Share of users active on the day after their first day
     (rounded to 2 decimals). NULL dates are ignored."""
-    d = df.where(F.col(date).isNotNull()).select(user, F.to_date(date).alias("_d"))
+    # distinct (user, day) first: a partial aggregate that shrinks even a hot
+    # user to one row per active day before anything joins on the user
+    d = df.where(F.col(date).isNotNull()).select(user, F.to_date(date).alias("_d")).distinct()
     first = d.groupBy(user).agg(F.min("_d").alias("_f"))
     back = (d.join(first, user)
              .where(F.col("_d") == F.date_add("_f", 1))

@@ -59,8 +59,12 @@ def order_number(df: DataFrame, c) -> Column:
     raise TypeError(f"order column must be numeric, date or timestamp, got {dtype}")
 
 
+ROWS_PER_BUCKET = 2_000_000
+
+
 def order_buckets(df: DataFrame, first_order, n: int | None = None,
-                  out: str = "_chunk", bounds: tuple | None = None) -> DataFrame:
+                  out: str = "_chunk", bounds: tuple | None = None,
+                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Tag rows with a bucket that is monotone in the (ascending) first order
     column: ``n`` equal-width slices between ``bounds`` (default: the column's
     global min and max, one scalar subquery).
@@ -77,12 +81,16 @@ def order_buckets(df: DataFrame, first_order, n: int | None = None,
     n = n or shuffle_partitions(df.sparkSession)
     x = order_number(df, first_order)
     if bounds is None:
-        st = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
-        lo, hi = st.getField("lo"), st.getField("hi")
+        st = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"),
+                                F.count(F.lit(1)).alias("n"))).scalar()
+        lo, hi, rows = st.getField("lo"), st.getField("hi"), st.getField("n")
     else:
-        lo, hi = bounds
-    width = (hi - lo) / F.lit(float(n)) + F.lit(1e-9)
-    b = F.least(F.floor((x - lo) / width), F.lit(n - 1))
+        lo, hi, rows = bounds[0], bounds[1], (bounds[2] if len(bounds) > 2 else F.lit(0))
+    # at least n buckets, and more as the data grows (about rows_per_bucket each
+    # if the order values were spread evenly)
+    nb = F.greatest(F.lit(n).cast("double"), F.ceil(rows / F.lit(float(rows_per_bucket))).cast("double"))
+    width = (hi - lo) / nb + F.lit(1e-9)
+    b = F.least(F.floor((x - lo) / width), nb - 1)
     return df.withColumn(out, F.coalesce(b, F.lit(-(1 << 40))).cast("long"))
 
 

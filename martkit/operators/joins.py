@@ -107,8 +107,10 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     # bucket bounds from the right side alone (usually a plain scan): they only
     # steer balance, so left rows outside them are still handled correctly
     rx = order_number(rside, "_ts")
-    st = rside.select(F.struct(F.min(rx).alias("lo"), F.max(rx).alias("hi"))).scalar()
-    c = order_buckets(u, "_ts", n_chunks, bounds=(st.getField("lo"), st.getField("hi")))
+    st = rside.select(F.struct(F.min(rx).alias("lo"), F.max(rx).alias("hi"),
+                               F.count(F.lit(1)).alias("n"))).scalar()
+    c = order_buckets(u, "_ts", n_chunks,
+                      bounds=(st.getField("lo"), st.getField("hi"), st.getField("n")))
     w = (Window.partitionBy(*keys, "_chunk").orderBy(*order[len(keys):])
          .rowsBetween(UNB, Window.currentRow))
     c = c.withColumn("_m", F.last("_r", ignorenulls=True).over(w))

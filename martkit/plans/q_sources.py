@@ -35,15 +35,31 @@ CUSTOMER_SCHEMA = StructType([
     StructField("c_mktsegment", StringType())])
 
 
-@query("csv_roundtrip", """
+@query("csv_scan", """
 SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
-""", "S2/S3")
-def csv_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+""", "S2")
+def q_csv_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Customer landed as CSV with a header, read back with a declared schema."""
     path = scratch_path(spark, "customer_csv")
     csv_sink(Tables(spark, d).customer, path)
     return csv_scan(spark, path, CUSTOMER_SCHEMA)
 
 
+@query("csv_sink", """
+SELECT count(*) AS data_lines, count(*) AS distinct_keys FROM orders
+""", "S3")
+def q_csv_sink(spark: SparkSession, d: str) -> DataFrame:
+    """Orders written as CSV (header, no index column); the files hold one
+    header line per file and one line per row."""
+    o = Tables(spark, d).orders
+    path = scratch_path(spark, "orders_csv")
+    csv_sink(o, path)
+    header = ",".join(o.columns)
+    lines = spark.read.text(path).where(F.col("value") != header)
+    return lines.agg(F.count(F.lit(1)).alias("data_lines"),
+                     F.countDistinct(F.split_part("value", F.lit(","), F.lit(1))).alias("distinct_keys"))
+
+
 @query("json_document_scan", """
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
        CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS id,

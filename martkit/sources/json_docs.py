@@ -57,10 +57,12 @@ def unnest_json(df: DataFrame, col: str, field: str, keep: Sequence[str] = (),
 
 
 # ---------------------------------------------------------------- S4
-def write_transaction_docs(lines: DataFrame, path: str, per_doc_col: str = "l_orderkey") -> None:
-    """Write one ``{"transactions": [...]}`` document per order (JSON lines).
-
-    Orders are bounded groups (a handful of lines each)."""
+def write_transaction_docs(lines: DataFrame, path: str, per_doc_col: str = "l_orderkey",
+                           max_per_doc: int = 1000) -> None:
+    """Write ``{"transactions": [...]}`` documents (JSON lines), one per order
+    and at most ``max_per_doc`` transactions each: rows get dense ids in
+    (order, line) order, and a document is a run of ids inside one order, so
+    no document (and no task) has to hold a hot order whole."""
     tx = F.struct(F.concat_ws("-", F.col("l_orderkey").cast("string"),
                               F.col("l_linenumber").cast("string"),
                               F.col("l_partkey").cast("string"),
@@ -68,7 +70,10 @@ def write_transaction_docs(lines: DataFrame, path: str, per_doc_col: str = "l_or
                   F.col("l_suppkey").cast("string").alias("user_id"),
                   F.col("l_partkey").cast("string").alias("product_id"),
                   F.col("l_extendedprice").alias("price_usd"))
-    docs = lines.groupBy(per_doc_col).agg(F.collect_list(tx).alias("transactions"))
+    order = [per_doc_col, "l_linenumber", "l_partkey", "l_suppkey"]
+    ided = dense_id(lines.select(*order, "l_extendedprice"), order, "_rid")
+    docs = (ided.groupBy(per_doc_col, F.floor(F.col("_rid") / max_per_doc).alias("_doc"))
+                .agg(F.collect_list(tx).alias("transactions")))
     docs.select("transactions").write.mode("overwrite").json(path)
 
 
