@@ -66,13 +66,13 @@ def order_buckets(df: DataFrame, first_order, n: int | None = None,
                   out: str = "_chunk", bounds: tuple | None = None,
                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Tag rows with a bucket that is monotone in the (ascending) first order
-    column: ``n`` equal-width slices between ``bounds`` (default: the column's
-    global min and max, one scalar subquery).
+    column: equal-width slices between ``bounds`` (default: the column's global
+    min and max from ``order_stats``, one aggregate job).
 
     Ordered-series operators run per (key, bucket) and stitch bucket edges with
     a small per-(key, bucket) summary, so one key holding a third of all rows is
-    spread over many tasks. The bucket is a pure function of the row and a
-    scalar subquery, hence identical in every branch of a plan and on every
+    spread over many tasks. The bucket is a pure function of the row and three
+    literals, hence identical in every branch of a plan and on every
     task retry (unlike sample-based range bounds, which depend on the order in
     which shuffled rows arrive). Bounds only steer balance, not correctness:
     values outside them still get monotone buckets. NULLs go first (bucket
@@ -80,20 +80,26 @@ def order_buckets(df: DataFrame, first_order, n: int | None = None,
     """
     n = n or shuffle_partitions(df.sparkSession)
     x = order_number(df, first_order)
-    if bounds is None:
-        st = df.select(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"),
-                                F.count(F.lit(1)).alias("n"))).scalar()
-        lo, hi, rows = st.getField("lo"), st.getField("hi"), st.getField("n")
-    else:
-        lo, hi, rows = bounds[0], bounds[1], (bounds[2] if len(bounds) > 2 else F.lit(0))
+    lo, hi, rows = bounds if bounds is not None else order_stats(df, first_order)
+    if lo is None:  # no non-NULL order value
+        return df.withColumn(out, F.lit(-(1 << 40)).cast("long"))
     # at least n buckets, and more as the data grows (about rows_per_bucket each
     # if the order values were spread evenly)
-    nb = F.greatest(F.lit(n).cast("double"), F.ceil(rows / F.lit(float(rows_per_bucket))).cast("double"))
-    width = (hi - lo) / nb + F.lit(1e-9)
-    b = F.least(F.floor((x - lo) / width), nb - 1)
+    nb = float(max(n, -(-int(rows or 0) // rows_per_bucket)))
+    width = (float(hi) - float(lo)) / nb + 1e-9
+    b = F.least(F.floor((x - F.lit(float(lo))) / F.lit(width)), F.lit(nb - 1))
     return df.withColumn(out, F.coalesce(b, F.lit(-(1 << 40))).cast("long"))
 
 
+def order_stats(df: DataFrame, first_order) -> tuple:
+    """(min, max, rows) of the order number: one aggregate job (partial
+    aggregates, three numbers reach the driver), run once while the plan is
+    built so every branch and every retry uses the same literals."""
+    x = order_number(df, first_order)
+    r = df.select(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    return r["lo"], r["hi"], r["n"]
+
+
 def range_chunks(df: DataFrame, order: Iterable, n: int | None = None,
                  out: str = "_chunk") -> DataFrame:
     """Range-partition on ``order`` and tag each row with its partition index.

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_list, null_safe_join, order_buckets, order_number
+from .common import as_list, null_safe_join, order_buckets, order_stats
 
 UNB = Window.unboundedPreceding
 
@@ -106,11 +106,8 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
             [F.col(f"_t{i}") for i in range(len(tie))]
     # bucket bounds from the right side alone (usually a plain scan): they only
     # steer balance, so left rows outside them are still handled correctly
-    rx = order_number(rside, "_ts")
-    st = rside.select(F.struct(F.min(rx).alias("lo"), F.max(rx).alias("hi"),
-                               F.count(F.lit(1)).alias("n"))).scalar()
-    c = order_buckets(u, "_ts", n_chunks,
-                      bounds=(st.getField("lo"), st.getField("hi"), st.getField("n")))
+    lo, hi, rows = order_stats(rside, "_ts")
+    c = order_buckets(u, "_ts", n_chunks, bounds=(lo, hi, rows))
     w = (Window.partitionBy(*keys, "_chunk").orderBy(*order[len(keys):])
          .rowsBetween(UNB, Window.currentRow))
     c = c.withColumn("_m", F.last("_r", ignorenulls=True).over(w))

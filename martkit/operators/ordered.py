@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from .common import as_list, col, null_safe_join, order_buckets, range_chunks, salt
+from .common import as_list, col, null_safe_join, order_buckets, range_chunks
 
 UNB = Window.unboundedPreceding
 
@@ -80,30 +80,28 @@ def dense_rank_global(df: DataFrame, value: str, out: str = "rank",
 # Top-n per group by rank or dense rank
 # --------------------------------------------------------------------------
 def top_n_by_group(df: DataFrame, by, value: str, n: int = 1, method: str = "rank",
-                   out: str = "rnk", descending: bool = True, salt_buckets: int = 16) -> DataFrame:
+                   out: str = "rnk", descending: bool = True) -> DataFrame:
     """Rows whose ``rank``/``dense_rank`` of ``value`` within ``by`` is <= n.
 
-    Skew-safe: distinct (group, value, count) is pre-aggregated, a salted first
-    pass keeps n candidates per (group, salt), the final ranking runs over at
-    most n * salt_buckets candidates per group, and the result joins back on
-    (group, value). Ties are kept; NULL values rank last.
+    Skew-safe: distinct (group, value, count) is a partial aggregate; the
+    ranking filter lets Spark put a partial ``WindowGroupLimit`` in front of the
+    shuffle on the group, so even a hot group reaches its final task as at most
+    n distinct values per input task; the result joins back on (group, value).
+    Ties are kept; NULL values rank last.
     """
     by = as_list(by)
     v = F.col(value)
     order = v.desc_nulls_last() if descending else v.asc_nulls_last()
     dist = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_cnt"))
-    dist = salt(dist, salt_buckets, F.col(value))
-    w1 = Window.partitionBy(*by, "_salt").orderBy(order)
-    cand = dist.withColumn("_r", F.dense_rank().over(w1)).where(F.col("_r") <= n)
-    w2 = Window.partitionBy(*by).orderBy(order)
+    w = Window.partitionBy(*by).orderBy(order)
+    top = dist.withColumn("_d", F.dense_rank().over(w)).where(F.col("_d") <= n)
     if method == "dense_rank":
-        top = cand.withColumn(out, F.dense_rank().over(w2))
+        top = top.withColumn(out, F.col("_d"))
     elif method == "rank":
         # rank = 1 + rows with a strictly better value; only the n best distinct
-        # values can reach rank n, and they are all among the candidates.
-        top = cand.withColumn("_d", F.dense_rank().over(w2)).where(F.col("_d") <= n)
+        # values can reach rank n
         top = top.withColumn(
-            out, F.coalesce(F.sum("_cnt").over(w2.rowsBetween(UNB, -1)), F.lit(0)) + 1)
+            out, F.coalesce(F.sum("_cnt").over(w.rowsBetween(UNB, -1)), F.lit(0)) + 1)
     else:
         raise ValueError(method)
     top = top.where(F.col(out) <= n).select(*by, value, F.col(out).cast("int").alias(out))

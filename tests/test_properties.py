@@ -98,7 +98,7 @@ def test_top_n_keeps_ties(spark, method):
         [(1, 10), (1, 10), (1, 9), (1, 8), (1, 8), (1, 7), (2, 5), (2, None), (3, 1)] +
         [(0, random.Random(i).randint(0, 40)) for i in range(200)])]
     df = spark.createDataFrame(rows, "g int, i int, v int")
-    got = sorted((r.g, r.i, r.rnk) for r in top_n_by_group(df, "g", "v", 3, method, salt_buckets=4).collect())
+    got = sorted((r.g, r.i, r.rnk) for r in top_n_by_group(df, "g", "v", 3, method).collect())
     pdf = df.toPandas()
     pdf["rnk"] = pdf.groupby("g")["v"].rank(method="min" if method == "rank" else "dense",
                                             ascending=False, na_option="bottom")
