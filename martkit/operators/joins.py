@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_list, null_safe_join, order_buckets, order_stats
+from .common import as_list, order_buckets, order_stats
 
 UNB = Window.unboundedPreceding
 
@@ -101,25 +101,24 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     rside = rside.withColumn("_ts", F.col("_ts").cast(ts_type))
     for i, _ in enumerate(tie):
         lside = lside.withColumn(f"_t{i}", F.col(f"_t{i}").cast(rside.schema[f"_t{i}"].dataType))
-    u = lside.unionByName(rside)
-    order = [F.col(k) for k in keys] + [F.col("_ts"), F.col("_tag")] + \
-            [F.col(f"_t{i}") for i in range(len(tie))]
+    u = lside.unionByName(rside).withColumn("_key", F.struct(*keys))
+    seq = [F.col("_ts"), F.col("_tag")] + [F.col(f"_t{i}") for i in range(len(tie))]
     # bucket bounds from the right side alone (usually a plain scan): they only
     # steer balance, so left rows outside them are still handled correctly
     lo, hi, rows = order_stats(rside, "_ts")
     c = order_buckets(u, "_ts", n_chunks, bounds=(lo, hi, rows))
-    w = (Window.partitionBy(*keys, "_chunk").orderBy(*order[len(keys):])
-         .rowsBetween(UNB, Window.currentRow))
-    c = c.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
-    # one summary row per (key, chunk), also for chunks holding only left rows
+    # per (key, bucket): the bucket's last right row (a partial aggregate of
+    # the input), carried into later buckets of the key by a small window
     is_r = F.col("_tag") == 0
-    lastr = (c.groupBy(*keys, "_chunk")
+    lastr = (c.groupBy("_key", "_chunk")
               .agg(F.max_by(F.when(is_r, F.col("_r")),
-                            F.when(is_r, F.struct(*order[len(keys):]))).alias("_lr")))
-    wc = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(UNB, -1)
-    carry = lastr.select(*keys, "_chunk", F.last("_lr", ignorenulls=True).over(wc).alias("_carry"))
-    lrows = c.where(F.col("_tag") == 1)
-    j = null_safe_join(lrows, carry, [*keys, "_chunk"], "left")
+                            F.when(is_r, F.struct(*seq))).alias("_lr")))
+    wc = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(UNB, -1)
+    carry = lastr.select("_key", "_chunk", F.last("_lr", ignorenulls=True).over(wc).alias("_carry"))
+    w = Window.partitionBy("_key", "_chunk").orderBy(*seq).rowsBetween(UNB, Window.currentRow)
+    c = c.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
+    # same (key, bucket) columns as the window: the big side is not re-shuffled
+    j = c.where(F.col("_tag") == 1).join(carry, ["_key", "_chunk"], "left")
     valid = F.col("_ts").isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()

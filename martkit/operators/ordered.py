@@ -73,7 +73,8 @@ def dense_rank_global(df: DataFrame, value: str, out: str = "rank",
     v = F.col(value)
     o = v.desc_nulls_last() if descending else v.asc_nulls_last()
     ranks = dense_id(df.select(value).distinct(), [o], out)
-    return null_safe_join(df, ranks, [value])
+    ranks = ranks.select(F.struct(value).alias("_key"), out)
+    return df.withColumn("_key", F.struct(value)).join(ranks, "_key").drop("_key")
 
 
 # --------------------------------------------------------------------------
@@ -104,8 +105,11 @@ def top_n_by_group(df: DataFrame, by, value: str, n: int = 1, method: str = "ran
             out, F.coalesce(F.sum("_cnt").over(w.rowsBetween(UNB, -1)), F.lit(0)) + 1)
     else:
         raise ValueError(method)
-    top = top.where(F.col(out) <= n).select(*by, value, F.col(out).cast("int").alias(out))
-    return null_safe_join(df, top, [*by, value])
+    top = top.where(F.col(out) <= n).select(F.struct(*by, value).alias("_key"),
+                                            F.col(out).cast("int").alias(out))
+    # one struct key: NULL-safe equality (struct fields compare NULL = NULL)
+    # with a plain equi-join
+    return df.withColumn("_key", F.struct(*by, value)).join(top, "_key").drop("_key")
 
 
 # --------------------------------------------------------------------------
@@ -117,30 +121,33 @@ def neighbours(df: DataFrame, by, order, value: str, prev: str = "_prev",
 
     Missing neighbours are NULL; ``{prev}_exists``/``{nxt}_exists`` tell a
     missing neighbour from a NULL value.
+
+    One big shuffle: rows are hashed on (key, bucket) for the window; the
+    bucket edge summary is a partial aggregate of the input, and the final
+    join on the same (key, bucket) columns reuses the window's partitioning.
     """
     by, order = as_list(by), as_list(order)
     ocols = [col(o) for o in order]
-    c = order_buckets(df, order[0], n_chunks)
-    w = Window.partitionBy(*by, "_chunk").orderBy(*ocols)
-    c = (c.withColumn("_lp", F.lag(value).over(w))
-          .withColumn("_ln", F.lead(value).over(w))
-          .withColumn("_rn", F.row_number().over(w))
-          .withColumn("_cn", F.count(F.lit(1)).over(Window.partitionBy(*by, "_chunk"))))
+    c = order_buckets(df.withColumn("_key", F.struct(*by)), order[0], n_chunks)
     okey = F.struct(*ocols)
-    edges = c.groupBy(*by, "_chunk").agg(
+    edges = c.groupBy("_key", "_chunk").agg(
         F.min_by(F.struct(F.col(value).alias("v")), okey).alias("_first"),
-        F.max_by(F.struct(F.col(value).alias("v")), okey).alias("_last"))
-    wc = Window.partitionBy(*by).orderBy("_chunk")
-    edges = edges.select(*by, "_chunk",
+        F.max_by(F.struct(F.col(value).alias("v")), okey).alias("_last"),
+        F.min(okey).alias("_fo"), F.max(okey).alias("_lo"))
+    wc = Window.partitionBy("_key").orderBy("_chunk")
+    edges = edges.select("_key", "_chunk", "_fo", "_lo",
                          F.lag("_last").over(wc).alias("_pl"),
                          F.lead("_first").over(wc).alias("_nf"))
-    j = null_safe_join(c, edges, [*by, "_chunk"])
-    first, last = F.col("_rn") == 1, F.col("_rn") == F.col("_cn")
+    w = Window.partitionBy("_key", "_chunk").orderBy(*ocols)
+    c = (c.withColumn("_lp", F.lag(value).over(w))
+          .withColumn("_ln", F.lead(value).over(w)))
+    j = c.join(edges, ["_key", "_chunk"])
+    first, last = okey == F.col("_fo"), okey == F.col("_lo")
     return (j.withColumn(prev, F.when(first, F.col("_pl.v")).otherwise(F.col("_lp")))
              .withColumn(f"{prev}_exists", ~first | F.col("_pl").isNotNull())
              .withColumn(nxt, F.when(last, F.col("_nf.v")).otherwise(F.col("_ln")))
              .withColumn(f"{nxt}_exists", ~last | F.col("_nf").isNotNull())
-             .drop("_chunk", "_lp", "_ln", "_rn", "_cn", "_pl", "_nf"))
+             .drop("_key", "_chunk", "_lp", "_ln", "_pl", "_nf", "_fo", "_lo"))
 
 
 def runs(df: DataFrame, by, order, value: str) -> DataFrame:
@@ -178,8 +185,9 @@ def window_min(df: DataFrame, by, value: str, out: str = "min_value") -> DataFra
     """The key's minimum on every row. Map-side partial aggregate + join,
     rather than a window that holds a whole key in one task."""
     by = as_list(by)
-    m = df.groupBy(*by).agg(F.min(value).alias(out))
-    return null_safe_join(df, m, by)
+    k = df.withColumn("_key", F.struct(*by))
+    m = k.groupBy("_key").agg(F.min(value).alias(out))
+    return k.join(m, "_key").drop("_key")
 
 
 def running_sum(df: DataFrame, by, order, value: str, out: str = "running",
@@ -187,16 +195,17 @@ def running_sum(df: DataFrame, by, order, value: str, out: str = "running",
     """Prefix sums of ``value`` per key along ``order`` (total)."""
     by, order = as_list(by), as_list(order)
     ocols = [col(o) for o in order]
-    c = order_buckets(df, order[0], n_chunks)
-    w = Window.partitionBy(*by, "_chunk").orderBy(*ocols).rowsBetween(UNB, Window.currentRow)
+    c = order_buckets(df.withColumn("_key", F.struct(*by)), order[0], n_chunks)
+    w = Window.partitionBy("_key", "_chunk").orderBy(*ocols).rowsBetween(UNB, Window.currentRow)
     local = c.withColumn("_local", F.sum(value).over(w))
-    tot = c.groupBy(*by, "_chunk").agg(F.sum(value).alias("_tot"))
-    wc = Window.partitionBy(*by).orderBy("_chunk").rowsBetween(UNB, -1)
-    offs = tot.select(*by, "_chunk", F.sum("_tot").over(wc).alias("_off"))
-    j = null_safe_join(local, offs, [*by, "_chunk"])
+    tot = c.groupBy("_key", "_chunk").agg(F.sum(value).alias("_tot"))
+    wc = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(UNB, -1)
+    offs = tot.select("_key", "_chunk", F.sum("_tot").over(wc).alias("_off"))
+    # same (key, bucket) columns as the window: the big side is not re-shuffled
+    j = local.join(offs, ["_key", "_chunk"])
     return (j.withColumn(out, F.when(F.col("_off").isNull(), F.col("_local"))
                          .otherwise(F.col("_local") + F.col("_off")))
-             .drop("_chunk", "_local", "_off"))
+             .drop("_key", "_chunk", "_local", "_off"))
 
 
 # --------------------------------------------------------------------------
