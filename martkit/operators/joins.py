@@ -42,7 +42,18 @@ def role_playing(fact: DataFrame, dim: DataFrame, dim_key: str,
 def or_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
             keep: Sequence[str]) -> DataFrame:
     """``left JOIN right ON l1 = r1 OR l2 = r2 ...`` followed by DISTINCT on
-    ``keep``; rewritten as a union of equi-joins (no nested-loop join)."""
+    ``keep``, without a nested-loop join.
+
+    When every alternative compares with the same right column, the left keys
+    are exploded into one column and a single equi-join runs (the left side is
+    scanned and shuffled once); otherwise the result is a union of equi-joins.
+    """
+    rcols = {rc for _, rc in pairs}
+    if len(rcols) == 1:
+        rc = rcols.pop()
+        lkeep = [c for c in keep if c in left.columns and c not in right.columns]
+        ex = left.select(*lkeep, F.explode(F.array(*[F.col(lc) for lc, _ in pairs])).alias("_ok"))
+        return (ex.join(right, ex["_ok"] == right[rc], "inner").select(*keep).distinct())
     out = None
     for lc, rc in pairs:
         part = left.join(right, left[lc] == right[rc], "inner").select(*keep)

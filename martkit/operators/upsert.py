@@ -1,8 +1,9 @@
 """Upserts without a row-level table format (S11-S14, U3, A21/A22 folds).
 
 Parquet tables cannot ``MERGE``; the operators here compute the merged table
-as a DataFrame (anti-join + union on the key, so each side is shuffled once
-on the key) and the caller commits it to a *new* directory
+as a DataFrame (a full outer join on the key for MERGE, an anti-join on the
+key for INSERT-IF-ABSENT: each side is shuffled once) and the caller commits
+it to a *new* directory
 (``sources.tables_io.commit``), never overwriting the path being read.
 """
 
@@ -90,27 +91,28 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str
             upd.append(stamp)
     if check_unique:
         src = assert_unique(src, keys)
-    kept = target.join(src.select(*keys), keys, "left_anti")
-    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols])
+    # one full outer join on the key: each side is shuffled once
+    t = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_t_in"))
+    sr = src.withColumn("_s_in", F.lit(True))
     cond = None
     for k in keys:
-        e = F.col(k) == F.col(f"_t_{k}")
+        e = F.col(k) == F.col(f"_t_{k}")  # NULL keys never match
         cond = e if cond is None else cond & e
-    j = src.join(t, cond, "left")
+    j = sr.join(t, cond, "full_outer")
+    in_s, in_t = F.col("_s_in").isNotNull(), F.col("_t_in").isNotNull()
     out = []
     for c in cols:
+        dt = target.schema[c].dataType
         if c in keys:
-            out.append(F.col(c).alias(c))
+            out.append(F.when(in_s, F.col(c).cast(dt)).otherwise(F.col(f"_t_{c}")).alias(c))
         elif c in upd and c in src.columns:
-            out.append(F.col(c).cast(target.schema[c].dataType).alias(c))
+            out.append(F.when(in_s, F.col(c).cast(dt)).otherwise(F.col(f"_t_{c}")).alias(c))
         elif c in src.columns:
             # not updated: matched rows keep the target value, inserts take the source
-            matched = F.col(f"_t_{keys[0]}").isNotNull()
-            out.append(F.when(matched, F.col(f"_t_{c}")).otherwise(
-                F.col(c).cast(target.schema[c].dataType)).alias(c))
+            out.append(F.when(in_t, F.col(f"_t_{c}")).otherwise(F.col(c).cast(dt)).alias(c))
         else:
             out.append(F.col(f"_t_{c}").alias(c))
-    return kept.unionByName(j.select(*out))
+    return j.select(*out)
 
 
 def with_audit_stamp(df: DataFrame, col: str = "_etl_updated_dttm") -> DataFrame:
