@@ -106,11 +106,13 @@ def range_chunks(df: DataFrame, order: Iterable, n: int | None = None,
 
     The bounds come from a sample, which depends on the order in which rows
     arrive; callers that read the result twice must materialise it first
-    (``dense_id`` checkpoints it).
+    (``dense_id`` checkpoints it). Without ``n`` the partition count is the
+    session's and AQE may merge small neighbouring ranges (still contiguous and
+    in order, so the partition index stays monotone in ``order``).
     """
-    n = n or shuffle_partitions(df.sparkSession)
-    return df.repartitionByRange(n, *[col(c) for c in order]).withColumn(
-        out, F.spark_partition_id())
+    cols = [col(c) for c in order]
+    r = df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
+    return r.withColumn(out, F.spark_partition_id())
 
 
 def salt(df: DataFrame, buckets: int, by: Column, out: str = "_salt") -> DataFrame:
