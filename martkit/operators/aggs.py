@@ -47,10 +47,8 @@ def next_day_retention(df: DataFrame, user: str, date: str, out: str = "fraction
     back = (d.join(first, user)
              .where(F.col("_d") == F.date_add("_f", 1))
              .select(user).distinct())
-    n_all = first.agg(F.count(F.lit(1)).alias("_n"))
-    n_back = back.agg(F.count(F.lit(1)).alias("_b"))
-    # two one-row aggregates: a bounded, single-row product
-    return n_all.crossJoin(n_back).select(ratio_half_up("_b", "_n").alias(out))
+    n_back = back.select(F.count(F.lit(1))).scalar()  # scalar subquery, runs once
+    return first.agg(F.count(F.lit(1)).alias("_n")).select(ratio_half_up(n_back, "_n").alias(out))
 
 
 def common_prefix(df: DataFrame, by, text: str, out: str = "prefix") -> DataFrame:
