@@ -62,42 +62,38 @@ def order_number(df: DataFrame, c) -> Column:
 ROWS_PER_BUCKET = 2_000_000
 
 
-def order_buckets(df: DataFrame, first_order, n: int | None = None,
-                  out: str = "_chunk", bounds: tuple | None = None,
-                  rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+def key_buckets(df: DataFrame, key_col: str, first_order, rows_per_bucket: int | None = None,
+                out: str = "_chunk") -> DataFrame:
     """Tag rows with a bucket that is monotone in the (ascending) first order
-    column: equal-width slices between ``bounds`` (default: the column's global
-    min and max from ``order_stats``, one aggregate job).
-
-    Ordered-series operators run per (key, bucket) and stitch bucket edges with
-    a small per-(key, bucket) summary, so one key holding a third of all rows is
-    spread over many tasks. The bucket is a pure function of the row and three
-    literals, hence identical in every branch of a plan and on every
-    task retry (unlike sample-based range bounds, which depend on the order in
-    which shuffled rows arrive). Bounds only steer balance, not correctness:
-    values outside them still get monotone buckets. NULLs go first (bucket
-    below every other).
+    column *within their key*, splitting only hot keys.
+
+    Keys with more than ``rows_per_bucket`` rows are hot; each hot key's order
+    range is cut into ceil(rows / rows_per_bucket) equal-width buckets, every
+    other key is bucket 0. Ordered-series operators run per (key, bucket) and
+    stitch bucket edges through a per-(key, bucket) summary, so a key holding a
+    third of all rows is spread over many tasks while ordinary keys cost one
+    summary row each.
+
+    The hot-key table is a partial aggregate over (key, order) filtered to
+    count > rows_per_bucket, so it has at most rows / rows_per_bucket entries:
+    a proven bound, which is why it is broadcast (no shuffle of the data). The
+    bucket is a pure function of the row and that aggregate, hence identical in
+    every branch of a plan and on every task retry (unlike sample-based range
+    bounds, which depend on the order in which shuffled rows arrive). NULL
+    order values of a hot key go first.
     """
-    n = n or shuffle_partitions(df.sparkSession)
-    x = order_number(df, first_order)
-    lo, hi, rows = bounds if bounds is not None else order_stats(df, first_order)
-    if lo is None:  # no non-NULL order value
-        return df.withColumn(out, F.lit(-(1 << 40)).cast("long"))
-    # at least n buckets, and more as the data grows (about rows_per_bucket each
-    # if the order values were spread evenly)
-    nb = float(max(n, -(-int(rows or 0) // rows_per_bucket)))
-    width = (float(hi) - float(lo)) / nb + 1e-9
-    b = F.least(F.floor((x - F.lit(float(lo))) / F.lit(width)), F.lit(nb - 1))
-    return df.withColumn(out, F.coalesce(b, F.lit(-(1 << 40))).cast("long"))
-
-
-def order_stats(df: DataFrame, first_order) -> tuple:
-    """(min, max, rows) of the order number: one aggregate job (partial
-    aggregates, three numbers reach the driver), run once while the plan is
-    built so every branch and every retry uses the same literals."""
-    x = order_number(df, first_order)
-    r = df.select(F.min(x).alias("lo"), F.max(x).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    return r["lo"], r["hi"], r["n"]
+    rpb = int(rows_per_bucket or ROWS_PER_BUCKET)
+    d = df.withColumn("_x", order_number(df, first_order))
+    hot = (d.groupBy(key_col)
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+             .where(F.col("_n") > rpb)
+             .select(key_col, "_lo",
+                     ((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(rpb))
+                      + F.lit(1e-9)).alias("_w")))
+    j = d.join(F.broadcast(hot), key_col, "left")
+    b = F.when(F.col("_w").isNull(), F.lit(0)).otherwise(
+        F.coalesce(F.floor((F.col("_x") - F.col("_lo")) / F.col("_w")), F.lit(-(1 << 40))))
+    return j.withColumn(out, b.cast("long")).drop("_x", "_lo", "_w")
 
 
 def range_chunks(df: DataFrame, order: Iterable, n: int | None = None,

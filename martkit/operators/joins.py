@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_list, order_buckets, order_stats
+from .common import as_list, key_buckets
 
 UNB = Window.unboundedPreceding
 
@@ -74,15 +74,15 @@ def cutoff_left(left: DataFrame, cutoff: DataFrame, key: str, ts: str,
 def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
               left_ts: str, right_ts: str, right_cols: Sequence[str],
               tie: Sequence[str] | str | None = None, prefix_: str = "",
-              shift=None, n_chunks: int | None = None) -> DataFrame:
+              shift=None, rows_per_bucket: int | None = None) -> DataFrame:
     """For each left row, the latest right row with the same ``by`` key and
     ``right_ts <= left_ts (+ shift)``. Left rows always survive; unmatched get
     NULL right columns; NULL keys or timestamps never match. Among right rows
     with equal ts the highest ``tie`` wins.
 
     Plan: both sides are unioned into one (key, ts)-ordered stream in which a
-    right row sorts before a left row at the same instant; the stream is cut
-    into time buckets (``order_buckets``: a hot key spans many tasks); inside a chunk
+    right row sorts before a left row at the same instant; hot keys are cut
+    into time buckets (``key_buckets``: a hot key spans many tasks); inside a chunk
     ``last(right, ignorenulls)`` carries the latest right row forward; each
     chunk's last right row is carried into later chunks of the same key through
     a per-(key, chunk) summary.
@@ -114,10 +114,7 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
         lside = lside.withColumn(f"_t{i}", F.col(f"_t{i}").cast(rside.schema[f"_t{i}"].dataType))
     u = lside.unionByName(rside).withColumn("_key", F.struct(*keys))
     seq = [F.col("_ts"), F.col("_tag")] + [F.col(f"_t{i}") for i in range(len(tie))]
-    # bucket bounds from the right side alone (usually a plain scan): they only
-    # steer balance, so left rows outside them are still handled correctly
-    lo, hi, rows = order_stats(rside, "_ts")
-    c = order_buckets(u, "_ts", n_chunks, bounds=(lo, hi, rows))
+    c = key_buckets(u, "_key", "_ts", rows_per_bucket)
     # per (key, bucket): the bucket's last right row (a partial aggregate of
     # the input), carried into later buckets of the key by a small window
     is_r = F.col("_tag") == 0

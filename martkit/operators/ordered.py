@@ -1,11 +1,10 @@
 """Ordered-series operators (W*, P8, P12).
 
 None of these uses a window without PARTITION BY, and none relies on one
-key fitting in one task: the per-key series is cut into order buckets
-(``order_buckets``), each (key, bucket) is processed independently, and the
-bucket edges are stitched through a per-(key, bucket) summary whose size is at
-most the number of keys times the number of buckets (and never more than the
-rows).
+key fitting in one task: hot keys are cut into order buckets
+(``key_buckets``), each (key, bucket) is processed independently, and the
+bucket edges are stitched through a per-(key, bucket) summary (one row per
+ordinary key plus one per hot-key bucket).
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from .common import as_list, col, null_safe_join, order_buckets, range_chunks
+from .common import as_list, col, key_buckets, range_chunks
 
 UNB = Window.unboundedPreceding
 
@@ -116,7 +115,7 @@ def top_n_by_group(df: DataFrame, by, value: str, n: int = 1, method: str = "ran
 # neighbours: lag/lead per key, chunked
 # --------------------------------------------------------------------------
 def neighbours(df: DataFrame, by, order, value: str, prev: str = "_prev",
-               nxt: str = "_next", n_chunks: int | None = None) -> DataFrame:
+               nxt: str = "_next", rows_per_bucket: int | None = None) -> DataFrame:
     """Add previous/next ``value`` within each key along ``order`` (total).
 
     Missing neighbours are NULL; ``{prev}_exists``/``{nxt}_exists`` tell a
@@ -128,7 +127,7 @@ def neighbours(df: DataFrame, by, order, value: str, prev: str = "_prev",
     """
     by, order = as_list(by), as_list(order)
     ocols = [col(o) for o in order]
-    c = order_buckets(df.withColumn("_key", F.struct(*by)), order[0], n_chunks)
+    c = key_buckets(df.withColumn("_key", F.struct(*by)), "_key", order[0], rows_per_bucket)
     okey = F.struct(*ocols)
     edges = c.groupBy("_key", "_chunk").agg(
         F.min_by(F.struct(F.col(value).alias("v")), okey).alias("_first"),
@@ -191,11 +190,11 @@ def window_min(df: DataFrame, by, value: str, out: str = "min_value") -> DataFra
 
 
 def running_sum(df: DataFrame, by, order, value: str, out: str = "running",
-                n_chunks: int | None = None) -> DataFrame:
+                rows_per_bucket: int | None = None) -> DataFrame:
     """Prefix sums of ``value`` per key along ``order`` (total)."""
     by, order = as_list(by), as_list(order)
     ocols = [col(o) for o in order]
-    c = order_buckets(df.withColumn("_key", F.struct(*by)), order[0], n_chunks)
+    c = key_buckets(df.withColumn("_key", F.struct(*by)), "_key", order[0], rows_per_bucket)
     w = Window.partitionBy("_key", "_chunk").orderBy(*ocols).rowsBetween(UNB, Window.currentRow)
     local = c.withColumn("_local", F.sum(value).over(w))
     tot = c.groupBy("_key", "_chunk").agg(F.sum(value).alias("_tot"))

@@ -35,8 +35,9 @@ def series(spark):
 
 
 def test_running_sum_matches_window(spark, series):
-    for n in (1, 7, 40):
-        got = {r.id: r.r for r in running_sum(series, "k", ["ts", "id"], "v", "r", n_chunks=n).collect()}
+    for rpb in (10**9, 50, 7):
+        got = {r.id: r.r for r in running_sum(series, "k", ["ts", "id"], "v", "r",
+                                              rows_per_bucket=rpb).collect()}
         pdf = series.toPandas().sort_values(["ts", "id"])
         pdf["r"] = pdf.groupby(pdf.k.fillna(-1), sort=False)["v"].cumsum()
         assert got == dict(zip(pdf.id, pdf.r))
@@ -47,8 +48,8 @@ def test_neighbours_match_lag_lead(spark, series):
     g = pdf.groupby(pdf.k.fillna(-1), sort=False)["v"]
     want_prev = dict(zip(pdf.id, g.shift(1)))
     want_next = dict(zip(pdf.id, g.shift(-1)))
-    for n in (3, 50):
-        for r in neighbours(series, "k", ["ts", "id"], "v", n_chunks=n).collect():
+    for rpb in (60, 5):
+        for r in neighbours(series, "k", ["ts", "id"], "v", rows_per_bucket=rpb).collect():
             wp, wn = want_prev[r.id], want_next[r.id]
             assert (r._prev if r._prev is not None else None) == (None if pd.isna(wp) else wp)
             assert (r._next if r._next is not None else None) == (None if pd.isna(wn) else wn)
@@ -67,9 +68,9 @@ def brute_asof(left, right):
     return out
 
 
-@pytest.mark.parametrize("n_chunks", [1, 5, 64])
-def test_asof_matches_nested_loop(spark, n_chunks):
-    rnd = random.Random(n_chunks)
+@pytest.mark.parametrize("rpb", [10**9, 40, 6])
+def test_asof_matches_nested_loop(spark, rpb):
+    rnd = random.Random(rpb)
     left = [(i, 0 if i % 3 == 0 else rnd.randint(1, 6) if i % 11 else None,
              T0 + timedelta(minutes=rnd.randint(0, 5000))) for i in range(300)]
     right = [(1000 + j, 0 if j % 2 == 0 else rnd.randint(1, 6),
@@ -79,7 +80,7 @@ def test_asof_matches_nested_loop(spark, n_chunks):
     L = spark.createDataFrame(left, "lid long, k int, ts timestamp_ntz")
     R = spark.createDataFrame(right, "rid long, k int, rts timestamp_ntz")
     got = {r.lid: r.rid for r in asof_left(L, R, "k", "ts", "rts", ["rid"], tie="rid",
-                                             n_chunks=n_chunks).collect()}
+                                             rows_per_bucket=rpb).collect()}
     assert got == brute_asof(left, right)
     assert len(got) == len(left)
 

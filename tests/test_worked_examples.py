@@ -14,7 +14,7 @@ def seq(spark, values, key=0):
 def test_running_sum(spark):
     for vals, want in [([1, 2, 3, 4], [1, 3, 6, 10]), ([1, 1, 1, 1, 1], [1, 2, 3, 4, 5]),
                        ([3, 1, 2, 10, 1], [3, 4, 6, 16, 17])]:
-        out = running_sum(seq(spark, vals), "k", "i", "v", "r", n_chunks=3).orderBy("i")
+        out = running_sum(seq(spark, vals), "k", "i", "v", "r", rows_per_bucket=2).orderBy("i")
         assert [r.r for r in out.collect()] == want
 
 
