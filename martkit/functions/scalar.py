@@ -86,10 +86,6 @@ def readable_size(nbytes) -> Column:
              .otherwise(unit(1024 ** 3, "GiB")))
 
 
-def first_word(s) -> Column:
-    return F.split_part(F.trim(_c(s)), F.lit(" "), F.lit(1))
-
-
 def last_word(s) -> Column:
     return F.split_part(F.trim(_c(s)), F.lit(" "), F.lit(-1))
 

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import shuffle_partitions
 
 
 def as_list(x) -> list:
@@ -22,21 +21,6 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str],
-                   how: str = "inner") -> DataFrame:
-    """Join on same-named keys treating NULL = NULL (keeps one copy of the keys)."""
-    r = right
-    ren = {k: f"__r_{k}" for k in keys}
-    for k, v in ren.items():
-        r = r.withColumnRenamed(k, v)
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(r[ren[k]])
-        cond = c if cond is None else cond & c
-    out = left.join(r, cond, how)
-    return out.drop(*ren.values())
-
-
 def order_number(df: DataFrame, c) -> Column:
     """A number that is monotone in ``c`` (numeric, date or timestamp), with
     no time-zone dependence."""
@@ -109,8 +93,3 @@ def range_chunks(df: DataFrame, order: Iterable, n: int | None = None,
     cols = [col(c) for c in order]
     r = df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
     return r.withColumn(out, F.spark_partition_id())
-
-
-def salt(df: DataFrame, buckets: int, by: Column, out: str = "_salt") -> DataFrame:
-    """Deterministic salt derived from row content (replays give the same value)."""
-    return df.withColumn(out, F.pmod(F.xxhash64(by), F.lit(buckets)).cast("int"))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggs import cube_report
-from ..operators.joins import asof_left, prefix, role_playing
+from ..operators.joins import asof_left, role_playing
 from ..session import checkpoint_root
 from ..sources.tables import Tables
 from .registry import query

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import (digits_only, first_capital, first_word, is_palindrome,
+from ..functions.scalar import (digits_only, first_capital, is_palindrome,
                                 last_word, parse_any, pct_change, readable_size, round_dec,
                                 seconds_between, yyyymm)
 from ..functions.sql_udfs import register_sql_udfs

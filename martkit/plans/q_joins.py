@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggs import money_sum
-from ..operators.joins import asof_left, cutoff_left, or_join, prefix, role_playing
+from ..operators.joins import asof_left, cutoff_left, or_join, role_playing
 from ..sources.json_docs import nest_lines_per_row, unnest_json
 from ..sources.tables import Tables
 from .registry import query

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import readable_size
@@ -85,10 +85,12 @@ def write_month_partitioned(df: DataFrame, ts: str, path: str, sort_by: Sequence
     """Partition by month; inside each month cluster rows on
     ``sort_by`` so parquet min/max statistics skip row groups."""
     d = with_month(df, ts)
-    # one shuffle on the partition column: each task writes whole months
-    d = d.repartition("ym")
+    # REBALANCE on the partition column: rows of a month go to the same tasks
+    # (few files per month), and AQE splits a hot month over several tasks
+    # instead of one task writing a third of the data
+    d = d.hint("rebalance", "ym")
     if sort_by:
-        d = d.sortWithinPartitions(*sort_by)
+        d = d.sortWithinPartitions("ym", *sort_by)
     return write_table(d, path, partition_by=["ym"])
 
 
@@ -145,6 +147,9 @@ def clustered_layout(spark: SparkSession, df: DataFrame, cluster_by: Sequence[st
     skipping), plus parquet bloom filters for point lookups."""
     opts = {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom_cols}
     n = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    d = df.repartitionByRange(n, *cluster_by).sortWithinPartitions(*cluster_by)
+    # range on the key plus the other columns as tie-breakers: files stay
+    # clustered on the key and one hot key value can still span many files
+    rest = [c for c in df.columns if c not in cluster_by]
+    d = df.repartitionByRange(n, *cluster_by, *rest).sortWithinPartitions(*cluster_by, *rest)
     path = write_table(d, scratch_path(spark, name), options=opts)
     return spark.read.parquet(path)
