@@ -66,8 +66,17 @@ def seconds_between(a, b) -> Column:
 
 
 def parse_any(text, formats) -> Column:
-    """first format that parses, else NULL (try_to_timestamp over a list)."""
-    return F.coalesce(*[F.try_to_timestamp(_c(text), F.lit(f)) for f in formats])
+    """wall-clock timestamp (TIMESTAMP_NTZ) from the first format that
+    parses, else NULL.
+
+    Each format is parsed with an explicit +00:00 offset appended, so the
+    session time zone never shifts the result (a local DST gap would move
+    '2018-11-04 00:00' to 01:00), and the instant's micros are added to the
+    NTZ epoch."""
+    t = F.concat(_c(text), F.lit(" +00:00"))
+    inst = F.coalesce(*[F.try_to_timestamp(t, F.lit(f + " XXX")) for f in formats])
+    return F.timestamp_add("MICROSECOND", F.unix_micros(inst),
+                           F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 # ---------------------------------------------------------------- strings

@@ -77,7 +77,7 @@ def timestamp_parse(spark: SparkSession, d: str) -> DataFrame:
             .otherwise(F.concat(F.lit("n/a "), F.col("o_orderkey").cast("string"))))
     t = o.select("o_orderkey", txt.alias("txt"))
     return t.select("o_orderkey", "txt",
-                    parse_any("txt", SPARK_FORMATS).cast("timestamp_ntz").alias("parsed"))
+                    parse_any("txt", SPARK_FORMATS).alias("parsed"))
 
 
 @query("type_conversion", """
