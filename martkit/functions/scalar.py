@@ -60,9 +60,19 @@ def yyyymm(ts) -> Column:
     return (F.year(_c(ts)) * 100 + F.month(_c(ts))).cast("int")
 
 
+def wall_seconds(ts) -> Column:
+    """Whole seconds since 1970-01-01 of a TIMESTAMP_NTZ's wall clock, from
+    field arithmetic (no cast to an instant, so no session time zone)."""
+    x = _c(ts)
+    return (F.unix_date(x.cast("date")).cast("long") * 86_400 + F.hour(x).cast("long") * 3_600
+            + F.minute(x).cast("long") * 60 + F.second(x).cast("long"))
+
+
 def seconds_between(a, b) -> Column:
-    """whole seconds from a to b (dateDiff('second')), bigint."""
-    return F.timestamp_diff("SECOND", _c(a), _c(b)).cast("long")
+    """dateDiff('second', a, b) on wall-clock timestamps: the number of
+    second boundaries crossed from a to b, bigint (negative when b < a).
+    (``timestampdiff`` would first cast NTZ values to session-zone instants.)"""
+    return wall_seconds(b) - wall_seconds(a)
 
 
 def parse_any(text, formats) -> Column:
