@@ -162,3 +162,24 @@ def test_validate_rules(spark):
     assert sorted(r.k for r in good.collect()) == [3]
     assert sorted((r.k, r.rule) for r in bad.collect()) == sorted(
         [(2, "s_nn"), (2, "n_pos"), (1, "k_pk"), (1, "k_pk"), (1, "s_dom")])
+
+
+def test_key_buckets_split_only_hot_keys(spark, series):
+    from martkit.operators.common import key_buckets
+    b = key_buckets(series.withColumn("_key", F.struct("k")), "_key", "ts", rows_per_bucket=60)
+    per_key = {r.k: r.n for r in b.groupBy("k").agg(F.countDistinct("_chunk").alias("n")).collect()}
+    assert per_key[0] >= 3            # the hot key (a third of the rows) is split
+    assert all(n == 1 for k, n in per_key.items() if k != 0)  # ordinary keys are not
+    # buckets are monotone in the order inside a key
+    pdf = b.where(F.col("k") == 0).select("ts", "_chunk").toPandas().sort_values("ts")
+    assert pdf["_chunk"].is_monotonic_increasing
+
+
+def test_asof_probes_outside_right_range(spark):
+    L = spark.createDataFrame([(1, 0, T0 - timedelta(days=1)), (2, 0, T0 + timedelta(days=9)),
+                               (3, 0, T0 + timedelta(hours=1))], "lid long, k int, ts timestamp_ntz")
+    R = spark.createDataFrame([(10 + i, 0, T0 + timedelta(hours=i)) for i in range(50)],
+                              "rid long, k int, rts timestamp_ntz")
+    got = {r.lid: r.rid for r in asof_left(L, R, "k", "ts", "rts", ["rid"], tie="rid",
+                                             rows_per_bucket=5).collect()}
+    assert got == {1: None, 2: 59, 3: 11}
