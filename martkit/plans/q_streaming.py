@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from ..functions.scalar import cents
 from ..session import scratch_path
 from ..sources.tables import Tables
-from ..streaming.incremental import (SnapshotTable, backfill, file_stream, incremental_fold,
-                                     land_stream_files, streaming_totals)
+from ..streaming.incremental import (BATCH_COL, PartTable, backfill, file_stream,
+                                     incremental_fold, land_stream_files, latest_fold, sum_fold,
+                                     streaming_totals)
 from .registry import query
 
 LATEST_SQL = """
@@ -28,6 +29,8 @@ SELECT event_type, count(*) AS n_events,
 FROM events GROUP BY 1
 """
 N_FILES = 6
+# small on purpose: the six-file insert log then also exercises compaction
+COMPACT_EVERY = 2
 
 
 def _landed_events(spark: SparkSession, d: str):
@@ -36,6 +39,11 @@ def _landed_events(spark: SparkSession, d: str):
     return path, ev.schema
 
 
+def _latest_table(spark: SparkSession) -> PartTable:
+    return PartTable(scratch_path(spark, "latest_by_user"),
+                     latest_fold(["user_id"], ["ts"], ["event_id"]), COMPACT_EVERY)
+
+
 def _run_latest(spark, path, schema, target, ckpt):
     incremental_fold(file_stream(spark, path, schema, 2), target, ["user_id"], ckpt,
                      mode="latest", version=["ts"], tie=["event_id"])
@@ -46,7 +54,7 @@ def incremental_mv(spark: SparkSession, d: str) -> DataFrame:
     """Latest event per user kept by a stream over the insert log; the same
     stream restarted on its checkpoint adds nothing (replay-safe)."""
     path, schema = _landed_events(spark, d)
-    target = SnapshotTable(scratch_path(spark, "latest_by_user"))
+    target = _latest_table(spark)
     ckpt = scratch_path(spark, "ckpt")
     _run_latest(spark, path, schema, target, ckpt)
     _run_latest(spark, path, schema, target, ckpt)  # restart: no new input, no change
@@ -57,7 +65,8 @@ def incremental_mv(spark: SparkSession, d: str) -> DataFrame:
 def incremental_summing(spark: SparkSession, d: str) -> DataFrame:
     """Counters folded by adding each micro-batch's partial sums."""
     path, schema = _landed_events(spark, d)
-    target = SnapshotTable(scratch_path(spark, "totals_by_type"))
+    target = PartTable(scratch_path(spark, "totals_by_type"),
+                       sum_fold(["event_type"], ["n_events", "value_cents"]), COMPACT_EVERY)
     incremental_fold(file_stream(spark, path, schema, 2), target, ["event_type"],
                      scratch_path(spark, "ckpt"), mode="sum",
                      counters={"n_events": F.count(F.lit(1)),
@@ -69,7 +78,8 @@ def incremental_summing(spark: SparkSession, d: str) -> DataFrame:
 def streaming_state_totals(spark: SparkSession, d: str) -> DataFrame:
     """The same counters kept in the streaming state store (update mode)."""
     path, schema = _landed_events(spark, d)
-    target = SnapshotTable(scratch_path(spark, "totals_state"))
+    target = PartTable(scratch_path(spark, "totals_state"),
+                       latest_fold(["event_type"], BATCH_COL), COMPACT_EVERY)
     streaming_totals(file_stream(spark, path, schema, 2), target, ["event_type"],
                      {"n_events": F.count(F.lit(1)), "value_cents": F.sum(cents("value"))},
                      scratch_path(spark, "ckpt"))
@@ -81,8 +91,7 @@ def backfill_replay(spark: SparkSession, d: str) -> DataFrame:
     """Build the mart, then back it up, empty it and replay the whole log
     from a fresh checkpoint: the replay equals the batch answer."""
     path, schema = _landed_events(spark, d)
-    target = SnapshotTable(scratch_path(spark, "latest_by_user"))
+    target = _latest_table(spark)
     _run_latest(spark, path, schema, target, scratch_path(spark, "ckpt"))
-    _, fresh = backfill(spark, Tables(spark, d).events, target,
-                        lambda tgt, ck: _run_latest(spark, path, schema, tgt, ck))
+    _, fresh = backfill(spark, target, lambda tgt, ck: _run_latest(spark, path, schema, tgt, ck))
     return fresh.read(spark)
