@@ -58,18 +58,29 @@ def key_buckets(df: DataFrame, key_col: str, first_order, rows_per_bucket: int |
     third of all rows is spread over many tasks while ordinary keys cost one
     summary row each.
 
-    The hot-key table is a partial aggregate over (key, order) filtered to
-    count > rows_per_bucket, so it has at most rows / rows_per_bucket entries:
-    a proven bound, which is why it is broadcast (no shuffle of the data). The
-    bucket is a pure function of the row and that aggregate, hence identical in
+    The hot-key table is a partial aggregate over a content-hash sample of
+    (key, order) filtered to an estimated count > rows_per_bucket, so it has
+    at most rows / rows_per_bucket entries: a proven bound, which is why it is
+    broadcast (no shuffle of the data). Buckets use the sampled min/max; values
+    outside it still get monotone buckets. The bucket is a pure function of
+    the row and that aggregate, hence identical in
     every branch of a plan and on every task retry (unlike sample-based range
     bounds, which depend on the order in which shuffled rows arrive). NULL
     order values of a hot key go first.
     """
     rpb = int(rows_per_bucket or ROWS_PER_BUCKET)
     d = df.withColumn("_x", order_number(df, first_order))
-    hot = (d.groupBy(key_col)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+    # Hot-key *detection* reads a content-hash sample (about 1000 sampled rows
+    # for a key at the threshold): deterministic whatever the row order, and
+    # 1/every of the data to aggregate. The sample only decides how finely a
+    # key is bucketed -- every row is still processed, and a misjudged key
+    # changes balance, never results; at most rows / rpb keys pass the filter.
+    every = max(1, rpb // 1000)
+    sample = d if every == 1 else d.where(
+        F.pmod(F.xxhash64(F.col(key_col), F.col("_x")), F.lit(every)) == 0)
+    hot = (sample.groupBy(key_col)
+             .agg((F.count(F.lit(1)) * every).alias("_n"), F.min("_x").alias("_lo"),
+                  F.max("_x").alias("_hi"))
              .where(F.col("_n") > rpb)
              .select(key_col, "_lo",
                      ((F.col("_hi") - F.col("_lo")) / F.ceil(F.col("_n") / F.lit(rpb))

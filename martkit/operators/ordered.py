@@ -214,23 +214,21 @@ def gaps(df: DataFrame, by, id_col: str, lo=None, hi=None, out: str = "missing")
     paired with ``neighbours`` and only the holes are expanded."""
     by = as_list(by)
     ids = df.where(F.col(id_col).isNotNull()).select(*by, id_col).distinct()
+    t = ids.schema[id_col].dataType
     nb = neighbours(ids, by, [id_col], id_col)
-    inner = nb.where(F.col("_next") > F.col(id_col) + 1).select(
-        *by, (F.col(id_col) + 1).alias("_a"), (F.col("_next") - 1).alias("_b"))
-    parts = [inner]
-    if lo is not None or hi is not None:
-        bounds = ids.groupBy(*by).agg(F.min(id_col).alias("_mn"), F.max(id_col).alias("_mx"))
-        if lo is not None:
-            parts.append(bounds.where(F.col("_mn") > F.lit(lo)).select(
-                *by, F.lit(lo).cast(ids.schema[id_col].dataType).alias("_a"),
-                (F.col("_mn") - 1).alias("_b")))
-        if hi is not None:
-            parts.append(bounds.where(F.col("_mx") < F.lit(hi)).select(
-                *by, (F.col("_mx") + 1).alias("_a"),
-                F.lit(hi).cast(ids.schema[id_col].dataType).alias("_b")))
-    holes = parts[0]
-    for p in parts[1:]:
-        holes = holes.unionByName(p)
+    x, nxt = F.col(id_col), F.col("_next")
+
+    def seg(cond, a, b):
+        return F.when(cond, F.struct(a.cast(t).alias("a"), b.cast(t).alias("b")))
+    # every hole hangs off one present id: the gap to its successor, and for
+    # the key's first/last id the gap to lo/hi -- one pass over the pairs
+    segs = [seg(F.col("_next_exists") & (nxt > x + 1), x + 1, nxt - 1)]
+    if lo is not None:
+        segs.append(seg(~F.col("_prev_exists") & (x > F.lit(lo)), F.lit(lo), x - 1))
+    if hi is not None:
+        segs.append(seg(~F.col("_next_exists") & (x < F.lit(hi)), x + 1, F.lit(hi)))
+    holes = (nb.select(*by, F.explode(F.array(*segs)).alias("_h")).where(F.col("_h").isNotNull())
+               .select(*by, F.col("_h.a").alias("_a"), F.col("_h.b").alias("_b")))
     # expand in two levels so a huge hole is spread over many tasks
     step = 1 << 20
     blocks = holes.select(*by, "_b", F.explode(F.sequence(
