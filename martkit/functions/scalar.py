@@ -75,6 +75,27 @@ def seconds_between(a, b) -> Column:
     return wall_seconds(b) - wall_seconds(a)
 
 
+_NTZ_FIELDS = {"yyyy": (F.year, 4), "MM": (F.month, 2), "dd": (F.dayofmonth, 2),
+               "HH": (F.hour, 2), "mm": (F.minute, 2), "ss": (F.second, 2)}
+
+
+def ntz_text(ts, pattern: str) -> Column:
+    """Render a TIMESTAMP_NTZ with a pattern of yyyy MM dd HH mm ss and
+    literals, from its fields (``date_format`` would cast through the session
+    time zone and move wall-clock times inside a DST gap)."""
+    x, parts, i = _c(ts), [], 0
+    while i < len(pattern):
+        tok = next((t for t in _NTZ_FIELDS if pattern.startswith(t, i)), None)
+        if tok:
+            fn, width = _NTZ_FIELDS[tok]
+            parts.append(F.lpad(fn(x).cast("string"), width, "0"))
+            i += len(tok)
+        else:
+            parts.append(F.lit(pattern[i]))
+            i += 1
+    return F.concat(*parts)
+
+
 def parse_any(text, formats) -> Column:
     """wall-clock timestamp (TIMESTAMP_NTZ) from the first format that
     parses, else NULL.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.scalar import (digits_only, first_capital, is_palindrome,
+from ..functions.scalar import (digits_only, first_capital, is_palindrome, ntz_text,
                                 last_word, parse_any, pct_change, readable_size, round_dec,
                                 seconds_between, yyyymm)
 from ..functions.sql_udfs import register_sql_udfs
@@ -26,7 +26,7 @@ def date_parts(spark: SparkSession, d: str) -> DataFrame:
     return o.select("o_orderkey", F.month("o_orderdate").alias("month"),
                     F.extract(F.lit("YEAR"), "o_orderdate").cast("int").alias("year"),
                     yyyymm("o_orderdate").alias("yyyymm"),
-                    F.date_format("o_orderdate", "yyyyMM").alias("yyyymm_text"))
+                    ntz_text("o_orderdate", "yyyyMM").alias("yyyymm_text"))
 
 
 @query("date_arithmetic", """
@@ -70,10 +70,10 @@ def timestamp_parse(spark: SparkSession, d: str) -> DataFrame:
     o = Tables(spark, d).orders
     p = F.substring("o_orderpriority", 1, 1)
     ts = F.col("o_orderdate")
-    txt = (F.when(p == "1", F.date_format(ts, "yyyy-MM-dd"))
-            .when(p == "2", F.date_format(ts, "dd/MM/yyyy"))
-            .when(p == "3", F.date_format(ts, "yyyyMMdd HH:mm:ss"))
-            .when(p == "5", F.date_format(ts, "yyyy/MM/dd HH:mm"))
+    txt = (F.when(p == "1", ntz_text(ts, "yyyy-MM-dd"))
+            .when(p == "2", ntz_text(ts, "dd/MM/yyyy"))
+            .when(p == "3", ntz_text(ts, "yyyyMMdd HH:mm:ss"))
+            .when(p == "5", ntz_text(ts, "yyyy/MM/dd HH:mm"))
             .otherwise(F.concat(F.lit("n/a "), F.col("o_orderkey").cast("string"))))
     t = o.select("o_orderkey", txt.alias("txt"))
     return t.select("o_orderkey", "txt",
