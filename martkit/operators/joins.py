@@ -39,6 +39,26 @@ def role_playing(fact: DataFrame, dim: DataFrame, dim_key: str,
     return out
 
 
+def parent_left_join(parent: DataFrame, child: DataFrame, parent_key: str,
+                     child_key: str) -> DataFrame:
+    """``parent LEFT JOIN child ON parent_key = child_key`` for a parent that is
+    unique on its key (a dimension or header table) and a child that may be
+    heavily skewed (one key holding a third of the child rows).
+
+    AQE can split a skewed partition only on the preserved side of an outer
+    join, so the skewed child would land in one task. Written instead as the
+    inner join (either side splittable) plus the parents without children
+    (an anti-join against the child's distinct keys, which a partial aggregate
+    shrinks to one row per key before the shuffle); child columns are NULL on
+    those rows, exactly as in the outer join."""
+    matched = parent.join(child, parent[parent_key] == child[child_key], "inner")
+    keys = child.select(F.col(child_key).alias("_ck")).distinct()
+    lonely = parent.join(keys, parent[parent_key] == keys["_ck"], "left_anti")
+    lonely = lonely.select(*parent.columns, *[F.lit(None).cast(f.dataType).alias(f.name)
+                                              for f in child.schema.fields])
+    return matched.unionByName(lonely)
+
+
 def or_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
             keep: Sequence[str]) -> DataFrame:
     """``left JOIN right ON l1 = r1 OR l2 = r2 ...`` followed by DISTINCT on

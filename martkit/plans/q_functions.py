@@ -9,6 +9,7 @@ from ..functions.scalar import (digits_only, first_capital, is_palindrome, ntz_t
                                 last_word, parse_any, pct_change, readable_size, round_dec,
                                 seconds_between, yyyymm)
 from ..functions.sql_udfs import register_sql_udfs
+from ..operators.joins import parent_left_join
 from ..sources.tables import Tables
 from .q_joins import DAILY_SQL, daily_value
 from .registry import query
@@ -176,7 +177,7 @@ FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
 """, "F9")
 def null_and_case(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    j = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    j = parent_left_join(t.orders, t.lineitem, "o_orderkey", "l_orderkey")
     rf = F.col("l_returnflag")
     return j.select("o_orderkey", "l_linenumber",
                     F.coalesce(F.col("l_quantity"), F.lit(0.0)).alias("qty"),

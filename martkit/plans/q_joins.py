@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggs import money_sum
-from ..operators.joins import asof_left, cutoff_left, or_join, role_playing
+from ..operators.joins import asof_left, cutoff_left, or_join, parent_left_join, role_playing
 from ..sources.json_docs import nest_lines_per_row, unnest_json
 from ..sources.tables import Tables
 from .registry import query
@@ -39,7 +39,7 @@ def left_join(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     o = t.orders.select("o_orderkey")
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_quantity")
-    return o.join(li, o.o_orderkey == li.l_orderkey, "left").drop("l_orderkey")
+    return parent_left_join(o, li, "o_orderkey", "l_orderkey").drop("l_orderkey")
 
 
 @query("multi_key_left_join", """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import prefix
+from ..operators.joins import parent_left_join, prefix
 from ..operators.ordered import dense_id, positional_join
 from ..operators.quality import (as_text, assert_domain, check, domain, evolve,
                                  typed_view, unique, validate)
@@ -65,7 +65,7 @@ FROM orders o LEFT JOIN lineitem l ON o.o_orderkey = l.l_orderkey
 """, "P4")
 def sentinel_coalesce(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    j = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    j = parent_left_join(t.orders, t.lineitem, "o_orderkey", "l_orderkey")
     epoch = F.lit(EPOCH).cast("timestamp_ntz")
     ship = F.coalesce(F.col("l_shipdate"), epoch)
     return j.select("o_orderkey", "l_linenumber", ship.alias("ship_ts"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType)
 
+from ..operators.joins import parent_left_join
 from ..operators.ordered import dense_id
 
 FLIGHT = StructType([StructField("partkey", LongType()), StructField("suppkey", LongType()),
@@ -36,7 +37,7 @@ def nest_lines_per_row(t) -> DataFrame:
     document grows with a hot key."""
     o = t.orders.select("o_orderkey", "o_orderdate")
     li = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
-    j = o.join(li, o.o_orderkey == li.l_orderkey, "left")
+    j = parent_left_join(o, li, "o_orderkey", "l_orderkey")
     flight = F.struct(F.col("l_partkey").alias("partkey"), F.col("l_suppkey").alias("suppkey"),
                       F.col("l_quantity").alias("quantity"))
     ticket = F.struct(F.col("l_linenumber").alias("linenumber"),

@@ -191,3 +191,12 @@ def test_jdbc_scan_needs_complete_partitioning(spark):
     from martkit.sources.files import jdbc_scan
     with pytest.raises(ValueError):
         jdbc_scan(spark, "jdbc:none://nowhere", "t", partition_column="id", lower_bound=0)
+
+
+def test_parent_left_join_equals_left_join(spark):
+    from martkit.operators.joins import parent_left_join
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], "pk int, pv string")
+    child = spark.createDataFrame([(1, 10)] * 50 + [(2, 20), (None, 0), (9, 90)], "ck int, cv int")
+    got = sorted(map(repr, parent_left_join(parent, child, "pk", "ck").collect()))
+    want = sorted(map(repr, parent.join(child, parent.pk == child.ck, "left").collect()))
+    assert got == want
