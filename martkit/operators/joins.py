@@ -59,6 +59,23 @@ def parent_left_join(parent: DataFrame, child: DataFrame, parent_key: str,
     return matched.unionByName(lonely)
 
 
+def not_in(left: DataFrame, col: str, right: DataFrame, right_col: str) -> DataFrame:
+    """``left WHERE col NOT IN (SELECT right_col FROM right)`` with SQL's
+    three-valued logic, as a plain equi anti-join.
+
+    Spark plans NOT IN as a null-aware anti join only when the subquery side
+    can be broadcast; otherwise it falls back to a nested-loop join, which a
+    large subquery cannot afford. Here: an anti-join on equality (hash or
+    sort-merge, as AQE decides), plus two scalar facts about the subquery --
+    a NULL in it rejects every row, and when it is non-empty a NULL probe is
+    rejected too."""
+    r = right.select(F.col(right_col).alias("_v"))
+    has_null = r.where(F.col("_v").isNull()).select(F.count(F.lit(1)) > 0).scalar()
+    non_empty = r.select(F.count(F.lit(1)) > 0).scalar()
+    kept = left.join(r, left[col] == r["_v"], "left_anti")
+    return kept.where(~has_null & (F.col(col).isNotNull() | ~non_empty))
+
+
 def or_join(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
             keep: Sequence[str]) -> DataFrame:
     """``left JOIN right ON l1 = r1 OR l2 = r2 ...`` followed by DISTINCT on

@@ -116,10 +116,19 @@ def test_run_of_exactly_three(spark):
 
 
 def test_null_in_not_in_set_empties_result(spark):
-    a = spark.createDataFrame([(1,), (2,)], "x int")
+    from martkit.operators.joins import not_in
+    a = spark.createDataFrame([(1,), (2,), (None,)], "x int")
     b = spark.createDataFrame([(1,), (None,)], "y int")
-    got = spark.sql("SELECT x FROM {a} WHERE x NOT IN (SELECT y FROM {b})", a=a, b=b).collect()
-    assert got == []
+    sql = "SELECT x FROM {a} WHERE x NOT IN (SELECT y FROM {b})"
+    assert spark.sql(sql, a=a, b=b).collect() == []
+    assert not_in(a, "x", b, "y").collect() == []
+    # without the NULL: 2 survives, the NULL probe does not; empty set keeps all
+    b2 = spark.createDataFrame([(1,)], "y int")
+    assert sorted(r.x for r in not_in(a, "x", b2, "y").collect()) == [2]
+    empty = b2.where("y > 5")
+    assert len(not_in(a, "x", empty, "y").collect()) == 3
+    assert sorted(map(repr, spark.sql(sql, a=a, b=b2).collect())) == \
+        sorted(map(repr, not_in(a, "x", b2, "y").collect()))
 
 
 def test_one_day_gap_is_not_yesterday(spark):

@@ -34,9 +34,9 @@ def test_no_nested_loop_join(spark, name):
     assert "NestedLoopJoin" not in p and "CartesianProduct" not in p
 
 
-def test_not_in_is_null_aware_anti_join(spark):
+def test_not_in_is_an_equi_anti_join(spark):
     p = plan(Q["null_aware_anti_join"](spark, SF_SMALL))
-    assert "LeftAnti" in p
+    assert "LeftAnti" in p and "NestedLoopJoin" not in p
 
 
 @pytest.mark.parametrize("name", ["running_sum", "lag_lead_runs", "asof_left_join",
