@@ -65,7 +65,8 @@ def assert_unique(df: DataFrame, keys: Sequence[str] | str, what: str = "merge s
     twice). The check is a scalar subquery over a partial count, evaluated
     once, and sits in a filter so it cannot be pruned away."""
     keys = as_list(keys)
-    worst = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # NULL keys never match a target row, so repeated NULL keys are harmless
+    worst = (df.where(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
                .agg(F.coalesce(F.max("_n"), F.lit(0)).alias("_m"))).scalar()
     guard = F.when(worst > 1, F.raise_error(F.lit(f"duplicate key in {what}: {keys}"))) \
         .otherwise(F.lit(True))

@@ -131,6 +131,8 @@ def test_merge_twice_equals_once_and_null_keys(spark):
     nul = spark.createDataFrame([(None, "z", 0)], "k int, s string, n int")
     got = merge_upsert(merge_upsert(tgt, nul, "k"), nul, "k").collect()
     assert sum(1 for r in got if r.k is None) == 2
+    two_nulls = spark.createDataFrame([(None, "y", 1), (None, "z", 0)], "k int, s string, n int")
+    assert sum(1 for r in merge_upsert(tgt, two_nulls, "k").collect() if r.k is None) == 2
     dup = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "k int, s string, n int")
     with pytest.raises(Exception):
         merge_upsert(tgt, dup, "k").collect()
