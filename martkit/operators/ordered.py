@@ -147,13 +147,34 @@ def neighbours(df: DataFrame, by, order, value: str, prev: str = "_prev",
              .drop("_key", "_chunk", "_lp", "_ln", "_pl", "_nf", "_fo", "_lo"))
 
 
-def runs(df: DataFrame, by, order, value: str) -> DataFrame:
-    """Distinct (key, value) where a value equals both its neighbours
-    (a run of at least three). NULL breaks a run."""
+def runs(df: DataFrame, by, order, value: str, length: int = 3,
+         rows_per_bucket: int | None = None) -> DataFrame:
+    """Distinct (key, value) with a run of at least ``length`` consecutive
+    equal values along ``order`` (total). NULL breaks a run.
+
+    length 3 is "equal to both neighbours" (one ``neighbours`` pass). Longer
+    runs are islands: a row starts a run when it differs from its predecessor,
+    a running count of starts numbers the runs (``running_sum``, hot-key
+    safe), and a partial count per (key, run) keeps the long ones.
+    """
     by = as_list(by)
-    nb = neighbours(df, by, order, value)
-    return (nb.where((F.col(value) == F.col("_prev")) & (F.col(value) == F.col("_next")))
-              .select(*by, value).distinct())
+    nb = neighbours(df, by, order, value, rows_per_bucket=rows_per_bucket)
+    v = F.col(value)
+    if length <= 3:
+        if length <= 1:
+            hit = v.isNotNull()
+        elif length == 2:
+            hit = (v == F.col("_prev")) | (v == F.col("_next"))
+        else:
+            hit = (v == F.col("_prev")) & (v == F.col("_next"))
+        return nb.where(hit).select(*by, value).distinct()
+    start = (~F.coalesce(v == F.col("_prev"), F.lit(False))).cast("long")
+    numbered = running_sum(nb.withColumn("_start", start), by, order, "_start", "_run",
+                           rows_per_bucket=rows_per_bucket)
+    return (numbered.where(v.isNotNull())
+                    .groupBy(*by, "_run", value).agg(F.count(F.lit(1)).alias("_len"))
+                    .where(F.col("_len") >= length)
+                    .select(*by, value).distinct())
 
 
 def local_minima(df: DataFrame, by, order, value: str, first: bool = True) -> DataFrame:

@@ -202,3 +202,29 @@ def test_parent_left_join_equals_left_join(spark):
     got = sorted(map(repr, parent_left_join(parent, child, "pk", "ck").collect()))
     want = sorted(map(repr, parent.join(child, parent.pk == child.ck, "left").collect()))
     assert got == want
+
+
+@pytest.mark.parametrize("length", [2, 3, 4, 5])
+def test_runs_of_any_length(spark, length):
+    from martkit.operators.ordered import runs
+    rnd = random.Random(length)
+    rows = []
+    for i in range(400):
+        k = 0 if i % 3 == 0 else rnd.randint(1, 5)
+        rows.append((k, i, rnd.choice([1, 1, 1, 2, 2, None])))
+    df = spark.createDataFrame(rows, "k int, i int, v int")
+    got = sorted((r.k, r.v) for r in runs(df, "k", ["i"], "v", length=length,
+                                          rows_per_bucket=30).collect())
+    want = set()
+    by_key = {}
+    for k, i, v in rows:
+        by_key.setdefault(k, []).append((i, v))
+    for k, seq in by_key.items():
+        seq.sort()
+        cur, n = object(), 0
+        for _, v in seq:
+            n = n + 1 if (v is not None and v == cur) else 1
+            cur = v
+            if v is not None and n >= length:
+                want.add((k, v))
+    assert got == sorted(want)
