@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_list, key_buckets
+from .common import as_list, key_buckets, order_number
 
 UNB = Window.unboundedPreceding
 
@@ -111,61 +111,96 @@ def cutoff_left(left: DataFrame, cutoff: DataFrame, key: str, ts: str,
 def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
               left_ts: str, right_ts: str, right_cols: Sequence[str],
               tie: Sequence[str] | str | None = None, prefix_: str = "",
-              shift=None, rows_per_bucket: int | None = None) -> DataFrame:
-    """For each left row, the latest right row with the same ``by`` key and
-    ``right_ts <= left_ts (+ shift)``. Left rows always survive; unmatched get
-    NULL right columns; NULL keys or timestamps never match. Among right rows
-    with equal ts the highest ``tie`` wins.
+              shift=None, rows_per_bucket: int | None = None,
+              direction: str = "backward") -> DataFrame:
+    """For each left row, the right row with the same ``by`` key nearest
+    in time in the given ``direction``:
+
+    * ``backward`` (default): the latest with ``right_ts <= left_ts (+ shift)``;
+    * ``forward``: the earliest with ``right_ts >= left_ts (+ shift)``;
+    * ``nearest``: whichever of the two is closer (backward on a tie).
+
+    Left rows always survive; unmatched get NULL right columns; NULL keys or
+    timestamps never match. Among right rows with equal ts the highest ``tie``
+    wins.
 
     Plan: both sides are unioned into one (key, ts)-ordered stream in which a
     right row sorts before a left row at the same instant; hot keys are cut
-    into time buckets (``key_buckets``: a hot key spans many tasks); inside a chunk
-    ``last(right, ignorenulls)`` carries the latest right row forward; each
-    chunk's last right row is carried into later chunks of the same key through
-    a per-(key, chunk) summary.
+    into time buckets (``key_buckets``: a hot key spans many tasks); inside a
+    bucket ``last(right, ignorenulls)`` carries the nearest right row along
+    the stream (forward: along the reversed stream, a second sort on the same
+    partitioning); each bucket's boundary right row is carried into the
+    neighbouring buckets of the key through a per-(key, bucket) summary.
     """
+    if direction not in ("backward", "forward", "nearest"):
+        raise ValueError(direction)
+    back, fwd = direction in ("backward", "nearest"), direction in ("forward", "nearest")
     by = as_list(by)
     tie = as_list(tie)
+    keys = [f"_k{i}" for i in range(len(by))]
     probe = F.col(left_ts) if shift is None else F.col(left_ts) + shift
     lcols = left.columns
-    lside = left.select(
-        *[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)],
-        probe.alias("_ts"), F.lit(1).alias("_tag"),
-        *[F.lit(None).alias(f"_t{i}") for i, _ in enumerate(tie)],
-        F.struct(*[F.col(c) for c in lcols]).alias("_l"),
-        F.lit(None).cast(right.select(F.struct(*right_cols)).schema[0].dataType).alias("_r"))
+    ts_type = left.select(probe.alias("_ts")).schema["_ts"].dataType
     rvalid = right
     for b in by:
         rvalid = rvalid.where(F.col(b).isNotNull())
     rvalid = rvalid.where(F.col(right_ts).isNotNull())
-    rside = rvalid.select(
+    r0 = rvalid.select(*[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)],
+                       F.col(right_ts).cast(ts_type).alias("_ts"),
+                       *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)],
+                       *[F.col(c).alias(f"_rc{i}") for i, c in enumerate(right_cols)])
+    rstruct = F.struct(*[F.col(f"_rc{i}").alias(c) for i, c in enumerate(right_cols)],
+                       order_number(r0, "_ts").alias("__o"))
+    rside = r0.select(*keys, "_ts", F.lit(0).alias("_tag"),
+                      *[f"_t{i}" for i in range(len(tie))],
+                      F.lit(None).cast(left.select(F.struct(*lcols)).schema[0].dataType).alias("_l"),
+                      rstruct.alias("_r"))
+    lside = left.select(
         *[F.col(b).alias(f"_k{i}") for i, b in enumerate(by)],
-        F.col(right_ts).alias("_ts"), F.lit(0).alias("_tag"),
-        *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)],
-        F.lit(None).cast(left.select(F.struct(*lcols)).schema[0].dataType).alias("_l"),
-        F.struct(*[F.col(c) for c in right_cols]).alias("_r"))
-    keys = [f"_k{i}" for i in range(len(by))]
-    ts_type = lside.schema["_ts"].dataType
-    rside = rside.withColumn("_ts", F.col("_ts").cast(ts_type))
-    for i, _ in enumerate(tie):
-        lside = lside.withColumn(f"_t{i}", F.col(f"_t{i}").cast(rside.schema[f"_t{i}"].dataType))
+        probe.alias("_ts"), F.lit(1).alias("_tag"),
+        *[F.lit(None).cast(rside.schema[f"_t{i}"].dataType).alias(f"_t{i}")
+          for i in range(len(tie))],
+        F.struct(*[F.col(c) for c in lcols]).alias("_l"),
+        F.lit(None).cast(rside.schema["_r"].dataType).alias("_r"))
     u = lside.unionByName(rside).withColumn("_key", F.struct(*keys))
-    seq = [F.col("_ts"), F.col("_tag")] + [F.col(f"_t{i}") for i in range(len(tie))]
+    ties = [F.col(f"_t{i}") for i in range(len(tie))]
+    seq = [F.col("_ts"), F.col("_tag")] + ties
     c = key_buckets(u, "_key", "_ts", rows_per_bucket)
-    # per (key, bucket): the bucket's last right row (a partial aggregate of
-    # the input), carried into later buckets of the key by a small window
+    # per (key, bucket): the bucket's last and first right rows (a partial
+    # aggregate of the input), carried into the neighbouring buckets of the
+    # key by small windows over the summary
     is_r = F.col("_tag") == 0
-    lastr = (c.groupBy("_key", "_chunk")
-              .agg(F.max_by(F.when(is_r, F.col("_r")),
-                            F.when(is_r, F.struct(*seq))).alias("_lr")))
-    wc = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(UNB, -1)
-    carry = lastr.select("_key", "_chunk", F.last("_lr", ignorenulls=True).over(wc).alias("_carry"))
-    w = Window.partitionBy("_key", "_chunk").orderBy(*seq).rowsBetween(UNB, Window.currentRow)
-    c = c.withColumn("_m", F.last("_r", ignorenulls=True).over(w))
+    o = F.col("_r.__o")
+    summary = c.groupBy("_key", "_chunk").agg(
+        F.max_by(F.when(is_r, F.col("_r")), F.when(is_r, F.struct(*seq))).alias("_lr"),
+        F.max_by(F.when(is_r, F.col("_r")), F.when(is_r, F.struct(-o, *ties))).alias("_fr"))
+    wk = Window.partitionBy("_key").orderBy("_chunk")
+    carry = summary.select(
+        "_key", "_chunk",
+        F.last("_lr", ignorenulls=True).over(wk.rowsBetween(UNB, -1)).alias("_cb"),
+        F.first("_fr", ignorenulls=True).over(
+            wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cf"))
+    part = Window.partitionBy("_key", "_chunk")
+    if back:
+        wb = part.orderBy(*seq).rowsBetween(UNB, Window.currentRow)
+        c = c.withColumn("_mb", F.last("_r", ignorenulls=True).over(wb))
+    if fwd:
+        wf = part.orderBy(F.col("_ts").desc(), F.col("_tag"), *ties).rowsBetween(UNB, Window.currentRow)
+        c = c.withColumn("_mf", F.last("_r", ignorenulls=True).over(wf))
     # same (key, bucket) columns as the window: the big side is not re-shuffled
     j = c.where(F.col("_tag") == 1).join(carry, ["_key", "_chunk"], "left")
+    mb = F.coalesce(F.col("_mb"), F.col("_cb")) if back else None
+    mf = F.coalesce(F.col("_mf"), F.col("_cf")) if fwd else None
+    if direction == "backward":
+        m = mb
+    elif direction == "forward":
+        m = mf
+    else:
+        po = order_number(j, "_ts")
+        closer_back = (po - mb.getField("__o")) <= (mf.getField("__o") - po)
+        m = F.when(mf.isNull(), mb).when(mb.isNull(), mf).when(closer_back, mb).otherwise(mf)
     valid = F.col("_ts").isNotNull()
     for k in keys:
         valid = valid & F.col(k).isNotNull()
-    m = F.when(valid, F.coalesce(F.col("_m"), F.col("_carry")))
+    m = F.when(valid, m)
     return j.select("_l.*", *[m.getField(c).alias(prefix_ + c) for c in right_cols])

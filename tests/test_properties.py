@@ -228,3 +228,36 @@ def test_runs_of_any_length(spark, length):
             if v is not None and n >= length:
                 want.add((k, v))
     assert got == sorted(want)
+
+
+def brute_asof_dir(left, right, direction):
+    out = {}
+    for lid, lk, lts in left:
+        cands = [(rid, rts) for rid, rk, rts in right if lk is not None and rk == lk]
+        back = max(((rts, rid) for rid, rts in cands if rts <= lts), default=None)
+        fwd = min(((rts, -rid) for rid, rts in cands if rts >= lts), default=None)
+        b = None if back is None else (back[1], (lts - back[0]).total_seconds())
+        f = None if fwd is None else (-fwd[1], (fwd[0] - lts).total_seconds())
+        if direction == "forward":
+            out[lid] = None if f is None else f[0]
+        elif b is None or f is None:
+            out[lid] = (b or f or (None,))[0]
+        else:
+            out[lid] = b[0] if b[1] <= f[1] else f[0]
+    return out
+
+
+@pytest.mark.parametrize("direction", ["forward", "nearest"])
+@pytest.mark.parametrize("rpb", [10**9, 25])
+def test_asof_forward_and_nearest(spark, direction, rpb):
+    rnd = random.Random(hash((direction, rpb)) % 1000)
+    left = [(i, 0 if i % 3 == 0 else rnd.randint(1, 5) if i % 13 else None,
+             T0 + timedelta(minutes=rnd.randint(0, 3000))) for i in range(240)]
+    right = [(1000 + j, 0 if j % 2 == 0 else rnd.randint(1, 5),
+              T0 + timedelta(minutes=rnd.randint(0, 3000))) for j in range(160)]
+    right += [(5000, 0, left[0][2]), (5001, 0, left[0][2])]  # tie at a probe instant
+    L = spark.createDataFrame(left, "lid long, k int, ts timestamp_ntz")
+    R = spark.createDataFrame(right, "rid long, k int, rts timestamp_ntz")
+    got = {r.lid: r.rid for r in asof_left(L, R, "k", "ts", "rts", ["rid"], tie="rid",
+                                             rows_per_bucket=rpb, direction=direction).collect()}
+    assert got == brute_asof_dir(left, right, direction)
