@@ -204,3 +204,35 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
         valid = valid & F.col(k).isNotNull()
     m = F.when(valid, m)
     return j.select("_l.*", *[m.getField(c).alias(prefix_ + c) for c in right_cols])
+
+
+def asof_probes(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_ts: str,
+                right_ts: str, probes: dict, row_key: str,
+                tie: Sequence[str] | str | None = None, rows_per_bucket: int | None = None,
+                direction: str = "backward") -> DataFrame:
+    """Several as-of probes of the same right side in one pass.
+
+    ``probes`` maps an output prefix to ``(shift, right_cols)`` (shift may be
+    None). Every left row is copied once per probe with its own probe time,
+    all copies go through a single ``asof_left`` (so the right side is
+    shuffled once, not once per probe), and the copies are folded back into
+    one row per ``row_key`` (a unique left column) with a partial aggregate.
+    """
+    names = list(probes)
+    all_rcols = []
+    for _, (_, cols) in probes.items():
+        all_rcols += [c for c in cols if c not in all_rcols]
+    copies = None
+    for i, name in enumerate(names):
+        shift = probes[name][0]
+        pts = F.col(left_ts) if shift is None else F.col(left_ts) + shift
+        cp = left.withColumn("_probe", F.lit(i)).withColumn("_pts", pts)
+        copies = cp if copies is None else copies.unionByName(cp)
+    m = asof_left(copies, right, by, "_pts", right_ts, all_rcols, tie=tie, prefix_="_m_",
+                  rows_per_bucket=rows_per_bucket, direction=direction)
+    aggs = [F.max(c).alias(c) for c in left.columns if c != row_key]
+    for i, name in enumerate(names):
+        for c in probes[name][1]:
+            aggs.append(F.max(F.when(F.col("_probe") == i, F.col(f"_m_{c}"))).alias(name + c))
+    return m.groupBy(row_key).agg(*aggs).select(
+        *left.columns, *[name + c for name in names for c in probes[name][1]])

@@ -7,8 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggs import cube_report
-from ..operators.joins import asof_left, role_playing
-from ..session import checkpoint_root
+from ..operators.joins import asof_probes, role_playing
 from ..sources.tables import Tables
 from .registry import query
 
@@ -111,23 +110,18 @@ def q_cube_report(spark: SparkSession, d: str) -> DataFrame:
 # --------------------------------------------------------------------------
 def event_mart(t: Tables) -> DataFrame:
     """Purchases enriched with the user's latest view at the purchase time
-    and one hour later (two as-of probes, J12), with customer-style filters."""
+    and one hour later: two as-of probes (J12) answered in one pass over the
+    views (``asof_probes``)."""
     ev = t.events
     purchases = ev.where(F.col("event_type") == "purchase").select(
         "event_id", "user_id", "ts", "value")
     views = ev.where(F.col("event_type") == "view").select(
-        "user_id", "ts", F.col("event_id").alias("view_id"), F.col("value").alias("view_value"))
-    a = asof_left(purchases, views.withColumnRenamed("ts", "view_ts"), "user_id", "ts",
-                  "view_ts", ["view_id", "view_ts", "view_value"], tie="view_id")
-    # the second probe reads its left input twice (hot-key statistics, then the
-    # rows): cut the lineage so the first probe runs once (reliable checkpoint
-    # in the shared checkpoint dir)
-    checkpoint_root(a.sparkSession)
-    a = a.checkpoint(eager=True)
-    b = asof_left(a, views.withColumnRenamed("ts", "view_ts"), "user_id", "ts", "view_ts",
-                  ["view_id", "view_ts"], tie="view_id", prefix_="h1_",
-                  shift=F.expr("INTERVAL 1 HOUR"))
-    return b
+        "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"),
+        F.col("value").alias("view_value"))
+    return asof_probes(purchases, views, "user_id", "ts", "view_ts",
+                       {"": (None, ["view_id", "view_ts", "view_value"]),
+                        "h1_": (F.expr("INTERVAL 1 HOUR"), ["view_id", "view_ts"])},
+                       row_key="event_id", tie="view_id")
 
 
 @query("weather_fact_mart", """

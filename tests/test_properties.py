@@ -261,3 +261,20 @@ def test_asof_forward_and_nearest(spark, direction, rpb):
     got = {r.lid: r.rid for r in asof_left(L, R, "k", "ts", "rts", ["rid"], tie="rid",
                                              rows_per_bucket=rpb, direction=direction).collect()}
     assert got == brute_asof_dir(left, right, direction)
+
+
+def test_asof_probes_equal_separate_probes(spark):
+    from martkit.operators.joins import asof_probes
+    rnd = random.Random(5)
+    left = [(i, 0 if i % 3 == 0 else rnd.randint(1, 4), T0 + timedelta(minutes=rnd.randint(0, 2000)))
+            for i in range(150)]
+    right = [(1000 + j, 0 if j % 2 else rnd.randint(1, 4), T0 + timedelta(minutes=rnd.randint(0, 2000)))
+             for j in range(120)]
+    L = spark.createDataFrame(left, "lid long, k int, ts timestamp_ntz")
+    R = spark.createDataFrame(right, "rid long, k int, rts timestamp_ntz")
+    shift = F.expr("INTERVAL 1 HOUR")
+    both = asof_probes(L, R, "k", "ts", "rts", {"a_": (None, ["rid"]), "b_": (shift, ["rid", "rts"])},
+                       row_key="lid", tie="rid", rows_per_bucket=20)
+    a = asof_left(L, R, "k", "ts", "rts", ["rid"], tie="rid", prefix_="a_")
+    b = asof_left(a, R, "k", "ts", "rts", ["rid", "rts"], tie="rid", prefix_="b_", shift=shift)
+    assert sorted(map(repr, both.collect())) == sorted(map(repr, b.select(*both.columns).collect()))
