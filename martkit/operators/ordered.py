@@ -177,11 +177,12 @@ def runs(df: DataFrame, by, order, value: str, length: int = 3,
                     .select(*by, value).distinct())
 
 
-def local_minima(df: DataFrame, by, order, value: str, first: bool = True) -> DataFrame:
+def local_minima(df: DataFrame, by, order, value: str, first: bool = True,
+                 rows_per_bucket: int | None = None) -> DataFrame:
     """Rows strictly below both neighbours; a missing neighbour counts as
     +infinity. ``first`` keeps only the earliest hit per key."""
     by, order = as_list(by), as_list(order)
-    nb = neighbours(df, by, order, value)
+    nb = neighbours(df, by, order, value, rows_per_bucket=rows_per_bucket)
     v = F.col(value)
     hit = (v.isNotNull()
            & (~F.col("_prev_exists") | (v < F.col("_prev")))
@@ -229,14 +230,15 @@ def running_sum(df: DataFrame, by, order, value: str, out: str = "running",
 # --------------------------------------------------------------------------
 # gaps
 # --------------------------------------------------------------------------
-def gaps(df: DataFrame, by, id_col: str, lo=None, hi=None, out: str = "missing") -> DataFrame:
+def gaps(df: DataFrame, by, id_col: str, lo=None, hi=None, out: str = "missing",
+         rows_per_bucket: int | None = None) -> DataFrame:
     """Ids missing from each key's range [lo, hi] (default: the key's own
     min..max). Work is O(present + missing): consecutive present ids are
     paired with ``neighbours`` and only the holes are expanded."""
     by = as_list(by)
     ids = df.where(F.col(id_col).isNotNull()).select(*by, id_col).distinct()
     t = ids.schema[id_col].dataType
-    nb = neighbours(ids, by, [id_col], id_col)
+    nb = neighbours(ids, by, [id_col], id_col, rows_per_bucket=rows_per_bucket)
     x, nxt = F.col(id_col), F.col("_next")
 
     def seg(cond, a, b):

@@ -278,3 +278,23 @@ def test_asof_probes_equal_separate_probes(spark):
     a = asof_left(L, R, "k", "ts", "rts", ["rid"], tie="rid", prefix_="a_")
     b = asof_left(a, R, "k", "ts", "rts", ["rid", "rts"], tie="rid", prefix_="b_", shift=shift)
     assert sorted(map(repr, both.collect())) == sorted(map(repr, b.select(*both.columns).collect()))
+
+
+def test_gaps_and_minima_with_hot_key_buckets(spark):
+    from martkit.operators.ordered import gaps, local_minima
+    rnd = random.Random(11)
+    ids = [(0, i) for i in range(0, 600) if rnd.random() < 0.7] + \
+          [(k, i) for k in range(1, 4) for i in range(0, 40, 3)]
+    df = spark.createDataFrame(ids, "k int, id long")
+    got = sorted((r.k, r.missing) for r in gaps(df, "k", "id", lo=0, rows_per_bucket=25).collect())
+    present = {}
+    for k, i in ids:
+        present.setdefault(k, set()).add(i)
+    want = sorted((k, i) for k, s in present.items() for i in range(0, max(s) + 1) if i not in s)
+    assert got == want
+    vals = spark.createDataFrame([(0, i, (i * 7919) % 101) for i in range(300)], "k int, i int, v int")
+    got = sorted(r.i for r in local_minima(vals, "k", ["i"], "v", first=False,
+                                           rows_per_bucket=20).collect())
+    seq = [(i * 7919) % 101 for i in range(300)]
+    want = [i for i in range(300) if (i == 0 or seq[i] < seq[i - 1]) and (i == 299 or seq[i] < seq[i + 1])]
+    assert got == want
