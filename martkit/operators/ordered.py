@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
-from .common import as_list, col, key_buckets, range_chunks
+from .common import as_list, col, key_buckets, orderable, range_chunks
 
 UNB = Window.unboundedPreceding
 
@@ -125,7 +125,9 @@ def neighbours(df: DataFrame, by, order, value: str, prev: str = "_prev",
     """
     by, order = as_list(by), as_list(order)
     ocols = [col(o) for o in order]
-    c = key_buckets(df.withColumn("_key", F.struct(*by)), "_key", order[0], rows_per_bucket)
+    second = order[1] if len(order) > 1 and orderable(df, order[1]) else None
+    c = key_buckets(df.withColumn("_key", F.struct(*by)), "_key", order[0], rows_per_bucket,
+                    second_order=second)
     okey = F.struct(*ocols)
     edges = c.groupBy("_key", "_chunk").agg(
         F.min_by(F.struct(F.col(value).alias("v")), okey).alias("_first"),
@@ -214,7 +216,9 @@ def running_sum(df: DataFrame, by, order, value: str, out: str = "running",
     """Prefix sums of ``value`` per key along ``order`` (total)."""
     by, order = as_list(by), as_list(order)
     ocols = [col(o) for o in order]
-    c = key_buckets(df.withColumn("_key", F.struct(*by)), "_key", order[0], rows_per_bucket)
+    second = order[1] if len(order) > 1 and orderable(df, order[1]) else None
+    c = key_buckets(df.withColumn("_key", F.struct(*by)), "_key", order[0], rows_per_bucket,
+                    second_order=second)
     w = Window.partitionBy("_key", "_chunk").orderBy(*ocols).rowsBetween(UNB, Window.currentRow)
     local = c.withColumn("_local", F.sum(value).over(w))
     tot = c.groupBy("_key", "_chunk").agg(F.sum(value).alias("_tot"))

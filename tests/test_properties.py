@@ -298,3 +298,18 @@ def test_gaps_and_minima_with_hot_key_buckets(spark):
     seq = [(i * 7919) % 101 for i in range(300)]
     want = [i for i in range(300) if (i == 0 or seq[i] < seq[i - 1]) and (i == 299 or seq[i] < seq[i + 1])]
     assert got == want
+
+
+def test_hot_key_sharing_one_timestamp_is_split_on_the_tie(spark):
+    from martkit.operators.common import key_buckets
+    rows = [(0, T0, i, 1) for i in range(300)] + [(k, T0 + timedelta(minutes=i), i, 1)
+                                                   for k in range(1, 4) for i in range(30)]
+    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id long, v long")
+    b = key_buckets(df.withColumn("_key", F.struct("k")), "_key", "ts", rows_per_bucket=40,
+                    second_order="id")
+    assert b.where("k = 0").select("_chunk").distinct().count() >= 5
+    pdf = b.where("k = 0").select("id", "_chunk").toPandas().sort_values("id")
+    assert pdf["_chunk"].is_monotonic_increasing
+    got = {(r.k, r.id): r.r for r in running_sum(df, "k", ["ts", "id"], "v", "r",
+                                                  rows_per_bucket=40).collect()}
+    assert all(got[(0, i)] == i + 1 for i in range(300))
