@@ -6,14 +6,21 @@ and derives the columns of its contract from the operator's own output.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, quality_rules
+from . import html_text, line_dedup, mixing, ngram_join, quality_rules, sentence_pieces, token_counts
 from .common import stored, table
 
+try:
+    from public_tokenizers import path as tokenizer_file
+except ImportError:  # another place of the files can be given as TOKENIZER_DIR
+    def tokenizer_file(name: str) -> str:
+        return os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), name)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -27,6 +34,18 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+@_query("op2_sentence_pieces")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_pieces.round_trips(table(spark, sf_dir, "documents"),
+                                       tokenizer_file("piece_bpe_32k.model"))
+
+
+@_query("op3_ngram_join")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), 4, 85, 100).select(
+        "doc_id", "n_shingles", "component_id")
+
+
 @_query("op4_quality_rules")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     feats = stored(quality_rules.features(table(spark, sf_dir, "documents")), "op4-features")
@@ -35,6 +54,13 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+@_query("op5_token_counts")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"),
+                                       tokenizer_file("word_bpe_49k.json"))
+    return counts.select("*", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 _WS_SQL = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 
@@ -72,6 +98,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join(F.transform("keep", run), ",").alias("keep_runs"))
 
 
+@_query("op8_html_text")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.html_text(table(spark, sf_dir, "pages"))
+
+
 _OP9_SEED = 7
 
 
