@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_text, line_dedup, mixing, ngram_join, quality_rules, sentence_pieces, token_counts
+from . import (embedding_index, html_text, line_dedup, mixing, ngram_join, pii_surrogates, quality_rules,
+               sentence_pieces, token_counts, toxicity)
 from .common import stored, table
 
 try:
@@ -34,6 +35,14 @@ def _query(name: str, sql: str | None = None):
     return add
 
 
+@_query("op1_pii_surrogates")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The key that drives the surrogates is a secret of the deployment.
+    key = os.environ.get("MARTKIT_PII_KEY", "corpus")
+    return pii_surrogates.with_surrogates(table(spark, sf_dir, "documents"), key,
+                                          count_col="n_entities").select("doc_id", "text", "n_entities")
+
+
 @_query("op2_sentence_pieces")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_pieces.round_trips(table(spark, sf_dir, "documents"),
@@ -98,6 +107,15 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.array_join(F.transform("keep", run), ",").alias("keep_runs"))
 
 
+@_query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~toxicity.held_out()))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @_query("op8_html_text")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.html_text(table(spark, sf_dir, "pages"))
@@ -159,3 +177,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     sizes = stored(mixing.document_sizes(table(spark, sf_dir, "documents")), "op9-sizes")
     return mixing.mix_sizes(sizes, [3, 1, 2], (3, 2), 2, _OP9_SEED).select(
         "doc_id", "size", "source_size", "target", "taken")
+
+
+@_query("op10_embedding_index")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_index.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
