@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martkit.llm import line_dedup, mixing, quality_rules
+from martkit.llm import line_dedup, mixing, ngram_join, quality_rules, sentence_pieces
 from martkit.llm.common import stored, table
+from martkit.llm.queries import tokenizer_file
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,12 +23,24 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.deduped(docs, min_docs=10, min_chars=1)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that are linked by five-word shingles at a similarity of 0.8 or
+    more, directly or through others, one stays; documents without words stay."""
+    return ngram_join.one_per_component(docs, 5, 4, 5)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeat, or go, as the target weights of their sources ask."""
     return mixing.mixed(docs, [3, 1, 2], (3, 2), 2)
 
 
-STAGES = [("quality_rules", quality), ("line_dedup", lines), ("mixing", mix)]
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id, n_pieces, piece_ids`` of every row."""
+    return sentence_pieces.encode(docs, tokenizer_file("piece_bpe_32k.model"))
+
+
+STAGES = [("quality_rules", quality), ("line_dedup", lines), ("ngram_join", near_duplicates),
+          ("mixing", mix), ("sentence_pieces", pieces)]
 
 #: Learned thresholds, seeded draws and tokenization: tested against a
 #: brute-force version in tests/llm/test_pipeline.py.
