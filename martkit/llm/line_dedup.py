@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WS, ascii_lower, let
+from .common import WS, ascii_lower, let, stored
 
 
 def _dropped(docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_chars: int,
@@ -31,20 +31,21 @@ def _dropped(docs: DataFrame, id_col: str, text_col: str, min_docs: int, min_cha
     keys = F.transform(F.split(ascii_lower(text), "\n", -1), lambda x: F.btrim(x, F.lit(WS)))
     hashes = F.transform(
         keys, lambda k: F.when(F.char_length(k) >= max(min_chars, 1), F.xxhash64(k)))
-    occ = (docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"),
-                       F.posexplode(hashes).alias("_pos", "_h"))
-           .where("_h IS NOT NULL")
-           .repartitionByRange("_h", "_id", "_th"))
+    lines = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_th"),
+                        F.posexplode(hashes).alias("_pos", "_h")).where("_h IS NOT NULL")
     in_doc = Window.partitionBy("_h", "_id", "_th").orderBy("_pos")
     # Repeated rows repeat each of their positions, so equality counts them all.
-    occ = occ.withColumn("_first", F.col("_pos") == F.first("_pos").over(in_doc))
+    firsts = lines.repartitionByRange("_h", "_id", "_th").withColumn(
+        "_first", F.col("_pos") == F.first("_pos").over(in_doc)).where("_first")
     place = F.struct("_id", "_th", "_pos")
-    common = (occ.groupBy("_h").agg(F.count_if("_first").alias("_docs"),
-                                    F.min(place).alias("_place"))
-              .where(F.col("_docs") >= min_docs))
-    hit = occ.join(common, "_h")
+    # Stored, so that its size is known: a join with it is broadcast where that is
+    # small, and elsewhere Spark can split the lines of a hot key.
+    common = stored(firsts.groupBy("_h").agg(F.count("*").alias("_docs"), F.min(place).alias("_place"))
+                    .where(F.col("_docs") >= min_docs).select("_h", "_place"), "line-dedup-keys")
     if keep == "first":
-        hit = hit.where(~place.eqNullSafe(F.col("_place")))
+        hit = lines.join(common, "_h").where(~place.eqNullSafe(F.col("_place")))
+    else:
+        hit = lines.join(common.select("_h"), "_h", "left_semi")
     return (hit.groupBy("_id", "_th")
             .agg(F.sort_array(F.collect_set("_pos")).alias("_dropped")))
 

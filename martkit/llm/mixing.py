@@ -87,24 +87,27 @@ def mixing_plan(sizes: DataFrame, weights: list[int], share: tuple[int, int] = (
                 max_epochs: int = 2, seed: int = 7) -> DataFrame:
     """One row per source: its target and the thresholds of the draw.
     ``sizes``: ``doc_id, source, size``, a stored table, as it is read three times."""
+    # Tables of a row per source are stored, so that their sizes are known: joins with
+    # them are broadcast where they are small, else Spark can split a hot source.
     targets = source_targets(sizes, weights, share, max_epochs).select(
         F.col("source").alias("_src"), "source_size", "target",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
         .otherwise(0).alias("_whole"))
-    targets = targets.withColumn(
-        "_budget", F.col("target") - F.col("_whole") * F.col("source_size"))
+    targets = stored(targets.withColumn(
+        "_budget", F.col("target") - F.col("_whole") * F.col("source_size")), "mixing-targets")
     same = F.col("source").eqNullSafe(F.col("_src"))
     rows = (sizes.join(targets, same).drop("_src")
             .withColumns({"_u1": _draw(F.col("doc_id"), seed, 1), "_u2": _draw(F.col("doc_id"), seed, 4)}))
-    one = _crossing(rows, ["source"], "_u1", "_budget").select(
-        F.col("source").alias("_src"), F.col("_at").alias("_at1"), F.col("_rest").alias("_rest1"))
+    one = stored(_crossing(rows, ["source"], "_u1", "_budget").select(
+        F.col("source").alias("_src"), F.col("_at").alias("_at1"), F.col("_rest").alias("_rest1")), "mixing-buckets")
     inside = rows.join(one, same & (F.col("_u1") == F.col("_at1"))).drop("_src")
     two = _crossing(inside, ["source"], "_u2", "_rest1").select(
         F.col("source").alias("_src2"), F.col("_at").alias("_at2"), F.col("_rest").alias("_rest2"),
         "_bucket_size")
     cut = one.join(two, F.col("_src").eqNullSafe(F.col("_src2"))).drop("_src2", "_rest1")
-    return (targets.withColumnRenamed("_src", "_source")
-            .join(cut, F.col("_source").eqNullSafe(F.col("_src")), "left").drop("_src", "_budget"))
+    return stored(targets.withColumnRenamed("_src", "_source")
+                  .join(cut, F.col("_source").eqNullSafe(F.col("_src")), "left").drop("_src", "_budget"),
+                  "mixing-plan")
 
 
 def _taken(doc_id: Column, size: Column, seed: int) -> Column:
