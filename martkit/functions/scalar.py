@@ -29,17 +29,17 @@ def cents(c) -> Column:
 
 
 def ratio_half_up(num, den, digits: int = 2) -> Column:
-    """num/den of non-negative integers rounded half-up to ``digits`` decimals,
-    computed in integer arithmetic (no binary-rounding surprises); NULL when
-    den is 0 (the zero guard)."""
-    n, d = _c(num).cast("long"), _c(den).cast("long")
+    """num/den of non-negative integers rounded half-up to ``digits`` decimals, in
+    decimal integer arithmetic (no binary rounding, no overflow up to 30 digits);
+    NULL when den is 0 (the zero guard)."""
+    n, d = _c(num).cast("decimal(30,0)"), _c(den).cast("decimal(30,0)")
     scale = 10 ** digits
-    return F.when(d != 0, _intdiv(n * (2 * scale) + d, d * 2) / F.lit(float(scale)))
+    return F.when(d != 0, _intdiv(n * F.lit(2 * scale) + d, d * F.lit(2)) / F.lit(float(scale)))
 
 
 def _intdiv(a: Column, b: Column) -> Column:
-    """Floor division of non-negative longs, exact (stays integral)."""
-    return ((a - F.pmod(a, b)) / b).cast("long")
+    """Floor division of non-negative integers, exact (SQL ``div``)."""
+    return F.call_function("div", a, b)
 
 
 def round_dec(c, digits: int = 2, via: str = "decimal(38,10)") -> Column:

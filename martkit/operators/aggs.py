@@ -12,27 +12,30 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import cents, ratio_half_up
+from ..functions.scalar import money, ratio_half_up
 from .common import as_list
 
 
 def money_sum(c) -> Column:
-    """Exact sum of a 2-decimal money column, returned as double: summed in
-    integer cents, so the result does not depend on the order in which
-    partial sums are combined (a double sum would), and stays in fast long
-    arithmetic. The final cents/100 is one correctly rounded division."""
-    return F.sum(cents(c)) / F.lit(100.0)
+    """Exact sum of a 2-decimal money column: a decimal sum, which does not depend on
+    the order of adding, given back as the nearest double."""
+    return F.sum(money(c)).cast("double")
 
 
-def cube_report(df: DataFrame, dims: Sequence[str], sums: dict[str, str],
-                count: str = "row_count", gid: str = "gid") -> DataFrame:
-    """CUBE over ``dims`` with exact money sums and a row count.
+def cube_report(df: DataFrame, dims: Sequence[str], sums: dict[str, Column | str],
+                count: str = "row_count", gid: str = "gid",
+                distinct: dict[str, str] | None = None) -> DataFrame:
+    """CUBE over ``dims`` with sums, a row count and, on request, counts of
+    distinct values (``distinct``: output name -> column).
 
-    ``gid`` (grouping id, first dim = highest bit) tells a subtotal row from a
-    group whose key really is NULL.
+    Columns are summed as they are: money is passed as a decimal
+    (``functions.scalar.money``), which sums exactly in any order. ``gid``
+    (grouping id, first dim = highest bit) tells a subtotal row from a group whose
+    key really is NULL.
     """
-    aggs = [money_sum(src).alias(name) for name, src in sums.items()]
+    aggs = [F.sum(F.col(src) if isinstance(src, str) else src).alias(name) for name, src in sums.items()]
     aggs.append(F.count(F.lit(1)).alias(count))
+    aggs += [F.countDistinct(src).alias(name) for name, src in (distinct or {}).items()]
     aggs.append(F.grouping_id(*dims).cast("int").alias(gid))
     return df.cube(*dims).agg(*aggs)
 
@@ -98,20 +101,21 @@ def best_by_sum(df: DataFrame, by: Sequence[str] | str, item: str, amount: str,
     """Per group, the ``item`` with the highest summed ``amount``; ties go to the
     smallest item. Two partial aggregates (group, item) -> group."""
     by = as_list(by)
-    s = df.groupBy(*by, item).agg(F.sum(cents(amount)).alias("_s"))
+    s = df.groupBy(*by, item).agg(F.sum(money(amount)).alias("_s"))
     return s.groupBy(*by).agg(
         F.max_by(F.col(item), F.struct(F.col("_s"), -F.col(item))).alias(out))
 
 
 def user_price_report(df: DataFrame, user: str, product: str, price: str) -> DataFrame:
-    """Per user min/max/avg price (2 decimals) and the best product."""
+    """Per user min/max/avg price (2 decimals) and the best product; lines
+    without a price are no part of the average."""
     stats = df.groupBy(user).agg(
         F.min(price).alias("min_price"),
         F.max(price).alias("max_price"),
-        F.sum(cents(price)).alias("_sc"), F.count(F.lit(1)).alias("_n"))
-    # round(avg, 2) half-up, exact: from the integer cent sum and the count
+        F.sum(money(price)).alias("_sum"), F.count(price).alias("_n"))
+    # round(avg, 2) half-up, exact: from the decimal sum and the count of prices
     stats = stats.select(user, "min_price", "max_price",
-                         ratio_half_up("_sc", F.col("_n") * 100).alias("avg_price"))
+                         ratio_half_up(F.col("_sum") * 100, F.col("_n") * 100).alias("avg_price"))
     best = best_by_sum(df, user, product, price, "best_product")
     return stats.join(best, user)
 

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stored
 
 
 def as_list(x) -> list:
@@ -21,122 +22,53 @@ def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def order_number(df: DataFrame, c) -> Column:
-    """A number that is monotone in ``c`` (numeric, date or timestamp), with
-    no time-zone dependence."""
-    name = c if isinstance(c, str) else None
-    x = F.col(c) if isinstance(c, str) else c
-    dtype = df.select(x).schema[0].dataType.simpleString()
+def exact_number(df: DataFrame, name: str) -> Column:
+    """A number for differences of ``name`` (numeric, date or timestamp): exact for
+    all but floating point, and free of time zones."""
+    x, dtype = F.col(name), df.schema[name].dataType.simpleString()
     if dtype == "timestamp_ntz":
         # wall-clock micros from field arithmetic: no cast to an instant, so no
         # session time zone (and no DST gap) can reorder values
-        return (F.unix_date(x.cast("date")).cast("double") * 86_400_000_000
-                + F.hour(x).cast("double") * 3_600_000_000
-                + F.minute(x).cast("double") * 60_000_000
-                + F.date_part(F.lit("SECOND"), x).cast("double") * 1_000_000)
+        return (F.unix_date(x.cast("date")).cast("long") * 86_400_000_000
+                + F.hour(x).cast("long") * 3_600_000_000 + F.minute(x).cast("long") * 60_000_000
+                + (F.date_part(F.lit("SECOND"), x) * 1_000_000).cast("long"))
     if dtype == "timestamp":
         return F.unix_micros(x)
     if dtype == "date":
-        return F.unix_date(x)
-    if dtype in ("tinyint", "smallint", "int", "bigint", "float", "double") or dtype.startswith("decimal"):
-        return x.cast("double")
-    raise TypeError(f"order column must be numeric, date or timestamp, got {dtype}")
+        return F.unix_date(x).cast("long")
+    if dtype in ("tinyint", "smallint", "int", "bigint"):
+        return x.cast("decimal(20,0)")
+    if dtype in ("float", "double") or dtype.startswith("decimal"):
+        return x
+    raise TypeError(f"nearest needs a numeric, date or timestamp column, got {dtype}")
 
 
 ROWS_PER_BUCKET = 2_000_000
 
 
-def orderable(df: DataFrame, c) -> bool:
-    """True when ``order_number`` can map ``c`` (numeric, date, timestamp)."""
-    try:
-        order_number(df, c)
-        return True
-    except TypeError:
-        return False
-
-
-SUB_BITS = 20  # room for the second-level bucket inside one first-level bucket
-
-
-def key_buckets(df: DataFrame, key_col: str, first_order, rows_per_bucket: int | None = None,
-                out: str = "_chunk", second_order=None) -> DataFrame:
-    """Tag rows with a bucket that is monotone in the (ascending) order
-    *within their key*, splitting only hot keys.
-
-    Keys with more than ``rows_per_bucket`` rows are hot; each hot key's range
-    of the first order column is cut into ceil(rows / rows_per_bucket)
-    equal-width buckets, every other key is bucket 0. When a (hot key,
-    bucket) is still hot -- many rows share a first order value, e.g. copies
-    stamped with one timestamp -- and a ``second_order`` column is given, that
-    bucket is cut again on the second column. Ordered-series operators run per
-    (key, bucket) and stitch bucket edges through a per-(key, bucket) summary,
-    so a key holding a third of all rows is spread over many tasks while
-    ordinary keys cost one summary row each.
-
-    The hot tables are partial aggregates over a content-hash sample, filtered
-    to an estimated count > rows_per_bucket, so each has at most
-    rows / rows_per_bucket entries: a proven bound, which is why they are
-    broadcast (no shuffle of the data). Buckets use the sampled min/max; values
-    outside it still get monotone buckets. The bucket is a pure function of
-    the row and those aggregates, hence identical in every branch of a plan
-    and on every task retry (unlike sample-based range bounds, which depend on
-    the order in which shuffled rows arrive). NULL order values go first.
+def split_hot(df: DataFrame, order: Iterable, rows_per_bucket: int | None = None
+              ) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of hot keys with a ``_chunk``), by ``_key``.
+
+    Keys with more than ``rows_per_bucket`` rows are found once, by a partial count,
+    and stored, so that joins with them are broadcast only if that table is measured
+    to be small. Ordinary keys need one plain window. The hot ones are
+    range-partitioned on (key, full order tuple) - equal-depth whatever the values:
+    outliers, one shared instant, strings - and stored with the number of their
+    range, which is monotone in the order within a key; operators work per (key,
+    chunk) and stitch the edges. The limit only decides where rows are worked on,
+    never a result. Without a hot key the second frame is None.
     """
     rpb = int(rows_per_bucket or ROWS_PER_BUCKET)
-    d = df.withColumn("_x", order_number(df, first_order))
-    if second_order is not None:
-        d = d.withColumn("_x2", order_number(df, second_order))
-    # Hot-key *detection* reads a content-hash sample (about 1000 sampled rows
-    # for a key at the threshold): deterministic whatever the row order, and
-    # 1/every of the data to aggregate. The sample only decides how finely a
-    # key is bucketed -- every row is still processed, and a misjudged key
-    # changes balance, never results; at most rows / rpb keys pass the filter.
-    every = max(1, rpb // 1000)
-    hcols = [F.col(key_col), F.col("_x")] + ([F.col("_x2")] if second_order is not None else [])
-
-    def sampled(frame: DataFrame) -> DataFrame:  # noqa: E306
-        return frame if every == 1 else frame.where(
-            F.pmod(F.xxhash64(*hcols), F.lit(every)) == 0)
-
-    def widths(frame: DataFrame, keys: list, x: str, lo: str, w: str) -> DataFrame:
-        return (sampled(frame).groupBy(*keys)
-                .agg((F.count(F.lit(1)) * every).alias("_n"), F.min(x).alias("_mn"),
-                     F.max(x).alias("_mx"))
-                .where(F.col("_n") > rpb)
-                .select(*keys, F.col("_mn").alias(lo),
-                        ((F.col("_mx") - F.col("_mn")) / F.ceil(F.col("_n") / F.lit(rpb))
-                         + F.lit(1e-9)).alias(w)))
-
-    j = d.join(F.broadcast(widths(d, [key_col], "_x", "_lo", "_w")), key_col, "left")
-    b = F.when(F.col("_w").isNull(), F.lit(0)).otherwise(
-        F.coalesce(F.floor((F.col("_x") - F.col("_lo")) / F.col("_w")), F.lit(-(1 << 40))))
-    j = j.withColumn("_b1", b.cast("long"))
-    if second_order is None:
-        return j.withColumnRenamed("_b1", out).drop("_x", "_lo", "_w")
-    # second level: a (hot key, bucket) that is still hot and whose sampled
-    # rows share one first-order value v1 is cut on the second column. Rows of
-    # that bucket with another first-order value (missed by the sample) go to
-    # the lowest (x < v1) or highest (x > v1) sub-bucket, so the bucket stays
-    # monotone in (first, second) whatever the sample saw.
-    hot1 = sampled(j.where(F.col("_w").isNotNull()))
-    sub = (hot1.groupBy(key_col, "_b1")
-               .agg((F.count(F.lit(1)) * every).alias("_n"), F.min("_x").alias("_v1"),
-                    F.max("_x").alias("_v1b"), F.min("_x2").alias("_lo2"),
-                    F.max("_x2").alias("_hi2"))
-               .where((F.col("_n") > rpb) & (F.col("_v1") == F.col("_v1b")))
-               .select(key_col, "_b1", "_v1", "_lo2",
-                       ((F.col("_hi2") - F.col("_lo2")) / F.ceil(F.col("_n") / F.lit(rpb))
-                        + F.lit(1e-9)).alias("_w2")))
-    j = j.join(F.broadcast(sub), [key_col, "_b1"], "left")
-    lim = (1 << (SUB_BITS - 1)) - 1
-    inner = F.coalesce(F.greatest(F.least(F.floor((F.col("_x2") - F.col("_lo2")) / F.col("_w2")),
-                                          F.lit(lim - 1)), F.lit(-lim + 1)), F.lit(-lim + 1))
-    b2 = (F.when(F.col("_w2").isNull(), F.lit(0))
-           .when(F.col("_x").isNull() | (F.col("_x") < F.col("_v1")), F.lit(-lim))
-           .when(F.col("_x") > F.col("_v1"), F.lit(lim))
-           .otherwise(inner))
-    return (j.withColumn(out, F.col("_b1") * (1 << SUB_BITS) + b2.cast("long"))
-             .drop("_x", "_lo", "_w", "_x2", "_lo2", "_w2", "_b1", "_v1"))
+    hot = stored(df.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rpb), "hot-keys")
+    rows = hot.agg(F.sum("_n")).first()[0]
+    if not rows:
+        return df, None
+    keys = hot.select("_key")
+    chunks = (df.join(keys, "_key", "left_semi")
+              .repartitionByRange(-(-rows // rpb), F.col("_key"), *[col(o) for o in order])
+              .withColumn("_chunk", F.spark_partition_id()))
+    return df.join(keys, "_key", "left_anti"), stored(chunks, "hot-chunks")
 
 
 def range_chunks(df: DataFrame, order: Iterable, n: int | None = None,

@@ -14,7 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_list, key_buckets, order_number
+from ..session import stored
+from .common import as_list, exact_number, split_hot
 
 UNB = Window.unboundedPreceding
 
@@ -125,12 +126,11 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     wins.
 
     Plan: both sides are unioned into one (key, ts)-ordered stream in which a
-    right row sorts before a left row at the same instant; hot keys are cut
-    into time buckets (``key_buckets``: a hot key spans many tasks); inside a
-    bucket ``last(right, ignorenulls)`` carries the nearest right row along
-    the stream (forward: along the reversed stream, a second sort on the same
-    partitioning); each bucket's boundary right row is carried into the
-    neighbouring buckets of the key through a per-(key, bucket) summary.
+    right row sorts before a left row at the same instant; ``last(right,
+    ignorenulls)`` carries the nearest right row along the stream (forward: along
+    the reversed stream, a second sort on the same partitioning). Hot keys are cut
+    into ranges of the stream (``split_hot``), and each range's boundary right row
+    is carried on through a summary of one row per (key, chunk).
     """
     if direction not in ("backward", "forward", "nearest"):
         raise ValueError(direction)
@@ -150,7 +150,7 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
                        *[F.col(t).alias(f"_t{i}") for i, t in enumerate(tie)],
                        *[F.col(c).alias(f"_rc{i}") for i, c in enumerate(right_cols)])
     rstruct = F.struct(*[F.col(f"_rc{i}").alias(c) for i, c in enumerate(right_cols)],
-                       order_number(r0, "_ts").alias("__o"))
+                       F.col("_ts").alias("__ts"))
     rside = r0.select(*keys, "_ts", F.lit(0).alias("_tag"),
                       *[f"_t{i}" for i in range(len(tie))],
                       F.lit(None).cast(left.select(F.struct(*lcols)).schema[0].dataType).alias("_l"),
@@ -165,39 +165,55 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     u = lside.unionByName(rside).withColumn("_key", F.struct(*keys))
     ties = [F.col(f"_t{i}") for i in range(len(tie))]
     seq = [F.col("_ts"), F.col("_tag")] + ties
-    c = key_buckets(u, "_key", "_ts", rows_per_bucket)
-    # per (key, bucket): the bucket's last and first right rows (a partial
-    # aggregate of the input), carried into the neighbouring buckets of the
-    # key by small windows over the summary
-    is_r = F.col("_tag") == 0
-    o = F.col("_r.__o")
-    summary = c.groupBy("_key", "_chunk").agg(
-        F.max_by(F.when(is_r, F.col("_r")), F.when(is_r, F.struct(*seq))).alias("_lr"),
-        F.max_by(F.when(is_r, F.col("_r")), F.when(is_r, F.struct(-o, *ties))).alias("_fr"))
-    wk = Window.partitionBy("_key").orderBy("_chunk")
-    carry = summary.select(
-        "_key", "_chunk",
-        F.last("_lr", ignorenulls=True).over(wk.rowsBetween(UNB, -1)).alias("_cb"),
-        F.first("_fr", ignorenulls=True).over(
-            wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cf"))
-    part = Window.partitionBy("_key", "_chunk")
-    if back:
-        wb = part.orderBy(*seq).rowsBetween(UNB, Window.currentRow)
-        c = c.withColumn("_mb", F.last("_r", ignorenulls=True).over(wb))
-    if fwd:
-        wf = part.orderBy(F.col("_ts").desc(), F.col("_tag"), *ties).rowsBetween(UNB, Window.currentRow)
-        c = c.withColumn("_mf", F.last("_r", ignorenulls=True).over(wf))
-    # same (key, bucket) columns as the window: the big side is not re-shuffled
-    j = c.where(F.col("_tag") == 1).join(carry, ["_key", "_chunk"], "left")
-    mb = F.coalesce(F.col("_mb"), F.col("_cb")) if back else None
-    mf = F.coalesce(F.col("_mf"), F.col("_cf")) if fwd else None
+    # left rows of one instant may lie in any order: a hash spreads them
+    cold, hot = split_hot(u, [*seq, F.xxhash64("_l")], rows_per_bucket)
+
+    def carried(d: DataFrame, *by_cols: str) -> DataFrame:
+        part = Window.partitionBy(*by_cols)
+        if back:
+            wb = part.orderBy(*seq).rowsBetween(UNB, Window.currentRow)
+            d = d.withColumn("_mb", F.last("_r", ignorenulls=True).over(wb))
+        if fwd:
+            wf = part.orderBy(F.col("_ts").desc(), F.col("_tag"), *ties).rowsBetween(UNB, Window.currentRow)
+            d = d.withColumn("_mf", F.last("_r", ignorenulls=True).over(wf))
+        return d.where(F.col("_tag") == 1)
+
+    cols = ["_l", "_ts", *keys, *(["_mb"] if back else []), *(["_mf"] if fwd else [])]
+    j = carried(cold, "_key").select(*cols)
+    if hot is not None:
+        # of the right rows of an instant only the best matters; it is in the last of
+        # their chunks, before all left rows of the instant
+        is_r = F.col("_tag") == 0
+        tcols = [f"_t{i}" for i in range(len(tie))]  # as in ``ties``
+        best = (hot.where(is_r).groupBy("_key", "_ts", "_tag", *keys)
+                .agg(F.max_by(F.struct("_r", "_chunk", *tcols), F.struct(*ties, "_chunk")).alias("_x"))
+                .select("_key", "_ts", "_tag", *keys, "_x.*", F.lit(None).cast(hot.schema["_l"].dataType).alias("_l")))
+        hot = stored(hot.where(~is_r).unionByName(best.select(*hot.columns)), "asof-hot")
+        ends = hot.groupBy("_key", "_chunk").agg(
+            F.max_by(F.when(is_r, F.col("_r")), F.when(is_r, F.col("_ts"))).alias("_lr"),
+            F.min_by(F.when(is_r, F.col("_r")), F.when(is_r, F.col("_ts"))).alias("_fr"))
+        wk = Window.partitionBy("_key").orderBy("_chunk")
+        carry = ends.select(
+            "_key", "_chunk", F.last("_lr", ignorenulls=True).over(wk.rowsBetween(UNB, -1)).alias("_cb"),
+            F.first("_fr", ignorenulls=True).over(wk.rowsBetween(1, Window.unboundedFollowing)).alias("_cf"))
+        h = carried(hot, "_key", "_chunk").join(stored(carry, "asof-carry"), ["_key", "_chunk"])
+        if back:
+            h = h.withColumn("_mb", F.coalesce("_mb", "_cb"))
+        if fwd:
+            # a right row of the very instant may be in a chunk before the left row's
+            same = hot.where(is_r).select(F.col("_key").alias("_sk"), F.col("_ts").alias("_st"), F.col("_r").alias("_sr"))
+            h = h.join(same, (F.col("_key") == F.col("_sk")) & (F.col("_ts") == F.col("_st")), "left")
+            h = h.withColumn("_mf", F.coalesce("_sr", "_mf", "_cf"))
+        j = j.unionByName(h.select(*cols))
+    mb, mf = F.col("_mb"), F.col("_mf")
     if direction == "backward":
         m = mb
     elif direction == "forward":
         m = mf
     else:
-        po = order_number(j, "_ts")
-        closer_back = (po - mb.getField("__o")) <= (mf.getField("__o") - po)
+        j = j.withColumns({"_bts": F.col("_mb.__ts"), "_fts": F.col("_mf.__ts")})
+        at, before, after_ = exact_number(j, "_ts"), exact_number(j, "_bts"), exact_number(j, "_fts")
+        closer_back = (at - before) <= (after_ - at)
         m = F.when(mf.isNull(), mb).when(mb.isNull(), mf).when(closer_back, mb).otherwise(mf)
     valid = F.col("_ts").isNotNull()
     for k in keys:
@@ -206,33 +222,20 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     return j.select("_l.*", *[m.getField(c).alias(prefix_ + c) for c in right_cols])
 
 
-def asof_probes(left: DataFrame, right: DataFrame, by: Sequence[str] | str, left_ts: str,
-                right_ts: str, probes: dict, row_key: str,
-                tie: Sequence[str] | str | None = None, rows_per_bucket: int | None = None,
-                direction: str = "backward") -> DataFrame:
-    """Several as-of probes of the same right side in one pass.
-
-    ``probes`` maps an output prefix to ``(shift, right_cols)`` (shift may be
-    None). Every left row is copied once per probe with its own probe time,
-    all copies go through a single ``asof_left`` (so the right side is
-    shuffled once, not once per probe), and the copies are folded back into
-    one row per ``row_key`` (a unique left column) with a partial aggregate.
-    """
-    names = list(probes)
-    all_rcols = []
-    for _, (_, cols) in probes.items():
-        all_rcols += [c for c in cols if c not in all_rcols]
-    copies = None
-    for i, name in enumerate(names):
-        shift = probes[name][0]
-        pts = F.col(left_ts) if shift is None else F.col(left_ts) + shift
-        cp = left.withColumn("_probe", F.lit(i)).withColumn("_pts", pts)
-        copies = cp if copies is None else copies.unionByName(cp)
-    m = asof_left(copies, right, by, "_pts", right_ts, all_rcols, tie=tie, prefix_="_m_",
-                  rows_per_bucket=rows_per_bucket, direction=direction)
-    aggs = [F.max(c).alias(c) for c in left.columns if c != row_key]
-    for i, name in enumerate(names):
-        for c in probes[name][1]:
-            aggs.append(F.max(F.when(F.col("_probe") == i, F.col(f"_m_{c}"))).alias(name + c))
-    return m.groupBy(row_key).agg(*aggs).select(
-        *left.columns, *[name + c for name in names for c in probes[name][1]])
+def asof_probes(left: DataFrame, right: DataFrame, probes: dict, right_by: Sequence[str] | str,
+                right_ts: str, tie: Sequence[str] | str | None = None,
+                rows_per_bucket: int | None = None, direction: str = "backward") -> DataFrame:
+    """Several as-of probes of one right side. ``probes`` maps an output prefix
+    to ``(left key columns, left time column, shift or None, right columns)``, so
+    every probe has its own key and time (weather at departure, weather at
+    arrival). One as-of after the other: left rows need no unique key, and
+    duplicates and NULLs pass through each of them."""
+    out, right_by = left, as_list(right_by)
+    for name, (by, ts, shift, cols) in probes.items():
+        side = right
+        keys = as_list(by)
+        if keys != right_by:
+            side = right.withColumnsRenamed(dict(zip(right_by, keys, strict=True)))
+        out = asof_left(out, side, keys, ts, right_ts, cols, tie=tie, prefix_=name, shift=shift,
+                        rows_per_bucket=rows_per_bucket, direction=direction)
+    return out

@@ -1,10 +1,9 @@
 """Ordered-series operators (W*, P8, P12).
 
-None of these uses a window without PARTITION BY, and none relies on one
-key fitting in one task: hot keys are cut into order buckets
-(``key_buckets``), each (key, bucket) is processed independently, and the
-bucket edges are stitched through a per-(key, bucket) summary (one row per
-ordinary key plus one per hot-key bucket).
+None of these uses a window over all rows without PARTITION BY, and none relies
+on one key fitting in one task: ordinary keys get a plain window; hot keys are cut
+into ranges of their order (``split_hot``), each (key, chunk) is processed
+independently, and the edges are stitched through a summary of one row per chunk.
 """
 
 from __future__ import annotations
@@ -12,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
-from .common import as_list, col, key_buckets, orderable, range_chunks
+from ..session import stored
+from .common import as_list, col, range_chunks, split_hot
 
 UNB = Window.unboundedPreceding
 
@@ -36,9 +35,8 @@ def dense_id(df: DataFrame, order_by, out: str = "id", start: int = 1) -> DataFr
          .withColumn("_pos", F.monotonically_increasing_id()
                      - F.shiftleft(F.col("_chunk").cast("long"), 33)))
     # Range bounds and positions are only stable for one execution: keep one
-    # reliable copy (shared checkpoint dir) that both branches below read.
-    checkpoint_root(df.sparkSession)
-    c = c.checkpoint(eager=True)
+    # copy (shared checkpoint folder) that both branches below read.
+    c = stored(c, "dense-id")
     counts = c.groupBy("_chunk").agg(F.count(F.lit(1)).alias("_n"))
     offs = counts.select(
         "_chunk",
@@ -119,34 +117,37 @@ def neighbours(df: DataFrame, by, order, value: str, prev: str = "_prev",
     Missing neighbours are NULL; ``{prev}_exists``/``{nxt}_exists`` tell a
     missing neighbour from a NULL value.
 
-    One big shuffle: rows are hashed on (key, bucket) for the window; the
-    bucket edge summary is a partial aggregate of the input, and the final
-    join on the same (key, bucket) columns reuses the window's partitioning.
+    Ordinary keys: lag and lead of one window. Hot keys: the same per (key, chunk),
+    with the edge rows completed from the neighbouring chunk of the key.
     """
     by, order = as_list(by), as_list(order)
     ocols = [col(o) for o in order]
-    second = order[1] if len(order) > 1 and orderable(df, order[1]) else None
-    c = key_buckets(df.withColumn("_key", F.struct(*by)), "_key", order[0], rows_per_bucket,
-                    second_order=second)
+    cold, hot = split_hot(df.withColumn("_key", F.struct(*by)), order, rows_per_bucket)
+    new = [prev, f"{prev}_exists", nxt, f"{nxt}_exists"]
+
+    def adjacent(d: DataFrame, *keys: str) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*ocols)
+        return (d.withColumn(prev, F.lag(value).over(w))
+                 .withColumn(f"{prev}_exists", F.lag(F.lit(True), 1, False).over(w))
+                 .withColumn(nxt, F.lead(value).over(w))
+                 .withColumn(f"{nxt}_exists", F.lead(F.lit(True), 1, False).over(w)))
+
+    out = adjacent(cold, "_key").select(*df.columns, *new)
+    if hot is None:
+        return out
     okey = F.struct(*ocols)
-    edges = c.groupBy("_key", "_chunk").agg(
+    edges = hot.groupBy("_key", "_chunk").agg(
         F.min_by(F.struct(F.col(value).alias("v")), okey).alias("_first"),
-        F.max_by(F.struct(F.col(value).alias("v")), okey).alias("_last"),
-        F.min(okey).alias("_fo"), F.max(okey).alias("_lo"))
+        F.max_by(F.struct(F.col(value).alias("v")), okey).alias("_last"))
     wc = Window.partitionBy("_key").orderBy("_chunk")
-    edges = edges.select("_key", "_chunk", "_fo", "_lo",
-                         F.lag("_last").over(wc).alias("_pl"),
-                         F.lead("_first").over(wc).alias("_nf"))
-    w = Window.partitionBy("_key", "_chunk").orderBy(*ocols)
-    c = (c.withColumn("_lp", F.lag(value).over(w))
-          .withColumn("_ln", F.lead(value).over(w)))
-    j = c.join(edges, ["_key", "_chunk"])
-    first, last = okey == F.col("_fo"), okey == F.col("_lo")
-    return (j.withColumn(prev, F.when(first, F.col("_pl.v")).otherwise(F.col("_lp")))
-             .withColumn(f"{prev}_exists", ~first | F.col("_pl").isNotNull())
-             .withColumn(nxt, F.when(last, F.col("_nf.v")).otherwise(F.col("_ln")))
-             .withColumn(f"{nxt}_exists", ~last | F.col("_nf").isNotNull())
-             .drop("_key", "_chunk", "_lp", "_ln", "_pl", "_nf", "_fo", "_lo"))
+    edges = stored(edges.select("_key", "_chunk", F.lag("_last").over(wc).alias("_pl"),
+                                F.lead("_first").over(wc).alias("_nf")), "chunk-edges")
+    j = adjacent(hot, "_key", "_chunk").join(edges, ["_key", "_chunk"])
+    j = (j.withColumn(prev, F.when(F.col(f"{prev}_exists"), F.col(prev)).otherwise(F.col("_pl.v")))
+          .withColumn(f"{prev}_exists", F.col(f"{prev}_exists") | F.col("_pl").isNotNull())
+          .withColumn(nxt, F.when(F.col(f"{nxt}_exists"), F.col(nxt)).otherwise(F.col("_nf.v")))
+          .withColumn(f"{nxt}_exists", F.col(f"{nxt}_exists") | F.col("_nf").isNotNull()))
+    return out.unionByName(j.select(*df.columns, *new))
 
 
 def runs(df: DataFrame, by, order, value: str, length: int = 3,
@@ -213,22 +214,28 @@ def window_min(df: DataFrame, by, value: str, out: str = "min_value") -> DataFra
 
 def running_sum(df: DataFrame, by, order, value: str, out: str = "running",
                 rows_per_bucket: int | None = None) -> DataFrame:
-    """Prefix sums of ``value`` per key along ``order`` (total)."""
+    """Prefix sums of ``value`` per key along ``order`` (total). NULL values
+    add nothing; the sum is NULL until the first value that is not. Sums of
+    integers and decimals are exact; those of doubles depend in their last digits
+    on the order in which Spark adds."""
     by, order = as_list(by), as_list(order)
     ocols = [col(o) for o in order]
-    second = order[1] if len(order) > 1 and orderable(df, order[1]) else None
-    c = key_buckets(df.withColumn("_key", F.struct(*by)), "_key", order[0], rows_per_bucket,
-                    second_order=second)
-    w = Window.partitionBy("_key", "_chunk").orderBy(*ocols).rowsBetween(UNB, Window.currentRow)
-    local = c.withColumn("_local", F.sum(value).over(w))
-    tot = c.groupBy("_key", "_chunk").agg(F.sum(value).alias("_tot"))
+    cold, hot = split_hot(df.withColumn("_key", F.struct(*by)), order, rows_per_bucket)
+
+    def prefix(*keys: str):
+        return F.sum(value).over(Window.partitionBy(*keys).orderBy(*ocols)
+                                 .rowsBetween(UNB, Window.currentRow))
+
+    done = cold.withColumn(out, prefix("_key")).select(*df.columns, out)
+    if hot is None:
+        return done
+    tot = hot.groupBy("_key", "_chunk").agg(F.sum(value).alias("_tot"))
     wc = Window.partitionBy("_key").orderBy("_chunk").rowsBetween(UNB, -1)
-    offs = tot.select("_key", "_chunk", F.sum("_tot").over(wc).alias("_off"))
-    # same (key, bucket) columns as the window: the big side is not re-shuffled
-    j = local.join(offs, ["_key", "_chunk"])
-    return (j.withColumn(out, F.when(F.col("_off").isNull(), F.col("_local"))
-                         .otherwise(F.col("_local") + F.col("_off")))
-             .drop("_key", "_chunk", "_local", "_off"))
+    offs = stored(tot.select("_key", "_chunk", F.sum("_tot").over(wc).alias("_off")), "chunk-offsets")
+    j = hot.withColumn("_local", prefix("_key", "_chunk")).join(offs, ["_key", "_chunk"])
+    both = F.when(F.col("_off").isNull(), F.col("_local")).when(F.col("_local").isNull(), F.col("_off")) \
+        .otherwise(F.col("_local") + F.col("_off"))
+    return done.unionByName(j.withColumn(out, both.cast(done.schema[out].dataType)).select(*df.columns, out))
 
 
 # --------------------------------------------------------------------------
@@ -237,10 +244,17 @@ def running_sum(df: DataFrame, by, order, value: str, out: str = "running",
 def gaps(df: DataFrame, by, id_col: str, lo=None, hi=None, out: str = "missing",
          rows_per_bucket: int | None = None) -> DataFrame:
     """Ids missing from each key's range [lo, hi] (default: the key's own
-    min..max). Work is O(present + missing): consecutive present ids are
-    paired with ``neighbours`` and only the holes are expanded."""
+    min..max). Work is O(present + missing): consecutive present ids inside the
+    range are paired with ``neighbours`` and only the holes are expanded; a key
+    without an id inside misses the whole range, if both ends are given."""
     by = as_list(by)
-    ids = df.where(F.col(id_col).isNotNull()).select(*by, id_col).distinct()
+    known = df.where(F.col(id_col).isNotNull())
+    inside = known
+    if lo is not None:
+        inside = inside.where(F.col(id_col) >= lo)
+    if hi is not None:
+        inside = inside.where(F.col(id_col) <= hi)
+    ids = inside.select(*by, id_col).distinct()
     t = ids.schema[id_col].dataType
     nb = neighbours(ids, by, [id_col], id_col, rows_per_bucket=rows_per_bucket)
     x, nxt = F.col(id_col), F.col("_next")
@@ -256,11 +270,15 @@ def gaps(df: DataFrame, by, id_col: str, lo=None, hi=None, out: str = "missing",
         segs.append(seg(~F.col("_next_exists") & (x < F.lit(hi)), x + 1, F.lit(hi)))
     holes = (nb.select(*by, F.explode(F.array(*segs)).alias("_h")).where(F.col("_h").isNotNull())
                .select(*by, F.col("_h.a").alias("_a"), F.col("_h.b").alias("_b")))
+    if lo is not None and hi is not None and lo <= hi:
+        in_range = F.col(id_col).between(lo, hi)
+        none = known.groupBy(*by).agg(F.max(in_range).alias("_any")).where(~F.col("_any"))
+        holes = holes.unionByName(none.select(*by, F.lit(lo).cast(t).alias("_a"), F.lit(hi).cast(t).alias("_b")))
     # expand in two levels so a huge hole is spread over many tasks
     step = 1 << 20
     blocks = holes.select(*by, "_b", F.explode(F.sequence(
         F.col("_a"), F.col("_b"), F.lit(step).cast(holes.schema["_a"].dataType))).alias("_s"))
-    return blocks.repartition(*by, "_s").select(
+    return blocks.select(
         *by, F.explode(F.sequence(F.col("_s"), F.least(F.col("_b"), F.col("_s") + step - 1)))
         .alias(out))
 

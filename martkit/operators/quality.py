@@ -17,11 +17,13 @@ from pyspark.sql.types import StructType
 
 @dataclass(frozen=True)
 class Rule:
-    """``kind`` is one of ``not_null``, ``check``, ``unique``, ``domain``.
+    """``kind`` is one of ``not_null``, ``check``, ``unique``, ``primary_key``, ``domain``.
 
     * not_null: ``cols`` must be non-NULL.
     * check: boolean ``expr``; as in SQL, a NULL result passes.
-    * unique: ``cols`` is a key; every copy of a duplicated key is rejected.
+    * unique: every copy of a repeated key is rejected; as in SQL, keys with a
+      NULL never repeat.
+    * primary_key: unique, and no column of the key may be NULL.
     * domain: ``cols[0]`` must be in ``values`` (NULL passes, like a CHECK).
     """
     name: str
@@ -47,48 +49,50 @@ def domain(name, col_, values):
     return Rule(name, "domain", (col_,), None, tuple(values))
 
 
-def _failed(df: DataFrame, r: Rule) -> DataFrame:
-    if r.kind == "not_null":
-        bad = None
-        for c in r.cols:
-            t = F.col(c).isNull()
-            bad = t if bad is None else bad | t
-        return df.where(bad)
+def primary_key(name, *cols):
+    return Rule(name, "primary_key", tuple(cols))
+
+
+def _row_failure(r: Rule) -> Column | None:
+    """Whether a row alone fails the rule; None if that takes other rows."""
+    missing = F.lit(False)
+    for c in r.cols:
+        missing = missing | F.col(c).isNull()
+    if r.kind in ("not_null", "primary_key"):
+        return missing
     if r.kind == "check":
-        return df.where(~F.coalesce(r.expr, F.lit(True)))
+        return ~F.coalesce(r.expr, F.lit(True))
     if r.kind == "domain":
         c = F.col(r.cols[0])
-        return df.where(c.isNotNull() & ~c.isin(*r.values))
+        return c.isNotNull() & ~c.isin(*r.values)
     if r.kind == "unique":
-        # partial count per key (map-side combined), then join back
-        dup = (df.groupBy(*r.cols).agg(F.count(F.lit(1)).alias("_n"))
-                 .where(F.col("_n") > 1).drop("_n"))
-        return df.join(dup, [df[c].eqNullSafe(dup[c]) for c in r.cols], "left_semi")
+        return None
     raise ValueError(r.kind)
 
 
 def validate(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
     """Split ``df`` into rows passing every rule and one rejected row per
-    (row, failed rule) with a ``rule`` column."""
-    rejected = None
-    for r in rules:
-        part = _failed(df, r).withColumn("rule", F.lit(r.name))
-        rejected = part if rejected is None else rejected.unionByName(part)
-    good = df
-    for r in rules:
-        if r.kind == "unique":
-            dup = (df.groupBy(*r.cols).agg(F.count(F.lit(1)).alias("_n"))
-                     .where(F.col("_n") > 1).drop("_n"))
-            good = good.join(dup, [good[c].eqNullSafe(dup[c]) for c in r.cols], "left_anti")
-        elif r.kind == "not_null":
-            for c in r.cols:
-                good = good.where(F.col(c).isNotNull())
-        elif r.kind == "check":
-            good = good.where(F.coalesce(r.expr, F.lit(True)))
-        elif r.kind == "domain":
-            c = F.col(r.cols[0])
-            good = good.where(c.isNull() | c.isin(*r.values))
-    return good, rejected
+    (row, failed rule) with a ``rule`` column.
+
+    All rules on single rows are one array of failed names, computed in one pass;
+    a key rule adds a partial count per key and a join with the repeated keys."""
+    checks = [F.when(_row_failure(r), F.lit(r.name)) for r in rules if _row_failure(r) is not None]
+    marked = df.withColumn("_failed", F.array_compact(F.array(*checks)) if checks
+                           else F.array().cast("array<string>"))
+    for i, r in enumerate(rules):
+        if r.kind not in ("unique", "primary_key"):
+            continue
+        key = F.struct(*[F.col(c) for c in r.cols])
+        some = F.lit(True)
+        for c in r.cols:
+            some = some & F.col(c).isNotNull()
+        dup = (df.where(some).groupBy(key.alias(f"_k{i}")).agg(F.count(F.lit(1)).alias("_n"))
+               .where(F.col("_n") > 1).select(f"_k{i}", F.lit(r.name).alias(f"_d{i}")))
+        marked = (marked.join(dup, key == F.col(f"_k{i}"), "left")
+                  .withColumn("_failed", F.array_union("_failed", F.array_compact(F.array(f"_d{i}"))))
+                  .drop(f"_k{i}", f"_d{i}"))
+    good = marked.where(F.size("_failed") == 0).select(*df.columns)
+    return good, marked.select(*df.columns, F.explode("_failed").alias("rule"))
 
 
 def assert_domain(c, values) -> Column:

@@ -29,6 +29,8 @@ def dedupe_batch(source: DataFrame, keys: Sequence[str], tie: Sequence[str]) ->
     ``min_by`` is a partial aggregate, safe for a hot key."""
     keys, tie = as_list(keys), as_list(tie)
     rest = [c for c in source.columns if c not in keys]
+    if not rest:
+        return source.distinct()
     return (source.groupBy(*keys)
                   .agg(F.min_by(F.struct(*rest), F.struct(*[F.col(t) for t in tie])).alias("_r"))
                   .select(*keys, "_r.*"))
@@ -38,16 +40,15 @@ def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str] |
                      tie: Sequence[str] | str | None = None) -> DataFrame:
     """``INSERT ... ON CONFLICT (key) DO NOTHING``.
 
-    The batch is deduplicated on the key first (lowest tie wins); rows whose
-    key already exists are dropped; NULL keys never conflict (appended)."""
+    The batch is deduplicated on the key first (lowest tie wins; without ``tie``,
+    the lowest of all other columns); rows whose key already exists are dropped;
+    NULL keys never conflict (appended)."""
     keys = as_list(keys)
     src = source.select(*target.columns)
-    if tie is not None:
-        nn = src
-        for k in keys:
-            nn = nn.where(F.col(k).isNotNull())
-        nulls = src.where(_any_null(keys))
-        src = dedupe_batch(nn, keys, tie).select(*target.columns).unionByName(nulls)
+    if tie is None:
+        tie = [c for c in target.columns if c not in keys] or keys
+    nulls = src.where(_any_null(keys))
+    src = dedupe_batch(src.where(~_any_null(keys)), keys, tie).select(*target.columns).unionByName(nulls)
     new = src.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new)
 
@@ -80,8 +81,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str
     INSERT``. Unmatched target rows pass through; ``stamp`` (S14) gets the
     statement time on every updated or inserted row.
 
-    NULL keys never match: such source rows are inserted."""
+    NULL keys never match: such source rows are inserted. A ``stamp`` column that
+    the target lacks is added (NULL on rows that pass through)."""
     keys = as_list(keys)
+    unknown = [c for c in update_cols or () if c not in target.columns or c not in source.columns]
+    if unknown:
+        raise ValueError(f"update_cols not in both target and source: {unknown}")
+    if stamp is not None and stamp not in target.columns:
+        target = target.withColumn(stamp, F.lit(None).cast("timestamp"))
     cols = list(target.columns)
     upd = list(update_cols) if update_cols is not None else \
         [c for c in source.columns if c not in keys and c in cols]

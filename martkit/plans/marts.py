@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.aggs import cube_report
+from ..functions.scalar import money
+from ..operators.aggs import cube_report, money_sum
 from ..operators.joins import asof_probes, role_playing
 from ..sources.tables import Tables
 from .registry import query
@@ -73,8 +74,8 @@ def mart_report(mart: DataFrame) -> DataFrame:
     """A11 on the mart: revenue and counts for every combination of customer
     nation, supplier nation and return flag, with subtotals."""
     rep = cube_report(mart, ["cust_nation", "supp_nation", "l_returnflag"],
-                      {"total_revenue": "l_extendedprice"}, count="line_count")
-    return rep
+                      {"total_revenue": money("l_extendedprice")}, count="line_count")
+    return rep.withColumn("total_revenue", F.col("total_revenue").cast("double"))
 
 
 @query("mart_cube_report", f"""
@@ -93,7 +94,7 @@ def q_mart_cube_report(spark: SparkSession, d: str) -> DataFrame:
 SELECT l.l_returnflag, l.l_linestatus, p.p_type,
        CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS total_price,
        CAST(SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_qty,
-       COUNT(*) AS row_count,
+       COUNT(*) AS row_count, COUNT(DISTINCT l.l_orderkey) AS n_orders,
        CAST(GROUPING(l.l_returnflag, l.l_linestatus, p.p_type) AS INTEGER) AS gid
 FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 GROUP BY CUBE (l.l_returnflag, l.l_linestatus, p.p_type)
@@ -102,29 +103,52 @@ def q_cube_report(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     j = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
     return cube_report(j, ["l_returnflag", "l_linestatus", "p_type"],
-                       {"total_price": "l_extendedprice", "total_qty": "l_quantity"})
+                       {"total_price": money("l_extendedprice"), "total_qty": money("l_quantity")},
+                       distinct={"n_orders": "l_orderkey"}) \
+        .withColumns({c: F.col(c).cast("double") for c in ("total_price", "total_qty")})
 
 
 # --------------------------------------------------------------------------
-# Event mart with two as-of probes
+# Marts with as-of probes
 # --------------------------------------------------------------------------
-def event_mart(t: Tables) -> DataFrame:
-    """Purchases enriched with the user's latest view at the purchase time
-    and one hour later: two as-of probes (J12) answered in one pass over the
-    views (``asof_probes``)."""
-    ev = t.events
-    purchases = ev.where(F.col("event_type") == "purchase").select(
-        "event_id", "user_id", "ts", "value")
-    views = ev.where(F.col("event_type") == "view").select(
-        "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"),
-        F.col("value").alias("view_value"))
-    return asof_probes(purchases, views, "user_id", "ts", "view_ts",
-                       {"": (None, ["view_id", "view_ts", "view_value"]),
-                        "h1_": (F.expr("INTERVAL 1 HOUR"), ["view_id", "view_ts"])},
-                       row_key="event_id", tie="view_id")
+def nation_days(t: Tables) -> DataFrame:
+    """A time series by place: what each nation's customers ordered on a day."""
+    o = t.orders.select("o_custkey", "o_orderdate", "o_totalprice")
+    c = t.customer.select("c_custkey", "c_nationkey")
+    n = t.nation.select("n_nationkey", F.col("n_name").alias("nation"))
+    return (o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+            .groupBy("nation", F.col("o_orderdate").alias("day_ts"))
+            .agg(F.count(F.lit(1)).alias("day_orders"), money_sum("o_totalprice").alias("day_total")))
+
+
+@query("weather_fact_mart", f"""
+WITH fm AS ({WIDE_FACT_SQL}),
+w AS (SELECT n.n_name AS nation, o.o_orderdate AS day_ts, count(*) AS day_orders,
+             CAST(sum(CAST(o.o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS day_total
+      FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+      JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY 1, 2),
+a AS (SELECT fm.*, w.day_ts AS dep_day_ts, w.day_orders AS dep_day_orders, w.day_total AS dep_day_total
+      FROM fm ASOF LEFT JOIN w ON fm.cust_nation = w.nation AND fm.o_orderdate >= w.day_ts)
+SELECT a.*, w.day_ts AS arr_day_ts, w.day_orders AS arr_day_orders, w.day_total AS arr_day_total
+FROM a ASOF LEFT JOIN w ON a.supp_nation = w.nation AND a.l_shipdate >= w.day_ts
+WHERE o_orderstatus = 'F' AND o_orderdate IS NOT NULL AND l_shipdate IS NOT NULL
+  AND o_orderdate > TIMESTAMP '1970-01-01' AND l_shipdate > TIMESTAMP '1970-01-01'
+""", "J17")
+def q_weather_fact_mart(spark: SparkSession, d: str) -> DataFrame:
+    """The wide mart (J16) enriched twice from one series by place and time: at the
+    customer's nation when ordered, and at the supplier's nation when shipped."""
+    t = Tables(spark, d)
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    mart = wide_fact_mart(t).where(
+        (F.col("o_orderstatus") == "F") & F.col("o_orderdate").isNotNull() & F.col("l_shipdate").isNotNull()
+        & (F.col("o_orderdate") > epoch) & (F.col("l_shipdate") > epoch))
+    cols = ["day_ts", "day_orders", "day_total"]
+    return asof_probes(mart, nation_days(t), {"dep_": ("cust_nation", "o_orderdate", None, cols),
+                                              "arr_": ("supp_nation", "l_shipdate", None, cols)},
+                       right_by="nation", right_ts="day_ts")
 
 
-@query("weather_fact_mart", """
+@query("event_probe_mart", """
 WITH p AS (SELECT event_id, user_id, ts, value FROM events WHERE event_type = 'purchase'),
 v AS (SELECT user_id, ts AS view_ts, event_id AS view_id, value AS view_value
       FROM events WHERE event_type = 'view'),
@@ -133,5 +157,15 @@ a AS (SELECT p.*, v.view_id, v.view_ts, v.view_value
 SELECT a.*, v.view_id AS h1_view_id, v.view_ts AS h1_view_ts
 FROM a ASOF LEFT JOIN v ON a.user_id = v.user_id AND a.ts + INTERVAL 1 HOUR >= v.view_ts
 """, "J17")
-def q_event_mart(spark: SparkSession, d: str) -> DataFrame:
-    return event_mart(Tables(spark, d))
+def q_event_probe_mart(spark: SparkSession, d: str) -> DataFrame:
+    """Purchases with the user's latest view at the purchase and one hour later."""
+    ev = Tables(spark, d).events
+    purchases = ev.where(F.col("event_type") == "purchase").select(
+        "event_id", "user_id", "ts", "value")
+    views = ev.where(F.col("event_type") == "view").select(
+        "user_id", F.col("ts").alias("view_ts"), F.col("event_id").alias("view_id"),
+        F.col("value").alias("view_value"))
+    return asof_probes(purchases, views, {
+        "": ("user_id", "ts", None, ["view_id", "view_ts", "view_value"]),
+        "h1_": ("user_id", "ts", F.expr("INTERVAL 1 HOUR"), ["view_id", "view_ts"])},
+        right_by="user_id", right_ts="view_ts", tie="view_id")

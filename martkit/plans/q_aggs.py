@@ -11,19 +11,17 @@ from ..functions.scalar import cents, ratio_half_up, seconds_between
 from ..operators.aggs import (common_prefix, divisible_difference, entity_rollup,
                               latest_by_key, money_sum, next_day_retention, summing_fold,
                               user_price_report)
-from ..sources.tables import Tables
+from ..sources.tables import TABLES, Tables
 from .registry import query
 
-COUNT_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                "events")
 
 
 @query("table_count", " UNION ALL ".join(
-    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in COUNT_TABLES), "A1")
+    f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in TABLES), "A1")
 def table_count(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
     parts = [getattr(t, n).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(n).alias("table_name"), "row_count") for n in COUNT_TABLES]
+             .select(F.lit(n).alias("table_name"), "row_count") for n in TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 

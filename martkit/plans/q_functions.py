@@ -216,24 +216,35 @@ def _r2(sql_expr: str) -> str:
 
 
 @query("formula_projection", f"""
-SELECT a, b, {_r2('a * a * a - 2 * a * a + 3 * a - 4')} AS cubic,
+SELECT a, b, {_r2('a * a * a + 2 * a * a + 1')} AS cubic,
        {_r2('sqrt(a * a + b * b)')} AS hypotenuse,
-       {_r2('a * b / 2')} AS triangle_area,
+       {_r2('a * a * sqrt(3) / 4')} AS equilateral_area,
+       {_r2('a + b + c')} AS perimeter,
+       {_r2('sqrt(h * (h - a) * (h - b) * (h - c))')} AS heron_area,
        {_r2('4 * pi() * a * a')} AS sphere_area,
-       'P=' || CAST(round(CAST(2 * a + 2 * b AS DECIMAL(18,2)), 2) AS VARCHAR) AS perimeter_text
-FROM (SELECT DISTINCT l_quantity AS a, CAST(l_linenumber AS DOUBLE) AS b FROM lineitem)
+       {_r2('0.5 * a * b * sin(radians(angle))')} AS angle_area,
+       {_r2('pow(sin(radians(angle)), 2) + pow(cos(radians(angle)), 2)')} AS unit_sum,
+       'S=' || CAST(CAST(round(CAST(a * b AS DECIMAL(18,2)), 2) AS DECIMAL(18,2)) AS VARCHAR) AS area_text
+FROM (SELECT a, b, sqrt(a * a + b * b) AS c, (a + b + sqrt(a * a + b * b)) / 2 AS h, 10 * b AS angle
+      FROM (SELECT DISTINCT l_quantity AS a, CAST(l_linenumber AS DOUBLE) AS b FROM lineitem))
 """, "F11")
 def formula_projection(spark: SparkSession, d: str) -> DataFrame:
+    """A cubic, the hypotenuse, triangle areas (equilateral, Heron's with the perimeter,
+    two sides and an angle), the sphere, sin^2 + cos^2, and a formatted text."""
     li = Tables(spark, d).lineitem.select(F.col("l_quantity").alias("a"),
                                           F.col("l_linenumber").cast("double").alias("b")).distinct()
     a, b = F.col("a"), F.col("b")
+    c = F.sqrt(a * a + b * b)
+    half, angle = (a + b + c) / 2, F.radians(10 * b)
     return li.select(
-        "a", "b", round_dec(a * a * a - 2 * a * a + 3 * a - 4, 2).alias("cubic"),
-        round_dec(F.sqrt(a * a + b * b), 2).alias("hypotenuse"),
-        round_dec(a * b / 2, 2).alias("triangle_area"),
+        "a", "b", round_dec(a * a * a + 2 * a * a + 1, 2).alias("cubic"), round_dec(c, 2).alias("hypotenuse"),
+        round_dec(a * a * F.sqrt(F.lit(3.0)) / 4, 2).alias("equilateral_area"),
+        round_dec(a + b + c, 2).alias("perimeter"),
+        round_dec(F.sqrt(half * (half - a) * (half - b) * (half - c)), 2).alias("heron_area"),
         round_dec(F.lit(4) * F.pi() * a * a, 2).alias("sphere_area"),
-        F.concat(F.lit("P="), F.round((2 * a + 2 * b).cast("decimal(18,2)"), 2).cast("string"))
-        .alias("perimeter_text"))
+        round_dec(F.lit(0.5) * a * b * F.sin(angle), 2).alias("angle_area"),
+        round_dec(F.pow(F.sin(angle), F.lit(2)) + F.pow(F.cos(angle), F.lit(2)), 2).alias("unit_sum"),
+        F.concat(F.lit("S="), F.round((a * b).cast("decimal(18,2)"), 2).cast("string")).alias("area_text"))
 
 
 @query("percent_change", f"""

@@ -282,7 +282,9 @@ GROUP BY 1 ORDER BY n_lines DESC, month
 """, "J15")
 def fanout_join_count(spark: SparkSession, d: str) -> DataFrame:
     t = Tables(spark, d)
-    o = t.orders.where(F.year("o_orderdate") == 1997).select("o_orderkey", "o_orderdate")
+    # a date range, which the scan can use, instead of a function of the date
+    lo, hi = (F.lit(x).cast("timestamp_ntz") for x in ("1997-01-01", "1998-01-01"))
+    o = t.orders.where((F.col("o_orderdate") >= lo) & (F.col("o_orderdate") < hi)).select("o_orderkey", "o_orderdate")
     li = t.lineitem.where(F.col("l_returnflag") == "R").select("l_orderkey")
     return (o.join(li, o.o_orderkey == li.l_orderkey)
              .groupBy(F.month("o_orderdate").cast("int").alias("month"))

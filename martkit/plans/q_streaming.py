@@ -1,8 +1,7 @@
 """Incremental (Structured Streaming) queries.
 
-The events table is landed as a time-ordered insert log of several files;
-the stream reads it a file per trigger, so every run has several
-micro-batches, and the final target must equal the batch answer.
+The events table is landed as a time-ordered insert log whose files and
+micro-batches are bounded by size; the final target must equal the batch answer.
 """
 
 from __future__ import annotations
@@ -13,9 +12,8 @@ from pyspark.sql import functions as F
 from ..functions.scalar import cents
 from ..session import scratch_path
 from ..sources.tables import Tables
-from ..streaming.incremental import (BATCH_COL, PartTable, backfill, file_stream,
-                                     incremental_fold, land_stream_files, latest_fold, sum_fold,
-                                     streaming_totals)
+from ..streaming.incremental import (backfill, file_stream, fold_stream, land_stream_files,
+                                     latest_fold, read_target, streaming_totals, sum_fold)
 from .registry import query
 
 LATEST_SQL = """
@@ -28,25 +26,12 @@ SELECT event_type, count(*) AS n_events,
        sum(CAST(CAST(value AS DECIMAL(18,2)) * 100 AS BIGINT)) :: BIGINT AS value_cents
 FROM events GROUP BY 1
 """
-N_FILES = 6
-# small on purpose: the six-file insert log then also exercises compaction
-COMPACT_EVERY = 2
+LATEST = latest_fold("user_id", ["ts"], ["event_id"])
 
 
 def _landed_events(spark: SparkSession, d: str):
     ev = Tables(spark, d).events.select("event_id", "user_id", "ts", "event_type", "value")
-    path = land_stream_files(ev, scratch_path(spark, "events_log"), "ts", N_FILES)
-    return path, ev.schema
-
-
-def _latest_table(spark: SparkSession) -> PartTable:
-    return PartTable(scratch_path(spark, "latest_by_user"),
-                     latest_fold(["user_id"], ["ts"], ["event_id"]), COMPACT_EVERY)
-
-
-def _run_latest(spark, path, schema, target, ckpt):
-    incremental_fold(file_stream(spark, path, schema, 2), target, ["user_id"], ckpt,
-                     mode="latest", version=["ts"], tie=["event_id"])
+    return land_stream_files(ev, scratch_path(spark, "events_log"), "ts"), ev.schema
 
 
 @query("incremental_mv", LATEST_SQL, "M1")
@@ -54,44 +39,44 @@ def incremental_mv(spark: SparkSession, d: str) -> DataFrame:
     """Latest event per user kept by a stream over the insert log; the same
     stream restarted on its checkpoint adds nothing (replay-safe)."""
     path, schema = _landed_events(spark, d)
-    target = _latest_table(spark)
-    ckpt = scratch_path(spark, "ckpt")
-    _run_latest(spark, path, schema, target, ckpt)
-    _run_latest(spark, path, schema, target, ckpt)  # restart: no new input, no change
-    return target.read(spark)
+    target, ckpt = scratch_path(spark, "latest_by_user"), scratch_path(spark, "ckpt")
+    for _ in range(2):  # the restart finds no new input
+        fold_stream(file_stream(spark, path, schema), target, ckpt, LATEST)
+    return read_target(spark, target, LATEST)
 
 
 @query("incremental_summing", TOTALS_SQL, "M2")
 def incremental_summing(spark: SparkSession, d: str) -> DataFrame:
     """Counters folded by adding each micro-batch's partial sums."""
     path, schema = _landed_events(spark, d)
-    target = PartTable(scratch_path(spark, "totals_by_type"),
-                       sum_fold(["event_type"], ["n_events", "value_cents"]), COMPACT_EVERY)
-    incremental_fold(file_stream(spark, path, schema, 2), target, ["event_type"],
-                     scratch_path(spark, "ckpt"), mode="sum",
-                     counters={"n_events": F.count(F.lit(1)),
-                               "value_cents": F.sum(cents("value"))})
-    return target.read(spark)
+    target = scratch_path(spark, "totals_by_type")
+    fold_stream(file_stream(spark, path, schema), target, scratch_path(spark, "ckpt"),
+                lambda batch: batch.groupBy("event_type").agg(
+                    F.count(F.lit(1)).alias("n_events"), F.sum(cents("value")).alias("value_cents")))
+    return read_target(spark, target, sum_fold("event_type", ["n_events", "value_cents"]))
 
 
 @query("streaming_state_totals", TOTALS_SQL, "M2")
 def streaming_state_totals(spark: SparkSession, d: str) -> DataFrame:
     """The same counters kept in the streaming state store (update mode)."""
     path, schema = _landed_events(spark, d)
-    target = PartTable(scratch_path(spark, "totals_state"),
-                       latest_fold(["event_type"], BATCH_COL), COMPACT_EVERY)
-    streaming_totals(file_stream(spark, path, schema, 2), target, ["event_type"],
+    target = scratch_path(spark, "totals_state")
+    streaming_totals(file_stream(spark, path, schema), target, "event_type",
                      {"n_events": F.count(F.lit(1)), "value_cents": F.sum(cents("value"))},
                      scratch_path(spark, "ckpt"))
-    return target.read(spark)
+    return read_target(spark, target, latest_fold("event_type", "batch"))
 
 
 @query("backfill_replay", LATEST_SQL, "S22")
 def backfill_replay(spark: SparkSession, d: str) -> DataFrame:
-    """Build the mart, then back it up, empty it and replay the whole log
+    """Build the mart, then back it up and replay the whole log into an empty one
     from a fresh checkpoint: the replay equals the batch answer."""
     path, schema = _landed_events(spark, d)
-    target = _latest_table(spark)
-    _run_latest(spark, path, schema, target, scratch_path(spark, "ckpt"))
-    _, fresh = backfill(spark, target, lambda tgt, ck: _run_latest(spark, path, schema, tgt, ck))
-    return fresh.read(spark)
+
+    def run(target: str, ckpt: str) -> None:
+        fold_stream(file_stream(spark, path, schema), target, ckpt, LATEST)
+
+    target = scratch_path(spark, "latest_by_user")
+    run(target, scratch_path(spark, "ckpt"))
+    _, fresh = backfill(spark, target, LATEST, run)
+    return read_target(spark, fresh, LATEST)

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -46,9 +46,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
-    Read from the session (``spark.checkpoint.dir`` or the context's
-    checkpoint dir). Only when neither is set do we create one, so local runs
-    and tests work; a cluster is expected to name a shared folder.
+    Read from the session (``spark.checkpoint.dir`` or the context's checkpoint
+    dir). Only a local master (tests, laptops) gets a temporary folder when
+    neither is set: on a cluster every machine would write to its own disk.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -61,14 +61,29 @@ def checkpoint_root(spark: SparkSession) -> str:
         jdir = sc._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="martkit-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the shared checkpoint root."""
-    return f"{checkpoint_root(spark)}/martkit/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, never-reused path under the shared checkpoint root, removed when
+    the driver's JVM ends."""
+    path = f"{checkpoint_root(spark)}/martkit/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
+    return path
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back:
+    cuts the lineage at a place that survives the loss of executors."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

@@ -6,17 +6,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+CSV = {"header": True, "quote": '"', "escape": '"'}
+
+
 def csv_sink(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """S3: CSV with a header row and no index column."""
-    df.write.mode(mode).option("header", True).csv(path)
+    """S3: CSV with a header row and no index column; quotes inside fields are
+    doubled, and fields with line ends are quoted."""
+    df.write.mode(mode).options(**CSV).csv(path)
 
 
 def csv_scan(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
-    """CSV with a header. A declared schema is the default; inference (an
-    extra full pass over the files) only when none is given."""
-    r = spark.read.option("header", True)
+    """CSV with a header. A declared schema is the default and must have the
+    header's names in the header's order (an error otherwise); inference (an extra
+    full pass over the files) only when none is given. Malformed rows are errors. A
+    quoted field may hold line ends, so a file is one task: land many files."""
+    r = spark.read.options(**CSV, multiLine=True, mode="FAILFAST")
     if schema is not None:
-        return r.schema(schema).csv(path)
+        return r.schema(schema).option("enforceSchema", False).csv(path)
     return r.option("inferSchema", True).csv(path)
 
 

@@ -52,8 +52,8 @@ def unnest_json(df: DataFrame, col: str, field: str, keep: Sequence[str] = (),
                 schema: StructType = BOOKING_JSON) -> DataFrame:
     """Parse ``col`` with ``schema`` and emit one row per element of
     ``field`` with the parent's ``keep`` columns (LATERAL / ARRAY JOIN: a NULL or
-    empty array drops the parent)."""
-    parsed = df.select(*keep, F.from_json(F.col(col), schema).alias("_doc"))
+    empty array drops the parent; text that is no such document is an error)."""
+    parsed = df.select(*keep, F.from_json(F.col(col), schema, {"mode": "FAILFAST"}).alias("_doc"))
     return parsed.select(*keep, F.explode(F.col(f"_doc.{field}")).alias("_e")).select(*keep, "_e.*")
 
 
@@ -79,8 +79,10 @@ def write_transaction_docs(lines: DataFrame, path: str, per_doc_col: str = "l_or
 
 
 def read_transaction_docs(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Declared-schema JSON scan + explode into typed rows."""
-    docs = spark.read.schema(TRANSACTIONS_DOC).option("multiLine", multi_line).json(path)
+    """Declared-schema JSON scan + explode into typed rows; a malformed document
+    is an error."""
+    docs = (spark.read.schema(TRANSACTIONS_DOC).option("multiLine", multi_line)
+            .option("mode", "FAILFAST").json(path))
     return docs.select(F.explode("transactions").alias("t")).select("t.*")
 
 
@@ -117,9 +119,12 @@ def land_pages(pages: DataFrame, path: str) -> None:
 def ingest_pages(spark: SparkSession, path: str, item: StructType, fields: Sequence[str],
                  key: str | None = None, strict: bool = False) -> DataFrame:
     """Landed pages -> rows of the chosen fields. A missing field is NULL
-    (or an error when ``strict``); with ``key``, the first page wins."""
-    pages = spark.read.schema(page_schema(item)).json(path)
-    rows = pages.select(F.explode("results").alias("r"),
+    (or an error when ``strict``), and a malformed page is an error. With ``key``,
+    the first page wins, and inside a page the first item; pages are ordered by
+    the page number in ``info.next`` (the page without one is the last), and by
+    ``info.next`` itself where it holds another kind of cursor."""
+    pages = spark.read.schema(page_schema(item)).option("mode", "FAILFAST").json(path)
+    rows = pages.select(F.posexplode("results").alias("_pos", "r"),
                         F.col("info.next").alias("_next"))
     names = set(item.fieldNames())
     cols = []
@@ -134,20 +139,21 @@ def ingest_pages(spark: SparkSession, path: str, item: StructType, fields: Seque
             raise KeyError(f"field {f} not in item schema")
         else:
             cols.append(F.lit(None).cast("string").alias(f))
-    out = rows.select(*cols, "_next")
+    out = rows.select(*cols, "_next", "_pos")
     if key is not None:
-        # page order: a page whose `next` is NULL is the last one
-        out = out.withColumn("_pg", F.coalesce(
-            F.regexp_extract("_next", r"page=(\d+)", 1).try_cast("long"), F.lit(1 << 62)))
-        rest = [c for c in out.columns if c not in (key, "_pg")]
-        out = (out.groupBy(key).agg(F.min_by(F.struct(*rest), "_pg").alias("_r"))
-                  .select(key, "_r.*"))
-    return out.drop("_next")
+        page = F.struct(
+            F.col("_next").isNull().alias("last"),
+            F.coalesce(F.regexp_extract("_next", r"page=(\d+)", 1).try_cast("long"), F.lit(1 << 62)).alias("number"),
+            F.coalesce("_next", F.lit("")).alias("cursor"), F.col("_pos").alias("item"))
+        rest = [f for f in fields if f != key]
+        out = (out.groupBy(key).agg(F.min_by(F.struct(*rest), page).alias("_r")).select(key, "_r.*")
+               if rest else out.select(key).distinct())
+    return out.select(*fields)
 
 
 def reconcile_pages(spark: SparkSession, path: str, item: StructType) -> DataFrame:
     """Declared ``info.count`` vs rows loaded; a missing count raises."""
-    pages = spark.read.schema(page_schema(item)).json(path)
+    pages = spark.read.schema(page_schema(item)).option("mode", "FAILFAST").json(path)
     agg = pages.agg(F.max("info.count").alias("declared"),
                     F.sum(F.size("results")).cast("long").alias("loaded"),
                     F.count_if(F.col("info.count").isNull()).alias("_missing"))

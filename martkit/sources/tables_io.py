@@ -8,8 +8,11 @@ old version is never disturbed (the "swap" is returning the new path).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from datetime import datetime, timedelta
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,10 +44,15 @@ def insert_select(df: DataFrame, path: str) -> None:
     """INSERT INTO ... SELECT (by name: columns reordered to the table's)."""
     spark = df.sparkSession
     try:
-        cols = spark.read.parquet(path).columns
-        df = df.select(*cols)
-    except Exception:  # noqa: BLE001 - first insert creates the table
-        pass
+        table = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        table = None  # the first insert creates the table
+    if table is not None:
+        if set(table.columns) != set(df.columns):
+            raise ValueError(f"columns {df.columns} do not match the table's {table.columns}")
+        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
     df.write.mode("append").parquet(path)
 
 
@@ -57,12 +65,10 @@ def commit(df: DataFrame, name: str) -> DataFrame:
 
 
 def truncate_reload(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
-    """Empty, then load. The load is staged first so that ``df`` may read
-    the table being replaced; then the table path is overwritten from the
-    stage (never from itself)."""
-    stage = write_table(df, scratch_path(spark, "stage"))
-    spark.read.parquet(stage).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    """Empty, then load: the load is written once, to a new version of the table
+    beside the old one, and returned. ``df`` may read the table being replaced, and
+    whoever reads the old version never sees an empty one."""
+    return spark.read.parquet(write_table(df, f"{path.rstrip('/')}-v{uuid.uuid4().hex[:12]}"))
 
 
 # ---------------------------------------------------------------- S15 / L4
@@ -75,8 +81,9 @@ def month_range(df: DataFrame, ts: str, lo: str, hi: str, ym: str = "ym") -> Dat
     """L4: half-open [lo, hi) on ``ts`` plus the implied ``ym`` bounds, which
     Spark will not derive itself, so partition pruning happens."""
     lo_c, hi_c = F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")
+    last = datetime.fromisoformat(hi) - timedelta(microseconds=1)
     lo_ym = int(lo[:4]) * 100 + int(lo[5:7])
-    hi_ym = int(hi[:4]) * 100 + int(hi[5:7])
+    hi_ym = last.year * 100 + last.month
     return df.where((F.col(ym) >= lo_ym) & (F.col(ym) <= hi_ym)
                     & (F.col(ts) >= lo_c) & (F.col(ts) < hi_c))
 
@@ -115,18 +122,21 @@ def describe_schema(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     counts = df.agg(F.count(F.lit(1)).alias("_rows"),
                     *[F.count(F.col(f.name)).alias(f"_c{i}") for i, f in enumerate(fields)])
-    stack = ", ".join(f"'{f.name}', '{f.dataType.simpleString()}', _c{i}"
-                      for i, f in enumerate(fields))
-    return counts.selectExpr(
-        f"stack({len(fields)}, {stack}) AS (column_name, data_type, non_null)", "_rows AS n_rows")
+    rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"),
+                              F.lit(f.dataType.simpleString()).alias("data_type"),
+                              F.col(f"_c{i}").alias("non_null")) for i, f in enumerate(fields)])
+    return counts.select(F.explode(rows).alias("_f"), F.col("_rows").alias("n_rows")).select("_f.*", "n_rows")
 
 
 # ---------------------------------------------------------------- S20 / S21
 def typed_compact_rewrite(spark: SparkSession, raw: DataFrame, types: dict[str, str],
                           sort_by: Sequence[str], domains: dict[str, Sequence[str]] | None = None,
-                          name: str = "compact") -> DataFrame:
-    """Text mart -> typed, narrow mart: casts, domain checks (fail fast),
-    zstd, rows sorted inside each file for tight min/max statistics."""
+                          json_fields: dict[str, tuple[str, str]] | None = None,
+                          month_of: str | None = None, name: str = "compact") -> DataFrame:
+    """Text mart -> typed, narrow mart: casts to narrower types (a value that does
+    not fit is an error), fields lifted out of JSON text (``json_fields``: new column
+    -> (text column, JSON path); the text itself goes), domain checks (fail fast),
+    month partitions, zstd, rows clustered by ``sort_by`` inside each file."""
     cols = []
     for c, t in types.items():
         e = F.col(c).cast(t)
@@ -135,21 +145,24 @@ def typed_compact_rewrite(spark: SparkSession, raw: DataFrame, types: dict[str,
             e = F.when(e.isNull() | e.isin(*vals), e).otherwise(
                 F.raise_error(F.concat(F.lit(f"{c} outside domain: "), e.cast("string"))))
         cols.append(e.alias(c))
-    typed = raw.select(*cols).sortWithinPartitions(*sort_by)
-    path = write_table(typed, scratch_path(spark, name), compression="zstd")
-    return spark.read.parquet(path)
+    cols += [F.get_json_object(src, path).alias(c) for c, (src, path) in (json_fields or {}).items()]
+    typed, parts = raw.select(*cols), []
+    if month_of is not None:
+        typed, parts = with_month(typed, month_of).hint("rebalance", "ym"), ["ym"]
+    typed = typed.sortWithinPartitions(*parts, *sort_by)
+    return spark.read.parquet(write_table(typed, scratch_path(spark, name), partition_by=parts, compression="zstd"))
 
 
 def clustered_layout(spark: SparkSession, df: DataFrame, cluster_by: Sequence[str],
                      bloom_cols: Sequence[str] = (), name: str = "clustered",
                      n_files: int | None = None) -> DataFrame:
     """Range-cluster on the lookup key and sort inside files (min/max
-    skipping), plus parquet bloom filters for point lookups."""
+    skipping), plus parquet bloom filters for point lookups. Without ``n_files``,
+    Spark merges ranges to its advisory partition size, so files follow the data."""
     opts = {f"parquet.bloom.filter.enabled#{c}": "true" for c in bloom_cols}
-    n = n_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # range on the key plus the other columns as tie-breakers: files stay
-    # clustered on the key and one hot key value can still span many files
+    # a hash of the other columns breaks ties: one hot key value still spans many files
     rest = [c for c in df.columns if c not in cluster_by]
-    d = df.repartitionByRange(n, *cluster_by, *rest).sortWithinPartitions(*cluster_by, *rest)
-    path = write_table(d, scratch_path(spark, name), options=opts)
+    order = [F.col(c) for c in cluster_by] + ([F.xxhash64(*rest)] if rest else [])
+    d = df.repartitionByRange(n_files, *order) if n_files else df.repartitionByRange(*order)
+    path = write_table(d.sortWithinPartitions(*order), scratch_path(spark, name), options=opts)
     return spark.read.parquet(path)

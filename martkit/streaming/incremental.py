@@ -1,217 +1,100 @@
 """Incremental marts with Structured Streaming.
 
-* ``PartTable``: a merge-on-read table, the Spark analogue of a summing /
-  replacing merge tree. Every micro-batch appends one *part* (the batch's own
-  partial fold: per-key partial sums, or the per-key latest row), so a
-  micro-batch costs O(batch), not O(table). Readers fold the latest compacted
-  base plus the parts after it; every ``compact_every`` parts a compaction
-  folds them into a new base. A small commit log records (batch id, path,
-  kind); a replayed batch (``foreachBatch`` is at-least-once) is recognised
-  by its id and skipped, and a part or base is written to a path named by its
-  batch id, so a retry overwrites rather than duplicates.
-* ``incremental_fold`` (M1 / A21 / A22): file stream -> ``foreachBatch``;
-  each micro-batch is aggregated on its own (only the inserted block, like a
-  materialized view firing on insert) and appended as a part.
-* ``streaming_totals`` (M2): native streaming aggregation (state store,
-  update mode); each trigger appends the changed keys' new totals, and the
-  read keeps the newest total per key.
-* ``backfill`` (S22): back up, empty and replay from a fresh checkpoint.
+A target is a folder of parquet parts. ``foreachBatch`` folds each micro-batch on its
+own (only the inserted block, like a materialized view firing on insert) and
+overwrites the part ``stream=<id>/batch=<n>``: the path is the record of what was
+applied, so a replayed batch rewrites its own part, several streams feed one target,
+and nothing is listed on the driver. Readers fold the parts: sums add up, latest rows
+win by version, running totals win by batch.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import StructType
 
 from ..operators.aggs import latest_by_key
 from ..operators.common import as_list
 from ..session import scratch_path
-
-LOG_SCHEMA = StructType([StructField("batch_id", LongType()), StructField("path", StringType()),
-                         StructField("kind", StringType())])
-BATCH_COL = "_batch"
+from ..sources.tables_io import ctas
 
 Fold = Callable[[DataFrame], DataFrame]
 
 
-def sum_fold(keys: Sequence[str], counters: Sequence[str]) -> Fold:
-    """Parts add up per key (NULL counts as 0)."""
+def sum_fold(keys: Sequence[str] | str, counters: Sequence[str]) -> Fold:
+    """Rows add up per key (NULL counts as 0)."""
     keys, counters = as_list(keys), list(counters)
     return lambda df: df.groupBy(*keys).agg(
         *[F.sum(F.coalesce(F.col(c), F.lit(0))).alias(c) for c in counters])
 
 
-def latest_fold(keys: Sequence[str], version: Sequence[str] | str,
+def latest_fold(keys: Sequence[str] | str, version: Sequence[str] | str,
                 tie: Sequence[str] | str | None = None) -> Fold:
     """The row with the highest (version, tie) per key survives."""
     return lambda df: latest_by_key(df, as_list(keys), version, tie)
 
 
-class PartTable:
-    """Merge-on-read table under ``root`` (shared storage)."""
-
-    def __init__(self, root: str, fold: Fold, compact_every: int = 8):
-        self.root = root.rstrip("/")
-        self.log = f"{self.root}/_commits"
-        self.fold = fold
-        self.compact_every = compact_every
-        self._cache: list[tuple[int, str, str]] | None = None
-
-    # ------------------------------------------------------------ log
-    def _entries(self, spark: SparkSession) -> list[tuple[int, str, str]]:
-        """Commit-log entries (batch id, path, kind): metadata, one row per
-        commit, read once per table object and then kept current by this
-        (single) writer; a restarted job re-reads it."""
-        if self._cache is None:
-            try:
-                rows = spark.read.schema(LOG_SCHEMA).parquet(self.log).collect()
-            except AnalysisException:
-                rows = []
-            self._cache = [(int(r["batch_id"]), r["path"], r["kind"]) for r in rows]
-        return self._cache
-
-    def _append_log(self, spark: SparkSession, batch_id: int, path: str, kind: str) -> None:
-        entries = self._entries(spark)
-        spark.createDataFrame([(int(batch_id), path, kind)], LOG_SCHEMA) \
-            .coalesce(1).write.mode("append").parquet(self.log)
-        entries.append((int(batch_id), path, kind))
-
-    def _base_id(self, spark: SparkSession) -> int:
-        return max((b for b, _, k in self._entries(spark) if k == "base"), default=-1)
-
-    def head(self, spark: SparkSession) -> tuple[int, int]:
-        """(last committed batch id, parts since the last base); (-1, 0) when
-        empty."""
-        entries = self._entries(spark)
-        bb = self._base_id(spark)
-        last = max((b for b, _, _ in entries), default=-1)
-        return last, sum(1 for b, _, k in entries if k == "part" and b > bb)
-
-    def _live_paths(self, spark: SparkSession) -> list[str]:
-        """The newest base and the parts after it (at most ``compact_every``
-        paths)."""
-        bb = self._base_id(spark)
-        return sorted({p for b, p, k in self._entries(spark)
-                       if (k == "base" and b == bb) or (k == "part" and b > bb)})
-
-    # ------------------------------------------------------------ read/write
-    def read(self, spark: SparkSession) -> DataFrame | None:
-        paths = self._live_paths(spark)
-        if not paths:
-            return None
-        out = self.fold(spark.read.parquet(*paths))
-        return out.drop(BATCH_COL) if BATCH_COL in out.columns else out
-
-    def commit_part(self, df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        path = f"{self.root}/parts/b{batch_id:012d}"
-        df.write.mode("overwrite").parquet(path)  # a retry rewrites the same part
-        self._append_log(spark, batch_id, path, "part")
-        _, pending = self.head(spark)
-        if pending >= self.compact_every:
-            self.compact(spark, batch_id)
-
-    def compact(self, spark: SparkSession, batch_id: int) -> None:
-        """Fold the live base and parts into a new base (OPTIMIZE ... FINAL)."""
-        paths = self._live_paths(spark)
-        if not paths:
-            return
-        path = f"{self.root}/base/v{batch_id:012d}"
-        self.fold(spark.read.parquet(*paths)).write.mode("overwrite").parquet(path)
-        self._append_log(spark, batch_id, path, "base")
-
-
-def land_stream_files(df: DataFrame, path: str, order: str, n_files: int) -> str:
-    """Write ``df`` as ``n_files`` time-ordered parquet files (an insert log)."""
-    df.repartitionByRange(n_files, order).sortWithinPartitions(order) \
-        .write.mode("overwrite").parquet(path)
+def read_target(spark: SparkSession, target: str, fold: Fold) -> DataFrame:
+    """The folded content of a target."""
+    out = fold(spark.read.parquet(target))
+    return out.drop("stream", "batch")
+
+
+def land_stream_files(df: DataFrame, path: str, order: str, rows_per_file: int = 1_000_000) -> str:
+    """Write ``df`` as time-ordered parquet files (an insert log) of bounded size; how
+    many follows from the data."""
+    df.repartitionByRange(order).sortWithinPartitions(order) \
+        .write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(path)
     return path
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType,
-                files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
+                bytes_per_trigger: int = 10 << 30) -> DataFrame:
+    """Parquet files as a stream; a micro-batch takes about ``bytes_per_trigger``."""
+    return (spark.readStream.schema(schema).option("maxBytesPerTrigger", bytes_per_trigger)
             .option("pathGlobFilter", "*.parquet").parquet(path))
 
 
-def _run(writer, query_name: str | None) -> None:
-    if query_name:
-        writer = writer.queryName(query_name)
-    q = writer.start()
+def stream_id(checkpoint: str) -> str:
+    """Names a stream by its checkpoint, which is what makes its batch ids unique."""
+    return "s" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def fold_stream(stream: DataFrame, target: str, checkpoint: str, fold: Fold,
+                output_mode: str = "append", query_name: str | None = None) -> None:
+    """Run ``stream`` to the end of its available input, writing the fold of each
+    micro-batch as the part of that (stream, batch)."""
+    own = stream_id(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fold(batch).write.mode("overwrite").parquet(f"{target}/stream={own}/batch={batch_id}")
+
+    writer = (stream.writeStream.outputMode(output_mode).foreachBatch(write)
+              .option("checkpointLocation", checkpoint).trigger(availableNow=True))
+    q = (writer.queryName(query_name) if query_name else writer).start()
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
 
 
-def incremental_fold(stream: DataFrame, target: PartTable, keys: Sequence[str],
-                     checkpoint: str, mode: str = "latest",
-                     version: Sequence[str] | str | None = None,
-                     tie: Sequence[str] | str | None = None,
-                     counters: dict[str, object] | None = None,
-                     query_name: str | None = None) -> None:
-    """Run ``stream`` to the end of its available input (``availableNow``),
-    appending each micro-batch's own fold to ``target`` as a part.
-
-    mode="latest": the batch's latest row per key by (version, tie) (A22).
-    mode="sum": ``counters`` maps output name -> aggregate Column over the
-    batch: the batch's partial sums per key (A21).
-    """
-    keys = as_list(keys)
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        last, _ = target.head(spark)
-        if batch_id <= last:  # replay of a committed batch: already applied
-            return
-        if mode == "latest":
-            part = latest_by_key(batch, keys, version, tie)
-        elif mode == "sum":
-            part = batch.groupBy(*keys).agg(*[c.alias(n) for n, c in counters.items()])
-        else:
-            raise ValueError(mode)
-        target.commit_part(part, batch_id)
-
-    _run(stream.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
-         .trigger(availableNow=True), query_name)
-
-
-def streaming_totals(stream: DataFrame, target: PartTable, keys: Sequence[str],
+def streaming_totals(stream: DataFrame, target: str, keys: Sequence[str] | str,
                      aggs: dict[str, object], checkpoint: str) -> None:
-    """M2 with the state store: running totals per key live in Spark's state;
-    each trigger emits only the keys that changed (update mode), appended as a
-    part stamped with the batch id; ``target`` must read with
-    ``latest_fold(keys, BATCH_COL)``."""
-    keys = as_list(keys)
-    totals = stream.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        last, _ = target.head(spark)
-        if batch_id <= last:
-            return
-        target.commit_part(batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long")), batch_id)
-
-    _run(totals.writeStream.outputMode("update").foreachBatch(append)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True), None)
-
-
-def backfill(spark: SparkSession, target: PartTable, run) -> tuple[DataFrame | None, PartTable]:
-    """Back up the target, start an empty one and replay the whole
-    insert log from a fresh checkpoint (``run(new_target, checkpoint)``)."""
-    backup = None
-    cur = target.read(spark)
-    if cur is not None:
-        bpath = scratch_path(spark, "backup")
-        cur.write.parquet(bpath)
-        backup = spark.read.parquet(bpath)
-    fresh = PartTable(scratch_path(spark, "replayed"), target.fold, target.compact_every)
+    """M2 with the state store: running totals per key live in Spark's state; each
+    trigger writes only the keys that changed (update mode). The totals of one stream
+    are read with ``latest_fold(keys, "batch")``."""
+    totals = stream.groupBy(*as_list(keys)).agg(*[c.alias(n) for n, c in aggs.items()])
+    fold_stream(totals, target, checkpoint, lambda batch: batch, "update")
+
+
+def backfill(spark: SparkSession, target: str, fold: Fold,
+             run: Callable[[str, str], None]) -> tuple[DataFrame, str]:
+    """Back up the folded target, then replay the whole insert log into an empty
+    one from a fresh checkpoint (``run(new_target, checkpoint)``)."""
+    backup = ctas(spark, read_target(spark, target, fold), "backup")
+    fresh = scratch_path(spark, "replayed")
     run(fresh, scratch_path(spark, "ckpt"))
     return backup, fresh
-
-
-__all__ = ["PartTable", "sum_fold", "latest_fold", "incremental_fold", "streaming_totals",
-           "backfill", "land_stream_files", "file_stream", "BATCH_COL"]

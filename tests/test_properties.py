@@ -166,14 +166,13 @@ def test_validate_rules(spark):
         [(2, "s_nn"), (2, "n_pos"), (1, "k_pk"), (1, "k_pk"), (1, "s_dom")])
 
 
-def test_key_buckets_split_only_hot_keys(spark, series):
-    from martkit.operators.common import key_buckets
-    b = key_buckets(series.withColumn("_key", F.struct("k")), "_key", "ts", rows_per_bucket=60)
-    per_key = {r.k: r.n for r in b.groupBy("k").agg(F.countDistinct("_chunk").alias("n")).collect()}
-    assert per_key[0] >= 3            # the hot key (a third of the rows) is split
-    assert all(n == 1 for k, n in per_key.items() if k != 0)  # ordinary keys are not
-    # buckets are monotone in the order inside a key
-    pdf = b.where(F.col("k") == 0).select("ts", "_chunk").toPandas().sort_values("ts")
+def test_split_hot_cuts_only_hot_keys(spark, series):
+    from martkit.operators.common import split_hot
+    cold, hot = split_hot(series.withColumn("_key", F.struct("k")), ["ts"], rows_per_bucket=60)
+    assert hot.select("k").distinct().count() == 1 and cold.where("k = 0").count() == 0
+    assert cold.count() + hot.count() == series.count()
+    assert hot.select("_chunk").distinct().count() >= 3
+    pdf = hot.select("ts", "_chunk").toPandas().sort_values("ts")
     assert pdf["_chunk"].is_monotonic_increasing
 
 
@@ -273,8 +272,8 @@ def test_asof_probes_equal_separate_probes(spark):
     L = spark.createDataFrame(left, "lid long, k int, ts timestamp_ntz")
     R = spark.createDataFrame(right, "rid long, k int, rts timestamp_ntz")
     shift = F.expr("INTERVAL 1 HOUR")
-    both = asof_probes(L, R, "k", "ts", "rts", {"a_": (None, ["rid"]), "b_": (shift, ["rid", "rts"])},
-                       row_key="lid", tie="rid", rows_per_bucket=20)
+    both = asof_probes(L, R, {"a_": ("k", "ts", None, ["rid"]), "b_": ("k", "ts", shift, ["rid", "rts"])},
+                       right_by="k", right_ts="rts", tie="rid", rows_per_bucket=20)
     a = asof_left(L, R, "k", "ts", "rts", ["rid"], tie="rid", prefix_="a_")
     b = asof_left(a, R, "k", "ts", "rts", ["rid", "rts"], tie="rid", prefix_="b_", shift=shift)
     assert sorted(map(repr, both.collect())) == sorted(map(repr, b.select(*both.columns).collect()))
@@ -300,16 +299,16 @@ def test_gaps_and_minima_with_hot_key_buckets(spark):
     assert got == want
 
 
-def test_hot_key_sharing_one_timestamp_is_split_on_the_tie(spark):
-    from martkit.operators.common import key_buckets
-    rows = [(0, T0, i, 1) for i in range(300)] + [(k, T0 + timedelta(minutes=i), i, 1)
-                                                   for k in range(1, 4) for i in range(30)]
-    df = spark.createDataFrame(rows, "k int, ts timestamp_ntz, id long, v long")
-    b = key_buckets(df.withColumn("_key", F.struct("k")), "_key", "ts", rows_per_bucket=40,
-                    second_order="id")
-    assert b.where("k = 0").select("_chunk").distinct().count() >= 5
-    pdf = b.where("k = 0").select("id", "_chunk").toPandas().sort_values("id")
-    assert pdf["_chunk"].is_monotonic_increasing
-    got = {(r.k, r.id): r.r for r in running_sum(df, "k", ["ts", "id"], "v", "r",
-                                                  rows_per_bucket=40).collect()}
-    assert all(got[(0, i)] == i + 1 for i in range(300))
+@pytest.mark.parametrize("shape", ["one instant", "outlier", "strings"])
+def test_split_hot_is_equal_depth(spark, shape):
+    """Shared instants, far outliers and text do not end up in one chunk."""
+    from martkit.operators.common import split_hot
+    n = 3000
+    rows = [(0, "one" if shape == "strings" else T0, i if shape != "outlier" or i else 10**12, f"s{i:05d}")
+            for i in range(n)]
+    df = spark.createDataFrame(rows, "k int, ts string, id long, s string" if shape == "strings"
+                               else "k int, ts timestamp_ntz, id long, s string").withColumn("_key", F.struct("k"))
+    order = {"one instant": ["ts", "id"], "outlier": ["id"], "strings": ["ts", "s"]}[shape]
+    _, hot = split_hot(df, order, rows_per_bucket=300)
+    sizes = [r.n for r in hot.groupBy("_chunk").agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == n and max(sizes) < 900
