@@ -48,8 +48,9 @@ from .components import connected_components
 from .token_counts import slices
 
 SLICE_BYTES = 4 << 20       # text tokenized at once
-CHUNK_DOCS, CHUNK_SHINGLES = 60_000, 4_000_000   # documents and shingles packed at once
-PART_SHINGLES = 8_000_000   # shingles of a partition that counts frequencies
+CHUNK_DOCS, CHUNK_SHINGLES = 60_000, 1_500_000   # documents and shingles packed at once
+PART_SHINGLES = 4_000_000   # shingles of a partition that counts frequencies
+RANGE_SHINGLES = 500_000    # shingles of it that are sorted at once
 LOCAL_HOT = 64              # classes of a chunk from which a shingle is settled in it
 TOP = 6                     # level of frequencies from 2**TOP on; LOCAL_HOT is in it
 COMBINE = (1, 1, 1, 2, 2, 2, 3)  # shingles a signature combines, by level
@@ -130,6 +131,13 @@ def _sets(text: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return own, n, key
 
 
+def _pieces(text: pa.Array, size: int, rows: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of about ``size`` bytes and at most ``rows`` rows."""
+    for i, j in slices(text, size):
+        for x in range(i, j, rows):
+            yield x, min(j, x + rows)
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
@@ -234,9 +242,25 @@ def _grouped(kind_blobs: dict[int, list[bytes]], parts: int) -> list[tuple[int,
             key, value = key[by], value[by]
             new = np.append(True, (key[1:] != key[:-1]) | (value[1:] != value[:-1]))
             out += _by_class(kind, key[new], value[new], parts)
-    sh, key = _unpacked(kind_blobs.get(PAIRS, []))
-    if not len(sh):
+    pairs = [_unpack(x) for x in kind_blobs.pop(PAIRS, [])]
+    total = sum(len(sh) for sh, _ in pairs)
+    if not total:
         return out
+    low = min(int(sh[0]) for sh, _ in pairs if len(sh))
+    high = max(int(sh[-1]) for sh, _ in pairs if len(sh)) + 1
+    ranges = total // RANGE_SHINGLES + 1
+    for r in range(ranges):
+        limits = np.array([low + (high - low) * r // ranges, low + (high - low) * (r + 1) // ranges], U)
+        cut = [slice(*np.searchsorted(sh, limits)) for sh, _ in pairs]
+        sh = np.concatenate([sh[c] for (sh, _), c in zip(pairs, cut, strict=True)])
+        key = np.concatenate([key[c] for (_, key), c in zip(pairs, cut, strict=True)])
+        if len(sh):
+            out += _by_class(SETTLED, *_shared_of(sh, key), parts)
+    return out
+
+
+def _shared_of(sh: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(class, level and shingle) of the shingles that several classes have."""
     names, number = np.unique(key, return_inverse=True)
     bits, base = int(len(names)).bit_length(), sh.min()
     if int(sh.max() - base).bit_length() + bits <= 64:
@@ -255,7 +279,7 @@ def _grouped(kind_blobs: dict[int, list[bytes]], parts: int) -> list[tuple[int,
     level = np.where(marked, TOP, np.minimum(TOP, np.log2(np.maximum(df, 1)).astype(np.int64)))
     take = np.repeat((df > 1) | marked, df) & (key != 0)
     entry = (np.repeat(level, df).astype(U) << U(48)) | sh
-    return out + _by_class(SETTLED, key[take], entry[take], parts)
+    return key[take], entry[take]
 
 
 def _least_overlap(n, num: int, den: int):
@@ -279,14 +303,13 @@ def shared_shingles(docs: DataFrame, k: int, num: int, den: int, parts: int, tex
 
         for b in batches:
             text = pc.fill_null(b.column(0), "")
-            for i, j in slices(text, SLICE_BYTES):
-                for i, j in ((x, min(j, x + CHUNK_DOCS // 4)) for x in range(i, j, CHUNK_DOCS // 4)):
-                    held.append(_sets(text.slice(i, j - i), k))
-                    docs_held, shingles_held = docs_held + j - i, shingles_held + len(held[-1][0])
-                    if docs_held > CHUNK_DOCS * 3 // 4 or shingles_held > CHUNK_SHINGLES:
-                        if rows := flush():
-                            yield _blob_rows(rows)
-                        held, docs_held, shingles_held = [], 0, 0
+            for i, j in _pieces(text, SLICE_BYTES, CHUNK_DOCS // 4):
+                held.append(_sets(text.slice(i, j - i), k))
+                docs_held, shingles_held = docs_held + j - i, shingles_held + len(held[-1][0])
+                if docs_held > CHUNK_DOCS * 3 // 4 or shingles_held > CHUNK_SHINGLES:
+                    if rows := flush():
+                        yield _blob_rows(rows)
+                    held, docs_held, shingles_held = [], 0, 0
         if held and (rows := flush()):
             yield _blob_rows(rows)
 
@@ -336,12 +359,11 @@ def set_classes(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             text = pc.fill_null(b.column(2), "")
-            for i, j in slices(text, SLICE_BYTES):
-                for i, j in ((x, min(j, x + CHUNK_DOCS)) for x in range(i, j, CHUNK_DOCS)):
-                    _, n, key = _sets(text.slice(i, j - i), k)
-                    yield pa.record_batch([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
-                                           pa.array(n.astype(np.int64)), _signed(key)],
-                                          names=["id", "text_hash", "n", "key"])
+            for i, j in _pieces(text, SLICE_BYTES, CHUNK_DOCS):
+                _, n, key = _sets(text.slice(i, j - i), k)
+                yield pa.record_batch([b.column(0).slice(i, j - i), b.column(1).slice(i, j - i),
+                                       pa.array(n.astype(np.int64)), _signed(key)],
+                                      names=["id", "text_hash", "n", "key"])
 
     read = docs.select(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), F.col(text_col))
     kind = read.schema[0].dataType.simpleString()
@@ -554,9 +576,9 @@ def one_per_component(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -
     found = stored(jaccard_components(docs, k, num, den), "jaccard-verdicts")
     lost = found.where("NOT doc_id <=> component_id").select(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
-    th = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-    kept = docs.join(lost, F.col("doc_id").eqNullSafe(F.col("_id")) & (th == F.col("_th")), "left_anti")
-    if found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").isEmpty():
-        return kept
-    # Ids that repeat: one row of each id is left in a component.
-    return (kept.withColumn("_th", th).dropDuplicates(["doc_id", "_th"]).drop("_th"))
+    rows = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_i"),
+                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_t"))
+    kept = rows.join(lost, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_th")), "left_anti")
+    if not found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_i", "_t"])  # ids repeat: rows of one id and text count as one
+    return kept.select("_doc.*")
