@@ -173,5 +173,6 @@ def accepted(docs: DataFrame, labels: DataFrame, alpha: float = 0.02,
     feats = stored(features(docs, also=[th.alias("_th")]), "quality-features")
     bad = judged(feats, labels, alpha, delta).where("NOT kept").select(
         F.col("doc_id").alias("_bad_id"), F.col("_th").alias("_bad_th")).distinct()
-    return docs.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad_id")) & (th == F.col("_bad_th")),
-                     "left_anti")
+    rows = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_id"), th.alias("_text_hash"))
+    return rows.join(bad, F.col("_id").eqNullSafe(F.col("_bad_id")) & (F.col("_text_hash") == F.col("_bad_th")),
+                     "left_anti").select("_doc.*")

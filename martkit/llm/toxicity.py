@@ -21,7 +21,6 @@ empty table gives an empty table; further columns are not read.
 
 from __future__ import annotations
 
-import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -63,21 +62,17 @@ def _fold_table() -> dict[int, str]:
         table.setdefault(c, " ")
     for c, to in (LOOK_ALIKE | DIGITS).items():
         table[ord(c)] = to
-        table.setdefault(ord(c.upper()), to) if len(c.upper()) == 1 else None
-        if c in DIGITS:
-            table[ord(c) + 0xFEE0] = to
-        elif len(c.upper()) == 1:
-            table[ord(c.upper())] = to
+    for c, to in DIGITS.items():
+        table[ord(c) + 0xFEE0] = to
     return table
 
 
 FOLD = _fold_table()
-BLANKS = re.compile(r"\s+")
 
 
 def fold(text: str) -> str:
     """Folded words with one blank between and around them."""
-    return " " + " ".join(text.translate(FOLD).split()) + " "
+    return " " + " ".join(text.lower().translate(FOLD).split()) + " "
 
 
 @dataclass(frozen=True)
@@ -111,8 +106,8 @@ def _hits(automaton, folded: str) -> dict[int, float]:
         elif w > best.get(start, 0.0):
             best[start] = w
     for start, end in spared:
-        for at in [x for x in best if start <= x < end]:
-            del best[at]
+        for at in range(start, end):
+            best.pop(at, None)
     return best
 
 

@@ -20,7 +20,8 @@ class Groups:
 
     def root(self, x):
         while self.parent.setdefault(x, x) != x:
-            x = self.parent[x] = self.parent[self.parent[x]]
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
         return x
 
     def join(self, a, b):
