@@ -49,7 +49,28 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
                                        tokenizer_file("piece_bpe_32k.model"))
 
 
-@_query("op3_ngram_join")
+@_query("op3_ngram_join", """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' ')) END) AS shingle
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (
+  SELECT x, y FROM o JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y
+  WHERE 100 * o >= 85 * (p.n + q.n - o)),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x)
+SELECT w.doc_id, coalesce(any_value(n.n), 0) AS n_shingles,
+       least(w.doc_id, coalesce(min(r.y), w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN r ON r.x = w.doc_id GROUP BY w.doc_id
+""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), 4, 85, 100).select(
         "doc_id", "n_shingles", "component_id")
@@ -179,6 +200,20 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
-@_query("op10_embedding_index")
+@_query("op10_embedding_index", """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: c::DOUBLE) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9),
+r AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS low FROM r GROUP BY x),
+k AS (SELECT x, count(*) AS n FROM l GROUP BY x)
+SELECT m.vec_id, coalesce(k.n, 0) AS n_links, least(m.vec_id, coalesce(c.low, m.vec_id)) AS component_id,
+       m.vec_id = least(m.vec_id, coalesce(c.low, m.vec_id)) AS kept
+FROM embeddings m LEFT JOIN k ON k.x = m.vec_id LEFT JOIN c ON c.x = m.vec_id
+""")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_index.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
