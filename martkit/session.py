@@ -68,14 +68,20 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+_OWN_FOLDERS: set[str] = set()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the shared checkpoint root, removed when
-    the driver's JVM ends."""
-    path = f"{checkpoint_root(spark)}/martkit/{name}-{uuid.uuid4().hex[:12]}"
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return path
+    """A fresh, never-reused path in the application's folder under the shared
+    checkpoint root; the folder is removed when the driver's JVM ends."""
+    own = f"{checkpoint_root(spark)}/martkit/{spark.sparkContext.applicationId}"
+    if own not in _OWN_FOLDERS:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _OWN_FOLDERS.add(own)
+    return f"{own}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
