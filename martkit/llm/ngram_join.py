@@ -47,10 +47,10 @@ from .common import stored
 from .components import connected_components
 from .token_counts import slices
 
-SLICE_BYTES = 4 << 20       # text tokenized at once
-CHUNK_DOCS, CHUNK_SHINGLES = 60_000, 1_500_000   # documents and shingles packed at once
-PART_SHINGLES = 4_000_000   # shingles of a partition that counts frequencies
-RANGE_SHINGLES = 500_000    # shingles of it that are sorted at once
+SLICE_BYTES = 1 << 20       # text tokenized at once
+CHUNK_DOCS, CHUNK_SHINGLES = 60_000, 750_000   # documents and shingles packed at once
+PART_SHINGLES = 2_000_000   # shingles of a partition that counts frequencies
+RANGE_SHINGLES = 300_000    # shingles of it that are sorted at once
 LOCAL_HOT = 64              # classes of a chunk from which a shingle is settled in it
 TOP = 6                     # level of frequencies from 2**TOP on; LOCAL_HOT is in it
 COMBINE = (1, 1, 1, 2, 2, 2, 3)  # shingles a signature combines, by level

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from .token_counts import slices
 
 BLANK = "▁"  # written for a blank in the vocabulary
-SLICE_BYTES, INDEX_BYTES, MEMO, LONG = 8 << 20, 1 << 20, 400_000, 256
+SLICE_BYTES, INDEX_BYTES, MEMO, LONG = 4 << 20, 512 << 10, 200_000, 256
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -289,6 +289,7 @@ def _encoded(text: pa.Array, model_path: str) -> Iterator[tuple[list[str], np.nd
     for i, j in slices(text, SLICE_BYTES):
         part = text.slice(i, j - i).to_pylist()
         yield part, *encoder(model_path).encode(part)
+    encoder(model_path).memo.clear()  # idle workers keep the model only
 
 
 def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
