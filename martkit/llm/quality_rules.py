@@ -139,12 +139,12 @@ def certified_cutoffs(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id
     tests = F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(i).alias("step"), F.lit(c).alias("cutoff"),
                                F.col(f"{r}_{i}").alias("k"))
                       for r, (_, _, cuts) in RULES.items() for i, c in enumerate(cuts)])
-    strata = counts.groupBy().agg(F.count("*").alias("_strata"))  # one row
+    strata = counts.select(F.count("*")).scalar()
     flat = counts.select("stratum", "n", F.explode(tests).alias("x")).select("stratum", "n", "x.*")
     # At most strata x cutoffs rows from here on, whatever the size of the corpus.
-    tested = flat.join(F.broadcast(strata)).withColumn(
+    tested = flat.withColumn(
         "pass", binomial_cdf(F.col("k"), F.col("n"), alpha / len(RULES))
-        <= F.lit(delta) / (F.col("_strata") * len(RULES)))
+        <= F.lit(delta) / (strata * len(RULES)))
     failed = F.min(F.when(~F.col("pass"), F.col("step")))
     seq = tested.groupBy("stratum", "rule").agg(
         F.coalesce(failed, F.lit(10_000)).alias("_stop"),
