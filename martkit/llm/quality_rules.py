@@ -2,15 +2,23 @@
 
 Base rules are fixed limits. Every other rule is a per-document statistic that is
 large for bad text and a cutoff above which the document goes. The cutoffs are
-certified on labelled documents, per stratum (language): going from the most
-lenient cutoff to stricter ones, a cutoff is certified while the exact binomial
-test rejects "the rule's rate of false rejections is above ``alpha``/rules", that
-is while P(Binomial(n, alpha/rules) <= k) <= ``delta``/(rules x strata) for k false
-rejections among n good labelled documents; the first failure ends the sequence.
-Fixed-sequence testing needs no share of delta per cutoff and Bonferroni covers
-rules and strata, so with probability 1 - ``delta`` all certified rules together
-reject at most ``alpha`` of the good documents of every stratum. A stratum with too
-few labels certifies nothing and loses nothing beyond the base rules.
+certified on labelled documents, per stratum (language), in two ways:
+
+* jointly: ``PATH`` is one fixed sequence of vectors of cutoffs, each stricter than
+  the one before in one rule. A vector is certified while the exact binomial test
+  rejects "all its rules together reject more than ``alpha`` of the good documents",
+  that is while P(Binomial(n, alpha) <= k) <= delta/strata for the k among n good
+  labelled documents that any of its rules rejects; the first failure ends the
+  sequence. With four strata, 218 labels without a false rejection suffice.
+* each rule alone, at ``alpha``/rules and delta/(rules x strata), along its own
+  cutoffs. This takes far more labels, but a rule that does not suit a language
+  ends its own sequence only.
+
+Fixed-sequence testing needs no share of delta per cutoff; ``JOINT`` of ``delta`` goes
+to the first way and the rest to the second. So with probability 1 - ``delta`` both
+vectors of every stratum reject at most ``alpha`` of its good documents, and whichever
+rejects more of the documents labelled bad is used. A stratum with too few labels
+for either certifies nothing and loses nothing beyond the base rules.
 
 Defined results: null, empty and blank texts have no words and fail the base
 rules; a null stratum is a stratum; repeated labels of a document count once, as
@@ -43,6 +51,14 @@ RULES: dict[str, tuple[str, str, tuple[float, ...]]] = {
     "word_length": ("word_chars", "n_words", (20.0, 15.0, 12.0, 10.0, 9.0, 8.0)),
 }
 
+#: (rule, cutoff) in the order in which joint vectors take them up: all rules
+#: advance alike, from their most lenient cutoffs to their strictest.
+PATH: list[tuple[str, float]] = [(r, c) for _, r, c in sorted(
+    ((i / len(cuts), r, c) for r, (_, _, cuts) in RULES.items() for i, c in enumerate(cuts)),
+    key=lambda x: x[0])]
+#: Share of delta that the joint vectors get.
+JOINT = 0.98
+
 
 def _repeat_words(ws: Column) -> Column:
     """Words that lie in a window of 8 whose words occur twice or more in the text."""
@@ -126,8 +142,8 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
 def certified_cutoffs(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                       label_col: str = "quality", alpha: float = 0.02,
                       delta: float = 0.05) -> DataFrame:
-    """``stratum, rule, cutoff``: the strictest certified cutoff of each rule in each
-    stratum (a row for every rule; null where none is certified)."""
+    """``stratum, rule, cutoff``: the strictest cutoff of each rule that is certified for
+    the rule alone in each stratum (a row for every rule; null where there is none)."""
     good = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
             .agg(F.min(label_col).alias("_good")).where("_good = 1"))
     held = feats.where(~base_failed()).dropDuplicates(["doc_id"]).join(
@@ -153,16 +169,71 @@ def certified_cutoffs(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id
         F.filter("_cuts", lambda c: c["step"] < F.col("_stop")), lambda c: c["cutoff"])).alias("cutoff"))
 
 
+def joint_steps(held: DataFrame, alpha: float, delta: float) -> DataFrame:
+    """``stratum, step``: the last step of ``PATH`` whose joint vector is certified, -1
+    for none, for every stratum with a good document among the labelled ``held``."""
+    steps = {r: [i for i, (rule, _) in enumerate(PATH) if rule == r] for r in RULES}
+
+    def first_step(rule: str) -> Column:
+        out = F.lit(len(PATH))
+        for i in reversed(steps[rule]):
+            out = F.when(_score(rule) > PATH[i][1], i).otherwise(out)
+        return out
+
+    at = held.where("_good = 1").groupBy("stratum", F.least(*map(first_step, RULES)).alias("at")).agg(
+        F.count("*").alias("k"))
+    hist = at.groupBy("stratum").agg(F.sum("k").alias("n"), F.collect_list(F.struct("at", "k")).alias("hist"))
+    strata = hist.select(F.count("*")).scalar()
+    # At most strata x cutoffs rows from here on, whatever the size of the corpus.
+    flat = hist.select("stratum", "n", "hist", F.explode(F.sequence(F.lit(0), F.lit(len(PATH) - 1))).alias("step"))
+    k = F.aggregate(F.filter("hist", lambda x: x["at"] <= F.col("step")), F.lit(0).cast("long"),
+                    lambda acc, x: acc + x["k"])
+    tested = flat.select("stratum", "n", "step", k.alias("k")).withColumn(
+        "pass", binomial_cdf(F.col("k"), F.col("n"), alpha) <= F.lit(delta) / strata)
+    return tested.groupBy("stratum").agg(
+        (F.coalesce(F.min(F.when(~F.col("pass"), F.col("step"))), F.lit(len(PATH))) - 1).alias("step"))
+
+
+def _exceeds(cut: str) -> Column:
+    """Whether any rule's statistic is above its cutoff in the column ``cut`` + rule."""
+    out = F.lit(False)
+    for r in RULES:
+        out = out | F.coalesce(_score(r) > F.col(f"{cut}{r}"), F.lit(False))
+    return out
+
+
+def certified_vectors(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id",
+                      label_col: str = "quality", alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
+    """``_stratum`` and a column ``_cut_`` + rule for every rule (null: not used): per
+    stratum the joint vector or the vector of the rules certified alone, whichever
+    rejects more of the documents labelled bad."""
+    told = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
+            .agg(F.min(label_col).alias("_good")))
+    held = feats.where(~base_failed()).join(told, F.col("doc_id") == F.col("_id")).drop("_id")
+    held = stored(held.dropDuplicates(["doc_id"]), "quality-held")
+    alone = certified_cutoffs(held.drop("_good"), held.select(F.col("doc_id").alias(id_col), F.col("_good").alias(label_col)),
+                              id_col, label_col, alpha, (1 - JOINT) * delta)
+    alone = alone.groupBy(F.col("stratum").alias("_s")).agg(
+        *[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_alone_{r}") for r in RULES])
+    joint = joint_steps(held, alpha, JOINT * delta).select(F.col("stratum").alias("_stratum"), *[
+        F.least(*[F.when(F.col("step") >= i, c) for i, (rule, c) in enumerate(PATH) if rule == r]).alias(f"_joint_{r}")
+        for r in RULES])
+    both = stored(joint.join(alone, F.col("_stratum").eqNullSafe(F.col("_s"))).drop("_s"), "quality-vectors")
+    caught = held.where("_good <> 1").join(both, F.col("stratum").eqNullSafe(F.col("_stratum"))).groupBy(
+        F.col("stratum").alias("_s")).agg(
+        (F.count_if(_exceeds("_alone_")) > F.count_if(_exceeds("_joint_"))).alias("_alone"))
+    # Stored, so that its size is known and joins with it broadcast: a stratum may be hot.
+    return stored(both.join(caught, F.col("_stratum").eqNullSafe(F.col("_s")), "left").select("_stratum", *[
+        F.when(F.col("_alone"), F.col(f"_alone_{r}")).otherwise(F.col(f"_joint_{r}")).alias(f"_cut_{r}")
+        for r in RULES]), "quality-cutoffs")
+
+
 def judged(feats: DataFrame, labels: DataFrame, alpha: float = 0.02, delta: float = 0.05) -> DataFrame:
     """``feats`` (a stored table: it is read twice) with ``base_failed`` and ``kept``."""
-    cuts = (certified_cutoffs(feats, labels, alpha=alpha, delta=delta)
-            .groupBy(F.col("stratum").alias("_stratum"))
-            .agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES]))
+    cuts = certified_vectors(feats, labels, alpha=alpha, delta=delta)
     out = feats.join(cuts, F.col("stratum").eqNullSafe(F.col("_stratum")), "left")
-    bad = base_failed()
-    for r in RULES:
-        bad = bad | F.coalesce(_score(r) > F.col(f"_cut_{r}"), F.lit(False))
-    return out.select(*feats.columns, base_failed().alias("base_failed"), (~bad).alias("kept"))
+    return out.select(*feats.columns, base_failed().alias("base_failed"),
+                      (~(base_failed() | _exceeds("_cut_"))).alias("kept"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, alpha: float = 0.02,

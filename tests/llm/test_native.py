@@ -205,6 +205,60 @@ def test_quality_certification(spark):
     assert sum(not kept[i] for i in range(3000) if i % 6) <= 0.06 * 2500
 
 
+def test_quality_joint_vectors(spark):
+    """Few labels certify all rules together; a rule that suits no document of a
+    language leaves the others, if there are labels enough."""
+    rng = random.Random(8)
+    rows, labels = [], []
+
+    def add(lang, good, **kind):
+        words = [f"w{rng.randint(0, 10**6)}" for _ in range(30)]
+        if "long" in kind:
+            words = [w + "x" * 25 for w in words]
+        if "junk" in kind:
+            n = 10 if "long" in kind else 30
+            words[:n] = [w + kind["junk"] for w in words[:n]]
+        if "some" in kind:
+            words[:10] = [w + "!" for w in words[:10]]  # 0.33 marks a word
+        rows.append((len(rows), " ".join(words), lang, "s", 0))
+        labels.append((len(rows) - 1, int(good), 0))
+
+    for i in range(400):
+        add("de", True, **({"some": 1} if i < 2 else {}))
+    for i in range(150):
+        add("few", True)
+    for i in range(4000):
+        add("zh", True, long=1)
+    for lang in ("de", "few", "zh"):
+        for i in range(20):
+            add(lang, False, junk="%%" if i % 2 else "!!", **({"long": 1} if lang == "zh" else {}))
+    feats = quality_rules.features(frame(spark, rows)).cache()
+    lab = frame(spark, labels, "doc_id long, quality int, toxic int")
+    cuts = {r._stratum: r.asDict() for r in quality_rules.certified_vectors(feats, lab).collect()}
+    table = {r.doc_id: r for r in feats.collect()}
+    good = [table[i] for i, q, _ in labels if q and rows[i][2] == "de"]
+
+    def score(r, rule):
+        top, bottom, _ = quality_rules.RULES[rule]
+        return getattr(r, top) / max(1, getattr(r, bottom))
+
+    want = {}
+    for rule, c in quality_rules.PATH:
+        now = want | {rule: c}
+        k = sum(any(score(r, x) > y for x, y in now.items()) for r in good)
+        if sum(math.comb(400, i) * 0.02**i * 0.98**(400 - i) for i in range(k + 1)) > quality_rules.JOINT * 0.05 / 3:
+            break
+        want = now
+    assert want["symbols_per_word"] < 1 and want["marks_per_word"] < 1
+    assert {r: cuts["de"][f"_cut_{r}"] for r in quality_rules.RULES} == {r: want.get(r) for r in quality_rules.RULES}
+    assert all(cuts["few"][f"_cut_{r}"] is None for r in quality_rules.RULES)
+    assert cuts["zh"]["_cut_word_length"] is None and cuts["zh"]["_cut_symbols_per_word"] == 0.05
+    kept = {r.doc_id: r.kept for r in quality_rules.judged(feats, lab).collect()}
+    lost = collections.Counter((rows[i][2], q) for i, q, _ in labels if not kept[i])
+    assert lost["de", 0] == lost["zh", 0] == 20 and lost["few", 0] == lost["few", 1] == lost["zh", 1] == 0
+    assert lost["de", 1] <= 2
+
+
 def test_quality_accepted(spark):
     rows = [(1, "a", "en", "s", 0), (1, " ".join(f"w{i}" for i in range(40)), "en", "s", 0), (None, None, None, None, None)]
     lab = frame(spark, [], "doc_id long, quality int, toxic int")
