@@ -311,6 +311,36 @@ def test_surrogates(spark):
     assert pii_surrogates.with_surrogates(frame(spark, [], "doc_id long, text string"), "k").collect() == []
 
 
+def test_surrogates_of_names_said_again(spark):
+    texts = ["Mr John Smith came. Yesterday John Smith left; SMITH, said John, and Smith's dog. Mr Smith and Mary Smith.",
+             "Ms Mary Jones and Mr John Smith: John Jones, Mary Jones.", "John Smith without a form of address"]
+    docs = frame(spark, list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii_surrogates.with_surrogates(docs, "k", count_col="n").collect()}
+    m = re.fullmatch(r"Mr (\w+) (\w+) came. Yesterday \1 \2 left; (\w+), said \1, and \2's dog. Mr \2 and Mary \2.", got[0].text)
+    assert m and m[3] == m[2].upper() and "Smith" not in got[0].text and got[0].n == 7
+    f = re.fullmatch(r"Ms (\w+) (\w+) and Mr (\w+) (\w+): \3 \2, \1 \2.", got[1].text)
+    assert f and (f[3], f[4]) == (m[1], m[2]) and got[2].text == texts[2] and got[2].n == 0
+    many = [(i, f"Mr A{chr(97 + i // 26)}{chr(97 + i % 26)} Smith") for i in range(100)]
+    found = pii_surrogates.entities(frame(spark, many, "doc_id long, text string"), "k").where("kind = 'name'").collect()
+    assert len(found) == 101 == len({r.surrogate for r in found}) == 101
+    assert len({r.surrogate.split()[-1] for r in found}) == 1
+
+
+def test_surrogates_of_card_groups_and_ipv6(spark):
+    cards = ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "6304 0000 0000 0000 000"]
+    ips = ["2001:db8::ff00:42:8329", "2001:0DB8:0:0:0:FF00:0042:8329", "::1", "fe80::1", "::ffff:192.0.2.1", "::ffff:c000:201"]
+    docs = frame(spark, [(0, "; ".join(cards)), (1, "; ".join(ips)), (2, "at 12:30:45 std::vector a::b 00:1a:2b:3c:4d:5e")],
+                 "doc_id long, text string")
+    got = {r.doc_id: r for r in pii_surrogates.with_surrogates(docs, "k", count_col="n").collect()}
+    new = got[0].text.split("; ")
+    assert [re.sub("[0-9]", "0", x) for x in new] == [re.sub("[0-9]", "0", x) for x in cards]
+    assert not set(new) & set(cards) and luhn(new[0]) and new[0].replace(" ", "-") == new[1]
+    new = got[1].text.lower().split("; ")
+    assert all(re.fullmatch("2[0-9a-f]{3}(:[0-9a-f]{1,4}){7}", x) for x in new)
+    assert new[0] == new[1] and new[4] == new[5] and len(set(new)) == 4 and got[1].n == 6
+    assert got[2].text == "at 12:30:45 std::vector a::b 00:1a:2b:3c:4d:5e" and got[2].n == 0
+
+
 def test_surrogates_do_not_collide(spark):
     """Network addresses with two octets left to choose from collide often at first."""
     rows = [(i, f"from 10.{i // 250}.{i % 250}.7 and 10.{i // 250}.{i % 250}.8") for i in range(4000)]
