@@ -49,6 +49,8 @@ CLOSES = {
     "option": ({"option"}, {"select", "datalist"}), "optgroup": ({"option", "optgroup"}, {"select"}),
     "body": ({"head", "title"}, {"html"}),
 }
+#: What a head may hold: any other element, and text, ends an open head.
+IN_HEAD = frozenset("title meta link script style base noscript template head html basefont bgsound noframes".split())
 #: End tags do not reach out of these.
 SCOPE = frozenset({"table", "td", "th", "caption", "html"})
 
@@ -88,11 +90,19 @@ def build_tree(page: str) -> Node:
     root = Node("html")
     stack = [root]
     at, n = 0, len(page)
+
+    def end_head() -> None:
+        if stack[-1].kind == "head":
+            stack.pop()
+
     while at < n:
         m = TAG.search(page, at)
         end = m.start() if m else n
         if end > at:
-            stack[-1].children.append(html.unescape(page[at:end]))
+            text = html.unescape(page[at:end])
+            if SPACE.sub("", text):
+                end_head()
+            stack[-1].children.append(text)
         if not m:
             break
         at = m.end()
@@ -111,6 +121,8 @@ def build_tree(page: str) -> Node:
             continue
         if kind in ("html", "body") and any(x.kind == kind for x in stack):
             continue
+        if kind not in IN_HEAD:
+            end_head()
         closed, limits = CLOSES.get(kind, ((), ()))
         depth = len(stack) - 1
         cut = None

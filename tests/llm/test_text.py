@@ -95,6 +95,15 @@ def test_html(spark):
     assert html_text.html_text(df.limit(0)).collect() == []
 
 
+def test_html_head_without_end_or_body():
+    for page, text in {
+            "<head><title>T</title><p>Hello": "Hello", "<html><head><meta charset=x>\n<style>p{}</style>\nHello<p>you": "Hello\n\nyou",
+            "<head><title>T</title><noscript><style>p{}</style></noscript><script>x()</script><link rel=y><div>a</div>b": "a\nb",
+            "<head><template><p>no</p></template><base href=x><h1>H</h1>": "H", "<head> <title>T</title> </head> <p>a": "a",
+            "<!DOCTYPE html><head><title>T</title><body>b": "b"}.items():
+        assert html_text.render(page) == text, page
+
+
 def test_html_of_any_shape_ends():
     for page in ("<div>" * 20_000 + "x", "<table><tr><td>" * 300 + "x", "<p>" + "<b>a" * 5_000, "<" * 50_000,
                  "<a " + "x='" * 20_000, "<ul><li>" * 3_000 + "x", "<!--" * 9_000, "<![CDATA[" * 3_000, "&#x110000; &bogus;"):
