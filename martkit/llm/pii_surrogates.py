@@ -67,7 +67,7 @@ PATTERNS: dict[str, str] = {
     "ssn": _W + r"[0-9]{3}-[0-9]{2}-[0-9]{4}" + _E,
     "phone": r"(?<![\p{L}\p{N}_+])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}|"
              r"[0-9]{2,4}[ .-][0-9]{3,4}[ .-][0-9]{4})" + _E + r"|(?<![\p{L}\p{N}_+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,4}" + _E,
-    "ipv6": r"(?<![\p{L}\p{N}_:.])(?=[0-9a-fA-F:]*[0-9])"
+    "ipv6": r"(?=[0-9a-fA-F]{0,4}:)(?<![\p{L}\p{N}_:.])(?=[0-9a-fA-F:]*[0-9])"
             rf"(?:(?:{_HEX}:){{7}}{_HEX}|(?:{_HEX}:){{6}}{_V4}|"
             rf"(?:{_HEX}(?::{_HEX}){{0,5}})?::(?:(?:{_HEX}:){{0,4}}{_V4}|{_HEX}(?::{_HEX}){{0,5}})?)(?![\p{{L}}\p{{N}}_:])",
     "ip": _W + rf"{_OCTET}(?:\.{_OCTET}){{3}}" + _E,
