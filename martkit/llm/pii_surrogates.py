@@ -75,7 +75,7 @@ PATTERNS: dict[str, str] = {
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Every match contains this; texts without it are passed over by a cheap scan.
-HINT = rf"[@0-9]|[0-9a-fA-F]{{32}}|(?:{_TITLES})"
+HINT = rf"[@0-9]|[0-9a-fA-F]{{32}}|AKIA|gh[pousr]_|sk-|(?:{_TITLES})"
 DIGITS = ("card", "ssn", "phone")
 _WORD = r"\p{Lu}\p{L}+(?:-\p{Lu}\p{L}+)?"
 #: Capitalised words in a row, among which names are found again.

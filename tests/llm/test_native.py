@@ -341,6 +341,18 @@ def test_surrogates_of_card_groups_and_ipv6(spark):
     assert got[2].text == "at 12:30:45 std::vector a::b 00:1a:2b:3c:4d:5e" and got[2].n == 0
 
 
+def test_hint_covers_every_pattern():
+    import regex
+    said = {"email": ["a@b.cd"], "secret": ["a" * 32, "F" * 32, "AKIA" + "A" * 16, *(f"gh{c}_" + "x" * 20 for c in "pousr"), "sk-" + "y" * 20],
+            "iban": ["DE89370400440532013000"], "card": ["3782 822463 10005", "4" * 13], "ssn": ["123-45-6789"],
+            "phone": ["+1 (017) 555-7713"], "ipv6": ["::1", "2001:db8::a"], "ip": ["1.2.3.4"],
+            "name": [f"{t} Xy" for t in (*pii_surrogates.MALE_TITLES, *pii_surrogates.FEMALE_TITLES, *pii_surrogates.OTHER_TITLES)]}
+    assert set(said) == set(pii_surrogates.PATTERNS)
+    for kind, texts in said.items():
+        for t in texts:
+            assert regex.fullmatch(pii_surrogates.PATTERNS[kind], t) and regex.search(pii_surrogates.HINT, t), t
+
+
 def test_surrogates_do_not_collide(spark):
     """Network addresses with two octets left to choose from collide often at first."""
     rows = [(i, f"from 10.{i // 250}.{i % 250}.7 and 10.{i // 250}.{i % 250}.8") for i in range(4000)]
