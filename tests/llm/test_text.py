@@ -38,6 +38,22 @@ def test_token_counts(spark, texts):
     assert token_counts.token_counts(frame(spark, []), WORD_FILE).collect() == []
 
 
+def test_ascii_words_are_those_of_the_file():
+    import re
+
+    import regex
+    for c in map(chr, range(128)):
+        text = f"a{c}b 1{c}{c}'s".lower()
+        assert re.findall(token_counts.ASCII_WORD, text) == regex.findall(token_counts.WORD, text), c
+
+
+def test_token_counts_of_control_characters(spark):
+    from tokenizers import Tokenizer
+    tok, odd = Tokenizer.from_file(WORD_FILE), ["a\x1cb", "\x1d\x1e x", "q\x1f"]
+    got = {r.doc_id: r.n_tokens for r in token_counts.token_counts(frame(spark, odd), WORD_FILE).collect()}
+    assert got == {i: len(tok.encode(t, add_special_tokens=False).ids) for i, t in enumerate(odd)}
+
+
 def test_null_ids_pass_through(spark):
     df = spark.createDataFrame([(None, "a b"), (None, None)], "doc_id long, text string")
     assert sorted(r.n_tokens for r in token_counts.token_counts(df, WORD_FILE).collect()) == [0, 2]
