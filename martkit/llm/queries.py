@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (embedding_index, html_text, line_dedup, mixing, ngram_join, pii_surrogates, quality_rules,
+from . import (embedding_index, html_text, line_dedup, merkle, mixing, ngram_join, pii_surrogates, quality_rules,
                sentence_pieces, token_counts, toxicity)
 from .common import stored, table
 
@@ -217,3 +217,73 @@ FROM embeddings m LEFT JOIN k ON k.x = m.vec_id LEFT JOIN c ON c.x = m.vec_id
 """)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_index.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
+def _crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of an ASCII text: the polynomial division bit by bit."""
+    bit = "xor(b >> 1, CASE WHEN b % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)"
+    return f"""xor(4294967295::UBIGINT, list_reduce(
+      list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::UBIGINT),
+      lambda c, x: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::UBIGINT[], lambda b, j: {bit}, xor(c, x)),
+      4294967295::UBIGINT))"""
+
+
+_LEAF_SQL = "sha256(" + " || ".join(
+    f"CASE WHEN {v} IS NULL THEN '-' ELSE strlen({v}::VARCHAR) || ':' || {v}::VARCHAR END"
+    for v in ("doc_id", "source", "lang", "{n_chars}", "text")) + ")"
+_PARENTS_SQL = """list_transform(range(0, (len(l) + 1) // 2), lambda i:
+  sha256(l[2 * i + 1] || CASE WHEN 2 * i + 2 <= len(l) THEN l[2 * i + 2] ELSE '' END))"""
+
+
+@_query("op12_merkle_manifest", f"""
+WITH RECURSIVE f AS (
+  SELECT doc_id, lang, {_LEAF_SQL.format(n_chars="n_chars")} AS leaf,
+         CASE WHEN {_crc32_sql("doc_id::VARCHAR")} % 7 = 0
+           THEN {_LEAF_SQL.format(n_chars="(n_chars + 1)")} END AS tampered
+  FROM documents),
+p AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM f),
+t AS (
+  SELECT lang, 0 AS level, list(leaf ORDER BY place) AS l FROM p GROUP BY lang
+  UNION ALL SELECT lang, level + 1, {_PARENTS_SQL} FROM t WHERE len(l) > 1),
+s AS (SELECT lang, level AS height, l[1] AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place
+      FROM t WHERE len(l) = 1),
+u AS (
+  SELECT 0 AS level, list(subroot ORDER BY place) AS l FROM s
+  UNION ALL SELECT level + 1, {_PARENTS_SQL} FROM u WHERE len(l) > 1),
+r AS (SELECT l[1] AS root FROM u WHERE len(l) = 1),
+h AS (
+  SELECT p.*, s.height, s.subroot, s.place AS g FROM p JOIN s ON p.lang IS NOT DISTINCT FROM s.lang),
+step AS (
+  SELECT h.doc_id, h.leaf, h.place, h.lang, t.level, xor(h.place >> t.level, 1) < (h.place >> t.level) AS is_left,
+         t.l[xor(h.place >> t.level, 1) + 1] AS sibling
+  FROM h JOIN t ON h.lang IS NOT DISTINCT FROM t.lang AND t.level < h.height
+  UNION ALL
+  SELECT h.doc_id, h.leaf, h.place, h.lang, h.height + u.level, xor(h.g >> u.level, 1) < (h.g >> u.level),
+         u.l[xor(h.g >> u.level, 1) + 1]
+  FROM h JOIN u ON len(u.l) > 1),
+proof AS (
+  SELECT doc_id, leaf, place, lang, string_agg(sibling, '' ORDER BY level) AS siblings,
+         list(coalesce(sibling, '') ORDER BY level) AS others, list(is_left ORDER BY level) AS lefts
+  FROM step GROUP BY ALL),
+o AS (
+  SELECT h.*, coalesce(q.siblings, '') AS siblings, coalesce(q.others, []) AS others, coalesce(q.lefts, []) AS lefts
+  FROM h LEFT JOIN proof q ON h.doc_id IS NOT DISTINCT FROM q.doc_id AND h.leaf = q.leaf AND h.place = q.place
+    AND h.lang IS NOT DISTINCT FROM q.lang),
+e AS (
+  SELECT doc_id, leaf, subroot, root, sha256(siblings) AS proof_sha256,
+    list_reduce(list_transform(range(1, len(others) + 1), lambda i: CASE WHEN lefts[i] THEN '<' ELSE '>' END || others[i]),
+      lambda d, x: sha256(CASE WHEN x[1] = '<' THEN substr(x, 2) || d ELSE d || substr(x, 2) END),
+      coalesce(tampered, leaf)) AS folded_root
+  FROM o, r)
+SELECT *, folded_root = root AS verified FROM e
+""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    more = (F.col("n_chars").cast("decimal(20,0)") + 1)
+    changed = merkle.row_digest([more if c == "n_chars" else F.col(c) for c in merkle.FIELDS])
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    rows = merkle.manifest(docs, also={"tampered": F.when(hit, changed)})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                       folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
