@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (embedding_index, html_text, line_dedup, merkle, mixing, ngram_join, pii_surrogates, quality_rules,
-               sentence_pieces, token_counts, toxicity)
+               sentence_pieces, token_align, token_counts, toxicity)
 from .common import stored, table
 
 try:
@@ -287,3 +287,9 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("proof"))
     return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
                        folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+@_query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_align.align(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"),
+                             tokenizer_file("piece_bpe_32k.model"), digest=True)
