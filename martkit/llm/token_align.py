@@ -10,9 +10,9 @@ ends. ``Table.group_by`` counts the pairs of a slice, and Spark adds up the part
 counts. A slice keeps its distinct pairs once and its documents as numbers into them,
 so that corpus-wide counts come back as one row per slice and pair, not per link.
 
-Long texts are cut, for encoding only, at spaces between two ASCII letters, where
-neither tokenizer joins anything across (checked for the pieces when a file is read);
-the alignment takes the whole text, so memory grows with the longest text of a table.
+Texts are cut, for encoding only, at single spaces between visible Latin characters,
+where neither tokenizer joins anything across (checked for the pieces when a file is
+read): the library encodes each distinct chunk once while a bounded memo has it. The alignment takes whole texts, so memory grows with the longest text of a table.
 
 Defined results: texts that are null or empty, or whose token bytes on either side
 are not the text with a space before it, have no tokens; documents are rows, so
@@ -25,7 +25,6 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,9 +37,10 @@ from .common import stored
 from .token_counts import slices
 
 SLICE_BYTES = 2 << 20   # text of one slice
-PART_BYTES = 16 << 10   # length from which a text is encoded in parts
+MEMO = 200_000          # chunks remembered at most
+MEMO_TOKENS = 2_000_000 # and their tokens
 BLANK = "▁"
-_CUT = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+_LATIN = 0xC3  # the first UTF-8 byte of U+00C0..U+00FF, of which none is white space
 
 
 def _byte_of_symbol() -> dict[str, int]:
@@ -106,25 +106,59 @@ def _load(kind: type, path: str):
     return _LOADED[kind, path]
 
 
-def parts_of(text: str) -> list[str]:
-    """``text`` with a space before it, in parts that begin with a space."""
-    if not text:
-        return []
-    if len(text) < 2 * PART_BYTES:
-        return [" " + text]
-    out, lo = [], 0
-    while len(text) - lo > PART_BYTES:
-        cut = _CUT.search(text, lo + PART_BYTES)
-        if cut is None:
-            break
-        out.append(" " + text[lo:cut.start()])
-        lo = cut.end()
-    return [*out, " " + text[lo:]]
-
-
-def _tokens(lists: list[list[int]], doc_of_part: pa.Array, vocabulary: pa.Array) -> pa.Table:
+def spaced(texts: pa.Array) -> pa.Array:
+    """Texts with a space before them; empty ones stay empty."""
+    text = pc.binary_join_element_wise("", texts, " ")
+    return pc.if_else(pc.equal(pc.binary_length(texts), 0), "", text)
+
+
+def chunks(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The parts of ``spaced`` texts, each beginning with a space, and whose they are."""
+    n = len(texts)
+    offsets = np.frombuffer(texts.buffers()[1], np.int32, n + 1, 4 * texts.offset)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[:offsets[-1]]
+    at = np.flatnonzero(data[2:-1] == 0x20) + 2
+    before, after = data[at - 1], data[at + 1]
+    seen = ((before > 0x20) & (before < 0x80)) | (data[at - 2] == _LATIN)
+    at = at[seen & (((after > 0x20) & (after < 0x80)) | (after == _LATIN))]
+    cut = np.zeros(len(data) + 1, bool)
+    cut[at] = cut[offsets] = True
+    cuts = np.flatnonzero(cut[offsets[0]:]) + offsets[0]
+    parts = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
+    return parts, np.searchsorted(offsets, cuts[:-1], "right") - 1
+
+
+class Coder:
+    """Both tokenizers behind one memo of chunks."""
+
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.sides = (a, b)
+        self.forget()
+
+    def forget(self) -> None:
+        self.memo: dict[str, int] = {}  # places in the pools
+        self.pools = [pa.array([], pa.list_(pa.int32()))] * 2
+
+    def encode(self, parts: pa.Array) -> list[pa.ListArray]:
+        """Of either side, the token ids of every part."""
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        if len(self.memo) + len(distinct) > MEMO:
+            self.forget()
+        new = [c for c in distinct if c not in self.memo]
+        if new:
+            self.memo.update(zip(new, range(len(self.memo), len(self.memo) + len(new)), strict=True))
+            self.pools = [pa.concat_arrays([pool, pa.array(side.encode(new), pool.type)])
+                          for pool, side in zip(self.pools, self.sides, strict=True)]
+        at = pa.array([self.memo[c] for c in distinct], pa.int64()).take(coded.indices)
+        found = [pool.take(at) for pool in self.pools]
+        if max(len(pool.values) for pool in self.pools) > MEMO_TOKENS:
+            self.forget()
+        return found
+
+
+def _tokens(nested: pa.ListArray, doc_of_part: pa.Array, vocabulary: pa.Array) -> pa.Table:
     """``doc, id, end``: a row per token in order, its end in bytes within its text."""
-    nested = pa.array(lists, pa.list_(pa.int32()))
     ids, doc = pc.list_flatten(nested), doc_of_part.take(pc.list_parent_indices(nested))
     size = pc.binary_length(vocabulary).take(ids).cast(pa.int64())
     running = pc.cumulative_sum(size)
@@ -140,19 +174,16 @@ def _restart(running: pa.Array, size: pa.Array, doc: pa.Array) -> pa.Array:
     return pc.subtract(running, pc.fill_null_forward(before))
 
 
-def _kept(tokens: pa.Table, vocabulary: pa.Array, texts: list[str]) -> pa.Array:
-    """Which texts' token bytes are the text with a space before it."""
+def _kept(tokens: pa.Table, vocabulary: pa.Array, texts: pa.Array) -> pa.Array:
+    """Which ``spaced`` texts have the bytes of their tokens, and any."""
     if not tokens.num_rows:
         return pa.array([False] * len(texts), pa.bool_())
     joined = memoryview(vocabulary.take(tokens["id"].combine_chunks()).buffers()[2]).cast("B")
-    length = tokens.group_by("doc", use_threads=False).aggregate([("end", "max")])
-    size = dict(zip(length["doc"].to_pylist(), length["end_max"].to_pylist(), strict=True))
-    ok, at = [], 0
-    for i, t in enumerate(texts):
-        n = size.get(i, 0)
-        ok.append(bool(t) and joined[at:at + n] == (" " + t).encode())
-        at += n
-    return pa.array(ok, pa.bool_())
+    size = np.zeros(len(texts), np.int64)
+    np.maximum.at(size, np.asarray(tokens["doc"]), np.asarray(tokens["end"]))
+    ends = np.cumsum(size)
+    return pa.array([bool(t) and joined[e - n:e] == t for t, n, e in
+                     zip(texts.cast(pa.binary()).to_pylist(), size.tolist(), ends.tolist(), strict=True)], pa.bool_())
 
 
 def _nested(values: pa.Array, parents: np.ndarray, n: int) -> pa.ListArray:
@@ -161,16 +192,16 @@ def _nested(values: pa.Array, parents: np.ndarray, n: int) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), values)
 
 
-def aligned(texts: list[str], a: ByteLevel, b: Pieces) -> dict:
+def aligned(texts: pa.Array, coder: Coder) -> dict:
     """Of a slice: arrays by document (``n_a``, ``n_b``, ``n_groups``, ``n_links`` and
     ``groups``, text), and ``links``: ``doc, a, b``, a row per overlapping pair."""
-    parts = [parts_of(t) for t in texts]
-    flat = [p for ps in parts for p in ps]
-    doc_of_part = pa.array(np.repeat(np.arange(len(texts), dtype=np.int64), [len(ps) for ps in parts]))
+    texts = spaced(texts)
+    parts, doc_of_part = chunks(texts)
+    doc_of_part = pa.array(doc_of_part)
     sides = []
-    for coder in (a, b):
-        t = _tokens(coder.encode(flat) if flat else [], doc_of_part, coder.bytes)
-        sides.append((t, _kept(t, coder.bytes, texts)))
+    for side, nested in zip(coder.sides, coder.encode(parts), strict=True):
+        t = _tokens(nested, doc_of_part, side.bytes)
+        sides.append((t, _kept(t, side.bytes, texts)))
     keep = pc.and_(sides[0][1], sides[1][1])
     ta, tb = (t.filter(keep.take(t["doc"])) for t, _ in sides)
     cuts = ta.rename_columns(["doc", "a", "end"]).join(
@@ -216,13 +247,13 @@ def alignments(docs: DataFrame, byte_level_path: str, piece_path: str, id_col: s
                        F.spark_partition_id().alias("part"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = _load(ByteLevel, byte_level_path), _load(Pieces, piece_path)
+        coder = Coder(_load(ByteLevel, byte_level_path), _load(Pieces, piece_path))
         number = 0
         for batch in batches:
             text = pc.fill_null(batch.column(1), "")
             for lo, hi in slices(text, SLICE_BYTES):
                 n = hi - lo
-                got = aligned(text.slice(lo, n).to_pylist(), a, b)
+                got = aligned(text.slice(lo, n), coder)
                 links = got["links"]
                 pair = pc.bit_wise_or(pc.shift_left(links["a"].cast(pa.int64()), 32), links["b"].cast(pa.int64()))
                 own = pa.table({"doc": links["doc"], "pair": pair})

@@ -5,6 +5,7 @@ from collections import Counter
 from hashlib import sha256
 
 import duckdb
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tokenizers
@@ -101,13 +102,17 @@ def test_empty_table(spark):
     assert token_align.align(spark.createDataFrame([], "doc_id long, text string"), A_PATH, B_PATH).collect() == []
 
 
-def test_long_texts_in_parts():
-    """Encoding in parts gives the library's tokens of the whole text."""
+def test_chunks():
+    """Encoding chunk by chunk gives the library's tokens of the whole text."""
     rng = random.Random(5)
     words = " ".join(corpus(0)[len(ODD) + 3:len(ODD) + 60]).split(" ")
-    text = "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\n", " 's ", ". "]) for _ in range(30_000))
-    parts = token_align.parts_of(text)
-    assert len(parts) > 4 and "".join(parts) == " " + text
-    a, b = token_align.ByteLevel(A_PATH), token_align.Pieces(B_PATH)
-    assert [i for p in a.encode(parts) for i in p] == a.tokenizer.encode(" " + text, add_special_tokens=False).ids
-    assert [i for p in b.encode(parts) for i in p] == b.model.encode(text)
+    long = "".join(rng.choice(words) + rng.choice([" ", " ", " ", "  ", "\n", " 's ", ". "]) for _ in range(30_000))
+    texts = ["", long, "", "a b", "", " a b ", ""]
+    parts, doc = token_align.chunks(token_align.spaced(pa.array(texts)).slice(0))
+    assert len(parts) > 1000 and all(p.startswith(" ") for p in parts.to_pylist())
+    coder = token_align.Coder(token_align.ByteLevel(A_PATH), token_align.Pieces(B_PATH))
+    a, b = coder.sides
+    got = [[[i for p, d in zip(x.to_pylist(), doc, strict=True) if d == k for i in p] for k in range(len(texts))]
+           for x in coder.encode(parts)]
+    assert got[0] == [a.tokenizer.encode(" " + t, add_special_tokens=False).ids if t else [] for t in texts]
+    assert got[1] == [b.model.encode(t) for t in texts]
