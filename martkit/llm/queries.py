@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (embedding_index, html_text, line_dedup, merkle, mixing, ngram_join, pii_surrogates, quality_rules,
-               sentence_pieces, token_align, token_counts, toxicity)
+               sentence_pieces, suffix_repeats, token_align, token_counts, toxicity)
 from .common import stored, table
 
 try:
@@ -219,6 +219,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_index.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+@_query("op11_suffix_dedup")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = suffix_repeats.without_repeats(table(spark, sf_dir, "documents"), width=400)
+    return rows.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def _crc32_sql(text: str) -> str:
     """Unsigned CRC-32 of an ASCII text: the polynomial division bit by bit."""
     bit = "xor(b >> 1, CASE WHEN b % 2 = 1 THEN 3988292384::UBIGINT ELSE 0::UBIGINT END)"
