@@ -10,8 +10,10 @@ and partitioned windows so they never fall back to a nested-loop join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, replace
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
@@ -123,7 +125,7 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
 
     Left rows always survive; unmatched get NULL right columns; NULL keys or
     timestamps never match. Among right rows with equal ts the highest ``tie``
-    wins.
+    wins (without ``tie``, the highest of all ``right_cols``).
 
     Plan: both sides are unioned into one (key, ts)-ordered stream in which a
     right row sorts before a left row at the same instant; ``last(right,
@@ -136,7 +138,7 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
         raise ValueError(direction)
     back, fwd = direction in ("backward", "nearest"), direction in ("forward", "nearest")
     by = as_list(by)
-    tie = as_list(tie)
+    tie = as_list(tie) or list(right_cols)
     keys = [f"_k{i}" for i in range(len(by))]
     probe = F.col(left_ts) if shift is None else F.col(left_ts) + shift
     lcols = left.columns
@@ -222,20 +224,145 @@ def asof_left(left: DataFrame, right: DataFrame, by: Sequence[str] | str,
     return j.select("_l.*", *[m.getField(c).alias(prefix_ + c) for c in right_cols])
 
 
+def _row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory."""
+    size = F.lit(16)
+    for f in df.schema.fields:
+        kind = f.dataType.simpleString()
+        size = size + (F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + 16
+                       if kind == "string" or not kind.isidentifier() else F.lit(8))
+    return size.cast("long")
+
+
+PER_SLOT = 32  # points of a slot, about
+
+
+@dataclass(frozen=True)
+class Series:
+    """A ``small_series``. ``slots``: per key (``_k0``, ...) and time slot, ``_ats`` and
+    ``_values`` (its points by time), ``_past`` (the last point of the slots before)
+    and ``_next`` (the first of those after). Slots are ``n`` equal parts of the time
+    from ``lo`` on, ``width`` long; the first and the last have no end."""
+    slots: DataFrame
+    lo: float
+    width: float
+    n: int
+
+    def slot(self, number: Column) -> Column:
+        at = F.floor((number.cast("double") - F.lit(self.lo)) / F.lit(self.width))
+        return F.least(F.greatest(at, F.lit(0)), F.lit(self.n - 1)).cast("int")
+
+
+def small_series(right: DataFrame, by: Sequence[str] | str, ts: str, cols: Sequence[str],
+                 tie: Sequence[str] | str | None = None, max_bytes: int | None = None) -> Series | None:
+    """A series cut into (key, time slot) rows of a few points each (of the points of one
+    instant the highest ``tie`` wins; without ``tie``, by all columns), or None if it
+    takes more than ``max_bytes`` (default: the session's broadcast threshold). The
+    points are stored and measured before any is gathered, so the bound holds for every
+    array and for all of them together."""
+    spark, by, tie = right.sparkSession, as_list(by), as_list(tie) or list(cols)
+    if max_bytes is None:
+        max_bytes = _threshold(spark)
+    keys = [f"_k{i}" for i in range(len(by))]
+    valid = right.where(reduce(Column.__and__, [F.col(c).isNotNull() for c in [*by, ts]]))
+    points = stored(valid.groupBy(*[F.col(b).alias(k) for k, b in zip(keys, by, strict=True)], F.col(ts).alias("_at")).agg(
+        F.max_by(F.struct(*cols), F.struct(*tie)).alias("_v")), "series")
+    flat = points.select(*keys, "_at", *[F.col("_v").getField(c).alias(f"_c{i}") for i, c in enumerate(cols)])
+    number = exact_number(points, "_at").cast("double")
+    size, lo, hi = flat.agg(F.sum(_row_bytes(flat)), F.min(number), F.max(number)).first()
+    if size is not None and size > max_bytes:
+        return None
+    n_keys, most = points.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.count("*"), F.max("_n")).first()
+    n = max(1, min((most or 0) // PER_SLOT, max_bytes // (256 * max(1, n_keys))))
+    series = Series(points, lo or 0.0, max(((hi or 0.0) - (lo or 0.0)) / n, 1e-9), n)
+    found = points.withColumn("_slot", series.slot(number)).groupBy(*keys, "_slot").agg(
+        F.sort_array(F.collect_list(F.struct("_at", "_v"))).alias("_p"))
+    every = points.select(*keys).distinct().withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    filled = every.join(found, [*keys, "_slot"], "left")
+    w = Window.partitionBy(*keys).orderBy("_slot")
+    slots = filled.select(
+        *keys, "_slot", F.col("_p._at").alias("_ats"), F.col("_p._v").alias("_values"),
+        F.last(F.element_at("_p", -1), ignorenulls=True).over(w.rowsBetween(UNB, -1)).alias("_past"),
+        F.first(F.element_at("_p", 1), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_next"))
+    return replace(series, slots=slots)
+
+
+def _threshold(spark) -> int:
+    return max(0, int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()))
+
+
+def asof_series(left: DataFrame, series: Series, by: Sequence[str] | str, left_ts: str,
+                right_cols: Sequence[str], prefix_: str = "", shift=None, direction: str = "backward") -> DataFrame:
+    """J12 against a ``small_series``: the same rows as ``asof_left``. The series is
+    broadcast (its size is measured); a left row meets the slot of its key and time and
+    finds its place there by binary search, and the left side is neither shuffled nor
+    sorted. The left column's time must compare with the series' as it is."""
+    if direction not in ("backward", "forward", "nearest"):
+        raise ValueError(direction)
+    by, lcols = as_list(by), left.columns
+    probe = F.col(left_ts) if shift is None else F.col(left_ts) + shift
+    slots = series.slots
+    most = slots.agg(F.max(F.size("_ats"))).first()[0] or 0
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, int(most).bit_length())))])
+    # the columns of the left side stay apart, whatever their names
+    rows = left.select(F.struct(*lcols).alias("_l"), probe.cast(slots.schema["_ats"].dataType.elementType).alias("_probe"))
+    rows = rows.withColumn("_in", series.slot(exact_number(rows, "_probe")))
+    cond = reduce(Column.__and__, [F.col(f"_l.{b}") == F.col(f"_k{i}") for i, b in enumerate(by)])
+    j = rows.join(F.broadcast(slots), cond & (F.col("_in") == F.col("_slot")), "left")
+
+    def before(inclusive: bool) -> Column:
+        """How many points of the slot are before the probe (or at it)."""
+        def step(n: Column, s: Column) -> Column:
+            at = F.get("_ats", n + s - 1)
+            return F.when((at <= F.col("_probe")) if inclusive else (at < F.col("_probe")), n + s).otherwise(n)
+        return F.aggregate(steps, F.lit(0), step)
+
+    def point(n: Column) -> Column:
+        return F.struct(F.get("_ats", n).alias("_at"), F.get("_values", n).alias("_v"))
+
+    if direction != "forward":
+        j = j.withColumn("_n", before(True)).withColumn(
+            "_b", F.when(F.col("_n") > 0, point(F.col("_n") - 1)).otherwise(F.col("_past")))
+    if direction != "backward":
+        j = j.withColumn("_n", before(False)).withColumn(
+            "_f", F.when(F.col("_n") < F.coalesce(F.size("_ats"), F.lit(0)), point(F.col("_n"))).otherwise(F.col("_next")))
+    if direction == "nearest":
+        j = j.withColumns({"_bts": F.col("_b._at"), "_fts": F.col("_f._at")})
+        at, past, next_ = exact_number(j, "_probe"), exact_number(j, "_bts"), exact_number(j, "_fts")
+        m = F.when(F.col("_bts").isNull(), F.col("_f._v")).when(
+            F.col("_fts").isNull() | ((at - past) <= (next_ - at)), F.col("_b._v")).otherwise(F.col("_f._v"))
+    else:
+        m = F.col("_b._v" if direction == "backward" else "_f._v")
+    j = j.withColumn("_m", F.when(F.col("_probe").isNotNull(), m))
+    return j.select("_l.*", *[F.col("_m").getField(c).alias(prefix_ + c) for c in right_cols])
+
+
 def asof_probes(left: DataFrame, right: DataFrame, probes: dict, right_by: Sequence[str] | str,
                 right_ts: str, tie: Sequence[str] | str | None = None,
-                rows_per_bucket: int | None = None, direction: str = "backward") -> DataFrame:
+                rows_per_bucket: int | None = None, direction: str = "backward",
+                max_bytes: int | None = None) -> DataFrame:
     """Several as-of probes of one right side. ``probes`` maps an output prefix
     to ``(left key columns, left time column, shift or None, right columns)``, so
     every probe has its own key and time (weather at departure, weather at
     arrival). One as-of after the other: left rows need no unique key, and
-    duplicates and NULLs pass through each of them."""
+    duplicates and NULLs pass through each of them.
+
+    A right side of at most ``max_bytes`` (``small_series``) is probed in place, and the
+    left side runs once. A larger one goes through ``asof_left``, which counts the left
+    rows of every key; the left side is stored first, so that it too runs once."""
     out, right_by = left, as_list(right_by)
-    for name, (by, ts, shift, cols) in probes.items():
+    cols = list(dict.fromkeys(c for *_, right_cols in probes.values() for c in right_cols))
+    series = small_series(right, right_by, right_ts, cols, tie, max_bytes)
+    if series is not None:
+        for name, (by, ts, shift, right_cols) in probes.items():
+            out = asof_series(out, series, by, ts, right_cols, prefix_=name, shift=shift, direction=direction)
+        return out
+    out = stored(out, "asof-left")
+    for name, (by, ts, shift, right_cols) in probes.items():
         side = right
         keys = as_list(by)
         if keys != right_by:
             side = right.withColumnsRenamed(dict(zip(right_by, keys, strict=True)))
-        out = asof_left(out, side, keys, ts, right_ts, cols, tie=tie, prefix_=name, shift=shift,
+        out = asof_left(out, side, keys, ts, right_ts, right_cols, tie=tie, prefix_=name, shift=shift,
                         rows_per_bucket=rows_per_bucket, direction=direction)
     return out

@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import cents, ratio_half_up, seconds_between
-from ..operators.aggs import (common_prefix, divisible_difference, entity_rollup,
-                              latest_by_key, money_sum, next_day_retention, summing_fold,
-                              user_price_report)
+from ..operators.aggs import (common_prefix, cube_bitmaps, distinct_bitmaps, divisible_difference,
+                              entity_rollup, latest_by_key, merge_bitmaps, money_sum,
+                              next_day_retention, summing_fold, user_price_report)
+from ..session import stored
 from ..sources.tables import TABLES, Tables
+from ..sources.tables_io import footer_scan, footer_stats
 from .registry import query
 
 
@@ -19,9 +21,9 @@ from .registry import query
 @query("table_count", " UNION ALL ".join(
     f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in TABLES), "A1")
 def table_count(spark: SparkSession, d: str) -> DataFrame:
-    t = Tables(spark, d)
-    parts = [getattr(t, n).agg(F.count(F.lit(1)).alias("row_count"))
-             .select(F.lit(n).alias("table_name"), "row_count") for n in TABLES]
+    """From the footers: no data page is read."""
+    parts = [footer_stats(footer_scan(spark, f"{d.rstrip('/')}/{n}.parquet"))
+             .select(F.lit(n).alias("table_name"), F.col("n_rows").alias("row_count")) for n in TABLES]
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -274,3 +276,20 @@ FROM events GROUP BY user_id
 def q_latest_by_key(spark: SparkSession, d: str) -> DataFrame:
     e = Tables(spark, d).events.select("user_id", "event_id", "ts", "event_type", "value")
     return latest_by_key(e, ["user_id"], ["ts"], ["event_id"])
+
+
+@query("distinct_bitmap_cube", """
+SELECT o_orderstatus, o_orderpriority, count(DISTINCT o_custkey) AS n_customers,
+       CAST(GROUPING(o_orderstatus, o_orderpriority) AS INTEGER) AS gid
+FROM orders GROUP BY CUBE (o_orderstatus, o_orderpriority)
+""", "A2")
+def distinct_bitmap_cube(spark: SparkSession, d: str) -> DataFrame:
+    """Customers per cell of a cube, from stored bitmaps of two loads (orders before 1998
+    and since) merged at the finest grain: the orders themselves are read once."""
+    o = Tables(spark, d).orders
+    cut = F.lit("1998-01-01").cast("timestamp_ntz")
+    dims = ["o_orderstatus", "o_orderpriority"]
+    loads = [stored(distinct_bitmaps(o.where(c), dims, "o_custkey"), "customer-bitmaps")
+             for c in (F.col("o_orderdate") < cut, ~(F.col("o_orderdate") < cut) | F.col("o_orderdate").isNull())]
+    merged = stored(merge_bitmaps(reduce(DataFrame.unionByName, loads), dims), "customer-bitmaps")
+    return cube_bitmaps(merged, dims, "n_customers")

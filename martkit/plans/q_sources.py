@@ -23,11 +23,12 @@ from ..sources.files import csv_scan, csv_sink
 from ..sources.json_docs import (TableSpec, build_pages, ingest_pages, land_pages,
                                  nest_lines_per_row, read_transaction_docs, reconcile_pages,
                                  unnest_json, write_transaction_docs)
+from ..sources.layouts import curve_layout, lookup
 from ..sources.tables import Tables
-from ..sources.tables_io import (clustered_layout, commit, ctas, describe_schema,
-                                 insert_select, month_range, partition_row_counts,
-                                 table_size_report, truncate_reload, typed_compact_rewrite,
-                                 write_month_partitioned, write_table)
+from ..sources.tables_io import (clustered_layout, commit, ctas, describe_schema, footer_scan,
+                                 footer_stats, insert_select, month_range, partition_row_counts,
+                                 read_months, reload_months, table_size_report, truncate_reload,
+                                 typed_compact_rewrite, write_month_partitioned, write_table)
 from .registry import query
 
 CUSTOMER_SCHEMA = StructType([
@@ -281,10 +282,9 @@ GROUP BY 1
 def month_partitioned_table(spark: SparkSession, d: str) -> DataFrame:
     """Write lineitem partitioned by ship month, then read one quarter: the
     ``ym`` predicate added by ``month_range`` prunes the other partitions."""
-    path = write_month_partitioned(
-        Tables(spark, d).lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice"),
-        "l_shipdate", scratch_path(spark, "lineitem_by_month"), sort_by=["l_orderkey"])
-    q = month_range(spark.read.parquet(path), "l_shipdate", MONTH_LO, MONTH_HI)
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_shipdate", "l_extendedprice")
+    path = write_month_partitioned(li, "l_shipdate", scratch_path(spark, "lineitem_by_month"), sort_by=["l_orderkey"])
+    q = month_range(read_months(spark, path, li.schema), "l_shipdate", MONTH_LO, MONTH_HI)
     return q.groupBy("ym").agg(F.count(F.lit(1)).alias("n_rows"),
                                F.sum(F.col("l_extendedprice").cast("decimal(18,2)"))
                                .cast("double").alias("revenue"))
@@ -306,9 +306,48 @@ SELECT CAST(year(l_shipdate) * 100 + month(l_shipdate) AS INTEGER) AS ym, count(
 FROM lineitem GROUP BY 1
 """, "S17")
 def q_partition_row_counts(spark: SparkSession, d: str) -> DataFrame:
-    path = write_month_partitioned(Tables(spark, d).lineitem.select("l_orderkey", "l_shipdate"),
-                                   "l_shipdate", scratch_path(spark, "lineitem_months"))
-    return partition_row_counts(spark.read.parquet(path), "ym")
+    """Rows per month of a partitioned table, from the footers of its files alone."""
+    li = Tables(spark, d).lineitem.select("l_orderkey", "l_shipdate")
+    path = write_month_partitioned(li, "l_shipdate", scratch_path(spark, "lineitem_months"))
+    schema = read_months(spark, path, li.schema).schema
+    return partition_row_counts(footer_scan(spark, path, schema), "ym")
+
+
+@query("footer_column_stats", """
+SELECT 'orders' AS table_name, count(*) AS n_rows, min(o_orderkey) AS min_key, max(o_orderkey) AS max_key FROM orders
+UNION ALL SELECT 'lineitem', count(*), min(l_orderkey), max(l_orderkey) FROM lineitem
+UNION ALL SELECT 'events', count(*), min(event_id), max(event_id) FROM events
+""", "A1")
+def footer_column_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Rows and key range of whole tables without reading a data page."""
+    out = []
+    for name, key in (("orders", "o_orderkey"), ("lineitem", "l_orderkey"), ("events", "event_id")):
+        stats = footer_stats(footer_scan(spark, f"{d.rstrip('/')}/{name}.parquet"), [key])
+        out.append(stats.select(F.lit(name).alias("table_name"), "n_rows",
+                                F.col(f"min_{key}").alias("min_key"), F.col(f"max_{key}").alias("max_key")))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("month_reload", """
+SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS ym, count(*) AS n_rows,
+       CAST(sum(CASE WHEN year(o_orderdate) = 1997 AND month(o_orderdate) IN (2, 5)
+                THEN CASE WHEN o_orderstatus <> 'P' THEN 2 * CAST(o_totalprice AS DECIMAL(18,2)) END
+                ELSE CAST(o_totalprice AS DECIMAL(18,2)) END) AS DOUBLE) AS revenue
+FROM orders
+WHERE NOT (year(o_orderdate) = 1997 AND month(o_orderdate) IN (2, 5) AND o_orderstatus = 'P')
+GROUP BY 1
+""", "S15")
+def month_reload(spark: SparkSession, d: str) -> DataFrame:
+    """Two months of a partitioned table are computed anew from the table itself (prices
+    doubled, pending orders gone) and put in their place; no other month is written."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    path = write_month_partitioned(o, "o_orderdate", scratch_path(spark, "orders_by_month"))
+    now = read_months(spark, path, o.schema)
+    anew = now.where("ym IN (199702, 199705) AND o_orderstatus <> 'P'").drop("ym") \
+        .withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    table = reload_months(anew, "o_orderdate", path)
+    return table.groupBy("ym").agg(F.count(F.lit(1)).alias("n_rows"),
+                                   F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("revenue"))
 
 
 @query("table_size_report", " UNION ALL ".join(
@@ -370,18 +409,37 @@ WHERE l_orderkey = (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'F'
 """, "S21")
 def q_clustered_layout(spark: SparkSession, d: str) -> DataFrame:
     """Point lookup and pair lookup on lineitem rewritten clustered on the key
-    with bloom filters; the lookup value itself comes from the data."""
+    with bloom filters; the lookup values themselves come from the data."""
     t = Tables(spark, d)
-    li = clustered_layout(spark, t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey",
-                                                   "l_suppkey", "l_quantity"),
-                          ["l_orderkey"], bloom_cols=["l_orderkey", "l_partkey"])
-    key = t.orders.where(F.col("o_orderstatus") == "F").select(F.max("o_orderkey")).scalar()
-    first = t.orders.select(F.min("o_orderkey")).scalar()
-    pairs = li.where(F.col("l_orderkey") == first).select("l_partkey", "l_suppkey").distinct()
-    point = li.where(F.col("l_orderkey") == key)
-    pair = li.join(pairs, ["l_partkey", "l_suppkey"], "left_semi")
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    li = clustered_layout(spark, t.lineitem.select(*cols), ["l_orderkey"], bloom_cols=["l_orderkey", "l_partkey"])
+    return _order_or_pairs(t, li)
+
+
+def _order_or_pairs(t: Tables, li: DataFrame) -> DataFrame:
+    """The lines of one order, and those with a (part, supplier) pair of another order."""
+    key = t.orders.where(F.col("o_orderstatus") == "F").agg(F.max("o_orderkey").alias("l_orderkey"))
+    first = t.orders.agg(F.min("o_orderkey").alias("l_orderkey"))
+    point = lookup(li, key)
+    pair = lookup(li, lookup(li, first).select("l_partkey", "l_suppkey"))
     # rows matching either lookup, once each (no OR across a join)
-    return point.unionByName(pair.where(F.col("l_orderkey") != key))
+    return point.unionByName(pair.join(key, "l_orderkey", "left_anti"))
+
+
+@query("curve_layout_lookup", """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem
+WHERE l_orderkey = (SELECT max(o_orderkey) FROM orders WHERE o_orderstatus = 'F')
+   OR (l_partkey, l_suppkey) IN (SELECT (l_partkey, l_suppkey) FROM lineitem
+                                 WHERE l_orderkey = (SELECT min(o_orderkey) FROM orders))
+""", "S21")
+def curve_layout_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """The same lookups on one layout that serves all three keys: lineitem along a
+    Z-order curve over order, part and supplier."""
+    t = Tables(spark, d)
+    cols = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity"]
+    li = curve_layout(spark, t.lineitem.select(*cols), ["l_orderkey", "l_partkey", "l_suppkey"],
+                      bloom_cols=["l_partkey"])
+    return _order_or_pairs(t, li)
 
 
 # ------------------------------------------------------------------ U3

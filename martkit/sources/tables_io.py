@@ -15,9 +15,10 @@ from datetime import datetime, timedelta
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from ..functions.scalar import readable_size
-from ..session import scratch_path
+from ..session import scratch_path, stored
 
 
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
@@ -34,10 +35,16 @@ def write_table(df: DataFrame, path: str, mode: str = "errorifexists",
     return path
 
 
+def read_as(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A table folder with its known columns (also where no file is written yet: an
+    empty partitioned table has none to infer them from)."""
+    return spark.read.schema(schema).parquet(path)
+
+
 def ctas(spark: SparkSession, df: DataFrame, name: str, **kw) -> DataFrame:
     """CREATE TABLE AS SELECT (also a backup copy); returns the new table."""
     path = write_table(df, scratch_path(spark, name), **kw)
-    return spark.read.parquet(path)
+    return read_as(spark, path, df.schema)
 
 
 def insert_select(df: DataFrame, path: str) -> None:
@@ -60,15 +67,14 @@ def commit(df: DataFrame, name: str) -> DataFrame:
     """Materialise a new version of a table (staged write to a new
     directory) and return it. Safe when ``df`` reads the old version."""
     spark = df.sparkSession
-    path = write_table(df, scratch_path(spark, name))
-    return spark.read.parquet(path)
+    return read_as(spark, write_table(df, scratch_path(spark, name)), df.schema)
 
 
 def truncate_reload(spark: SparkSession, path: str, df: DataFrame) -> DataFrame:
     """Empty, then load: the load is written once, to a new version of the table
     beside the old one, and returned. ``df`` may read the table being replaced, and
     whoever reads the old version never sees an empty one."""
-    return spark.read.parquet(write_table(df, f"{path.rstrip('/')}-v{uuid.uuid4().hex[:12]}"))
+    return read_as(spark, write_table(df, f"{path.rstrip('/')}-v{uuid.uuid4().hex[:12]}"), df.schema)
 
 
 # ---------------------------------------------------------------- S15 / L4
@@ -88,22 +94,69 @@ def month_range(df: DataFrame, ts: str, lo: str, hi: str, ym: str = "ym") -> Dat
                     & (F.col(ts) >= lo_c) & (F.col(ts) < hi_c))
 
 
-def write_month_partitioned(df: DataFrame, ts: str, path: str, sort_by: Sequence[str] = ()) -> str:
-    """Partition by month; inside each month cluster rows on
-    ``sort_by`` so parquet min/max statistics skip row groups."""
-    d = with_month(df, ts)
+def _by_month(df: DataFrame, ts: str, sort_by: Sequence[str]) -> DataFrame:
     # REBALANCE on the partition column: rows of a month go to the same tasks
     # (few files per month), and AQE splits a hot month over several tasks
     # instead of one task writing a third of the data
-    d = d.hint("rebalance", "ym")
-    if sort_by:
-        d = d.sortWithinPartitions("ym", *sort_by)
-    return write_table(d, path, partition_by=["ym"])
+    d = with_month(df, ts).hint("rebalance", "ym")
+    return d.sortWithinPartitions("ym", *sort_by) if sort_by else d
+
+
+def write_month_partitioned(df: DataFrame, ts: str, path: str, sort_by: Sequence[str] = ()) -> str:
+    """Partition by month; inside each month cluster rows on
+    ``sort_by`` so parquet min/max statistics skip row groups."""
+    return write_table(_by_month(df, ts, sort_by), path, partition_by=["ym"])
+
+
+def read_months(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """A month-partitioned table of ``schema``'s columns, with ``ym``."""
+    return read_as(spark, path, StructType([*schema.fields, StructField("ym", IntegerType())]))
+
+
+def reload_months(df: DataFrame, ts: str, path: str, sort_by: Sequence[str] = ()) -> DataFrame:
+    """The months that ``df`` has rows of are replaced by these rows, by dynamic
+    partition overwrite; the files of all other months stay as they are. ``df`` is staged
+    first, so it may read the table itself. Returns the table."""
+    spark = df.sparkSession
+    staged = stored(df, "month-reload")
+    _by_month(staged, ts, sort_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("ym").parquet(path)
+    return read_months(spark, path, df.schema)
+
+
+# ---------------------------------------------------------------- S17 / A1
+_V1 = "spark.sql.sources.useV1SourceList"
+
+
+def footer_scan(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A parquet table through Spark's V2 source with aggregates pushed down: counts, and
+    the least and greatest numbers or dates, whole or by partition column, come from the
+    files' footers, and no data page is read. (Only the read is switched to V2; the
+    pushdown setting has no effect on other reads.)"""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    sources = spark.conf.get(_V1)
+    spark.conf.set(_V1, ",".join(x for x in sources.split(",") if x.strip() != "parquet"))
+    try:
+        return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+    finally:
+        spark.conf.set(_V1, sources)
+
+
+def footer_stats(table: DataFrame, columns: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
+    """``n_rows`` and, per column, ``min_<c>`` and ``max_<c>`` of a ``footer_scan``;
+    ``by``: partition columns. A table without files has 0 rows."""
+    named = [(f(c), f"{n}_{c}") for c in columns for n, f in (("min", F.min), ("max", F.max))]
+    counted = table.groupBy(*by).agg(F.count(F.lit(1)).alias("n_rows"), *[x.alias(c) for x, c in named])
+    if by:
+        return counted
+    # pushed down, the count of no footer is NULL, against its type: added up once more, it is 0
+    return counted.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("long").alias("n_rows"),
+                       *[F.max(c).alias(c) for _, c in named])
 
 
-def partition_row_counts(df: DataFrame, part_col: str = "ym") -> DataFrame:
-    """Rows per partition (sums rows, not parts)."""
-    return df.groupBy(part_col).agg(F.count(F.lit(1)).alias("n_rows"))
+def partition_row_counts(table: DataFrame, part_col: str = "ym") -> DataFrame:
+    """Rows per partition of a ``footer_scan`` (sums rows, not parts)."""
+    return footer_stats(table, by=[part_col])
 
 
 def table_size_report(df: DataFrame, name: str) -> DataFrame:
@@ -112,7 +165,8 @@ def table_size_report(df: DataFrame, name: str) -> DataFrame:
     files = df.select(F.col("_metadata.file_path").alias("f"),
                       F.col("_metadata.file_size").alias("s"))
     per_file = files.groupBy("f").agg(F.max("s").alias("s"), F.count(F.lit(1)).alias("n"))
-    tot = per_file.agg(F.sum("s").cast("long").alias("bytes"), F.sum("n").cast("long").alias("n_rows"))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")  # noqa: E731 - no file: 0
+    tot = per_file.agg(total("s").alias("bytes"), total("n").alias("n_rows"))
     return tot.select(F.lit(name).alias("table_name"), "bytes",
                       readable_size("bytes").alias("readable"), "n_rows")
 
@@ -150,7 +204,8 @@ def typed_compact_rewrite(spark: SparkSession, raw: DataFrame, types: dict[str,
     if month_of is not None:
         typed, parts = with_month(typed, month_of).hint("rebalance", "ym"), ["ym"]
     typed = typed.sortWithinPartitions(*parts, *sort_by)
-    return spark.read.parquet(write_table(typed, scratch_path(spark, name), partition_by=parts, compression="zstd"))
+    path = write_table(typed, scratch_path(spark, name), partition_by=parts, compression="zstd")
+    return read_as(spark, path, typed.schema)
 
 
 def clustered_layout(spark: SparkSession, df: DataFrame, cluster_by: Sequence[str],
@@ -165,4 +220,4 @@ def clustered_layout(spark: SparkSession, df: DataFrame, cluster_by: Sequence[st
     order = [F.col(c) for c in cluster_by] + ([F.xxhash64(*rest)] if rest else [])
     d = df.repartitionByRange(n_files, *order) if n_files else df.repartitionByRange(*order)
     path = write_table(d.sortWithinPartitions(*order), scratch_path(spark, name), options=opts)
-    return spark.read.parquet(path)
+    return read_as(spark, path, df.schema)
