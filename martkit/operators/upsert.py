@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import as_list
+from .ordered import dense_id
 
 
 def first_n_by_key(source: DataFrame, keys: Sequence[str] | str, n: int) -> DataFrame:
@@ -123,6 +124,24 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | str
     return j.select(*out)
 
 
+def extend_key_map(key_map: DataFrame, batch: DataFrame, key: str, id_col: str = "id") -> DataFrame:
+    """P8 across loads: ``key_map`` (``key``, ``id_col``) with the new keys of ``batch``,
+    numbered on from the highest id in key order, like a serial column: known keys keep
+    their id, and each new key gets one however often it comes. NULL keys get none."""
+    known = key_map.select(F.col(key).alias("_k"))
+    new = batch.select(key).where(F.col(key).isNotNull()).distinct().join(known, F.col(key) == F.col("_k"), "left_anti")
+    last = key_map.agg(F.max(id_col)).first()[0] or 0
+    added = dense_id(new, key, id_col, start=last + 1)
+    return key_map.select(key, id_col).unionByName(added.withColumn(id_col, F.col(id_col).cast(key_map.schema[id_col].dataType)))
+
+
+def with_serial_id(df: DataFrame, key_map: DataFrame, key: str, id_col: str = "id") -> DataFrame:
+    """``df`` with the ids of an extended key map (NULL for NULL keys). Map keys are
+    unique, so a hot key on the side of ``df`` can be split."""
+    ids = key_map.select(F.col(key).alias("_k"), id_col)
+    return df.join(ids, F.col(key) == F.col("_k"), "left").drop("_k")
+
+
 def with_audit_stamp(df: DataFrame, col: str = "_etl_updated_dttm") -> DataFrame:
     """The write time on each written row."""
     return df.withColumn(col, F.current_timestamp())

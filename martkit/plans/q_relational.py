@@ -9,6 +9,8 @@ from ..operators.joins import parent_left_join, prefix
 from ..operators.ordered import dense_id, positional_join
 from ..operators.quality import (as_text, assert_domain, check, domain, evolve,
                                  typed_view, unique, validate)
+from ..operators.upsert import extend_key_map, with_serial_id
+from ..session import stored
 from ..sources.tables import Tables
 from .registry import query
 
@@ -127,6 +129,26 @@ def surrogate_key(spark: SparkSession, d: str) -> DataFrame:
     return dense_id(p, ["p_partkey"], "id")
 
 
+@query("serial_id_across_loads", """
+WITH f AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'),
+a AS (SELECT o_custkey, row_number() OVER (ORDER BY o_custkey) AS id FROM f),
+b AS (SELECT DISTINCT o_custkey FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'
+      AND o_custkey NOT IN (SELECT o_custkey FROM f)),
+m AS (SELECT o_custkey, id FROM a UNION ALL
+      SELECT o_custkey, (SELECT count(*) FROM f) + row_number() OVER (ORDER BY o_custkey) FROM b)
+SELECT o.o_orderkey, o.o_custkey, m.id AS customer_id FROM orders o LEFT JOIN m USING (o_custkey)
+""", "P8")
+def serial_id_across_loads(spark: SparkSession, d: str) -> DataFrame:
+    """Customers numbered by three loads of orders: those before 1996, all of them (known
+    customers keep their number), and the first ones again (nothing new)."""
+    o = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    first = o.where(F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    ids = stored(o.limit(0).select("o_custkey", F.lit(0).cast("long").alias("customer_id")), "customer-ids")
+    for load in (first, o, first):
+        ids = stored(extend_key_map(ids, load, "o_custkey", "customer_id"), "customer-ids")
+    return with_serial_id(o.select("o_orderkey", "o_custkey"), ids, "o_custkey", "customer_id")
+
+
 LINE_RULES_SQL = """
 WITH d AS (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_discount,

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
@@ -18,12 +19,14 @@ from ..operators.upsert import (first_n_by_key, insert_if_absent, merge_upsert,
                                 with_audit_stamp)
 from ..functions.scalar import readable_size
 from ..operators.quality import as_text
-from ..session import scratch_path
-from ..sources.files import csv_scan, csv_sink
-from ..sources.json_docs import (TableSpec, build_pages, ingest_pages, land_pages,
+from ..session import scratch_path, stored
+from ..sources.files import csv_scan, csv_scan_rejects, csv_sink
+from ..sources.json_docs import (TableSpec, build_pages, ingest_pages, json_scan_rejects, land_pages,
                                  nest_lines_per_row, read_transaction_docs, reconcile_pages,
                                  unnest_json, write_transaction_docs)
 from ..sources.layouts import curve_layout, lookup
+from ..sources.page_chain import chain_findings, landed_links
+from ..sources.published import publish, published
 from ..sources.tables import Tables
 from ..sources.tables_io import (clustered_layout, commit, ctas, describe_schema, footer_scan,
                                  footer_stats, insert_select, month_range, partition_row_counts,
@@ -62,6 +65,42 @@ def q_csv_sink(spark: SparkSession, d: str) -> DataFrame:
                      F.countDistinct(F.split_part("value", F.lit(","), F.lit(1))).alias("distinct_keys"))
 
 
+@query("ingest_rejects", """
+SELECT 'csv' AS kind, count(*) AS n_input, count(*) FILTER (c_custkey % 7 <> 3 AND c_custkey % 11 <> 5) AS n_good,
+       count(*) FILTER (c_custkey % 7 = 3 OR c_custkey % 11 = 5) AS n_rejected,
+       CAST(sum(c_custkey) FILTER (c_custkey % 7 <> 3 AND c_custkey % 11 <> 5) AS BIGINT) AS good_keys
+FROM customer
+UNION ALL
+SELECT 'json', count(*), count(*) FILTER (c_custkey % 5 <> 2), count(*) FILTER (c_custkey % 5 = 2),
+       CAST(sum(c_custkey) FILTER (c_custkey % 5 <> 2) AS BIGINT)
+FROM customer
+""", "S2")
+def ingest_rejects(spark: SparkSession, d: str) -> DataFrame:
+    """Customers landed as CSV and as JSON lines with some rows spoilt (a balance that is
+    no number, a field too many, a document cut short): the good rows load, the others
+    are kept as they came, and the two add up to the input."""
+    c = Tables(spark, d).customer.select(*CUSTOMER_SCHEMA.fieldNames())
+    key, header = F.col("c_custkey"), ",".join(CUSTOMER_SCHEMA.fieldNames())
+    balance = F.when(key % 7 == 3, "n/a").otherwise(F.col("c_acctbal").cast("string"))
+    line = F.concat_ws(",", key.cast("string"), "c_name", F.col("c_nationkey").cast("string"), balance, "c_mktsegment")
+    csv = scratch_path(spark, "spoilt_csv")
+    lines = c.select(F.when(key % 11 == 5, F.concat(line, F.lit(",extra"))).otherwise(line).alias("value"))
+    # one column named like the whole header line, written unquoted: every file has the header
+    lines.withColumnRenamed("value", header).write.options(header=True, sep="\t", quote="").csv(csv)
+    doc = F.to_json(F.struct(*c.columns))
+    docs = scratch_path(spark, "spoilt_json")
+    c.select(F.when(key % 5 == 2, F.substring(doc, 1, 20)).otherwise(doc).alias("value")).write.text(docs)
+    out = []
+    for kind, (good, bad) in (("csv", csv_scan_rejects(spark, csv, CUSTOMER_SCHEMA)),
+                              ("json", json_scan_rejects(spark, docs, CUSTOMER_SCHEMA))):
+        n_bad = bad.agg(F.count(F.lit(1)).alias("n_rejected"))
+        n_good = good.agg(F.count(F.lit(1)).alias("n_good"), F.sum("c_custkey").alias("good_keys"))
+        both = n_good.select(F.lit(1).alias("_one"), "*").join(n_bad.select(F.lit(1).alias("_one"), "*"), "_one")
+        out.append(both.select(F.lit(kind).alias("kind"), (F.col("n_good") + F.col("n_rejected")).alias("n_input"),
+                               "n_good", "n_rejected", "good_keys"))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query("json_document_scan", """
 SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' ||
        CAST(l_partkey AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) AS id,
@@ -149,6 +188,34 @@ def page_count_reconcile(spark: SparkSession, d: str) -> DataFrame:
     return reconcile_pages(spark, path, CHAR_ITEM)
 
 
+PAGE_ROWS = 20
+
+
+@query("page_chain_audit", f"""
+WITH p AS (SELECT ((count(*) + {PAGE_ROWS - 1}) // {PAGE_ROWS})::BIGINT AS n FROM customer),
+u AS (SELECT unnest(range(1, n + 1)) AS k, n FROM p)
+SELECT 'missing' AS finding, 'https://api.example/customers?page=' || k AS url FROM u WHERE k = 3
+UNION ALL SELECT 'doubled', 'https://api.example/customers?page=' || k FROM u WHERE k = 2
+UNION ALL SELECT 'unreferenced', 'https://api.example/customers?page=' || k FROM u WHERE k = 4
+UNION ALL SELECT 'endless', 'https://api.example/customers?page=' || k FROM u WHERE k IN (6, 7)
+UNION ALL SELECT 'unreferenced', 'https://api.example/customers?page=' || k FROM u WHERE k = 8
+UNION ALL SELECT 'endless', 'https://api.example/customers?page=' || k FROM u WHERE k IN (4, 5) AND n >= 7
+UNION ALL SELECT 'missing', 'https://api.example/customers?page=1' FROM p WHERE n = 0
+""", "S7")
+def page_chain_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Customer pages landed with the third missing, the second twice, and the seventh
+    pointing back to the sixth: what is wrong, from the chain of cursors alone."""
+    cust = Tables(spark, d).customer.select("c_custkey", "c_name", "c_mktsegment")
+    url = "https://api.example/customers"
+    pages = stored(build_pages(cust, ["c_custkey"], PAGE_ROWS, url).select(
+        "url", "_page", "results", F.struct("info.count", F.when(F.col("_page") == 6, F.lit(f"{url}?page=6")).otherwise(
+            F.col("info.next")).alias("next")).alias("info")), "pages")
+    landed = pages.where("_page <> 2").unionByName(pages.where("_page = 1"))
+    path = scratch_path(spark, "customer_pages")
+    land_pages(landed, path, with_url=True)
+    return chain_findings(landed_links(spark, path), f"{url}?page=1")
+
+
 @query("ctas_backup", "SELECT * FROM orders", "S8")
 def ctas_backup(spark: SparkSession, d: str) -> DataFrame:
     return ctas(spark, Tables(spark, d).orders, "orders_backup")
@@ -459,13 +526,15 @@ def load_sources(t: Tables) -> list[tuple[str, DataFrame, list[str]]]:
              .agg(F.sum("quantity").alias("quantity")), ["book_ref", "linenumber", "partkey", "suppkey"])]
 
 
-def load_procedure(sources: list[tuple[str, DataFrame, list[str]]],
-                   targets: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """One call, a merge per table in order: known keys get the source's values,
-    new keys are inserted, and either is stamped with the write time. The whole
-    source is loaded; ``first_n_by_key`` cuts a source down where a batch is wanted."""
-    return {name: commit(merge_upsert(targets[name], src, keys, stamp=STAMP), name)
-            for name, src, keys in sources}
+def load_steps(sources: list[tuple[str, DataFrame, list[str]]]) -> dict:
+    """A merge per table in order: known keys get the source's values, new keys are
+    inserted, and either is stamped with the write time. The whole source is loaded;
+    ``first_n_by_key`` cuts a source down where a batch is wanted."""
+    def step(src: DataFrame, keys: list[str]):
+        def merged(target: DataFrame | None) -> DataFrame:
+            return merge_upsert(src.limit(0) if target is None else target, src, keys, stamp=STAMP)
+        return merged
+    return {name: step(src, keys) for name, src, keys in sources}
 
 
 @query("load_procedure", """
@@ -482,17 +551,68 @@ SELECT 'ticket_flights', count(*), count(*), CAST(sum(q * (l_linenumber + 1)) AS
 def q_load_procedure(spark: SparkSession, d: str) -> DataFrame:
     """The targets hold two thirds of the keys with stale values; the load updates
     those and inserts the others, and the sums are over the values that landed."""
-    stale = {"bookings": ("book_date", F.lit("1990-01-01").cast("timestamp_ntz")),
-             "tickets": ("n_flights", F.lit(-1).cast("long")), "ticket_flights": ("quantity", F.lit(-5.0))}
+    root = scratch_path(spark, "catalog")
     sources = load_sources(Tables(spark, d))
-    targets = {}
-    for name, src, keys in sources:
-        col, value = stale[name]
-        known = src.where(F.pmod(F.xxhash64(*keys), F.lit(3)) != 0).withColumn(col, value)
-        targets[name] = commit(known, f"{name}_before")
+    publish(spark, root, _stale(sources, lambda keys: F.pmod(F.xxhash64(*keys), F.lit(3)) != 0))
+    publish(spark, root, load_steps(sources))
+    return _checked(spark, root, "n_stamped")
+
+
+STALE = {"bookings": ("book_date", "TIMESTAMP_NTZ'1990-01-01'"), "tickets": ("n_flights", "-1L"),
+         "ticket_flights": ("quantity", "-5.0D")}
+
+
+def _stale(sources, known) -> dict:
+    """Steps that publish the sources' known keys with stale values."""
+    return {name: lambda _, src=src, keys=keys, c=STALE[name][0], v=STALE[name][1]:
+            src.where(known(keys)).withColumn(c, F.expr(v)) for name, src, keys in sources}
+
+
+def _checked(spark: SparkSession, root: str, *more: str) -> DataFrame:
     check = {"bookings": F.sum(F.unix_date(F.col("book_date").cast("date")).cast("long")), "tickets": F.sum("n_flights"),
              "ticket_flights": F.sum(F.col("quantity") * (F.col("linenumber") + 1)).cast("long")}
-    return reduce(DataFrame.unionByName, [
-        df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(STAMP).alias("n_stamped"),
-               check[n].alias("check_sum")).select(F.lit(n).alias("table_name"), "n_rows", "n_stamped", "check_sum")
-        for n, df in load_procedure(sources, targets).items()])
+    out = []
+    for name, total in check.items():
+        df = published(spark, root, name)
+        stamped = F.count(STAMP) if STAMP in df.columns else F.lit(0).cast("long")
+        out.append(df.agg(F.count(F.lit(1)).alias("n_rows"), stamped.alias("n_stamped"), total.alias("check_sum"))
+                   .select(F.lit(name).alias("table_name"), "n_rows", *more, "check_sum"))
+    return reduce(DataFrame.unionByName, out)
+
+
+@query("publish_all_or_nothing", """
+WITH t AS (
+  SELECT 'bookings' AS table_name, 1 AS old, count(*) AS n_rows,
+         CAST(sum(date_diff('day', TIMESTAMP '1970-01-01', TIMESTAMP '1990-01-01')) AS BIGINT) AS check_sum
+  FROM (SELECT DISTINCT o_orderkey FROM orders) WHERE o_orderkey % 3 <> 0
+  UNION ALL SELECT 'bookings', 0, count(*), CAST(sum(date_diff('day', TIMESTAMP '1970-01-01', book_date)) AS BIGINT)
+  FROM (SELECT DISTINCT o_orderkey, o_orderdate AS book_date FROM orders)
+  UNION ALL SELECT 'tickets', 1, count(*), CAST(-count(*) AS BIGINT)
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey % 3 <> 0)
+  UNION ALL SELECT 'tickets', 0, count(*), CAST(sum(n) AS BIGINT)
+  FROM (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2)
+  UNION ALL SELECT 'ticket_flights', 1, count(*), CAST(sum(-5 * (l_linenumber + 1)) AS BIGINT)
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE l_orderkey % 3 <> 0)
+  UNION ALL SELECT 'ticket_flights', 0, count(*), CAST(sum(q * (l_linenumber + 1)) AS BIGINT) FROM
+    (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, sum(l_quantity) AS q FROM lineitem GROUP BY 1, 2, 3, 4))
+SELECT 'after a failed load' AS seen, table_name, n_rows, check_sum FROM t WHERE old = 1
+UNION ALL SELECT 'after a whole load', table_name, n_rows, check_sum FROM t WHERE old = 0
+""", "U3")
+def publish_all_or_nothing(spark: SparkSession, d: str) -> DataFrame:
+    """A load whose third merge fails (its source repeats a key) leaves readers on the old
+    versions of all three tables; the load that succeeds shows all three new."""
+    root = scratch_path(spark, "catalog")
+    sources = load_sources(Tables(spark, d))
+    publish(spark, root, _stale(sources, lambda keys: F.col("book_ref") % 3 != 0))
+    name, flights, keys = sources[2]
+    twice = flights.unionByName(flights.withColumn("quantity", F.col("quantity") + 1))
+    empty = flights.isEmpty()  # then nothing repeats, and the load succeeds
+    try:
+        if not empty:
+            publish(spark, root, load_steps([*sources[:2], (name, twice, keys)]))
+            raise AssertionError("a repeated key must fail the load")
+    except PySparkException:
+        pass
+    before = _checked(spark, root).select(F.lit("after a failed load").alias("seen"), "*")
+    publish(spark, root, load_steps(sources))
+    return before.unionByName(_checked(spark, root).select(F.lit("after a whole load").alias("seen"), "*"))

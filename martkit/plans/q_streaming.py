@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.scalar import cents
 from ..session import scratch_path
 from ..sources.tables import Tables
-from ..streaming.incremental import (backfill, file_stream, fold_stream, land_stream_files,
-                                     latest_fold, read_target, streaming_totals, sum_fold)
+from ..streaming.incremental import (backfill, bitmap_fold, file_stream, fold_stream, fold_stream_into,
+                                     land_stream_files, latest_fold, read_bitmaps, read_sketches,
+                                     read_target, sketch_error, sketch_fold, streaming_totals, sum_fold,
+                                     totals_fold)
 from .registry import query
 
 LATEST_SQL = """
@@ -64,7 +66,25 @@ def streaming_state_totals(spark: SparkSession, d: str) -> DataFrame:
     streaming_totals(file_stream(spark, path, schema), target, "event_type",
                      {"n_events": F.count(F.lit(1)), "value_cents": F.sum(cents("value"))},
                      scratch_path(spark, "ckpt"))
-    return read_target(spark, target, latest_fold("event_type", "batch"))
+    return read_target(spark, target, totals_fold("event_type", ["n_events", "value_cents"]))
+
+
+@query("streaming_distinct", """
+SELECT event_type, count(DISTINCT user_id) AS n_users, TRUE AS estimate_in_bound FROM events GROUP BY event_type
+""", "M2")
+def streaming_distinct(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct users per event type kept by a stream, exactly as bitmaps and estimated
+    by sketches, in one pass; restarting the stream on its checkpoint adds nothing."""
+    path, schema = _landed_events(spark, d)
+    sketches, bitmaps, ckpt = (scratch_path(spark, n) for n in ("user_sketches", "user_bitmaps", "ckpt"))
+    for _ in range(2):
+        fold_stream_into(file_stream(spark, path, schema), {
+            sketches: sketch_fold("event_type", "user_id"), bitmaps: bitmap_fold("event_type", "user_id")}, ckpt)
+    exact = read_bitmaps(spark, bitmaps, "event_type", "n_users")
+    near = read_sketches(spark, sketches, "event_type").withColumnRenamed("event_type", "_type")
+    off = F.abs(F.col("estimate") - F.col("n_users"))
+    return exact.join(near, F.col("event_type").eqNullSafe(F.col("_type"))).select(
+        "event_type", "n_users", (off <= sketch_error() * F.col("n_users") + 1).alias("estimate_in_bound"))
 
 
 @query("backfill_replay", LATEST_SQL, "S22")

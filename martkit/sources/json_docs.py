@@ -17,6 +17,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, Str
 
 from ..operators.joins import parent_left_join
 from ..operators.ordered import dense_id
+from .files import CORRUPT, split_rejects
 
 FLIGHT = StructType([StructField("partkey", LongType()), StructField("suppkey", LongType()),
                      StructField("quantity", DoubleType())])
@@ -86,6 +87,15 @@ def read_transaction_docs(spark: SparkSession, path: str, multi_line: bool = Fal
     return docs.select(F.explode("transactions").alias("t")).select("t.*")
 
 
+def json_scan_rejects(spark: SparkSession, path: str, schema: StructType) -> tuple[DataFrame, DataFrame]:
+    """JSON lines as ``(good, rejected)``, instead of an error at the first bad one:
+    the rows of ``schema``, and ``file, raw`` of each line that is no such document. The
+    files are parsed once and kept, so that the two always add up to the lines."""
+    parsed = spark.read.schema(StructType([*schema.fields, StructField(CORRUPT, StringType())])).options(
+        mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT).json(path)
+    return split_rejects(parsed, schema.fieldNames())
+
+
 # ---------------------------------------------------------------- S5-S7
 def page_schema(item: StructType) -> StructType:
     info = StructType([StructField("count", LongType()), StructField("next", StringType())])
@@ -106,14 +116,16 @@ def build_pages(df: DataFrame, order: Sequence[str], page_size: int, url: str,
     nxt = F.when(F.col("_page") < last_page,
                  F.concat(F.lit(url + "?page="), (F.col("_page") + 2).cast("string")))
     return pages.select(
-        F.col("_page"),
+        F.col("_page"), F.concat(F.lit(url + "?page="), (F.col("_page") + 1).cast("string")).alias("url"),
         F.struct(total.cast("long").alias("count"), nxt.alias("next")).alias("info"),
         F.transform("_rows", lambda r: r.dropFields("_rid")).alias("results"))
 
 
-def land_pages(pages: DataFrame, path: str) -> None:
-    pages.select(F.to_json(F.struct("info", "results")).alias("value")) \
-        .write.mode("overwrite").text(path)
+def land_pages(pages: DataFrame, path: str, with_url: bool = False) -> None:
+    """One JSON line per page; ``with_url``: and the cursor that it was fetched by, which
+    ``page_chain`` follows."""
+    cols = (["url"] if with_url else []) + ["info", "results"]
+    pages.select(F.to_json(F.struct(*cols)).alias("value")).write.mode("overwrite").text(path)
 
 
 def ingest_pages(spark: SparkSession, path: str, item: StructType, fields: Sequence[str],

@@ -11,13 +11,14 @@ win by version, running totals win by batch.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators.aggs import latest_by_key
+from ..operators.aggs import count_bitmaps, distinct_bitmaps, latest_by_key, merge_bitmaps
 from ..operators.common import as_list
 from ..session import scratch_path
 from ..sources.tables_io import ctas
@@ -68,10 +69,17 @@ def fold_stream(stream: DataFrame, target: str, checkpoint: str, fold: Fold,
                 output_mode: str = "append", query_name: str | None = None) -> None:
     """Run ``stream`` to the end of its available input, writing the fold of each
     micro-batch as the part of that (stream, batch)."""
+    fold_stream_into(stream, {target: fold}, checkpoint, output_mode, query_name)
+
+
+def fold_stream_into(stream: DataFrame, targets: dict[str, Fold], checkpoint: str,
+                     output_mode: str = "append", query_name: str | None = None) -> None:
+    """``fold_stream`` with several targets that one pass over the stream keeps."""
     own = stream_id(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        fold(batch).write.mode("overwrite").parquet(f"{target}/stream={own}/batch={batch_id}")
+        for target, fold in targets.items():
+            fold(batch).write.mode("overwrite").parquet(f"{target}/stream={own}/batch={batch_id}")
 
     writer = (stream.writeStream.outputMode(output_mode).foreachBatch(write)
               .option("checkpointLocation", checkpoint).trigger(availableNow=True))
@@ -84,12 +92,46 @@ def fold_stream(stream: DataFrame, target: str, checkpoint: str, fold: Fold,
 def streaming_totals(stream: DataFrame, target: str, keys: Sequence[str] | str,
                      aggs: dict[str, object], checkpoint: str) -> None:
     """M2 with the state store: running totals per key live in Spark's state; each
-    trigger writes only the keys that changed (update mode). The totals of one stream
-    are read with ``latest_fold(keys, "batch")``."""
+    trigger writes only the keys that changed (update mode). Read with ``totals_fold``."""
     totals = stream.groupBy(*as_list(keys)).agg(*[c.alias(n) for n, c in aggs.items()])
     fold_stream(totals, target, checkpoint, lambda batch: batch, "update")
 
 
+def totals_fold(keys: Sequence[str] | str, counters: Sequence[str]) -> Fold:
+    """Running totals of ``streaming_totals``: of each stream the latest of a key, which
+    several streams into one target add up (batch numbers count within a stream only)."""
+    keys = as_list(keys)
+    return lambda df: sum_fold(keys, counters)(latest_by_key(df, ["stream", *keys], "batch"))
+
+
+# ---------------------------------------------------------------- distinct counters
+def sketch_fold(keys: Sequence[str] | str, value: str, lg_k: int = 12) -> Fold:
+    """M2: a HyperLogLog sketch of the distinct values per key, 2^``lg_k`` registers
+    whatever the number of values; sketches of parts merge."""
+    return lambda df: df.groupBy(*as_list(keys)).agg(F.hll_sketch_agg(value, F.lit(lg_k)).alias("sketch"))
+
+
+def read_sketches(spark: SparkSession, target: str, keys: Sequence[str] | str, out: str = "estimate") -> DataFrame:
+    """Estimated distinct values per key of a target of sketches."""
+    parts = spark.read.parquet(target)
+    return parts.groupBy(*as_list(keys)).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias(out))
+
+
+def bitmap_fold(keys: Sequence[str] | str, value: str) -> Fold:
+    """M2: the distinct values of an integer column per key, exactly, as bitmaps."""
+    return lambda df: distinct_bitmaps(df, keys, value)
+
+
+def read_bitmaps(spark: SparkSession, target: str, keys: Sequence[str] | str, out: str = "n_distinct") -> DataFrame:
+    """Distinct values per key of a target of bitmaps."""
+    return count_bitmaps(merge_bitmaps(spark.read.parquet(target), keys), keys, out)
+
+
+def sketch_error(lg_k: int = 12, sigmas: float = 3.0) -> float:
+    """Relative error of an estimate that ``sigmas`` standard errors allow."""
+    return sigmas * 1.04 / math.sqrt(2 ** lg_k)
+
+
 def backfill(spark: SparkSession, target: str, fold: Fold,
              run: Callable[[str, str], None]) -> tuple[DataFrame, str]:
     """Back up the folded target, then replay the whole insert log into an empty

@@ -160,7 +160,9 @@ def test_csv_keeps_newlines_and_checks_its_header(spark, tmp_path):
     path, schema = str(tmp_path / "c"), "a string, b string"
     df = spark.createDataFrame([("x\ny", 'he said "no"'), ("1,2", None)], schema)
     files.csv_sink(df, path)
-    assert rows_of(files.csv_scan(spark, path, schema)) == rows_of(df)
+    assert rows_of(files.csv_scan(spark, path, schema, multi_line=True)) == rows_of(df)
+    with pytest.raises((PySparkException, Py4JJavaError)):  # line by line, such a row is malformed
+        files.csv_scan(spark, path, schema).collect()
     swapped = tmp_path / "s.csv"
     swapped.write_text("b,a\n1,2\n")
     with pytest.raises((PySparkException, Py4JJavaError)):

@@ -66,3 +66,17 @@ def test_no_python_udf(spark, name):
 def test_partial_aggregation_before_shuffle(spark):
     p = plan(Q["latest_by_key"](spark, SF_SMALL))
     assert "partial_max_by" in p
+
+
+def test_wide_mart_runs_once_under_its_probes(spark):
+    """J17 reads its facts once and neither shuffles nor sorts them for the two probes."""
+    p = Q["weather_fact_mart"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert p.count("lineitem.parquet") == 1 and p.count("Window") <= 4  # of the series' slots
+    facts = p[:p.index("lineitem.parquet")]
+    assert "asof" not in facts and "hashpartitioning(_l" not in p
+
+
+def test_cube_adds_rows_up_before_copying(spark):
+    p = Q["cube_report"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for part in p.split("Expand ")[1:]:
+        assert "partial_sum" in part.split("FileScan")[0]
