@@ -242,11 +242,13 @@ class Series:
     """A ``small_series``. ``slots``: per key (``_k0``, ...) and time slot, ``_ats`` and
     ``_values`` (its points by time), ``_past`` (the last point of the slots before)
     and ``_next`` (the first of those after). Slots are ``n`` equal parts of the time
-    from ``lo`` on, ``width`` long; the first and the last have no end."""
+    from ``lo`` on, ``width`` long; the first and the last have no end. No slot has more
+    than ``most`` points."""
     slots: DataFrame
     lo: float
     width: float
     n: int
+    most: int = 0
 
     def slot(self, number: Column) -> Column:
         at = F.floor((number.cast("double") - F.lit(self.lo)) / F.lit(self.width))
@@ -269,13 +271,16 @@ def small_series(right: DataFrame, by: Sequence[str] | str, ts: str, cols: Seque
         F.max_by(F.struct(*cols), F.struct(*tie)).alias("_v")), "series")
     flat = points.select(*keys, "_at", *[F.col("_v").getField(c).alias(f"_c{i}") for i, c in enumerate(cols)])
     number = exact_number(points, "_at").cast("double")
-    size, lo, hi = flat.agg(F.sum(_row_bytes(flat)), F.min(number), F.max(number)).first()
+    per_key = flat.groupBy(*keys).agg(F.count("*").alias("_n"), F.sum(_row_bytes(flat)).alias("_b"),
+                                      F.min(number).alias("_lo"), F.max(number).alias("_hi"))
+    n_keys, most, size, lo, hi = per_key.agg(F.count("*"), F.max("_n"), F.sum("_b"), F.min("_lo"), F.max("_hi")).first()
     if size is not None and size > max_bytes:
         return None
-    n_keys, most = points.groupBy(*keys).agg(F.count("*").alias("_n")).agg(F.count("*"), F.max("_n")).first()
     n = max(1, min((most or 0) // PER_SLOT, max_bytes // (256 * max(1, n_keys))))
     series = Series(points, lo or 0.0, max(((hi or 0.0) - (lo or 0.0)) / n, 1e-9), n)
-    found = points.withColumn("_slot", series.slot(number)).groupBy(*keys, "_slot").agg(
+    placed = points.withColumn("_slot", series.slot(number))
+    most = placed.groupBy(*keys, "_slot").count().agg(F.max("count")).first()[0] or 0
+    found = placed.groupBy(*keys, "_slot").agg(
         F.sort_array(F.collect_list(F.struct("_at", "_v"))).alias("_p"))
     every = points.select(*keys).distinct().withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
     filled = every.join(found, [*keys, "_slot"], "left")
@@ -284,7 +289,7 @@ def small_series(right: DataFrame, by: Sequence[str] | str, ts: str, cols: Seque
         *keys, "_slot", F.col("_p._at").alias("_ats"), F.col("_p._v").alias("_values"),
         F.last(F.element_at("_p", -1), ignorenulls=True).over(w.rowsBetween(UNB, -1)).alias("_past"),
         F.first(F.element_at("_p", 1), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing)).alias("_next"))
-    return replace(series, slots=slots)
+    return replace(series, slots=slots, most=most)
 
 
 def _threshold(spark) -> int:
@@ -302,8 +307,7 @@ def asof_series(left: DataFrame, series: Series, by: Sequence[str] | str, left_t
     by, lcols = as_list(by), left.columns
     probe = F.col(left_ts) if shift is None else F.col(left_ts) + shift
     slots = series.slots
-    most = slots.agg(F.max(F.size("_ats"))).first()[0] or 0
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, int(most).bit_length())))])
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, series.most.bit_length())))])
     # the columns of the left side stay apart, whatever their names
     rows = left.select(F.struct(*lcols).alias("_l"), probe.cast(slots.schema["_ats"].dataType.elementType).alias("_probe"))
     rows = rows.withColumn("_in", series.slot(exact_number(rows, "_probe")))
