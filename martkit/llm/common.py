@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martkit.session import scratch_path
+from martkit.session import stored  # noqa: F401 - for the operators here
 
 #: The white space of every word and line rule here: U+0020 and U+0009..U+000D.
 WS = " \t\n\x0b\x0c\r"
@@ -38,14 +38,5 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the cluster's shared checkpoint folder and read
-    it back: cuts the lineage at a place that survives the loss of executors."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

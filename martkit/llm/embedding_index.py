@@ -9,16 +9,26 @@ sample vectors turned away by exactly the threshold's angle, it is the quantile
 reaches ``recall``. All found candidates are verified by their cosine in double
 precision; all vectors are queries and all are indexed.
 
-Equal vectors are one class throughout. The work of a cell is split into blocks of
-members and of queries, so that a cell with a third of all vectors is many small
-matrix products. A pair that both of its ends visit is counted once for each, by the
-block of the other's cell; if only one visits, its block counts for both. Blocks
-return counts and a spanning forest of their links, never the pairs.
+A vector visits cells of higher number than its own, and its own: of two vectors in
+different cells the one in the lower visits the other, so every pair is looked at
+once, and counts for both. Visits are stored as numbers (cell, class); vectors are
+joined to them on the way to the cells' blocks only. Equal vectors are one class
+throughout, known by a number of its own, so ids may repeat or be null. The work of a
+cell is split into blocks of members and of queries, so that a cell with a third of
+all vectors is many small matrix products; blocks return counts and the edges of a
+spanning star per linked group, never the pairs.
+
+A code is fitted on eight sample vectors or more, so there are at most
+(SAMPLE / 8)^2 cells; with more than PER_CELL times as many vectors (10^9), cells, and
+the work per vector, grow with the table.
 
 Defined results: null vectors, zero vectors, and those with null or non-finite
 components link with nothing; vectors link only with vectors of their length; an
 empty table gives an empty table; rows with the same id and vector are two rows that
-link with each other; further columns are not read.
+link with each other, and those with the same id and other vectors are as different as
+any; rows with a null id link like others, are smaller than no id, and where a
+component has no id at all, its id is null; ``kept`` is true where ``id <=>
+component_id``; further columns are not read.
 """
 
 from __future__ import annotations
@@ -35,8 +45,7 @@ from .common import stored
 from .components import connected_components
 
 SAMPLE = 20_000     # vectors that fit the codebooks at most
-PER_CELL = 40       # vectors that a cell has on average
-MAX_CODES = 512     # codes of a half at most
+PER_CELL = 160      # vectors that a cell has on average
 MEMBERS, QUERIES = 2_048, 4_096   # rows of a block
 
 
@@ -64,7 +73,7 @@ class Grid:
 
     def __init__(self, sample: np.ndarray, n: int, cosine: float, recall: float, seed: int):
         rng = np.random.default_rng(seed)
-        k = int(max(1, min(MAX_CODES, len(sample) // 8, np.sqrt(n / PER_CELL))))
+        k = int(max(1, min(len(sample) // 8, np.sqrt(n / PER_CELL))))
         self.half = max(1, sample.shape[1] // 2)
         parts = (sample[:, :self.half], sample[:, self.half:])
         self.codes = tuple(_codebook(p, min(k, len(np.unique(p, axis=0))), rng) for p in parts)
@@ -92,9 +101,6 @@ class Grid:
         at = np.arange(len(x))
         return a[at, i] + b[at, j]
 
-    def visits(self, x: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        return self.beyond(x, i, j) <= self.gap
-
     def number(self, i, j):
         return i * len(self.codes[1]) + j
 
@@ -119,98 +125,98 @@ def _matrix(column: pa.Array, dims: int) -> np.ndarray:
 
 
 def _links(classes: DataFrame, dims: int, cosine: float, recall: float, seed: int) -> DataFrame:
-    """``id, n, other``: counts of links by class, and forest edges (n null).
-    ``classes``: ``id, m, v``, a stored table of vectors of one length."""
+    """``key, n, other``: counts of links by class, and edges that connect linked classes
+    (n null). ``classes``: ``key, m, v``, a stored table of vectors of one length."""
     n = classes.count()
-    picked = classes.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).select("v").toArrow()
+    picked = classes.orderBy(F.xxhash64("key", F.lit(seed)), "key").limit(SAMPLE).select("v").toArrow()
     grid = Grid(_unit(_matrix(picked["v"].combine_chunks(), dims)), n, cosine, recall, seed)
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = _unit(_matrix(b.column(2), dims))
+            x = _unit(_matrix(b.column(1), dims))
             for lo in range(0, len(x), 1024):
-                part = x[lo:lo + 1024]
-                a, c = grid.distances(part)
-                cells = [grid.traversal(p, q) for p, q in zip(a, c, strict=True)]
-                own = [x[0] for x in cells]
-                rows = np.repeat(np.arange(len(part)) + lo, [len(y) for y in cells])
-                flat = [c for y in cells for c in y]
-                yield pa.record_batch(
-                    [pa.array(flat, pa.int64()), pa.array(np.repeat(own, [len(y) for y in cells]), pa.int64()),
-                     *(b.column(k).take(pa.array(rows)) for k in range(3))], names=["cell", "own", "id", "m", "v"])
+                a, c = grid.distances(x[lo:lo + 1024])
+                rows, cells, home = [], [], []
+                for i, (p, q) in enumerate(zip(a, c, strict=True)):
+                    own, *others = grid.traversal(p, q)
+                    seen = [own, *(y for y in others if y > own)]
+                    rows += [lo + i] * len(seen)
+                    cells += seen
+                    home += [True] + [False] * (len(seen) - 1)
+                yield pa.record_batch([pa.array(cells, pa.int64()), pa.array(home, pa.bool_()),
+                                       b.column(0).take(pa.array(rows, pa.int64()))], names=["cell", "home", "key"])
 
     kind = classes.schema["v"].dataType.simpleString()
-    id_kind = classes.schema["id"].dataType.simpleString()
-    rows = stored(classes.select("id", "m", "v").mapInArrow(
-        probes, f"cell long, own long, id {id_kind}, m long, v {kind}"), "embedding-probes")
-    size = rows.groupBy("cell").agg(
-        F.ceil(F.count_if(F.col("cell") == F.col("own")) / MEMBERS).cast("int").alias("mb"),
-        F.ceil(F.count("*") / QUERIES).cast("int").alias("qb")).where("mb > 0")
-    rows = rows.join(stored(size, "embedding-cells"), "cell")
-    h = F.xxhash64("id", F.lit(seed))
-    members = rows.where("cell = own").select(
-        "cell", F.pmod(h, F.col("mb")).cast("int").alias("x"), F.explode(F.sequence(F.lit(0), F.col("qb") - 1)).alias("y"),
-        F.lit(True).alias("member"), "own", "id", "m", "v")
-    queries = rows.select(
-        "cell", F.explode(F.sequence(F.lit(0), F.col("mb") - 1)).alias("x"), F.pmod(h, F.col("qb")).cast("int").alias("y"),
-        F.lit(False).alias("member"), "own", "id", "m", "v")
+    visits = stored(classes.select("key", "v").mapInArrow(probes, "cell long, home boolean, key long"), "embedding-visits")
+    size = visits.groupBy("cell").agg(
+        F.ceil(F.count_if("home") / MEMBERS).cast("int").alias("mb"),
+        F.ceil(F.count("*") / QUERIES).cast("int").alias("qb"))
+    size = stored(size.where("mb > 0").withColumnRenamed("cell", "_cell"), "embedding-cells")
+    h = F.xxhash64("key", F.lit(seed))
+    rows = visits.join(size, F.col("cell") == F.col("_cell"))
+    upto = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    members = rows.where("home").select(
+        "cell", F.pmod(h, F.col("mb")).cast("int").alias("x"), F.explode(upto("qb")).alias("y"),
+        F.lit(True).alias("member"), "home", "key")
+    queries = rows.select("cell", F.explode(upto("mb")).alias("x"), F.pmod(h, F.col("qb")).cast("int").alias("y"),
+                          F.lit(False).alias("member"), "home", "key")
+    vectors = classes.select(F.col("key").alias("_key"), "m", "v")
+    blocks = members.union(queries).join(vectors, F.col("key") == F.col("_key")).drop("_key")
 
     def verify(t: pa.Table) -> pa.Table:
         t = t.combine_chunks()
-        member = np.asarray(t["member"].combine_chunks().to_numpy(zero_copy_only=False))
-        ids, m = t["id"].to_pylist(), np.asarray(t["m"])
+        flags = [np.asarray(t[c].combine_chunks().to_numpy(zero_copy_only=False)) for c in ("member", "home")]
+        key, m = np.asarray(t["key"]), np.asarray(t["m"])
         raw = _matrix(t["v"].combine_chunks(), dims)
         norm = np.linalg.norm(raw, axis=1)
-        left, right = np.flatnonzero(~member), np.flatnonzero(member)
-        width, own = len(grid.codes[1]), np.asarray(t["own"])
-        counts: dict[int, int] = {}
-        edges: list[tuple[int, int]] = []
-        parent: dict[int, int] = {}
-
-        def root(z: int) -> int:
-            while parent.get(z, z) != z:
-                parent[z] = parent.get(parent[z], parent[z])
-                z = parent[z]
-            return z
-
+        left, right = np.flatnonzero(~flags[0]), np.flatnonzero(flags[0])
+        pairs = []
         for lo in range(0, len(left), 512):
             q = left[lo:lo + 512]
-            s = (raw[q] @ raw[right].T) / (norm[q][:, None] * norm[right][None, :])
-            a, b = np.nonzero(s >= cosine)
-            a, b = q[a], right[b]
-            other = np.array([ids[i] != ids[j] for i, j in zip(a, b, strict=True)], bool)
-            a, b = a[other], b[other]
-            if not len(a):
-                continue
-            both = grid.visits(raw[b] / norm[b][:, None], own[a] // width, own[a] % width)
-            for i, w in zip(a.tolist(), m[b].tolist(), strict=True):
-                counts[i] = counts.get(i, 0) + w
-            for j, w in zip(b[~both].tolist(), m[a[~both]].tolist(), strict=True):
-                counts[j] = counts.get(j, 0) + w
-            for i, j in zip(a.tolist(), b.tolist(), strict=True):
-                r, p = root(i), root(j)
-                if r != p:
-                    parent[r] = p
-                    edges.append((ids[i], ids[j]))
-        kind = t.schema.field("id").type
+            near = (raw[q] @ raw[right].T) / (norm[q][:, None] * norm[right][None, :]) >= cosine
+            # of two members the one of the smaller key asks; visitors ask all
+            near &= ~flags[1][q][:, None] | (key[q][:, None] < key[right][None, :])
+            i, j = np.nonzero(near)
+            pairs.append((q[i].astype(np.int32), right[j].astype(np.int32)))
+        i, j = (np.concatenate(x) if x else np.zeros(0, np.int32) for x in (zip(*pairs, strict=True) if pairs else ([], [])))
+        count = np.bincount(i, weights=m[j], minlength=len(key)) + np.bincount(j, weights=m[i], minlength=len(key))
+        linked = np.flatnonzero(count)
+        low = _lowest(key, i, j)
+        star = linked[low[linked] != key[linked]]
         return pa.table({
-            "id": pa.array([ids[i] for i in counts] + [x for x, _ in edges], kind),
-            "n": pa.array([*counts.values(), *[None] * len(edges)], pa.int64()),
-            "other": pa.array([None] * len(counts) + [y for _, y in edges], kind)})
+            "key": pa.array(np.concatenate((key[linked], key[star]))),
+            "n": pa.array(count[linked].astype(np.int64).tolist() + [None] * len(star), pa.int64()),
+            "other": pa.array([None] * len(linked) + low[star].tolist(), pa.int64())})
+
+    return blocks.select("cell", "x", "y", "member", "home", "key", "m", "v").groupBy("cell", "x", "y").applyInArrow(
+        verify, "key long, n long, other long")
+
 
-    return members.union(queries).groupBy("cell", "x", "y").applyInArrow(
-        verify, f"id {id_kind}, n long, other {id_kind}")
+def _lowest(key: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest key that links (i, j) lead to, of every row; a key may have two rows."""
+    _, node = np.unique(key, return_inverse=True)
+    low = np.sort(np.unique(key))
+    label = np.arange(len(low))
+    i, j = node[i], node[j]
+    while True:
+        before = label.copy()
+        np.minimum.at(label, i, label[j])
+        np.minimum.at(label, j, label[i])
+        label = label[label]
+        if (label == before).all():
+            return low[label][node]
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    cosine: float = 0.9, recall: float = 0.98, seed: int = 11) -> DataFrame:
+                    cosine: float = 0.9, recall: float = 0.995, seed: int = 11) -> DataFrame:
     """One row per vector: its id, ``n_links``, ``component_id`` and ``kept``."""
     rows = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     good = F.col("v").isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("good", F.coalesce(good, F.lit(False)))
-    classes = stored(rows.where("good").groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("m"))
-                     .where("id IS NOT NULL").select("id", "m", "v", F.size("v").alias("dims")), "embedding-classes")
+    classes = rows.where("good").groupBy("v").agg(F.min("id").alias("low"), F.count("*").alias("m"))
+    classes = stored(classes.select(F.monotonically_increasing_id().alias("key"), "low", "m", "v",
+                                    F.size("v").alias("dims")), "embedding-classes")
     lengths = [r[0] for r in classes.select("dims").distinct().collect()]
     found = None
     for d in lengths:  # in practice one
@@ -220,13 +226,15 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         return rows.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"),
                            F.col("id").alias("component_id"), F.lit(True).alias("kept"))
     found = stored(found, "embedding-links")
-    counts = found.where("n IS NOT NULL").groupBy("id").agg(F.sum("n").alias("n"))
-    comps = connected_components(found.where("n IS NULL").select("id", "other"))
-    named = stored(classes.join(counts, "id", "left").join(comps, F.col("id") == F.col("node"), "left")
-                   .where("m > 1 OR n IS NOT NULL")
-                   .select(F.col("v").alias("_v"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"),
-                           F.coalesce("component", "id").alias("comp")), "embedding-named")
-    out = rows.join(named, F.col("good") & (F.col("v") == F.col("_v")), "left")
-    component = F.coalesce("comp", "id")
+    counts = found.where("n IS NOT NULL").groupBy(F.col("key").alias("_k")).agg(F.sum("n").alias("n"))
+    comps = connected_components(found.where("n IS NULL").select("key", "other"))
+    named = classes.join(counts, F.col("key") == F.col("_k"), "left").join(comps, F.col("key") == F.col("node"), "left")
+    named = named.where("m > 1 OR n IS NOT NULL").withColumn("comp", F.coalesce("component", "key"))
+    low = named.groupBy(F.col("comp").alias("_comp")).agg(F.min("low").alias("component_id"))
+    linked = stored(named.join(low, F.col("comp") == F.col("_comp")).select(
+        F.col("v").alias("_v"), (F.coalesce("n", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id",
+        F.lit(True).alias("_linked")), "embedding-named")
+    out = rows.join(linked, F.col("good") & (F.col("v") == F.col("_v")), "left")
+    component = F.when(F.col("_linked"), F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-                      component.alias("component_id"), (F.col("id") == component).alias("kept"))
+                      component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))

@@ -185,6 +185,31 @@ def test_embedding_edges(spark):
     assert embedding_index.near_duplicates(df.where("vec_id in (3, 4)")).count() == 2
 
 
+def test_embedding_ids_that_repeat_or_are_null(spark):
+    """Rows are told by their vectors, whatever their ids."""
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.01]), (3, [0.01, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_index.near_duplicates(df).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+    rows = [(None, [1.0, 0.0]), (5, [1.0, 0.01]), (None, [1.0, 0.02]), (4, [0.0, 1.0]), (None, [-1.0, 0.0]), (None, [-1.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = collections.Counter((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_index.near_duplicates(df).collect())
+    assert got == {(None, 2, 5, False): 2, (5, 2, 5, True): 1, (4, 0, 4, True): 1, (None, 1, None, True): 2}
+
+
+def test_embedding_visits_grow_slowly():
+    """Cells a vector visits, its own among them, from 2,000 vectors to 200,000."""
+    rng = np.random.default_rng(5)
+    x = embedding_index._unit(rng.standard_normal((4000, 64)))
+    mean = []
+    for n in (2_000, 20_000, 200_000):
+        grid = embedding_index.Grid(x, n, 0.9, 0.995, 1)
+        cells = [grid.traversal(p, q) for p, q in zip(*grid.distances(x[:200]), strict=True)]
+        mean.append(np.mean([1 + sum(y > c[0] for y in c[1:]) for c in cells]))
+    print(mean)
+    assert mean[0] <= 10 and mean[2] <= 60
+
+
 def test_traversal_is_in_order_and_complete():
     rng = np.random.default_rng(1)
     x = embedding_index._unit(rng.standard_normal((500, 8)))
