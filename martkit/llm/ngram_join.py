@@ -348,8 +348,9 @@ def shared_shingles(docs: DataFrame, k: int, num: int, den: int, parts: int, tex
                     [_signed(of[starts[c]]), pa.array(n[c]),
                      pa.ListArray.from_arrays(offsets, _signed(entry[rows]))], names=["key", "n", "entries"])
 
-    blobs = docs.select(F.col(text_col)).mapInArrow(chunks, _BLOB_TYPE).repartition(parts, "part")
-    back = blobs.mapInArrow(frequencies, _BLOB_TYPE).repartition(parts, "part")
+    # part numbers are partition numbers: hashed, some partitions would hold several
+    blobs = docs.select(F.col(text_col)).mapInArrow(chunks, _BLOB_TYPE).repartitionById(parts, F.col("part").cast("int"))
+    back = blobs.mapInArrow(frequencies, _BLOB_TYPE).repartitionById(parts, F.col("part").cast("int"))
     return back.mapInArrow(classes, "key long, n long, entries array<long>")
 
 
@@ -547,9 +548,10 @@ def linked_classes(shared: DataFrame, num: int, den: int) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: its id, ``text_hash``, ``n_shingles`` and
+    """One row per document: its id, ``text_hash``, ``n_shingles``,
     ``component_id``, the smallest id reachable over links: pairs of sets whose
-    Jaccard similarity is ``num/den`` (0.7 at least) or more."""
+    Jaccard similarity is ``num/den`` (0.7 at least) or more, and ``comp``, the same for
+    all documents of a component whatever their ids (null: linked with none)."""
     if not 0.7 <= num / den <= 1:
         raise ValueError("thresholds from 0.7 to 1 are supported")
     spark = docs.sparkSession
@@ -564,21 +566,28 @@ def jaccard_components(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5,
     comps = named.groupBy("comp").agg(F.min("low").alias("component_id"), F.sum("m").alias("m"))
     # Only documents with a copy or a link take part in the join by class.
     several = stored(named.select("key", "comp").join(comps.where("m > 1"), "comp")
-                     .select(F.col("key").alias("_key"), "component_id"), "jaccard-classes")
+                     .select(F.col("key").alias("_key"), "comp", "component_id", F.lit(True).alias("_several")), "jaccard-classes")
     return sets.join(several, (F.col("key") == F.col("_key")) & (F.col("n") > 0), "left").select(
         F.col("id").alias(id_col), "text_hash", F.col("n").alias("n_shingles"),
-        F.coalesce("component_id", "id").alias("component_id"))
+        F.when(F.col("_several"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "comp")
 
 
 def one_per_component(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """The documents with one of each component: the one of the smallest id. Rows
-    that share id and text count as one; documents without words stay."""
-    found = stored(jaccard_components(docs, k, num, den), "jaccard-verdicts")
-    lost = found.where("NOT doc_id <=> component_id").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")).distinct()
+    """The documents with one of each component: the one of the smallest (id, hash of
+    the text), null ids last. Of rows that share id and text and have words one stays
+    (the least by a hash of all its columns); documents without words all stay."""
+    found = stored(jaccard_components(docs, k, num, den), "jaccard-verdicts").where("n_shingles > 0")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = found.where("comp IS NOT NULL").groupBy(F.col("comp").alias("_comp")).agg(F.min(place).alias("best"))
+    keys = found.groupBy("doc_id", "text_hash", "comp").agg(F.count("*").alias("times"))
+    told = keys.join(best, F.col("comp") == F.col("_comp"), "left")
+    lost = F.col("best").isNotNull() & ~place.eqNullSafe(F.col("best"))
+    told = stored(told.where(lost | (F.col("times") > 1)).select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"), lost.alias("_lost")), "jaccard-told")
     rows = docs.select(F.struct("*").alias("_doc"), F.col("doc_id").alias("_i"),
                        F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("_t"))
-    kept = rows.join(lost, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_th")), "left_anti")
-    if not found.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_i", "_t"])  # ids repeat: rows of one id and text count as one
-    return kept.select("_doc.*")
+    same = F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_th"))
+    single = rows.join(told, same, "left_anti").select("_doc.*")
+    again = rows.join(told.where("NOT _lost"), same).groupBy("_i", "_t").agg(
+        F.min_by("_doc", F.xxhash64("_doc")).alias("_doc")).select("_doc.*")
+    return single.unionByName(again)

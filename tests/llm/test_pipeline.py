@@ -156,6 +156,6 @@ def test_empty_corpus(spark, corpus):
 def test_registered():
     found = __spark_entry__.queries()
     names = [n for n in found if re.match(r"op\d+_", n)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in found
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in found
     assert set(names) == set(QUERIES) and set(ORACLE) <= set(__spark_entry__.oracle_sql())
     assert "pipeline" not in __spark_entry__.oracle_sql()

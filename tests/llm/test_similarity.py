@@ -136,6 +136,30 @@ def test_one_per_component(spark):
     assert sorted(r.doc_id for r in ngram_join.one_per_component(twice).collect()) == [1, 7, 8, 9]
 
 
+@pytest.mark.parametrize("more", [[], [(2, "p q r s t u v", "m"), (2, "p q r s t u v", "m")]])
+def test_one_per_component_repeats(spark, more):
+    """Rows without words stay however often they come, whatever other rows do."""
+    rows = [(9, None, "a"), (9, None, "a"), (1, "some text that has words", "b"), *more]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, comp string")
+    assert sorted(map(tuple, ngram_join.one_per_component(docs).collect()), key=str) == sorted(rows[:3 + bool(more)], key=str)
+
+
+def test_one_per_component_with_one_id(spark):
+    """A group stays as one document also where ids repeat or are null."""
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join([*base[:59], x]) for x in ("x", "y", "z")]
+    for ids in ((5, 5, 5), (None, None, None), (None, 3, 3)):
+        rows = list(zip(ids, near, "abc", strict=True)) + [(7, "quite another text here now", "d")]
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        kept = [tuple(r) for r in ngram_join.one_per_component(docs).collect()]
+        assert len(kept) == 2 and rows[3] in kept
+        one = next(r for r in kept if r != rows[3])
+        assert one in rows and one[0] == next((i for i in ids if i is not None), None)
+    three = spark.createDataFrame([(1, near[0], "a"), (2, near[1], "b"), (3, near[2], "c"), (1, "one of that id but quite other", "d"),
+                                   (1, "and yet one more that is alone", "e")], "doc_id long, text string, source string")
+    assert sorted(r.source for r in ngram_join.one_per_component(three).collect()) == ["a", "d", "e"]
+
+
 def near_vectors(rng, n, dims):
     base = rng.standard_normal((n // 4, dims))
     rows = [base]
