@@ -11,7 +11,13 @@ neighbouring symbols, until none applies. That is the merge order of the byte-pa
 model; characters outside the vocabulary fall back to byte pieces.
 
 The model file gives the pieces and scores. Of its normalizer only "identity" with
-a blank put before the text is supported, and anything else is refused.
+a blank put before the text is supported, and anything else is refused (as are models
+of more than 65,534 pieces).
+
+Long chunks (text without blanks: base64, a language without spaces) are cut between
+bytes that are neighbours in no piece; no piece can reach over such a place, so the
+parts are encoded alone with the same result. A long run without such a place, of one
+letter say, stays one chunk, with memory and time for all of it.
 
 Defined results: a null or empty text has no pieces and decodes to an empty text;
 decoding turns byte pieces that are no valid UTF-8 into U+FFFD, one per byte; the
@@ -38,6 +44,7 @@ from .token_counts import slices
 
 BLANK = "▁"  # written for a blank in the vocabulary
 SLICE_BYTES, INDEX_BYTES, MEMO, LONG = 4 << 20, 512 << 10, 200_000, 256
+LONG_CHUNK, PART = 4 << 10, 512   # bytes from which a chunk is cut, and of its parts at least
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -58,6 +65,12 @@ class PieceModel:
         self.length = np.array([len(t) for t in self.text])
         self.longest = 1 << int(self.length.max() - 1).bit_length()  # a power of two
         scores = np.array([sp.get_score(int(i)) for i in self.ids])
+        if len(ids) > 65_534:
+            raise ValueError("more pieces than the table of edges can number")
+        self.joined = np.zeros((256, 256), bool)  # neighbours in a piece
+        for t in text:
+            b = np.frombuffer(t, np.uint8)
+            self.joined[b[:-1], b[1:]] = True
         self.order = np.unique(-scores, return_inverse=True)[1].astype(np.int32)
         self.bytes = np.zeros(256, np.int64)
         for i in range(sp.vocab_size()):
@@ -79,6 +92,18 @@ class PieceModel:
         self.head = np.frombuffer(head, ">u8").astype(np.uint64)
 
 
+def parts_of(model: PieceModel, chunk: str) -> list[str]:
+    """A long chunk in parts over whose ends no piece reaches."""
+    data = chunk.encode()
+    b = np.frombuffer(data, np.uint8)
+    free = np.flatnonzero(~model.joined[b[:-1], b[1:]] & ((b[1:] & 0xC0) != 0x80)) + 1
+    out, lo = [], 0
+    while (k := int(np.searchsorted(free, lo + PART))) < len(free):
+        out.append(data[lo:free[k]].decode())
+        lo = int(free[k])
+    return [*out, data[lo:].decode()] if lo < len(data) else out
+
+
 def _words(buf: np.ndarray) -> np.ndarray:
     """The eight bytes from each position as one big-endian number."""
     padded = np.concatenate((buf, np.zeros(8, np.uint8))).astype(np.uint64)
@@ -250,6 +275,9 @@ class Encoder:
         per, flat = [], []
         for t in texts:
             found = self.model.chunk.findall(" " + t.replace(BLANK, " ")) if t else []
+            if len(t) > LONG_CHUNK and max(map(len, found)) > LONG_CHUNK // 4:
+                found = [p for c in found for p in (
+                    parts_of(self.model, c) if len(c) > LONG_CHUNK // 4 and len(c.encode()) > LONG_CHUNK else [c])]
             per.append(len(found))
             flat += found
         if not flat:
