@@ -139,6 +139,13 @@ def binomial_cdf(k: Column, n: Column, p: float) -> Column:
         F.exp(F.aggregate(upto, start, step, lambda a: a["s"])))
 
 
+def _one_per_id(feats: DataFrame) -> DataFrame:
+    """One row per id: where an id comes with several texts, the one of the least
+    features, so that reruns certify the same cutoffs."""
+    rest = [c for c in feats.columns if c != "doc_id"]
+    return feats.groupBy("doc_id").agg(F.min(F.struct(*rest)).alias("_row")).select("doc_id", "_row.*")
+
+
 def certified_cutoffs(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                       label_col: str = "quality", alpha: float = 0.02,
                       delta: float = 0.05) -> DataFrame:
@@ -146,8 +153,7 @@ def certified_cutoffs(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id
     the rule alone in each stratum (a row for every rule; null where there is none)."""
     good = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
             .agg(F.min(label_col).alias("_good")).where("_good = 1"))
-    held = feats.where(~base_failed()).dropDuplicates(["doc_id"]).join(
-        good, F.col("doc_id") == F.col("_id"), "left_semi")
+    held = _one_per_id(feats.where(~base_failed())).join(good, F.col("doc_id") == F.col("_id"), "left_semi")
     counts = held.groupBy("stratum").agg(
         F.count("*").alias("n"),
         *[F.count_if(_score(r) > c).alias(f"{r}_{i}")
@@ -210,7 +216,7 @@ def certified_vectors(feats: DataFrame, labels: DataFrame, id_col: str = "doc_id
     told = (labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
             .agg(F.min(label_col).alias("_good")))
     held = feats.where(~base_failed()).join(told, F.col("doc_id") == F.col("_id")).drop("_id")
-    held = stored(held.dropDuplicates(["doc_id"]), "quality-held")
+    held = stored(_one_per_id(held), "quality-held")
     alone = certified_cutoffs(held.drop("_good"), held.select(F.col("doc_id").alias(id_col), F.col("_good").alias(label_col)),
                               id_col, label_col, alpha, (1 - JOINT) * delta)
     alone = alone.groupBy(F.col("stratum").alias("_s")).agg(

@@ -370,3 +370,14 @@ def test_op6_digest(spark):
     docs = frame(spark, [(1, "é\nx")], "doc_id long, text string")
     r = line_dedup.keep_bitmaps(docs, with_text=True).select(F.sha2(F.col("kept_text").cast("binary"), 256)).first()
     assert r[0] == hashlib.sha256("é\nx".encode()).hexdigest()
+
+
+def test_one_text_per_labelled_id(spark):
+    """Of an id's texts the one of the least features is looked at, in any order of rows."""
+    rows = [(i % 7, f"w{i} " * (21 + i), "en") for i in range(40)]
+    got = set()
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        feats = quality_rules.features(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(seed + 2))
+        got.add(tuple(sorted(map(str, quality_rules._one_per_id(feats).collect()))))
+    assert len(got) == 1 and len(next(iter(got))) == 7
