@@ -1,26 +1,31 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton.
 
-Texts are folded first: lower case, look-alike letters of other scripts and
-full-width forms to Latin ones, accents off, digits and signs that stand for letters
-to those letters, everything else to blanks. The lexicon has whole words and word
+Texts are folded first: lower case, compatibility forms (full-width, circled,
+mathematical letters) and Latin letters of any shape to plain ones by their Unicode
+properties, look-alikes of other scripts to Latin, accents off, digits and signs that
+stand for letters, in words that have letters, to those letters, everything else to
+blanks. The lexicon has whole words and word
 beginnings, each with its log odds of occurring in toxic against clean documents;
 phrases of two words in which a listed word is harmless are exceptions and cancel it.
 A text's score is the logistic of its summed weights per word (and in all), so long
 texts are not toxic by length alone.
 
 ``fit`` learns all of this from a bounded sample of labelled documents: at most
-``SAMPLE`` of them, those with the smallest hashes of their ids; the lexicon has at
-most ``LEXICON`` entries. Everything else - scoring - reads every text whole, once.
+``SAMPLE`` of them, those with the smallest hashes of their ids, one text each. All
+terms of the sample that pass ``MIN_WEIGHT`` and ``MIN_Z`` are in the lexicon, and all
+phrases that pass theirs are exceptions. Everything else - scoring - reads every text
+whole, once.
 
 Defined results: null, empty and blank texts have no words and get the score of a
 text without any match; without labels of both kinds the lexicon is empty and all
 scores equal the share of toxic labels (0 without any); repeated and contradictory
-labels of a document count as toxic if one says so; rows repeat as they stand; an
-empty table gives an empty table; further columns are not read.
+labels of a document count as toxic if one says so; of several texts of a labelled id
+the one of the smallest hash is learned from; rows repeat as they stand; an empty table gives an empty table; further columns are not read.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -34,7 +39,6 @@ from pyspark.sql import functions as F
 from .common import stored
 
 SAMPLE = 20_000    # labelled documents that ``fit`` reads at most
-LEXICON = 2_000    # entries of the lexicon at most
 PREFIX = range(4, 9)  # lengths of word beginnings that can be entries
 MIN_WEIGHT, MIN_Z = 1.5, 4.0
 
@@ -43,36 +47,48 @@ LOOK_ALIKE = {"а": "a", "е": "e", "о": "o", "р": "p", "с": "c", "х": "x",
               "ј": "j", "ԁ": "d", "һ": "h", "к": "k", "м": "m", "т": "t", "в": "b", "н": "h", "г": "r",
               "α": "a", "ο": "o", "ε": "e", "ρ": "p", "ι": "i", "κ": "k", "ν": "v", "τ": "t", "υ": "u", "χ": "x",
               "ı": "i", "ß": "ss", "æ": "ae", "œ": "oe", "ø": "o", "đ": "d", "ł": "l"}
-DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
+DIGITS = {"0": "o", "1": "i", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
+          "@": "a", "$": "s", "€": "e", "+": "t"}
 
+# A Latin letter of another shape says so in its name: small capitals, script, turned, with hook.
+_LATIN = re.compile(r"LATIN (?:CAPITAL |SMALL )?LETTER (?:SMALL CAPITAL |SCRIPT |OPEN |TURNED |REVERSED |DOTLESS |LONG |INSULAR )*"
+                    r"([A-Z])(?: WITH .*)?")
+_BEFORE_LETTER = re.compile(r"[!|](?=[^\W\d_])")  # an exclamation mark or bar for an i
+_NO_LETTER = re.compile(rf"(?<!\S)[{re.escape(''.join(DIGITS))}]+(?!\S)")
 
-def _fold_table() -> dict[int, str]:
-    table: dict[int, str] = {}
-    for c in range(0x250):
-        low = chr(c).lower()
-        base = unicodedata.normalize("NFD", low)[0]
-        table[c] = base if base.isalpha() else " "
-    for c in range(0xFF01, 0xFF5F):
-        table[c] = table[c - 0xFEE0]
-    for c in range(0x300, 0x370):  # combining accents
-        table[c] = ""
-    for c in (0xAD, 0x200B, 0x200C, 0x200D, 0x2060, 0xFEFF):  # invisible
-        table[c] = ""
-    for c in range(0x2000, 0x2070):
-        table.setdefault(c, " ")
-    for c, to in (LOOK_ALIKE | DIGITS).items():
-        table[ord(c)] = to
-    for c, to in DIGITS.items():
-        table[ord(c) + 0xFEE0] = to
-    return table
 
+def _plain(c: str) -> str:
+    """What one lower-case character stands for; signs that may be letters stay."""
+    if c in LOOK_ALIKE:
+        return LOOK_ALIKE[c]
+    if c in DIGITS:
+        return c
+    kind = unicodedata.category(c)
+    if kind[0] == "M" or kind == "Cf":  # accents, and what is not seen
+        return ""
+    if kind[0] != "L":
+        return " "
+    name = _LATIN.fullmatch(unicodedata.name(c, ""))
+    return name[1].lower() if name else c
 
-FOLD = _fold_table()
+
+class _Folded(dict):
+    """Folding by code point, worked out when a character is first met."""
+
+    def __missing__(self, c: int) -> str:
+        parts = [chr(c)] if chr(c) in LOOK_ALIKE else unicodedata.normalize("NFKD", chr(c).lower())
+        self[c] = "".join(map(_plain, "".join(parts).lower()))
+        return self[c]
+
+
+FOLD = _Folded()
+LETTERS = str.maketrans(DIGITS)
 
 
 def fold(text: str) -> str:
     """Folded words with one blank between and around them."""
-    return " " + " ".join(text.lower().translate(FOLD).split()) + " "
+    text = _BEFORE_LETTER.sub("i", text.lower()).translate(FOLD)
+    return " " + " ".join(_NO_LETTER.sub(" ", text).translate(LETTERS).split()) + " "
 
 
 @dataclass(frozen=True)
@@ -142,8 +158,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         label_col: str = "toxic") -> Model:
     """Learns the lexicon, its exceptions and the score from labelled documents."""
     picked = sample_labels(labels, id_col, label_col)
-    sample = stored(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-                    .join(F.broadcast(picked), "_id").select("text", "_y"), "toxicity-sample")
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # an id that comes a million times is one text: picked before the shuffle and after it
+    sample = stored(texts.join(F.broadcast(picked), "_id").groupBy("_id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"), F.max("_y").alias("_y")).drop("_id"), "toxicity-sample")
     n = {r["_y"]: r["n"] for r in sample.groupBy("_y").agg(F.count("*").alias("n")).collect()}
     toxic, clean = n.get(1, 0), n.get(0, 0)
     if not toxic or not clean:
@@ -166,9 +184,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                .agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
                .withColumn("w", odds(F.col("t"), F.col("c")))
                .withColumn("z", F.col("w") / F.sqrt(1 / (F.col("t") + 0.5) + 1 / (F.col("c") + 0.5))))
-    lexicon = counted.where((F.col("w") >= MIN_WEIGHT) & (F.col("z") >= MIN_Z)).orderBy(
-        F.col("z").desc(), "term").limit(LEXICON)
-    weights = {r["term"]: r["w"] for r in lexicon.collect()}
+    # Terms of the sample only, each in several of its texts: bounded by SAMPLE.
+    lexicon = counted.where((F.col("w") >= MIN_WEIGHT) & (F.col("z") >= MIN_Z))
+    weights = {r["term"]: r["w"] for r in sorted(lexicon.collect(), key=lambda r: r["term"])}
     first = Model(weights, (), (0.0, 0.0, 0.0))
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,9 +205,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     harmless = (sample.mapInArrow(phrases, "phrase string, y int").groupBy("phrase")
                 .agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
-                .where((F.col("c") >= 3) & (odds(F.col("t"), F.col("c")) <= -MIN_WEIGHT))
-                .orderBy(F.col("c").desc(), "phrase").limit(LEXICON))
-    second = Model(weights, tuple(r["phrase"] for r in harmless.collect()), (0.0, 0.0, 0.0))
+                .where((F.col("c") >= 3) & (odds(F.col("t"), F.col("c")) <= -MIN_WEIGHT)))
+    second = Model(weights, tuple(sorted(r["phrase"] for r in harmless.collect())), (0.0, 0.0, 0.0))
 
     def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = second.automaton()
