@@ -3,13 +3,19 @@
 A small tree builder reads the tags of a page, closes elements whose end tags are
 implied (paragraphs, list items, table parts, options), ignores stray end tags and
 keeps raw text of script-like elements apart. A renderer then walks the tree and
-emits all visible text: hidden elements are left out (by kind, ``hidden``,
-``aria-hidden`` or an inline style), inline text runs together with white space
-collapsed, blocks stand on lines of their own with a blank line around paragraphs,
-headings, lists and tables, list items get their bullet or number by depth,
-``pre`` keeps its lines, and the cells of a table are padded to common column widths.
-
-Both walk with a stack of their own, so deeply nested pages are no recursion.
+emits all visible text: elements that are not shown are left out (by kind, ``hidden``
+or ``display``), text under ``visibility: hidden`` too unless an inner element is
+visible again, inline text runs together with white space collapsed, blocks stand on
+lines of their own with a blank line around paragraphs, headings, lists and tables,
+list items get their bullet or number by depth, ``pre`` keeps its lines, and of an
+``svg`` its ``text`` elements are read. The cells of a table take their places in its
+grid, those of ``rowspan`` and ``colspan`` several (1,000 columns at most, as in
+browsers), and are padded to common column widths; a cell over several columns widens
+them where it must.
+
+Both walk with a stack of their own, so deeply nested pages, and tables within tables,
+are no recursion. Open elements that a tag may close are kept apart from others, and a
+tag looks only at those it closes, so the time of a page grows with its length.
 
 Defined results: a null or empty page gives an empty text; broken markup gives the
 text a lenient reader sees, and never an error; rows repeat as they stand; an empty
@@ -21,6 +27,7 @@ from __future__ import annotations
 import html
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -29,7 +36,7 @@ from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style title template noscript meta link iframe object svg canvas "
+HIDDEN = frozenset("head script style title template noscript meta link iframe object canvas "
                    "audio video datalist noembed noframes".split())
 #: Blocks with a blank line around them, and blocks on lines of their own.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure hr".split())
@@ -57,7 +64,10 @@ SCOPE = frozenset({"table", "td", "th", "caption", "html"})
 TAG = re.compile(r"<(?:!--(?:.*?-->|.*)|!\[CDATA\[(?:.*?\]\]>|.*)|[!?][^>]*>?|"
                  r"(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(?:>|$))", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
-UNSEEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
+VISIBILITY = re.compile(r"visibility\s*:\s*(\w+)", re.I)
+#: Kinds that end the search for elements to close.
+MARKED = (SPACED | LINES).union(CLOSES, *(a | b for a, b in CLOSES.values()))
 SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
@@ -81,27 +91,81 @@ class Node:
             return True
         if not self.attributes:
             return False
-        return (self.attribute("hidden") is not None or self.attribute("aria-hidden") == "true"
-                or bool(UNSEEN.search(self.attribute("style") or ""))
-                or (self.kind == "input"))
+        return (self.attribute("hidden") is not None or self.kind == "input"
+                or bool(NOT_SHOWN.search(self.attribute("style") or "")))
+
+    def unseen(self, around: bool) -> bool:
+        """Whether its text is invisible, by its own style or else as what is around it."""
+        if not self.attributes or "visibility" not in self.attributes.lower():
+            return around
+        found = VISIBILITY.search(self.attribute("style") or "")
+        return found[1].lower() != "visible" if found and found[1].lower() in ("visible", "hidden", "collapse") else around
+
+
+class Open:
+    """The open elements, with what lets a tag find its own without walking."""
+
+    def __init__(self):
+        self.stack = [Node("html")]
+        self.marks: list[int] = []              # depths of MARKED elements
+        self.counts = Counter()                 # open elements by kind
+        self.scopes = [Counter()]               # and inside each open SCOPE element
+
+    def push(self, node: Node) -> None:
+        if node.kind in MARKED:
+            self.marks.append(len(self.stack))
+        self.stack.append(node)
+        self.counts[node.kind] += 1
+        self.scopes[-1][node.kind] += 1
+        if node.kind in SCOPE:
+            self.scopes.append(Counter())
+
+    def cut(self, depth: int) -> None:
+        """Closes the elements from ``depth`` on."""
+        while len(self.stack) > depth:
+            kind = self.stack.pop().kind
+            if kind in SCOPE:
+                self.scopes.pop()
+            self.counts[kind] -= 1
+            self.scopes[-1][kind] -= 1
+        while self.marks and self.marks[-1] >= depth:
+            self.marks.pop()
+
+    def end(self, kind: str) -> None:
+        """An end tag: closes the innermost element of its kind, within its scope."""
+        far = kind in SCOPE or kind in ("tr", "thead", "tbody", "tfoot", "body")
+        if (self.counts if far else self.scopes[-1])[kind] > 0:
+            depth = len(self.stack) - 1
+            while self.stack[depth].kind != kind:
+                depth -= 1
+            self.cut(depth)
+
+    def begin(self, kind: str) -> None:
+        """Closes what the start of such an element implies."""
+        if kind not in IN_HEAD and self.stack[-1].kind == "head":
+            self.cut(len(self.stack) - 1)
+        closed, limits = CLOSES.get(kind, ((), ()))
+        found = None
+        for depth in reversed(self.marks) if closed else ():
+            own = self.stack[depth].kind
+            if own in limits or own not in closed:
+                break
+            found = depth
+        if found is not None:
+            self.cut(found)
 
 
 def build_tree(page: str) -> Node:
-    root = Node("html")
-    stack = [root]
+    open_ = Open()
+    stack = open_.stack
     at, n = 0, len(page)
-
-    def end_head() -> None:
-        if stack[-1].kind == "head":
-            stack.pop()
-
     while at < n:
         m = TAG.search(page, at)
         end = m.start() if m else n
         if end > at:
             text = html.unescape(page[at:end])
-            if SPACE.sub("", text):
-                end_head()
+            if stack[-1].kind == "head" and SPACE.sub("", text):
+                open_.cut(len(stack) - 1)
             stack[-1].children.append(text)
         if not m:
             break
@@ -112,28 +176,11 @@ def build_tree(page: str) -> Node:
             continue
         kind = m[2].lower()
         if m[1]:
-            for depth in range(len(stack) - 1, 0, -1):
-                if stack[depth].kind == kind:
-                    del stack[depth:]
-                    break
-                if stack[depth].kind in SCOPE and kind not in SCOPE and kind not in ("tr", "thead", "tbody", "tfoot", "body"):
-                    break
+            open_.end(kind)
             continue
-        if kind in ("html", "body") and any(x.kind == kind for x in stack):
+        if kind == "html" or (kind == "body" and open_.counts[kind]):
             continue
-        if kind not in IN_HEAD:
-            end_head()
-        closed, limits = CLOSES.get(kind, ((), ()))
-        depth = len(stack) - 1
-        cut = None
-        while closed and depth > 0 and stack[depth].kind not in limits:
-            if stack[depth].kind in closed:
-                cut = depth
-            elif stack[depth].kind in SPACED | LINES and stack[depth].kind not in closed:
-                break
-            depth -= 1
-        if cut:
-            del stack[cut:]
+        open_.begin(kind)
         node = Node(kind, m[3])
         stack[-1].children.append(node)
         if kind in RAW:
@@ -144,11 +191,10 @@ def build_tree(page: str) -> Node:
             at = end
             if close:
                 at = page.find(">", end) + 1 or n
-        elif kind not in VOID and not m[3].endswith("/"):
-            stack.append(node)
-        elif kind not in VOID and kind not in ("svg", "path"):
-            stack.append(node)  # a slash closes void elements only
-    return root
+        # a slash closes void elements, and those of a drawing
+        elif kind not in VOID and not (m[3].endswith("/") and (kind == "svg" or open_.counts["svg"])):
+            open_.push(node)
+    return stack[0]
 
 
 class Writer:
@@ -207,90 +253,130 @@ def _width(s: str) -> int:
         if not s.isascii() else len(s)
 
 
-def _rows(table: Node) -> tuple[list[Node], list[list[Node]], list[Node]]:
-    """Captions, rows of cells, and other children of a table (not of inner tables)."""
-    captions, rows, other, todo = [], [], [], [*reversed(table.children)]
-    loose: list[Node] | None = None
+def _rows(table: Node, unseen: bool) -> tuple[list[tuple], list[list[tuple]], list[tuple]]:
+    """Captions, rows of cells, and other children of a table (not of inner tables),
+    each with whether it is invisible by what is around it."""
+    captions, rows, other = [], [], []
+    todo = [(x, unseen) for x in reversed(table.children)]
+    loose: list | None = None
     while todo:
-        x = todo.pop()
+        x, around = todo.pop()
         if isinstance(x, str):
             if x.strip():
-                other.append(x)
-        elif x.hidden():
+                other.append((x, around))
             continue
-        elif x.kind in ("thead", "tbody", "tfoot", "colgroup"):
-            todo += reversed(x.children)
+        if x.hidden():
+            continue
+        inner = x.unseen(around)
+        if x.kind in ("thead", "tbody", "tfoot", "colgroup"):
+            todo += [(c, inner) for c in reversed(x.children)]
             loose = None
         elif x.kind == "tr":
-            rows.append([c for c in x.children if not isinstance(c, str) and c.kind in ("td", "th") and not c.hidden()])
-            other += [c for c in x.children if (c.strip() if isinstance(c, str) else c.kind not in ("td", "th"))]
+            rows.append([(c, inner) for c in x.children
+                         if not isinstance(c, str) and c.kind in ("td", "th") and not c.hidden()])
+            other += [(c, inner) for c in x.children if (c.strip() if isinstance(c, str) else c.kind not in ("td", "th"))]
             loose = None
         elif x.kind in ("td", "th"):
             if loose is None:
                 loose = []
                 rows.append(loose)
-            loose.append(x)
-        elif x.kind == "caption":
-            captions.append(x)
+            loose.append((x, around))
         else:
-            other.append(x)
-    return captions, [r for r in rows if r], other
-
-
-def _span(cell: Node) -> int:
-    s = cell.attribute("colspan") or ""
-    return max(1, min(int(s), 100)) if s.isdecimal() and len(s) < 5 else 1
-
-
-#: Tables inside tables from this depth on are rendered as plain blocks.
-TABLE_DEPTH = 8
-
-
-def _table(node: Node, writer: Writer, depth: int) -> None:
-    captions, rows, other = _rows(node)
-    for x in [*captions, *other]:
+            (captions if x.kind == "caption" else other).append((x, around))
+    return captions, rows, other
+
+
+def _span(cell: Node, name: str, most: int) -> int:
+    s = cell.attribute(name) or ""
+    return max(1, min(int(s), most)) if s.isdecimal() and len(s) < 9 else 1
+
+
+def _grid(rows: list[list[Node]]) -> list[list[tuple[int, int]]]:
+    """The columns (from, to) of every cell: the first free ones of its row, which cells
+    of rows above may take part of."""
+    held: list[tuple[int, int, int]] = []  # from, to, and the row from which they are free
+    out = []
+    for r, cells in enumerate(rows):
+        held = sorted(h for h in held if h[2] > r)
+        line, col, k = [], 0, 0
+        for c in cells:
+            while k < len(held) and held[k][0] <= col:
+                col = max(col, held[k][1])
+                k += 1
+            wide = _span(c, "colspan", 1000)
+            line.append((col, col + wide))
+            col += wide
+        tall = [(a, b, r + _span(c, "rowspan", len(rows) - r)) for c, (a, b) in zip(cells, line, strict=True)]
+        for a, b, until in tall:
+            if until > r + 1:
+                if held and held[-1][1] == a and held[-1][2] == until:  # one with its neighbour
+                    a = held.pop()[0]
+                held.append((a, b, until))
+        out.append(line)
+    return out
+
+
+def _table(node: Node, writer: Writer, unseen: bool):
+    captions, rows, other = _rows(node, unseen)
+    for x, around in [*captions, *other]:
         writer.end_line()
-        _render([x], writer, depth)
+        yield _render([x], writer, around)
         writer.end_line()
-    grid: list[list[tuple[int, list[str]]]] = []
+    places = _grid([[c for c, _ in r] for r in rows])
+    texts: list[list[list[str]]] = []
     for r in rows:
-        line = []
-        for c in r:
+        texts.append([])
+        for c, around in r:
             w = Writer()
-            _render(c.children, w, depth + 1)
-            line.append((_span(c), w.text().split("\n")))
-        grid.append(line)
-    widths: list[int] = []
-    for line in grid:
-        col = 0
-        for span, text in line:
-            while len(widths) < col + span:
-                widths.append(0)
-            if span == 1:
-                widths[col] = max(widths[col], *map(_width, text))
-            col += span
-    for line in grid:
-        col, cells = 0, []
-        for span, text in line:
-            cells.append((sum(widths[col:col + span]) + 2 * (span - 1), text))
-            col += span
-        for i in range(max(len(t) for _, t in cells)):
-            out = ""
-            for width, text in cells:
-                s = text[i] if i < len(text) else ""
-                out += s + " " * max(0, width - _width(s)) + "  "
-            if out.strip():
-                writer.put(out.rstrip())
-
-
-def _render(nodes: list, writer: Writer, depth: int = 0) -> None:
-    """Walks the nodes; a tuple on the stack is a step after an element's children."""
+            yield _render(c.children, w, c.unseen(around))
+            texts[-1].append(w.text().split("\n"))
+    # Columns that no cell begins or ends at are not told apart.
+    edges = sorted({e for line in places for place in line for e in place})
+    number = {e: i for i, e in enumerate(edges)}
+    widths = [0] * len(edges)
+    cells = [((number[a], number[b]), max(map(_width, text))) for line, own in zip(places, texts, strict=True)
+             for (a, b), text in zip(line, own, strict=True)]
+    for (a, b), need in sorted(cells, key=lambda c: c[0][1] - c[0][0]):
+        widths[b - 1] += max(0, need - sum(widths[a:b]) - 2 * (b - a - 1))
+    begin = [0]
+    for w in widths:
+        begin.append(begin[-1] + w + 2)
+    for line, own in zip(places, texts, strict=True):
+        for i in range(max(map(len, own), default=0)):
+            out, at = [], 0
+            for (a, _), text in zip(line, own, strict=True):
+                if i < len(text) and text[i]:
+                    out.append(" " * (begin[number[a]] - at) + text[i])
+                    at = begin[number[a]] + _width(text[i])
+            if out:
+                writer.put("".join(out).rstrip())
+
+
+def _drawn(svg: Node) -> list[Node]:
+    """The texts of a drawing, and pages inside it."""
+    found, todo = [], [*reversed(svg.children)]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str) or x.hidden() or x.kind == "desc":
+            continue
+        if x.kind in ("text", "foreignobject"):
+            found += [" ", x]
+        else:
+            todo += reversed(x.children)
+    return found
+
+
+def _render(nodes: list, writer: Writer, unseen: bool = False):
+    """Walks the nodes; a tuple on the stack is a step after an element's children. A
+    generator of the tables met, each to be run before it goes on."""
     stack: list = [*reversed(nodes)]
     lists: list[list] = []  # [ordered, next number] of open lists
     pre = 0
     while stack:
         x = stack.pop()
         if isinstance(x, str):
+            if unseen:
+                continue
             if not pre:
                 writer.inline(x)
             else:
@@ -302,6 +388,9 @@ def _render(nodes: list, writer: Writer, depth: int = 0) -> None:
             continue
         if isinstance(x, tuple):
             step, kind = x[0], x[1]
+            if step == "unseen":
+                unseen = kind
+                continue
             writer.end_line()
             if step == "item":
                 if writer.marker == x[3]:  # an item without text
@@ -323,15 +412,21 @@ def _render(nodes: list, writer: Writer, depth: int = 0) -> None:
         if x.hidden():
             continue
         kind = x.kind
+        inner = x.unseen(unseen)
+        if inner != unseen and kind != "table":
+            stack.append(("unseen", unseen))
+            unseen = inner
         if kind == "br":
             if writer.now:
                 writer.end_line()
             elif writer.lines and not writer.blank:
                 writer.blank = True
-        elif kind == "table" and depth < TABLE_DEPTH:
+        elif kind == "table":
             writer.spaced()
-            _table(x, writer, depth)
+            yield _table(x, writer, inner)
             writer.spaced()
+        elif kind == "svg":
+            stack += reversed(_drawn(x))
         elif kind in ("ul", "ol", "menu", "dir"):
             if lists:
                 writer.end_line()
@@ -382,7 +477,13 @@ def render(page: str | None) -> str:
     if not page:
         return ""
     w = Writer()
-    _render([build_tree(page)], w)
+    running = [_render([build_tree(page)], w)]
+    while running:  # a table, or a cell of it, runs before what is around it goes on
+        inner = next(running[-1], None)
+        if inner is None:
+            running.pop()
+        else:
+            running.append(inner)
     return w.text()
 
 

@@ -1,8 +1,10 @@
 """Token counts, pieces, toxicity and HTML against the libraries and plain expectations."""
 
 import random
+import time
 
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
 from martkit.llm import html_text, sentence_pieces, token_counts, toxicity
@@ -88,7 +90,7 @@ def test_pieces_that_are_no_text(spark):
 PAGES = {
     "<p>a<p>b<ul><li>x<li>y<ol><li>1<li>2</ol></ul>tail": "a\n\nb\n\n- x\n- y\n  1. 1\n  2. 2\n\ntail",
     "<table><tr><th>Name<th>Qty<tr><td>apple<td>3<tr><td>kiwi<td>12</table>after": "Name   Qty\napple  3\nkiwi   12\n\nafter",
-    "<table><caption>Cap</caption><tr><td colspan=2>wide one<td>z<tr><td>a<td>b<td>c</table>": "Cap\nwide one  z\na  b  c",
+    "<table><caption>Cap</caption><tr><td colspan=2>wide one<td>z<tr><td>a<td>b<td>c</table>": "Cap\nwide one  z\na  b      c",
     "<pre>\n a\n  b</pre>x": " a\n  b\n\nx",
     "<div>one<br>two<br><br>three</div><div hidden>no</div><span style='display: none'>no</span>yes": "one\ntwo\n\nthree\nyes",
     "<b>bo<i>ld</b> it</i> end": "bold it end",
@@ -98,7 +100,12 @@ PAGES = {
     "<p>unclosed <a href='x>y'>l</a>": "unclosed l", "<ol start=5><li>five<li>six</ol>": "5. five\n6. six",
     "<blockquote>q1<p>q2</blockquote>z": "  q1\n\n  q2\n\nz", "<dl><dt>T<dd>D<dt>U<dd>E</dl>": "T\n  D\nU\n  E",
     "<ul><li><p>para</p><p>two</p></li><li></li><li>z</li></ul>": "- para\n\n  two\n\n- z",
-    "<p aria-hidden=true>no<p>yes": "yes", "<table><tr><td>é中<td>x<tr><td>abcd<td>y</table>": "é中   x\nabcd  y",
+    "<p aria-hidden=true>seen<p>yes": "seen\n\nyes", "<table><tr><td>é中<td>x<tr><td>abcd<td>y</table>": "é中   x\nabcd  y",
+    "<table><tr><td rowspan=2>A<td>b<tr><td>c</table>": "A  b\n   c",
+    "<table><tr><td colspan=2>wide one here<td>z<tr><td>a<td>b<td>c</table>": "wide one here  z\na  b           c",
+    "<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b>no</div>z": "yes\nz",
+    "<table style='visibility:hidden'><tr><td>no<td style='visibility: visible'>yes</table>": "  yes",
+    "<svg><title>t</title><style>x</style><circle r=1/><text x=1>a <tspan>b</tspan></text><g><text>c</text></g></svg>d": "a b cd",
     "": "", None: "",
 }
 
@@ -120,6 +127,71 @@ def test_html_head_without_end_or_body():
         assert html_text.render(page) == text, page
 
 
+def plain_grid(rows):
+    """A table's text by a matrix of single places. ``rows``: (text, down, across) cells."""
+    taken, at = {}, []
+    for r, cells in enumerate(rows):
+        at.append([])
+        c = 0
+        for text, down, across in cells:
+            while (r, c) in taken:
+                c += 1
+            for i in range(r, min(r + down, len(rows))):
+                for j in range(c, c + across):
+                    taken[i, j] = True
+            at[-1].append((c, across, text))
+            c += across
+    edges = sorted({e for line in at for c, across, _ in line for e in (c, c + across)})
+    widths = dict.fromkeys(edges, 0)
+    for c, across, text in sorted((x for line in at for x in line), key=lambda x: sum(x[0] <= e < x[0] + x[1] for e in edges)):
+        own = [e for e in edges if c <= e < c + across]
+        widths[own[-1]] += max(0, len(text) - sum(widths[e] for e in own) - 2 * (len(own) - 1))
+    out = []
+    for line in at:
+        s = ""
+        for c, _, text in line:
+            if text:
+                s = s.ljust(sum(widths[e] + 2 for e in edges if e < c)) + text
+        out += [s] if s else []
+    return "\n".join(out)
+
+
+def test_table_grids():
+    rng = random.Random(12)
+    for _ in range(300):
+        rows = [[("".join(rng.choices("abc", k=rng.randrange(7))), rng.choice([1, 1, 1, 2, 3]), rng.choice([1, 1, 1, 2, 4]))
+                 for _ in range(rng.randrange(1, 6))] for _ in range(rng.randrange(1, 6))]
+        # a cell may not lie over one that reaches down into its columns
+        page = "<table>" + "".join("<tr>" + "".join(f"<td rowspan={d} colspan={a}>{t}</td>" for t, d, a in cells) for cells in rows)
+        if not overlapping(rows):
+            assert html_text.render(page + "</table>") == plain_grid(rows), rows
+
+
+def overlapping(rows):
+    taken = set()
+    for r, cells in enumerate(rows):
+        c = 0
+        for _, down, across in cells:
+            while (r, c) in taken:
+                c += 1
+            own = {(i, j) for i in range(r, min(r + down, len(rows))) for j in range(c, c + across)}
+            if own & taken:
+                return True
+            taken |= own
+            c += across
+    return False
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 100_000 + "<p>x" * 100_000, "<p><button>" + "<i>" * 80_000 + "<p>y" * 80_000, "<table><td>" + "<i>" * 80_000 + "</b>" * 80_000,
+    "<table><tr><td>" * 30_000 + "x", "<ul><li>" * 40_000 + "x", "<table><tr>" + "<td colspan=1000 rowspan=9999>c" * 20_000,
+    "<div>" * 150_000, "<table><tr><td rowspan=500>a" * 3_000])
+def test_long_pages_take_their_length(page):
+    began = time.process_time()
+    assert isinstance(html_text.render(page), str)
+    assert time.process_time() - began < 12
+
+
 def test_html_of_any_shape_ends():
     for page in ("<div>" * 20_000 + "x", "<table><tr><td>" * 300 + "x", "<p>" + "<b>a" * 5_000, "<" * 50_000,
                  "<a " + "x='" * 20_000, "<ul><li>" * 3_000 + "x", "<!--" * 9_000, "<![CDATA[" * 3_000, "&#x110000; &bogus;"):
@@ -134,6 +206,40 @@ def test_html_of_any_shape_ends():
 def test_fold():
     assert toxicity.fold("1d10t ІDІΟT ｓｔｕｐｉｄ st­upid café ΣÀ 5cum!") == " idiot idiot stupid stupid cafe σa scum "
     assert toxicity.fold("").split() == []
+    for odd, plain in (("𝐬𝐭𝐮𝐩𝐢𝐝", "stupid"), ("ⓢⓣⓤⓟⓘⓓ", "stupid"), ("ạssẹ", "asse"), ("ꜱtupid", "stupid"), ("ɡrub", "grub"),
+                       ("!diot", "idiot"), ("6rubbel", "grubbel"), ("sh!p", "ship"), ("1234 56", ""), ("4pril 2024", "april"),
+                       ("日本 слон", "日本 cлoh"), ("naïve Ångström", "naive angstrom"), ("what! Ever", "what ever")):
+        assert toxicity.fold(odd).split() == plain.split(), odd
+
+
+def test_matches_are_those_of_plain_search():
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choices("abc", k=rng.randrange(1, 5)))
+    for _ in range(150):
+        weights = {f" {word()}{rng.choice([' ', ''])}": rng.uniform(1, 3) for _ in range(6)}
+        spared = tuple(f" {word()} {word()} " for _ in range(3))
+        text = toxicity.fold(" ".join(word() for _ in range(40)))
+        want = {}
+        for k, w in weights.items():
+            for at in range(len(text)):
+                if text.startswith(k, at):
+                    want[at] = max(w, want.get(at, 0))
+        for k in spared:
+            for at in range(len(text)):
+                if text.startswith(k, at):
+                    for i in range(at, at + len(k) - 1):
+                        want.pop(i, None)
+        assert toxicity._hits(toxicity.Model(weights, spared, (0, 0, 0)).automaton(), text) == want
+
+
+def test_one_sample_row_per_labelled_id(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE", 20)
+    seen = []
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: (seen.append(df.count()), df)[1])
+    docs = spark.range(3000).selectExpr("0L AS doc_id", "'some words' AS text").union(
+        spark.range(1, 60).selectExpr("id AS doc_id", "concat('text ', id) AS text"))
+    toxicity.fit(docs, spark.range(60).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic"))
+    assert seen == [20]
 
 
 def toxic_rows():
@@ -159,7 +265,7 @@ def test_toxicity(spark):
     lab = spark.createDataFrame([*labels, (None, 1, 1), (3, 1, None), (10**6, 0, 1)], "doc_id long, quality int, toxic int")
     train = lab.where(~toxicity.held_out())
     model = toxicity.fit(docs, train)
-    assert " zorvak lamp " in model.exceptions and len(model.weights) <= toxicity.LEXICON
+    assert " zorvak lamp " in model.exceptions and " zorvak " in model.weights
     truth = {i: t for i, _, t in labels}
     scored = toxicity.score(docs, model).withColumn("h", toxicity.held_out()).collect()
     assert all(0 <= r.score <= 1 for r in scored)
@@ -186,3 +292,16 @@ def test_held_out_is_by_crc(spark):
     import zlib
     df = spark.range(50).select(F.col("id").alias("doc_id"), toxicity.held_out().alias("h"))
     assert all(r.h == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in df.collect())
+
+
+def test_long_chunks_are_cut_where_no_piece_reaches():
+    path = tokenizer_file("piece_bpe_32k.model")
+    library = sentencepiece.SentencePieceProcessor(model_file=path)
+    rng = random.Random(8)
+    coder = sentence_pieces.Encoder(path)
+    made = ["".join(rng.choices("ABCdefghij0123+/=", k=30_000)), "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(9_000)),
+            rng.randbytes(9_000).hex(), "é" * 6_000, "word " * 3 + "x1" * 4_000 + "\n" + "ok " + "7" * 5_000]
+    ids, n = coder.encode(made)
+    assert ids.tolist() == [i for t in made for i in library.encode(t)] and n.tolist() == [len(library.encode(t)) for t in made]
+    parts = sentence_pieces.parts_of(coder.model, " " + made[0])
+    assert len(parts) > 20 and "".join(parts) == " " + made[0] and max(map(len, parts)) < 4 * sentence_pieces.PART
