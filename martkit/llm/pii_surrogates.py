@@ -217,8 +217,11 @@ def _surrogate(kind: Column, normal: Column, gender: Column, attempt: Column, ke
         domain = F.regexp_extract(normal, "@(.*)$", 1)
         host = F.regexp_extract(domain, r"^(.*)(\.[^.]*)$", 1)
         # One domain stays one domain: its letters are keyed by the domain alone.
+        # Few mailboxes have few replacements of their length: each attempt is a letter longer.
+        more = F.when(attempt > 0, F.array_join(F.transform(
+            F.sequence(F.lit(1), attempt), lambda i: _pick(ALPHABET["latin"], _byte(h, 31 - i % 32))), "")).otherwise("")
         email = F.concat(
-            _substituted(F.regexp_extract(normal, "^(.*)@", 1), h), F.lit("@"),
+            _substituted(F.regexp_extract(normal, "^(.*)@", 1), h), more, F.lit("@"),
             let(_hash(key, F.lit("domain"), domain), lambda d: _substituted(host, d)),
             F.regexp_extract(domain, r"(\.[^.]*)$", 1))
         ip = F.concat_ws(".", (_byte(h, 0) % 223 + 1).cast("string"),
@@ -244,9 +247,9 @@ def _formatted(kind: Column, mention: Column, surrogate: Column) -> Column:
         return F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(c.rlike(keep), F.substring(
             surrogate, F.char_length(F.regexp_replace(F.substring(mention, F.lit(1), i), f"[^{keep[1:]}", "")) + 1,
             F.lit(1))).otherwise(c)), "")
-    cased = F.array_join(F.transform(F.split(mention, ""), lambda c, i: F.when(
-        c.rlike(r"\p{Lu}"), F.upper(F.substring(surrogate, i + 1, F.lit(1))))
-        .otherwise(F.substring(surrogate, i + 1, F.lit(1)))), "")
+    # The surrogate may be longer than the mention.
+    cased = F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(
+        F.substring(mention, i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), "")
     address = F.regexp_extract(mention, rf"^((?:{_TITLES})\.? )", 1)
     loud = (_bare_name(mention) == F.upper(_bare_name(mention)))
     return (F.when(kind.isin(*DIGITS), spread("[0-9]")).when(kind == "iban", spread("[A-Z0-9]"))

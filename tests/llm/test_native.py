@@ -381,3 +381,13 @@ def test_one_text_per_labelled_id(spark):
         feats = quality_rules.features(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(seed + 2))
         got.add(tuple(sorted(map(str, quality_rules._one_per_id(feats).collect()))))
     assert len(got) == 1 and len(next(iter(got))) == 7
+
+
+def test_few_mailboxes_of_one_letter_settle(spark):
+    boxes = [*"abcdefghijklmnopqrstuvwxyz", "é", "ö"]
+    rows = [(i, f"write to {b.upper() if i % 2 else b}@mail.example now", None, None, 1) for i, b in enumerate(boxes)]
+    got = [r.text for r in pii_surrogates.with_surrogates(frame(spark, rows), "k").collect()]
+    new = [re.fullmatch(r"write to (\S+@\S+) now", t)[1].lower() for t in got]
+    assert len(set(new)) == len(boxes) and not set(new) & {f"{b}@mail.example" for b in boxes}
+    assert len({x.split("@")[1] for x in new}) == 1
+
