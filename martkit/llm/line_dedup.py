@@ -9,6 +9,9 @@ is part of the range key. Only partial counts per hash are shuffled further.
 What comes back to a document is its compressed keep bitmap, not its text: the
 runs of kept lines (start, length). ``deduped`` cuts the texts by these runs.
 
+Lines are equal by one 64-bit hash of their keys: with n different lines, n^2 / 2^65
+pairs share one by chance, and a rare line that shares a frequent one's goes with it.
+
 Defined results: a null or empty text is one empty line; keys shorter than
 ``min_chars`` (1 at least) code points are always kept; documents are rows, so a
 repeated row counts again, and rows with the same id and text share one bitmap;
