@@ -514,16 +514,19 @@ STAMP = "_etl_updated_dttm"
 
 
 def load_sources(t: Tables) -> list[tuple[str, DataFrame, list[str]]]:
-    """The three sources of the load, out of the nested documents."""
+    """The three sources of the load, out of the nested documents. A load reads a source
+    several times, so the unnested tickets and each source are stored: the documents are
+    joined, written as JSON and parsed once."""
     docs = nest_lines_per_row(t)
-    tickets = unnest_json(docs, "json_data", "tickets", keep=["book_ref"])
+    tickets = stored(unnest_json(docs, "json_data", "tickets", keep=["book_ref"]), "load-unnested")
     flights = tickets.select("book_ref", "linenumber", F.explode("flights").alias("f")).select(
         "book_ref", "linenumber", "f.partkey", "f.suppkey", "f.quantity")
-    return [("bookings", docs.select("book_ref", "book_date").distinct(), ["book_ref"]),
-            ("tickets", tickets.groupBy("book_ref", "linenumber").agg(F.count(F.lit(1)).alias("n_flights")),
-             ["book_ref", "linenumber"]),
-            ("ticket_flights", flights.groupBy("book_ref", "linenumber", "partkey", "suppkey")
-             .agg(F.sum("quantity").alias("quantity")), ["book_ref", "linenumber", "partkey", "suppkey"])]
+    sources = [("bookings", docs.select("book_ref", "book_date").distinct(), ["book_ref"]),
+               ("tickets", tickets.groupBy("book_ref", "linenumber").agg(F.count(F.lit(1)).alias("n_flights")),
+                ["book_ref", "linenumber"]),
+               ("ticket_flights", flights.groupBy("book_ref", "linenumber", "partkey", "suppkey")
+                .agg(F.sum("quantity").alias("quantity")), ["book_ref", "linenumber", "partkey", "suppkey"])]
+    return [(name, stored(df, f"load-{name}"), keys) for name, df, keys in sources]
 
 
 def load_steps(sources: list[tuple[str, DataFrame, list[str]]]) -> dict:

@@ -29,6 +29,22 @@ def values(df):
     return sorted(r.x for r in df.collect())
 
 
+def test_sources_of_a_load_are_computed_once(spark, tmp_path):
+    from martkit.plans.q_sources import load_sources
+    from martkit.sources.tables import Tables
+    spark.sql("SELECT id AS o_orderkey, timestamp_ntz'1995-01-01' AS o_orderdate FROM range(4)") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(1, 1, 5, 6, 2.0), (1, 1, 5, 6, 3.0), (2, 1, 5, 6, 4.0), (9, 1, 5, 6, 1.0)],
+                          "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double") \
+        .write.parquet(f"{tmp_path}/lineitem.parquet")
+    sources = load_sources(Tables(spark, str(tmp_path)))
+    assert [(name, df.count()) for name, df, _ in sources] == [("bookings", 4), ("tickets", 2), ("ticket_flights", 2)]
+    assert sorted(r.quantity for r in sources[2][1].collect()) == [4.0, 5.0]
+    for _, df, _ in sources:  # a plain scan: no join, JSON or grouping to run again
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Relation" in plan and not any(x in plan for x in ("Join", "json", "Aggregate")), plan
+
+
 def test_readers_see_whole_loads_only(spark):
     root = scratch_path(spark, "catalog")
     assert current_version(spark, root) == 0 and published(spark, root, "a") is None
