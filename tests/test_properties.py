@@ -203,6 +203,22 @@ def test_parent_left_join_equals_left_join(spark):
     assert got == want
 
 
+def test_parents_without_children_keep_their_partitions(spark):
+    """AQE sees few bytes of bare keys and would merge them into one task."""
+    from martkit.operators.joins import parent_left_join
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        parent = spark.range(2000).withColumnRenamed("id", "pk")
+        child = spark.range(1000).select(F.col("id").alias("ck"))
+        joined = parent_left_join(parent, child, "pk", "ck").where(F.col("ck").isNull())
+        got = joined.select("pk", F.spark_partition_id().alias("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert sorted(r.pk for r in got) == list(range(1000, 2000))
+    assert len({r.p for r in got}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 @pytest.mark.parametrize("length", [2, 3, 4, 5])
 def test_runs_of_any_length(spark, length):
     from martkit.operators.ordered import runs
