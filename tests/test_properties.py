@@ -219,6 +219,31 @@ def test_parents_without_children_keep_their_partitions(spark):
     assert len({r.p for r in got}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_null_keys_pass_a_left_join_by(spark, tmp_path):
+    from martkit.plans import registry
+    registry.load_all()
+    spark.createDataFrame([(i, i % 3, i, i) for i in range(600)] + [(None, 2, 1, 1), (5, None, 1, 1)] + [(7, 2, 1, 1)] * 2,
+                          "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long") \
+        .repartition(4).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(i, "F") for i in range(300)] + [(7, "O"), (None, "N")], "o_orderkey long, o_orderstatus string") \
+        .write.parquet(f"{tmp_path}/orders.parquet")
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(128 << 20))  # a task a file
+    try:
+        rows = registry.QUERIES["safe_cast_key_join"](spark, str(tmp_path)).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    want = []
+    for i, n, p, s in [(i, i % 3, i, i) for i in range(600)] + [(None, 2, 1, 1), (5, None, 1, 1)] + [(7, 2, 1, 1)] * 2:
+        text = None if i is None else f"x{i}" if n == 1 else str(i)
+        states = [None] if text is None or n == 1 or i >= 300 else ["F", "O"] if i == 7 else ["F"]
+        want += [(i, n, p, s, text, x) for x in states]
+    assert sorted(map(repr, (tuple(r)[:-1] for r in rows))) == sorted(map(repr, want))
+    assert len({r.p for r in rows if r.l_linenumber == 1}) > 1
+
+
 @pytest.mark.parametrize("length", [2, 3, 4, 5])
 def test_runs_of_any_length(spark, length):
     from martkit.operators.ordered import runs
