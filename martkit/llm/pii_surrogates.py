@@ -272,8 +272,9 @@ def entities(docs: DataFrame, key: str, text_col: str = "text", rounds: int = 64
     """``kind, normal, gender, surrogate`` of every entity, free of collisions."""
     found = docs.select(F.explode(F.array_distinct(_mentions(F.col(text_col)))).alias("m")).distinct()
     found = found.select(_type_of(F.col("m")).alias("kind"), "m")
-    found = found.select("kind", _normal(F.col("kind"), F.col("m")).alias("normal"),
-                         F.when(F.col("kind") == "name", _gender(F.col("m"))).alias("gender"))
+    # Stored, as it is read twice: texts are searched for mentions once here.
+    found = stored(found.select("kind", _normal(F.col("kind"), F.col("m")).alias("normal"),
+                                F.when(F.col("kind") == "name", _gender(F.col("m"))).alias("gender")), "pii-mentions")
     # A name's gender is what its mentions say, if any does.
     # A full name brings its family name along.
     full = found.where((F.col("kind") == "name") & (F.instr("normal", " ") > 0))

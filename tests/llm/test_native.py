@@ -391,3 +391,17 @@ def test_few_mailboxes_of_one_letter_settle(spark):
     assert len(set(new)) == len(boxes) and not set(new) & {f"{b}@mail.example" for b in boxes}
     assert len({x.split("@")[1] for x in new}) == 1
 
+
+
+def test_mentions_are_searched_once_for_the_entities(spark, monkeypatch):
+    """Full names bring family names along; the texts are not searched again for that."""
+    plans, store = {}, pii_surrogates.stored
+
+    def kept(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df, name)
+    monkeypatch.setattr(pii_surrogates, "stored", kept)
+    docs = spark.createDataFrame([(1, "Mr Karl Maier wrote to a.b@example.com"), (2, None)], "doc_id long, text string")
+    found = pii_surrogates.entities(docs, "k").collect()
+    assert sorted((r.kind, r.normal) for r in found) == [("email", "a.b@example.com"), ("name", "karl maier"), ("name", "maier")]
+    assert sum(p.count("regexp_extract_all(text") for p in plans.values()) == 1
