@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from .token_counts import slices
 
 BLANK = "▁"  # written for a blank in the vocabulary
-SLICE_BYTES, INDEX_BYTES, MEMO, LONG = 4 << 20, 512 << 10, 200_000, 256
+SLICE_BYTES, INDEX_BYTES, MEMO, LONG = 4 << 20, 512 << 10, 600_000, 256  # a slice may have 150,000 chunks
 LONG_CHUNK, PART = 4 << 10, 512   # bytes from which a chunk is cut, and of its parts at least
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
@@ -160,7 +160,7 @@ def occurrences(model: PieceModel, buf: np.ndarray) -> tuple[np.ndarray, np.ndar
     piece = np.repeat(np.arange(len(count)), count)
     start = np.repeat(lo - np.concatenate(([0], np.cumsum(count)[:-1])), count)
     position = sa[start + np.arange(len(piece))]
-    by = np.argsort(position, kind="stable")
+    by = np.argsort(position)
     return position[by], piece[by]
 
 
@@ -253,6 +253,13 @@ def encode_chunks(model: PieceModel, chunks: list[bytes]) -> tuple[np.ndarray, n
     return ids.astype(np.int32), counts
 
 
+def _split(ids: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """The ids of each of the rows that have ``counts`` of them (as ``np.split``, which is
+    slow for many short rows)."""
+    ends = np.cumsum(counts).tolist()
+    return [ids[lo:hi] for lo, hi in zip([0, *ends][:-1], ends, strict=True)]
+
+
 class Encoder:
     def __init__(self, path: str):
         self.model = PieceModel(path)
@@ -266,7 +273,7 @@ class Encoder:
             size += len(block[-1])
             if size >= INDEX_BYTES or i + 1 == len(new):
                 ids, counts = encode_chunks(self.model, block)
-                got = np.split(ids, np.cumsum(counts)[:-1])
+                got = _split(ids, counts)
                 self.memo.update(zip(new[i + 1 - len(block):i + 1], got, strict=True))
                 block, size = [], 0
 
@@ -363,7 +370,7 @@ def round_trips(docs: DataFrame, model_path: str, id_col: str = "doc_id",
         for b in batches:
             at = 0
             for part, ids, n in _encoded(pc.fill_null(b.column(1), ""), model_path):
-                each = np.split(ids.astype("<i4"), np.cumsum(n)[:-1])
+                each = _split(ids.astype("<i4"), n)
                 yield pa.record_batch(
                     [b.column(0).slice(at, len(part)), pa.array(n.astype(np.int64)),
                      pa.array([hashlib.sha256(x.tobytes()).hexdigest() for x in each], pa.string()),

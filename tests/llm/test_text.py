@@ -305,3 +305,22 @@ def test_long_chunks_are_cut_where_no_piece_reaches():
     assert ids.tolist() == [i for t in made for i in library.encode(t)] and n.tolist() == [len(library.encode(t)) for t in made]
     parts = sentence_pieces.parts_of(coder.model, " " + made[0])
     assert len(parts) > 20 and "".join(parts) == " " + made[0] and max(map(len, parts)) < 4 * sentence_pieces.PART
+
+
+def test_chunks_of_the_slice_before_are_remembered(monkeypatch):
+    """Slices of 4 MB have some 150,000 distinct chunks, most of them seen before."""
+    coder, learned = sentence_pieces.Encoder(PIECE_FILE), []
+    monkeypatch.setattr(coder, "_learn", lambda new: (learned.append(len(new)), coder.memo.update(
+        (c, sentence_pieces.np.zeros(1, "i4")) for c in new)))
+    text = " ".join(f"w{i}" for i in range(150_000))
+    coder.encode([text])
+    coder.encode([text, "one more"])
+    assert learned == [150_000, 2]
+
+
+def test_split_is_numpys():
+    np = sentence_pieces.np
+    for counts in ([3, 0, 2, 1], [0], [6]):
+        ids, n = np.arange(sum(counts), dtype="i4"), np.array(counts)
+        assert [x.tolist() for x in sentence_pieces._split(ids, n)] == [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])]
+    assert sentence_pieces._split(np.zeros(0, "i4"), np.zeros(0, "i8")) == []
