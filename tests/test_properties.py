@@ -219,6 +219,42 @@ def test_parents_without_children_keep_their_partitions(spark):
     assert len({r.p for r in got}) == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_parent_left_join_deals_more_rows_over_more_partitions(spark):
+    """The session's count of partitions stays the same when the tables grow."""
+    from martkit.operators.joins import parent_left_join
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "1"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        parent = spark.range(500_000).withColumnRenamed("id", "pk")
+        child = spark.range(2_400_000).select((F.col("id") % 400_000).alias("ck"))
+        joined = parent_left_join(parent, child, "pk", "ck").withColumn("p", F.spark_partition_id())
+        got = joined.groupBy("p").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("ck").isNull()).alias("lonely")).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert sum(r.n for r in got) == 2_500_000 and sum(r.lonely for r in got) == 100_000
+    assert max(r.n for r in got) < 1_200_000
+
+
+def test_parent_left_join_of_hot_null_and_repeated_keys(spark):
+    """Hot keys with and without a parent, parents that repeat, NULL keys on both sides."""
+    from martkit.operators.joins import _hot_keys, parent_left_join
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b2"), (3, "c"), (4, "d"), (None, "n"), (None, "n")],
+                                   "pk int, v string")
+    child = spark.createDataFrame([(1, i) for i in range(300)] + [(2, i) for i in range(40)] + [(9, i) for i in range(200)]
+                                  + [(None, i) for i in range(100)] + [(3, 1), (3, 1)], "ck int, cv int").repartition(6)
+    got = parent_left_join(parent, child, "pk", "ck", part_rows=50, hot_rows=30)
+    want = parent.join(child, parent.pk == child.ck, "left")
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    total, hot = _hot_keys(child, "ck", 30)
+    assert total == 542 and sorted(r[0] for r in hot.collect()) == [1, 2, 9]
+    placed = got.where("pk = 1").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in placed) == 300 and len(placed) > 1
+
+
 def test_null_keys_pass_a_left_join_by(spark, tmp_path):
     from martkit.plans import registry
     registry.load_all()
