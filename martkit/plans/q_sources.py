@@ -22,7 +22,7 @@ from ..operators.quality import as_text
 from ..session import scratch_path, stored
 from ..sources.files import csv_scan, csv_scan_rejects, csv_sink
 from ..sources.json_docs import (TableSpec, build_pages, ingest_pages, json_scan_rejects, land_pages,
-                                 nest_lines_per_row, read_transaction_docs, reconcile_pages,
+                                 nest_lines_per_order, read_transaction_docs, reconcile_pages,
                                  unnest_json, write_transaction_docs)
 from ..sources.layouts import curve_layout, lookup
 from ..sources.page_chain import chain_findings, landed_links
@@ -517,7 +517,7 @@ def load_sources(t: Tables) -> list[tuple[str, DataFrame, list[str]]]:
     """The three sources of the load, out of the nested documents. A load reads a source
     several times, so the unnested tickets and each source are stored: the documents are
     joined, written as JSON and parsed once."""
-    docs = nest_lines_per_row(t)
+    docs = nest_lines_per_order(t)
     tickets = stored(unnest_json(docs, "json_data", "tickets", keep=["book_ref"]), "load-unnested")
     flights = tickets.select("book_ref", "linenumber", F.explode("flights").alias("f")).select(
         "book_ref", "linenumber", "f.partkey", "f.suppkey", "f.quantity")

@@ -86,6 +86,28 @@ def test_bookings_json_unnest(spark):
     assert fl.count() == 2  # the empty flights array drops its ticket
 
 
+@pytest.mark.parametrize("name", ["lateral_unnest", "nested_unnest"])
+def test_lines_of_an_order_are_unnested_from_one_document(spark, tmp_path, monkeypatch, name):
+    import json
+
+    from martkit.plans import q_joins, registry
+    lines = [(1, 1, 10, 100, 1.0), (1, 2, 11, 101, 2.0), (1, 2, 11, 101, 2.0), (1, None, None, 102, None), (2, 1, 12, 100, 3.0),
+             (8, 1, 13, 100, 4.0), (None, 1, 14, 100, 5.0)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double") \
+        .repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1,), (2,), (3,), (None,)], "o_orderkey long").withColumn(
+        "o_orderdate", F.lit("1997-01-01").cast("timestamp_ntz")).write.parquet(f"{tmp_path}/orders.parquet")
+    seen = []
+    unnest = q_joins.unnest_json
+    monkeypatch.setattr(q_joins, "unnest_json", lambda docs, *a, **kw: seen.append(docs) or unnest(docs, *a, **kw))
+    got = registry.QUERIES[name](spark, str(tmp_path)).collect()
+    docs = sorted(((r.book_ref, len(json.loads(r.json_data)["tickets"])) for r in seen[0].collect()), key=repr)
+    assert docs == [(1, 4), (2, 1), (3, 0), (None, 0)]  # a document per order, with all of its lines
+    kept = [x for x in lines if x[0] in (1, 2)]
+    want = [(*x[:2], 1) for x in kept] if name == "lateral_unnest" else kept
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_safe_cast_flight_id(spark, flights):
     tf = spark.createDataFrame([("T1", "1"), ("T2", "x9"), ("T3", None)], "ticket_no string, flight_id string")
     j = tf.join(flights, tf.flight_id.try_cast("long") == flights.flight_id, "left")

@@ -255,6 +255,27 @@ def test_parent_left_join_of_hot_null_and_repeated_keys(spark):
     assert sum(r["count"] for r in placed) == 300 and len(placed) > 1
 
 
+def test_nest_children_gathers_all_children_of_a_parent(spark):
+    """Hot keys with and without a parent, parents that repeat, NULL keys and values, long arrays in runs."""
+    from collections import Counter
+
+    from martkit.operators.joins import nest_children
+    parent = [(1, "a"), (2, "b"), (2, "b2"), (3, "c"), (3, "c"), (4, "d"), (5, "e"), (None, "n"), (None, "n")]
+    child = ([(1, i % 7) for i in range(300)] + [(2, i) for i in range(40)] + [(9, i) for i in range(200)]
+             + [(None, i) for i in range(100)] + [(3, 1), (3, 1), (3, None)] + [(5, i) for i in range(25)])
+    got = nest_children(spark.createDataFrame(parent, "pk int, v string"),
+                        spark.createDataFrame(child, "ck int, cv int").repartition(6), "pk", "ck",
+                        F.struct("cv"), "nested", nest_rows=20, part_rows=50, hot_rows=30)
+    assert got.columns == ["pk", "v", "nested"]
+    rows = [(r.pk, r.v, [x.cv for x in r.nested]) for r in got.collect()]
+    assert max(len(a) for _, _, a in rows) == 20
+    values = {k: [v for c, v in child if c == k and k is not None] for k, _ in parent}
+    assert Counter((k, v, x) for k, v, a in rows for x in a) == Counter((k, v, x) for k, v in parent for x in values[k])
+    assert sorted((repr(r) for r in rows if r[0] in (None, 3, 4))) == sorted(map(repr, [
+        (None, "n", []), (None, "n", []), (3, "c", [None, 1, 1]), (3, "c", [None, 1, 1]), (4, "d", [])]))
+    assert sorted(len(a) for k, _, a in rows if k == 5) == [5, 20]  # no hot key, yet a long array
+
+
 def test_null_keys_pass_a_left_join_by(spark, tmp_path):
     from martkit.plans import registry
     registry.load_all()
